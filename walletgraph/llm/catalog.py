@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from walletgraph.llm import repeats
+from walletgraph.llm import jaccard, repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,12 +15,17 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digests(_table(spark, sf_dir, "documents"), "suffix_array")
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digests(_table(spark, sf_dir, "documents"), "automata")
 
 
 QUERIES = {
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
 }
 ORACLES: dict[str, str] = {}
