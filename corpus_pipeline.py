@@ -1,31 +1,63 @@
-"""A training corpus from the raw documents, in stages that are each written as Parquet before the next one reads it."""
+"""A packed training corpus from raw documents, in stages that are each written as Parquet before the next reads it.
+
+1. language: documents whose language can't be told go.
+2. near copies: of each group of documents with similar word sets the one with the smallest doc_id stays.
+3. repeats: passages of 50 words that also stand in a document with a smaller doc_id are cut out.
+4. benchmark: words covered by a benchmark's phrases are cut out.
+5. packing: the remaining texts become token sequences of one length.
+
+Rows of the first four have the columns of documents, with text and n_chars as the stage left them.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from walletgraph.llm import jaccard, repeats
+from walletgraph.llm import fm_index, jaccard, language, packing, repeats
+from walletgraph.llm.catalog import WORD_VOCABULARY
 from walletgraph.shared import Table
 
+#: A language's score must be at least this.
+LEAST_SCORE = 0.34
+#: Not expressible in SQL: the classifier and the packing.
 ORACLE_SQL = None
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language.identified(docs, language.fit(docs), LEAST_SCORE)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard.representatives(docs)
 
 
-def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return repeats.remove(docs, "suffix_array")
 
 
+def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return fm_index.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path(WORD_VOCABULARY))
+
+
 STAGES = [
-    ("ngram_jaccard", near_duplicates),
-    ("suffix_array", repeated_passages),
+    ("language", identify_language),
+    ("near_copies", drop_near_copies),
+    ("repeats", cut_repeats),
+    ("benchmark", cut_benchmark),
+    ("packing", pack),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, held = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = Table(stage(spark, docs, sf_dir), name).df
+        new = Table(stage(spark, docs, sf_dir), name)
+        if held:
+            held.drop()
+        docs, held = new.df, new
     return STAGES[-1][1](spark, docs, sf_dir)

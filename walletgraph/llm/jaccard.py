@@ -10,6 +10,9 @@ at all) among the first n - ceil(t n) + 2.
 * The boundary is the one of least cost for the histogram of set sizes: subsets that would be made
   against postings made and scanned.
 
+N-grams of which a first pass over all sets shows that one set alone has them come first in the order, and
+need no key: a document unlike all others makes none.
+
 Equal sets are one class from the start, so copies make one posting a batch. Keys that only one class has
 are dropped. The others' lists are scanned in rounds: a bound from 512-bit parity sketches, never below the
 true overlap, rules pairs out; of those left each document's most promising partner is verified on the
@@ -41,6 +44,8 @@ from walletgraph.shared import Table
 FREQUENT = 200_000
 #: An n-gram is counted if a batch of documents has it so often.
 BATCH_LEAST = 3
+#: The share of n-grams, in multiples of 1 - t, whose being in one set only is known; by hash, so any n-gram may be among them.
+LOW = 2
 #: Members of one part of a very frequent n-gram's list.
 PART = 4096
 #: Largest boundary that is weighed, and the cost of scanning a posting against making one.
@@ -70,19 +75,30 @@ def sets(hasher: Hasher, texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndar
         del ok
 
 
-def _statistics(docs: DataFrame, k: int) -> DataFrame:
-    """(kind, key, n): how many sets have a frequent n-gram (kind 0) or a size (kind 1)."""
-    schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
+_COUNTS = pa.schema([("bucket", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
+
+
+def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> DataFrame:
+    """By bucket of 32 bits of the n-grams below the cut: those seen in one set of a batch, and in more.
+
+    Bucket -1: n-grams that a batch has often, with counts; bucket -2: sizes of sets, with counts."""
 
     def count(batches):
         hasher = Hasher(SPACED_LOWER)
 
         def out(grams, sizes):
-            key, n = np.unique(np.concatenate(grams), return_counts=True) if grams else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            key, n = key[n >= BATCH_LEAST], n[n >= BATCH_LEAST]
-            size, many = np.unique(np.minimum(sizes, MOST_SMALL * 4), return_counts=True)
-            kind = np.r_[np.zeros(len(key), np.int32), np.ones(len(size), np.int32)]
-            return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.r_[key.view(np.int64), size.astype(np.int64)]), pa.array(np.r_[n, many].astype(np.int64))], schema=schema)
+            key, many = np.unique(np.concatenate(grams), return_counts=True)
+            low = key < np.uint64(cut)
+            place, first, again = np.unique((key[low] & np.uint64(0xFFFFFFFF)).astype(np.uint32), return_index=True, return_counts=True)
+            twice = (again > 1) | (many[low][first] > 1)
+            often = many >= BATCH_LEAST
+            size, sets_of = np.unique(np.minimum(sizes, MOST_SMALL * 4), return_counts=True)
+            rows = [(-1, key[often].tobytes(), many[often].astype(np.int64).tobytes()), (-2, size.astype(np.int64).tobytes(), sets_of.astype(np.int64).tobytes())]
+            cells: dict[int, list[bytes]] = {}
+            for i, own in enumerate((place[~twice], place[twice])):
+                for b, cell in deal((own.astype(np.int64) * n >> 32).astype(np.int32), own):
+                    cells.setdefault(b, [b"", b""])[i] = cell
+            return record_batch(rows + [(b, *x) for b, x in cells.items()], _COUNTS)
 
         for batch in batches:
             grams, sizes, held = [], [], 0
@@ -95,7 +111,23 @@ def _statistics(docs: DataFrame, k: int) -> DataFrame:
             if sizes:
                 yield out(grams, sizes)
 
-    return docs.mapInArrow(count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(count, "bucket int, once binary, twice binary")
+
+
+def _repeated(table: pa.Table) -> pa.Table:
+    """Places that two sets have."""
+    once = np.sort(gather(table, "once", np.uint32))
+    twice = np.r_[once[1:][once[1:] == once[:-1]], gather(table, "twice", np.uint32)]
+    return pa.table({"place": np.unique(twice).astype(np.int64)})
+
+
+def _pairs_of_cells(df: DataFrame) -> DataFrame:
+    def rows(batches):
+        for batch in batches:
+            for x, y in zip(batch["once"], batch["twice"], strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(c.as_buffer(), np.int64)) for c in (x, y)], ["key", "n"])
+
+    return df.select("once", "twice").mapInArrow(rows, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def boundary(sizes: dict[int, int], num: int, den: int) -> int:
@@ -115,22 +147,33 @@ def boundary(sizes: dict[int, int], num: int, den: int) -> int:
 
 
 class Prefixes:
-    """Keys of a set: in the order of all sets, subsets of small sets' prefixes and n-grams of large ones'."""
+    """Keys of a set: in the order of all sets, subsets of small sets' prefixes and n-grams of large ones'.
+
+    First come n-grams below the cut that only one set has; they need no key. Then the rest, rare ones first."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, small: int, num: int, den: int):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, twice: np.ndarray, cut: int, small: int, num: int, den: int):
         order = np.argsort(keys)
         self.keys, self.counts, self.small, self.num, self.den = keys[order], counts[order], small, num, den
+        self.twice, self.cut = KeyFilter(twice), np.uint64(cut)
 
     def order(self, own: np.ndarray, p: int) -> np.ndarray:
+        """Of the first p n-grams, those that another set may have."""
+        low = int(np.searchsorted(own, self.cut))
+        alone = np.zeros(len(own), bool)
+        alone[:low] = ~self.twice.has(own[:low])
+        left = p - int(alone.sum())
+        if left <= 0:
+            return own[:0]
+        own = own[~alone]
         if not len(self.keys):
-            return own[:p]
+            return own[:left]
         at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
         often = self.keys[at] == own
         rare = own[~often]
-        if len(rare) >= p:
-            return rare[:p]
+        if len(rare) >= left:
+            return rare[:left]
         known = own[often]
-        return np.r_[rare, known[np.lexsort((known, self.counts[at[often]]))][: p - len(rare)]]
+        return np.r_[rare, known[np.lexsort((known, self.counts[at[often]]))][: left - len(rare)]]
 
     def of(self, own: np.ndarray) -> np.ndarray:
         n = len(own)
@@ -349,11 +392,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     own = docs.where("doc_id is not null")
     n = bucket_count(own)
 
-    counted = Table(_statistics(own, k), "statistics")
-    often = counted.df.where(f"kind = 0 and n >= {2 * BATCH_LEAST}").orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
-    sizes = {r.key: r.n for r in counted.df.where("kind = 1").collect()}
+    cut = min((1 << 64) - 1, (1 << 64) * LOW * (den - num) // den)
+    counted = Table(_statistics(own, k, cut, n), "statistics")
+    twice = KeyFilter.of(counted.df.where("bucket >= 0").groupBy("bucket").applyInArrow(_repeated, "place long"), "place").bits
+    often = _pairs_of_cells(counted.df.where("bucket = -1")).where(f"n >= {2 * BATCH_LEAST}").orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
+    sizes = {r.key: r.n for r in _pairs_of_cells(counted.df.where("bucket = -2")).collect()}
     counted.drop()
-    prefixes = broadcast(Prefixes(often["key"].to_numpy().view(np.uint64), often["n"].to_numpy(), boundary(sizes, num, den), num, den))
+    prefixes = broadcast(Prefixes(often["key"].to_numpy().view(np.uint64), often["n"].to_numpy(), twice, cut, boundary(sizes, num, den), num, den))
 
     posted = Table(_postings(own, k, prefixes, n), "postings")
     shared = Table(posted.df.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared_keys, "kind int, value long"), "shared")

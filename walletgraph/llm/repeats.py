@@ -8,8 +8,8 @@ Only windows whose phrase occurs in two documents can repeat, so only those are
 * suffix_array: the phrases' places are a sparse suffix array. Suffixes are dealt by phrase, and of
   those that share one, all windows that extend it left and right are sorted and compared with their
   neighbours in the order.
-* automata: the recurring phrases are compiled into Aho-Corasick automata over words (a word is one of
-  2^20 characters), in shards of bounded size, and all documents stream through each.
+* automata: the recurring phrases are compiled into Aho-Corasick automata over words (15 bits of a word's
+  hash, written as three letters), in shards of bounded size, and all documents stream through each.
 
 Windows then meet in buckets of their hash. Each batch of documents sends one record for each distinct
 window, with its smallest doc_id: other documents of the batch that hold it are settled at once. So a
@@ -37,16 +37,18 @@ from walletgraph.shared import Table
 
 #: Words in a window, and in a phrase for either method.
 SIZE, SUFFIX_WORDS, PHRASE_WORDS = 50, 10, 3
-#: Phrases in one automaton; about 100 bytes each in a worker's memory.
-SHARD = 1 << 20
+#: Phrases in one automaton; about half a kilobyte each in a worker's memory.
+SHARD = 1 << 19
 #: Windows that a task gathers before it sends them.
 FLUSH = 1 << 20
 _FAR = np.uint64(2**64 - 1)
-_CHAR = np.uint64((1 << 20) - 1)
+#: Letters of a word, bits of each, and the letters' first codes: one range for each place, so matches start at words.
+_LETTERS, _BITS, _FIRST = 3, 5, 65
+_WORD = np.uint64((1 << _LETTERS * _BITS) - 1)
 
 
 def _phrases(hasher: Hasher, hashes: np.ndarray, k: int, packed: bool) -> np.ndarray:
-    """A key for each k words: their hash, or a bijection of k words of 20 bits."""
+    """A key for each k words: their hash, or a bijection of k words of 15 bits."""
     if not packed:
         return hasher.grams(hashes, k)
     n = len(hashes) - k + 1
@@ -54,7 +56,7 @@ def _phrases(hasher: Hasher, hashes: np.ndarray, k: int, packed: bool) -> np.nda
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
     for i in range(k):
-        out = (out << np.uint64(20)) | (hashes[i : n + i] & _CHAR)
+        out = (out << np.uint64(_LETTERS * _BITS)) | (hashes[i : n + i] & _WORD)
     return mix(out)
 
 
@@ -67,9 +69,15 @@ def _unmix(x: int) -> int:
     return x ^ (x >> 30) ^ (x >> 60)
 
 
+def _letters(words: np.ndarray) -> str:
+    shift = np.arange(_LETTERS, dtype=np.uint64) * np.uint64(_BITS)
+    code = (words[:, None] >> shift & np.uint64((1 << _BITS) - 1)) + np.arange(_LETTERS, dtype=np.uint64) * np.uint64(1 << _BITS) + np.uint64(_FIRST)
+    return code.astype(np.uint8).tobytes().decode("latin-1")
+
+
 def _phrase_text(key: int, k: int) -> str:
     packed = _unmix(key)
-    return "".join(chr(0x10000 + (packed >> 20 * (k - 1 - i) & 0xFFFFF)) for i in range(k))
+    return _letters(np.array([packed >> _LETTERS * _BITS * (k - 1 - i) & int(_WORD) for i in range(k)], np.uint64))
 
 
 def _windows(hasher: Hasher, texts: pa.Array, size: int, k: int, packed: bool, located=None) -> Iterator[tuple]:
@@ -249,9 +257,8 @@ def find_by_automata(docs: DataFrame, size: int = SIZE, k: int = PHRASE_WORDS, s
             def located(key, hashes):
                 out = np.zeros(len(key), bool)
                 if len(machine):
-                    line = ((hashes & _CHAR) + np.uint64(0x10000)).astype("<u4").tobytes().decode("utf-32-le")
-                    ends = np.fromiter((end for end, _ in machine.iter(line)), np.int64)
-                    out[ends - (k - 1)] = True
+                    ends = np.fromiter((end for end, _ in machine.iter(_letters(hashes))), np.int64)
+                    out[ends // _LETTERS - (k - 1)] = True
                 return out
 
             return located
