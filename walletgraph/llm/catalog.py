@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from walletgraph.llm import cover_tree, fm_index, id_files, jaccard, language, licenses, packing, repeats, tokens
+from walletgraph.llm.oracles import ORACLES
 from walletgraph.shared import new_path
 
+__all__ = ["ORACLES", "QUERIES"]
+
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
@@ -70,4 +73,3 @@ QUERIES = {
     "op9_exact_top_k_search": op9_exact_top_k_search,
     "op10_language_id": op10_language_id,
 }
-ORACLES: dict[str, str] = {}

@@ -24,6 +24,8 @@ SCALE, K, EVERY = 256, 5, 50
 #: Vectors in a block of data and in a group of queries.
 BLOCK, GROUP = 8192, 16384
 LEAF, FAN = 64, 32
+#: Below every score.
+_NONE = np.int64(1 - (1 << 63))
 
 
 class CoverTree:
@@ -65,21 +67,21 @@ class CoverTree:
 def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query ids, ids and scores of the best k of each query."""
     left, right = CoverTree(queries), CoverTree(data)
-    best = np.full((len(queries), k), -np.inf)
+    best = np.full((len(queries), k), _NONE)
     best_id = np.full((len(queries), k), np.iinfo(np.int64).max)
-    worst = np.full(len(queries), -np.inf)
+    worst = np.full(len(queries), _NONE)
     exact = np.abs(queries).max(initial=0.0) * np.abs(data).max(initial=0.0) * queries.shape[1] < 2**53
     whole = (queries, data) if exact else (queries.astype(np.int64), data.astype(np.int64))
 
     def compare(q: np.ndarray, d: np.ndarray) -> None:
-        score = whole[0][q] @ whole[1][d].T
-        score = np.where(query_ids[q][:, None] == ids[d][None, :], -np.inf, score)
+        score = (whole[0][q] @ whole[1][d].T).astype(np.int64)
+        score[query_ids[q][:, None] == ids[d][None, :]] = _NONE
         some = score.max(axis=1) >= worst[q]
         if not some.any():
             return
         q, score = q[some], score[some]
         scores = np.concatenate([best[q], score], axis=1)
-        names = np.concatenate([best_id[q], np.where(np.isinf(score), np.iinfo(np.int64).max, np.broadcast_to(ids[d], score.shape))], axis=1)
+        names = np.concatenate([best_id[q], np.where(score == _NONE, np.iinfo(np.int64).max, np.broadcast_to(ids[d], score.shape))], axis=1)
         order = np.lexsort((names, -scores), axis=-1)[:, :k]
         best[q], best_id[q] = np.take_along_axis(scores, order, 1), np.take_along_axis(names, order, 1)
         worst[q] = best[q, k - 1]
@@ -105,8 +107,8 @@ def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np
 
     if len(queries) and len(data):
         descend(0, 0, np.inf)
-    found = ~np.isinf(best)
-    return np.repeat(query_ids, k).reshape(-1, k)[found], best_id[found], best[found].astype(np.int64)
+    found = best != _NONE
+    return np.repeat(query_ids, k).reshape(-1, k)[found], best_id[found], best[found]
 
 
 def _matrix(cells: pa.Array, size: int) -> np.ndarray:

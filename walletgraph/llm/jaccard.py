@@ -232,7 +232,7 @@ def _postings(docs: DataFrame, k: int, prefixes, n: int) -> DataFrame:
                 key, own = np.concatenate(keys), np.repeat(np.array(who), list(map(len, keys)))
                 order = np.lexsort((ids[own], prints[own], key))
                 key, own = key[order], own[order]
-                new = np.r_[True, (key[1:] != key[:-1]) | (prints[own[1:]] != prints[own[:-1]])]
+                new = np.r_[True, (key[1:] != key[:-1]) | (prints[own[1:]] != prints[own[:-1]])][: len(key)]
                 key, own = key[new], own[new]
                 key, index = pre.split(key, prints[own])
                 own = own[index]

@@ -102,7 +102,7 @@ class Hasher:
                 while lo < hi:
                     cut = min(hi, lo + PIECE)
                     while cut < hi:  # on to the end of a word
-                        gap = np.flatnonzero(~self.is_word[data[cut : cut + PIECE]])
+                        gap = np.flatnonzero(~self.is_word[data[cut : min(hi, cut + PIECE)]])
                         cut = cut + int(gap[0]) if len(gap) else min(hi, cut + PIECE)
                         if len(gap):
                             break
