@@ -1,0 +1,141 @@
+"""A chain of six blocks through sources, plans and streaming."""
+
+import json
+
+import pytest
+
+from walletgraph import schema
+from walletgraph.functions import keys as K
+from walletgraph.operators import normalize as N
+from walletgraph.plans import pipeline
+from walletgraph.sources import blocks as S
+from walletgraph.sources import tables
+from walletgraph.streaming import incremental
+
+A, B, C = (K.forms(K.multiply(k, K.G)) for k in (11, 12, 13))
+
+
+def out(n, value, desc, address, kind):
+    return {"value": value, "n": n, "scriptPubKey": {"desc": desc, "type": kind} | ({"address": address} if address is not None else {})}
+
+
+def tx(txid, vin, vout):
+    return {"txid": txid, "locktime": 0, "vin": vin, "vout": vout}
+
+
+def chain():
+    """Key A is paid by its bare key, by hash and by witness hash; B's key is revealed by a spend; C never spends."""
+    coin = lambda n: [{"coinbase": f"0{n}", "txinwitness": ["00"]}]
+    spend = lambda t, v, asm=None, w=None: {"txid": t, "vout": v} | ({"scriptSig": {"asm": asm}} if asm is not None else {}) | ({"txinwitness": w} if w else {})
+    return [
+        {"height": 0, "hash": "h0", "mediantime": 90, "time": 100, "tx": [tx("c0", coin(0), [out(0, 50, f"pk({A[0]})#aaaaaaaa", None, "pubkey")])]},
+        {"height": 1, "hash": "h1", "mediantime": 190, "time": 200, "tx": [tx("c1", coin(1), [out(0, 50, f"addr({A[3]})#bbbbbbbb", A[3], "pubkeyhash")])]},
+        {"height": 2, "hash": "h2", "mediantime": 290, "time": 300, "tx": [tx("c2", coin(2), [out(0, 50, f"addr({B[3]})#cccccccc", B[3], "pubkeyhash")]), tx("t2", [spend("c0", 0, "sig")], [out(0, 20.5, f"addr({A[4]})#d", A[4], "witness_v0_keyhash"), out(1, 29.5, f"addr({B[4]})#e", B[4], "witness_v0_keyhash")])]},
+        {"height": 3, "hash": "h3", "mediantime": 390, "time": 400, "tx": [tx("c3", coin(3), [out(0, 50, f"multi(1,{A[1]},{C[1]})#f", "", "multisig")]), tx("t3", [spend("c1", 0, f"sig {A[1]}"), spend("c2", 0, f"sig {B[1]}"), spend("t2", 1, None, ["sig", B[1]])], [out(0, 129.5, f"addr({C[2]})#g", C[2], "pubkeyhash")])]},
+        {"height": 4, "hash": "h4", "mediantime": 490, "time": 500, "tx": [tx("c4", coin(4), [out(0, 50, "raw(6a)", None, "nonstandard")])]},
+        {"height": 5, "hash": "h5", "mediantime": 590, "time": 600, "tx": [tx("c5", coin(5), [out(0, 0.00000001, "raw(6a)", None, "nonstandard")]), tx("t5", [spend("c4", 0, "")], [out(0, 50, f"pk({'02' + 'ff' * 32})", None, "pubkey")])]},
+    ]
+
+
+@pytest.fixture(scope="module")
+def landed(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("blocks")
+    for i in range(0, 6, 2):
+        (folder / f"{i}.json").write_text("\n".join(map(json.dumps, chain()[i : i + 2])) + "\n")
+    (folder / "broken.json").write_text("no json\n")
+    return folder
+
+
+def test_shred(spark, landed):
+    t = S.shred(S.read_blocks(spark, str(landed)))
+    assert t["transactions"].schema == schema.TRANSACTIONS and t["inputs"].schema == schema.INPUTS and t["outputs"].schema == schema.OUTPUTS
+    assert {tuple(r) for r in t["transactions"].collect()} >= {("c0", 90, 100, 0), ("t3", 390, 400, 0)}
+    outs = {(r.txid, r.vout_n): r for r in t["outputs"].collect()}
+    assert outs["t2", 0].value_sats == 2_050_000_000 and outs["c5", 0].value_sats == 1
+    assert outs["c3", 0].address is None and outs["c0", 0].address is None
+    ins = sorted((tuple(r) for r in t["inputs"].collect()), key=repr)
+    assert ("t3", "t2", 1, None, f"sig, {B[1]}") in ins and ("c0", None, None, None, "00") in ins
+
+
+def test_run(spark, landed):
+    r = pipeline.run(spark, str(landed))
+    roots = {x.hash: x.root_hash for x in r["normalized_hashes"].collect()}
+    assert roots == {h: own[0] for own in (A, B) for h in own}
+    assert [x.key for x in r["unusable_keys"].collect()] == ["02" + "ff" * 32]
+    clusters = {x.root_hash: x.cluster_id for x in r["clusters"].collect()}
+    assert clusters == {min(A[0], B[0]): clusters[A[0]], max(A[0], B[0]): clusters[A[0]], "c4:0": 1 - clusters[A[0]]}
+    outs = {(x.txid, x.vout_n): x for x in r["outputs"].collect()}
+    assert outs["c0", 0].address == A[0] and outs["c0", 0].descriptor is None
+    assert outs["c1", 0].address == A[1] and outs["c1", 0].descriptor_type == "pubkey"
+    ins = {(x.txid, x.vin_txid): x for x in r["inputs"].collect()}
+    assert ins["t3", "c2"].vin_asm is None and ins["t3", "t2"].witness_data is not None
+    balance = {(x.cluster, x.miner_time): x.balance for x in r["balances"].collect()}
+    ours = min(A[0], B[0])
+    assert [balance[ours, t] for t in (100, 200, 300, 400)] == [5_000_000_000, 10_000_000_000, 15_000_000_000, 2_050_000_000]
+    last = {}
+    for (c, t), v in sorted(balance.items(), key=lambda x: x[0][1]):
+        last[c] = v
+    spent = {("c0", 0), ("c1", 0), ("c2", 0), ("t2", 1), ("c4", 0)}
+    assert sum(last.values()) == sum(x.value_sats for k, x in outs.items() if k not in spent)
+    assert {(x.cluster, x.txid): x.delta for x in r["net_flows"].collect()}[ours, "t2"] == 0
+
+
+def test_variants(spark, landed):
+    t = S.shred(S.read_blocks(spark, str(landed)))
+    funding = pipeline.run_tables(t, pipeline.Settings(edge_key="funding", root=N.ROOT_TUPLE))
+    roots = {x.hash: x.root_hash for x in funding["normalized_hashes"].collect()}
+    assert set(roots) == {*A[:3], A[4], *B[:3], B[4]} and len(set(roots.values())) == 2
+    assert sorted(x.tx for x in funding["nodes"].collect()) == ["c0", "c1", "c2", "c4", "t2"]
+    hashes = N.output_hashes(t["outputs"])
+    assert {r.address for r in hashes.where("txid = 'c3'").collect()} == {A[1], C[1]}
+    assert N.output_hashes(t["outputs"], hashes).count() == 0
+    ids = N.wallet_ids(t["inputs"], hashes, spark.createDataFrame([(A[3], "root"), (A[3], "zzz")], schema.NORMALIZED_HASHES))
+    assert {(r.txid, r.vin_txid): r.vin_wallet_id for r in ids.collect()}["t3", "c1"] == "root" and ids.count() == t["inputs"].count()
+
+
+def test_tables(spark, tmp_path):
+    df = spark.createDataFrame([("a", None, 1), ("b", "x", None)], "txid string, vin_txid string, vin_vout int")
+    tables.write_csv(df, str(tmp_path / "csv"))
+    assert tables.is_whole(spark, str(tmp_path / "csv")) and not tables.is_whole(spark, str(tmp_path))
+    assert sorted(map(tuple, tables.read_csv(spark, str(tmp_path / "csv"), df.schema).collect())) == sorted(map(tuple, df.collect()))
+    assert tables.fit_columns(df.withColumn("extra", df.txid), schema.INPUTS).schema == schema.INPUTS
+    old, new = (spark.createDataFrame(x, "k long, v long") for x in ([(1, 1), (2, 2), (None, 3)], [(2, 5), (3, 6), (3, 7), (None, 9)]))
+    assert sorted(tables.insert_ignore(old, new, ["k"]).select("k").collect()) == [(3,)]
+    assert sorted(map(tuple, tables.upsert(old, new, ["k"]).where("k is not null").collect())) == [(1, 1), (2, 5), (3, 7)]
+    assert tables.upsert(old, new, ["k"]).where("k is null").collect() == [(None, 9)]
+    for turn in range(2):
+        tables.write_chunks(S.chunks(spark, 0, 1600), str(tmp_path / "chunks"))
+    assert {r.chunk: r["count"] for r in spark.read.parquet(str(tmp_path / "chunks")).groupBy("chunk").count().collect()} == {0: 800, 1: 800, 2: 1}
+    tables.create_if_missing(old, str(tmp_path / "t")), tables.create_if_missing(new, str(tmp_path / "t")), tables.append(new, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 7
+    assert tables.concat(df, df.drop("vin_vout")).count() == 4
+
+
+def test_calls(spark):
+    tries = []
+
+    def flaky(body):
+        tries.append(body)
+        if len(tries) < 3:
+            raise OSError
+        return json.dumps({"result": 7, "error": None}).encode()
+
+    assert S.call("none", "getblockcount", [], wait=0, send=flaky) == 7 and len(tries) == 3
+    with pytest.raises(OSError):
+        S.call("none", "x", [], tries=2, wait=0, send=lambda _: (_ for _ in ()).throw(OSError()))
+
+    def node(body):
+        asked = json.loads(body)
+        return json.dumps({"result": f"hash{asked['params'][0]}" if asked["method"] == "getblockhash" else {"hash": asked["params"][0], "tx": []}}).encode()
+
+    got = S.fetch(S.chunks(spark, 5, 8, 2), "none", send=node).collect()
+    assert sorted((r.chunk, json.loads(r.value)["hash"]) for r in got) == [(0, "hash5"), (0, "hash6"), (1, "hash7"), (1, "hash8")]
+
+
+def test_stream(spark, landed, tmp_path):
+    folder, checkpoint = str(tmp_path / "labels"), str(tmp_path / "checkpoint")
+    incremental.follow(incremental.stream_pairs(spark, str(landed)), folder, checkpoint).awaitTermination()
+    labels = {r.wallet: r.component for r in incremental.latest(spark, folder).collect()}
+    assert labels == {"c0:0": "c0:0", "c1:0": "c1:0", "c2:0": "c1:0", "t2:1": "c1:0", "c4:0": "c4:0"}
+    more = incremental.merge(incremental.latest(spark, folder), spark.createDataFrame([("z", "c0:0"), ("z", "t2:1")], "tx string, wallet string"))
+    assert {r.wallet: r.component for r in more.collect()} == dict.fromkeys(("c0:0", "c1:0", "c2:0", "t2:1"), "c0:0") | {"c4:0": "c4:0"}

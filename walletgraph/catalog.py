@@ -1,4 +1,401 @@
-"""Registered queries and the SQL that they are held against."""
+"""Registered queries over whole test tables, and the SQL that they are held against."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from walletgraph import testbed as T
+from walletgraph.functions import keys as K
+from walletgraph.functions import script as S
+from walletgraph.operators import balances as B
+from walletgraph.operators import clusters as C
+from walletgraph.operators import normalize as N
+from walletgraph.sources import tables
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None, *ctes: str):
+    """Registers a query, with its SQL where SQL can express it."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = T.sql(oracle, *ctes)
+        return f
+
+    return register
+
+
+# The ledger's tables.
+
+
+@query("SELECT txid, miner_time FROM txs", "txs")
+def tx_times(spark, d):
+    return T.transactions(spark, d)
+
+
+@query("SELECT * FROM outs", "outs")
+def outputs_table(spark, d):
+    return T.outputs(spark, d)
+
+
+@query("SELECT * FROM ins", "ins")
+def inputs_table(spark, d):
+    return T.inputs(spark, d)
+
+
+@query("SELECT o_orderkey AS height, (o_orderkey - 0) // 800 AS chunk FROM orders")
+def height_chunks(spark, d):
+    from walletgraph.sources.blocks import chunks
+
+    heights = T.table(spark, d, "orders").select(F.col("o_orderkey").alias("height"))
+    top = heights.agg(F.max("height")).first()[0] or 0
+    return heights.join(chunks(spark, 0, top), "height").select("height", "chunk")
+
+
+@query("SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS tx_id, o_orderkey AS txid FROM orders")
+def txid_dictionary(spark, d):
+    return N.dictionary(T.transactions(spark, d), "txid", "tx_id")
+
+
+@query("SELECT i.txid, d.n AS vin_tx_id, i.vin_vout FROM ins i LEFT JOIN (SELECT txid, row_number() OVER (ORDER BY txid) - 1 AS n FROM txs) d ON d.txid = i.vin_txid", "ins")
+def encoded_inputs(spark, d):
+    ids = N.dictionary(T.transactions(spark, d), "txid", "tx_id")
+    return N.encode(T.inputs(spark, d), ids, "vin_txid", "txid", "vin_tx_id").select("txid", "vin_tx_id", "vin_vout")
+
+
+# Filters.
+
+
+@query("SELECT txid, vout_n, descriptor_type FROM keyed WHERE descriptor_type IN ('pubkey', 'pubkeyhash', 'multisig')", "keyed")
+def descriptor_filter(spark, d):
+    return T.addresses(T.outputs(spark, d)).where(F.col("descriptor_type").isin(*N.HASHED_TYPES)).select("txid", "vout_n", "descriptor_type")
+
+
+@query("SELECT txid, vout_n FROM keyed WHERE descriptor_type = 'pubkey' AND (address IS NULL OR address = '')", "keyed")
+def blank_address_filter(spark, d):
+    return T.addresses(T.outputs(spark, d)).where((F.col("descriptor_type") == "pubkey") & F.nullif("address", F.lit("")).isNull()).select("txid", "vout_n")
+
+
+@query("SELECT txid, vin_txid, vin_vout FROM ins WHERE vin_txid IS NOT NULL", "ins")
+def coinbase_filter(spark, d):
+    return T.inputs(spark, d).where("vin_txid is not null").select("txid", "vin_txid", "vin_vout")
+
+
+@query("SELECT DISTINCT address FROM keyed WHERE descriptor_type = 'pubkey'", "keyed")
+def distinct_pubkeys(spark, d):
+    return T.addresses(T.outputs(spark, d)).where("descriptor_type = 'pubkey'").select("address").distinct()
+
+
+# Script and descriptor functions.
+
+_KEY = "sha256(CAST(p_partkey AS VARCHAR))"
+_DESC = f"""descs AS (SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'pk(02' || {_KEY} || ')#abcd1234' WHEN 1 THEN 'multi(1, 02' || {_KEY} || ',03' || {_KEY} || ')'
+WHEN 2 THEN 'tr(' || {_KEY} || ',{{pk(' || {_KEY} || ')}})' WHEN 3 THEN 'addr(none)' WHEN 4 THEN 'pkh([d34db33f/44''/0'']02' || {_KEY} || ')' ELSE 'wpkh(xpub' || {_KEY} || '/0/*)' END AS descriptor FROM part)"""
+_PATTERN = S.KEY_PATTERN.replace("'", "''")
+_EXTRACT = f"regexp_extract_all(string_split(replace(descriptor, ' ', ''), '#')[1], '{_PATTERN}', 2)"
+
+
+def _descriptors(spark: SparkSession, d: str) -> DataFrame:
+    p, key = F.col("p_partkey"), F.sha2(F.col("p_partkey").cast("string"), 256)
+    forms = ("pk(02%s)#abcd1234", "multi(1, 02%s,03%s)", "tr(%s,{pk(%s)})", "addr(none)", "pkh([d34db33f/44'/0']02%s)", "wpkh(xpub%s/0/*)")
+    out = F.lit(None).cast("string")
+    for i, form in enumerate(forms):
+        parts = form.split("%s")
+        text = F.lit(parts[0])
+        for part in parts[1:]:
+            text = F.concat(text, key, F.lit(part))
+        out = F.when(p % 6 == i, text).otherwise(out)
+    return T.table(spark, d, "part").select(p, out.alias("descriptor"))
+
+
+@query(f"WITH {_DESC} SELECT p_partkey, array_to_string({_EXTRACT}, ',') AS keys, CAST(len({_EXTRACT}) AS INTEGER) AS n_keys FROM descs")
+def parse_desc_keys(spark, d):
+    return _descriptors(spark, d).select("p_partkey", F.array_join(S.parse_desc("descriptor"), ",").alias("keys"), F.size(S.parse_desc("descriptor")).alias("n_keys"))
+
+
+@query(f"WITH {_DESC} SELECT p_partkey, {_EXTRACT}[1] AS key FROM descs")
+def parse_desc_first(spark, d):
+    return _descriptors(spark, d).select("p_partkey", S.first_desc_key("descriptor").alias("key"))
+
+
+@query("SELECT p_partkey, array_to_string([x FOR x IN string_split(asm, ' ') IF x <> '' AND NOT starts_with(x, 'OP')], ',') AS tokens FROM (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'OP_2  ' || sha256(CAST(p_partkey AS VARCHAR)) || ' OP_PUSHBYTES_65 04' || p_partkey || ' OP_CHECKMULTISIG ' ELSE '' END AS asm FROM part)")
+def push_data_tokens(spark, d):
+    p = F.col("p_partkey")
+    asm = F.when(p % 2 == 0, F.concat(F.lit("OP_2  "), F.sha2(p.cast("string"), 256), F.lit(" OP_PUSHBYTES_65 04"), p.cast("string"), F.lit(" OP_CHECKMULTISIG "))).otherwise("")
+    return T.table(spark, d, "part").select(p, F.array_join(S.parse_push_data(asm), ",").alias("tokens"))
+
+
+@query("SELECT txid, vin_txid, vin_vout, CASE WHEN witness_data IS NOT NULL THEN trim(string_split(witness_data, ',')[-1]) ELSE trim(string_split(vin_asm, ' ')[-1]) END AS key FROM shown", "shown")
+def revealed_key(spark, d):
+    return T.scripts(T.inputs(spark, d)).select("txid", "vin_txid", "vin_vout", S.revealed_key("witness_data", "vin_asm").alias("key"))
+
+
+@query("SELECT p_partkey, CASE WHEN y % 2 = 1 THEN '03' ELSE '02' END || h AS compressed FROM (SELECT p_partkey, sha256(CAST(p_partkey AS VARCHAR)) AS h, position(right(sha256('y' || p_partkey), 1) IN '0123456789abcdef') - 1 AS y FROM part)")
+def compress_pubkey(spark, d):
+    p = F.col("p_partkey").cast("string")
+    key = F.concat(F.lit("04"), F.sha2(p, 256), F.sha2(F.concat(F.lit("y"), p), 256))
+    return T.table(spark, d, "part").select("p_partkey", S.compress_pubkey(key).alias("compressed"))
+
+
+@query("SELECT p_partkey, left(p_name, 4) IN ('xpub', 'tpub', 'ypub', 'zpub', 'vpub') OR p_partkey % 3 = 0 AS extended FROM part")
+def is_extended_key(spark, d):
+    key = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("zpub"), "p_name")).otherwise(F.col("p_name"))
+    return T.table(spark, d, "part").select("p_partkey", S.is_extended_key(key).alias("extended"))
+
+
+@query("SELECT p_partkey, sha256('(''a' || p_partkey || ''', ''' || sha256(CAST(p_partkey AS VARCHAR)) || ''')') AS root_hash FROM part")
+def root_hash_v1(spark, d):
+    p = F.col("p_partkey").cast("string")
+    return T.table(spark, d, "part").select("p_partkey", S.root_hash_v1(F.array(F.concat(F.lit("a"), p), F.sha2(p, 256))).alias("root_hash"))
+
+
+# Keys. Only Python can derive addresses; golden values are in the tests.
+
+
+def _points(spark: SparkSession, d: str) -> DataFrame:
+    """Compressed hex that is a curve's x in about every second case."""
+    return T.table(spark, d, "part").select(F.concat(F.lit("02"), F.sha2(F.col("p_partkey").cast("string"), 256)).alias("address"))
+
+
+@query()
+def derive_addresses(spark, d):
+    return N.derived(_points(spark, d)).select("key", F.array_join("forms", ",").alias("forms"))
+
+
+@query()
+def unusable_keys(spark, d):
+    return N.unusable_keys(N.derived(_points(spark, d)))
+
+
+@query()
+def normalized_hashes_v2(spark, d):
+    return N.normalized_hashes(N.derived(_points(spark, d)))
+
+
+@query()
+def normalized_hashes_v1(spark, d):
+    return N.normalized_hashes(N.derived(_points(spark, d)), N.ROOT_TUPLE)
+
+
+@query()
+def decompressed_pubkeys(spark, d):
+    return _points(spark, d).distinct().select("address", K.decompress_pubkey()("address").alias("uncompressed"))
+
+
+@query()
+def xpub_children(spark, d):
+    known = "xpub69H7F5d8KSRgmmdJg2KhpAK8SR3DjMwAdkxj3ZuxV27CprR9LgpeyGmXUbC6wb7ERfvrnKZjXoUmmDznezpbZb7ap6r1D3tgFxHmwMkQTPH"
+    one = spark.range(1).select(F.lit(known).alias("key"))
+    return one.select(F.explode(K.derive_addresses()("key")).alias("form"))
+
+
+# Joins and updates.
+
+
+@query("SELECT txid, vout_n, unnest(CASE WHEN nullif(address, '') IS NOT NULL THEN [address] ELSE regexp_extract_all(string_split(descriptor, '#')[1], '0[23][0-9A-Fa-f]{64}') END) AS address, descriptor_type FROM keyed WHERE descriptor_type IN ('pubkey', 'pubkeyhash', 'multisig')", "keyed")
+def output_hashes_explode(spark, d):
+    return N.output_hashes(T.addresses(T.outputs(spark, d)))
+
+
+@query("SELECT txid, vout_n, CASE WHEN descriptor_type = 'pubkey' AND address = '' THEN regexp_extract(descriptor, '0[23][0-9a-f]{64}') ELSE address END AS address FROM keyed", "keyed")
+def parse_pubkey_descriptors(spark, d):
+    return N.parse_pubkey_descriptors(T.addresses(T.outputs(spark, d))).select("txid", "vout_n", "address")
+
+
+_REVEALS = "(SELECT k.txid, k.vout_n, min(CASE WHEN witness_data IS NOT NULL THEN trim(string_split(witness_data, ',')[-1]) ELSE trim(string_split(vin_asm, ' ')[-1]) END) AS key FROM shown s JOIN keyed k ON k.txid = s.vin_txid AND k.vout_n = s.vin_vout WHERE k.descriptor_type = 'pubkeyhash' AND (witness_data IS NOT NULL OR vin_asm IS NOT NULL) GROUP BY ALL)"
+
+
+@query(f"SELECT k.txid, k.vout_n, k.value_sats, k.descriptor, CASE WHEN r.txid IS NOT NULL THEN r.key ELSE k.address END AS address, CASE WHEN r.txid IS NOT NULL THEN 'pubkey' ELSE k.descriptor_type END AS descriptor_type FROM keyed k LEFT JOIN {_REVEALS} r USING (txid, vout_n)", "keyed", "shown")
+def apply_reveals(spark, d):
+    return N.apply_reveals(T.addresses(T.outputs(spark, d)), T.scripts(T.inputs(spark, d)))
+
+
+@query("SELECT hash, min_by(root, at) AS root FROM (SELECT p_brand AS hash, p_name AS root, p_partkey AS at FROM part) GROUP BY hash")
+def first_wins_map(spark, d):
+    rows = T.table(spark, d, "part").select(F.col("p_brand").alias("hash"), F.col("p_name").alias("root"), F.col("p_partkey").alias("at"))
+    return N.first_wins(rows, "hash", "root", "at")
+
+
+@query("SELECT i.txid, o.txid AS spent_txid, o.vout_n, o.value_sats FROM ins i JOIN outs o ON i.vin_txid = o.txid AND i.vin_vout = o.vout_n", "ins")
+def resolve_inputs(spark, d):
+    outs = T.outputs(spark, d).select(F.col("txid").alias("spent_txid"), "vout_n", "value_sats")
+    return T.inputs(spark, d).join(outs, (F.col("vin_txid") == F.col("spent_txid")) & (F.col("vin_vout") == F.col("vout_n"))).select("txid", "spent_txid", "vout_n", "value_sats")
+
+
+@query("SELECT i.txid, i.vin_txid, i.vin_vout, coalesce(n.root_hash, nullif(k.address, '')) AS vin_wallet_id FROM ins i LEFT JOIN keyed k ON i.vin_txid = k.txid AND i.vin_vout = k.vout_n LEFT JOIN norm n ON n.hash = k.address", "ins", "keyed", "norm")
+def wallet_ids(spark, d):
+    ins = T.inputs(spark, d).drop("wallet")
+    return N.wallet_ids(ins, T.addresses(T.outputs(spark, d)), T.normalized(spark, d)).select("txid", "vin_txid", "vin_vout", "vin_wallet_id")
+
+
+_NODES = "nodes AS (SELECT DISTINCT {tx} AS tx, coalesce(n.root_hash, nullif(k.address, ''), i.vin_txid || ':' || i.vin_vout) AS node FROM ins i JOIN keyed k ON i.vin_txid = k.txid AND i.vin_vout = k.vout_n LEFT JOIN norm n ON n.hash = k.address)"
+
+
+def _node_oracle(tx: str, body: str) -> str:
+    return T.sql("", "ins", "keyed", "norm").rstrip() + ", " + _NODES.format(tx=tx) + " " + body
+
+
+def _nodes(spark: SparkSession, d: str, edge_key: str) -> DataFrame:
+    return N.input_nodes(T.inputs(spark, d), T.addresses(T.outputs(spark, d)), T.normalized(spark, d), edge_key)
+
+
+@query(_node_oracle("i.txid", "SELECT * FROM nodes"))
+def node_ids(spark, d):
+    return _nodes(spark, d, "spending")
+
+
+@query(_node_oracle("i.vin_txid", "SELECT * FROM nodes"))
+def node_ids_funding(spark, d):
+    return _nodes(spark, d, "funding")
+
+
+@query(_node_oracle("i.txid", "SELECT DISTINCT node AS hash, node AS root_hash FROM nodes WHERE NOT EXISTS (SELECT 1 FROM norm WHERE hash = node AND root_hash = node)"))
+def missing_nodes(spark, d):
+    return N.missing_nodes(_nodes(spark, d, "spending"), T.normalized(spark, d))
+
+
+@query(_node_oracle("i.vin_txid", "SELECT DISTINCT x.node AS a, y.node AS b FROM nodes x JOIN nodes y ON x.tx = y.tx AND x.node < y.node"))
+def sibling_edges(spark, d):
+    return C.spend_edges(_nodes(spark, d, "funding"), wallet="node")
+
+
+@query("SELECT DISTINCT address FROM keyed WHERE descriptor_type = 'pubkey' AND address <> '' AND NOT EXISTS (SELECT 1 FROM norm WHERE hash = address)", "keyed", "norm")
+def unmapped_outputs(spark, d):
+    return N.unmapped_keys(T.addresses(T.outputs(spark, d)), T.normalized(spark, d))
+
+
+@query("SELECT s.txid, s.vin_txid, s.vin_vout, CASE WHEN k.descriptor_type = 'pubkey' THEN NULL ELSE vin_asm END AS vin_asm, CASE WHEN k.descriptor_type = 'pubkey' THEN NULL ELSE witness_data END AS witness_data FROM shown s LEFT JOIN keyed k ON s.vin_txid = k.txid AND s.vin_vout = k.vout_n", "shown", "keyed")
+def trim_inputs(spark, d):
+    return N.trim(T.addresses(T.outputs(spark, d)), T.scripts(T.inputs(spark, d)))[1]
+
+
+@query("SELECT txid, vout_n, CASE WHEN descriptor_type = 'pubkey' THEN NULL ELSE descriptor END AS descriptor FROM keyed", "keyed")
+def trim_outputs(spark, d):
+    return N.trim(T.addresses(T.outputs(spark, d)), T.scripts(T.inputs(spark, d)))[0].select("txid", "vout_n", "descriptor")
+
+
+@query("SELECT DISTINCT 'P' || p_partkey AS hash, 'R' || (p_partkey // 4) AS root_hash FROM part WHERE p_partkey % 4 >= 2")
+def insert_ignore(spark, d):
+    p = F.col("p_partkey")
+    new = T.table(spark, d, "part").select(F.concat(F.lit("P"), p.cast("string")).alias("hash"), F.concat(F.lit("R"), (p / 4).cast("bigint").cast("string")).alias("root_hash"))
+    return tables.insert_ignore(T.normalized(spark, d), new.unionByName(new), ["hash", "root_hash"])
+
+
+@query("SELECT c_custkey AS wallet, CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 1 ELSE c_nationkey END AS cluster_id FROM customer")
+def upsert_clusters(spark, d):
+    own = T.table(spark, d, "customer").select(F.col("c_custkey").alias("wallet"), F.col("c_nationkey").cast("long").alias("cluster_id"))
+    return tables.upsert(own, own.where("wallet % 3 = 0").withColumn("cluster_id", F.col("wallet") + 1), ["wallet"])
+
+
+# Graph operators.
+
+
+@query("SELECT DISTINCT x.wallet AS a, y.wallet AS b FROM pairs x JOIN pairs y ON x.tx = y.tx AND x.wallet < y.wallet", "pairs")
+def spend_edges(spark, d):
+    return C.spend_edges(T.pairs(spark, d))
+
+
+@query("SELECT DISTINCT y.wallet FROM pairs x JOIN pairs y ON x.tx = y.tx AND x.wallet <> y.wallet WHERE x.wallet = (SELECT min(wallet) FROM pairs JOIN (SELECT tx FROM pairs GROUP BY tx HAVING count(*) > 1) USING (tx))", "pairs")
+def neighbors(spark, d):
+    pairs = T.pairs(spark, d)
+    shared = pairs.groupBy("tx").count().where("count > 1").select("tx")
+    of = pairs.join(shared, "tx", "left_semi").agg(F.min("wallet")).first()[0]
+    return C.neighbors(pairs, of)
+
+
+@query("SELECT wallet, component FROM comps", "comps")
+def components_min_label(spark, d):
+    return C.components(T.pairs(spark, d))
+
+
+@query("SELECT wallet, dense_rank() OVER (ORDER BY component) - 1 AS cluster_id FROM comps", "comps")
+def cluster_dense_id(spark, d):
+    return C.cluster(T.pairs(spark, d))
+
+
+@query("SELECT component, string_agg(wallet, ',' ORDER BY wallet) AS members FROM comps GROUP BY component", "comps")
+def cluster_members(spark, d):
+    found = C.members(C.components(T.pairs(spark, d)))
+    return found.select("component", F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
+
+
+@query("SELECT component, count(*) AS n_wallets FROM comps GROUP BY component", "comps")
+def cluster_sizes(spark, d):
+    return C.sizes(C.components(T.pairs(spark, d)))
+
+
+@query("SELECT wallet, dense_rank() OVER (ORDER BY f, component) AS cluster_id FROM comps JOIN (SELECT component, max(wallet) AS f FROM comps GROUP BY component) USING (component)", "comps")
+def visited_order(spark, d):
+    found = C.components(T.pairs(spark, d))
+    latest = found.groupBy("component").agg(F.max("wallet").alias("seed"))
+    return C.visited_order(found.join(latest, "component"), "seed")
+
+
+@query("SELECT wallet, min(m) AS label FROM pairs JOIN (SELECT tx, min(wallet) AS m FROM pairs GROUP BY tx) USING (tx) GROUP BY wallet", "pairs")
+def one_hop_label(spark, d):
+    return C.one_hop_label(T.pairs(spark, d))
+
+
+_ROWS = """r AS (SELECT p_partkey AS row_id, CASE WHEN p_partkey % 4 < 2 THEN 'u' || (p_partkey // 4) END AS u, CASE WHEN p_partkey % 4 IN (1, 2) THEN 'c' || (p_partkey // 4) END AS c,
+CASE WHEN p_partkey % 4 > 1 THEN 'l' || (p_partkey // 4) END AS l, CASE WHEN p_partkey % 4 = 3 AND p_partkey // 4 % 2 = 0 THEN 's' || (p_partkey // 4) END AS s FROM part)"""
+
+
+@query(
+    f"""WITH RECURSIVE {_ROWS}, v AS (SELECT row_id, unnest(['u' || u, 'c' || c, 'l' || l, 's' || s]) AS x FROM r), e AS (SELECT DISTINCT a.row_id AS a, b.row_id AS b FROM v a JOIN v b USING (x)),
+g(n, c) AS (SELECT row_id, row_id FROM r UNION SELECT e.b, g.c FROM g JOIN e ON g.n = e.a), k AS (SELECT n AS row_id, min(c) AS k FROM g GROUP BY n),
+w AS (SELECT k, max(u) AS wu, max(c) AS wc, max(l) AS wl, max(s) AS ws FROM r JOIN k USING (row_id) GROUP BY k),
+i AS (SELECT *, dense_rank() OVER (ORDER BY (wu IS NULL OR wc IS NULL OR wl IS NULL OR ws IS NULL), k) - 1 AS Identifier FROM w)
+SELECT row_id, coalesce(u, wu) AS u, coalesce(c, wc) AS c, coalesce(l, wl) AS l, coalesce(s, ws) AS s, Identifier FROM r JOIN k USING (row_id) JOIN i USING (k)"""
+)
+def match_addresses(spark, d):
+    p, g = F.col("p_partkey"), (F.col("p_partkey") / 4).cast("bigint").cast("string")
+    form = lambda when, letter: F.when(when, F.concat(F.lit(letter), g))
+    rows = T.table(spark, d, "part").select(p.alias("row_id"), form(p % 4 < 2, "u").alias("u"), form((p % 4).isin(1, 2), "c").alias("c"), form(p % 4 > 1, "l").alias("l"), form((p % 4 == 3) & ((p / 4).cast("bigint") % 2 == 0), "s").alias("s"))
+    return C.match_rows(rows, ["u", "c", "l", "s"], "row_id")
+
+
+# Balances.
+
+
+def _clusters(spark: SparkSession, d: str) -> DataFrame:
+    return C.components(T.pairs(spark, d)).withColumnRenamed("component", "cluster")
+
+
+def _flows(spark: SparkSession, d: str) -> DataFrame:
+    outs, txs, clusters = T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d)
+    return B.credits(outs, txs, clusters).unionByName(B.debits(T.inputs(spark, d).drop("wallet"), outs, txs, clusters))
+
+
+@query("SELECT cluster, miner_time, CAST(sum(delta) AS BIGINT) AS delta FROM flows WHERE delta > 0 GROUP BY ALL", "flows")
+def cluster_credits(spark, d):
+    return B.by_time(B.credits(T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d)))
+
+
+@query("SELECT cluster, miner_time, CAST(sum(delta) AS BIGINT) AS delta FROM flows WHERE delta < 0 GROUP BY ALL", "flows")
+def cluster_debits(spark, d):
+    return B.by_time(B.debits(T.inputs(spark, d).drop("wallet"), T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d)))
+
+
+@query("SELECT cluster, txid, CAST(sum(delta) AS BIGINT) AS delta FROM flows GROUP BY ALL", "flows")
+def net_flows(spark, d):
+    return B.net_flows(_flows(spark, d))
+
+
+@query("SELECT cluster, miner_time, CAST(sum(delta) OVER (PARTITION BY cluster ORDER BY miner_time) AS BIGINT) AS balance FROM (SELECT cluster, miner_time, sum(delta) AS delta FROM flows GROUP BY ALL)", "flows")
+def balance_through_time(spark, d):
+    return B.balance_through_time(_flows(spark, d))
+
+
+#: 1997-01-01, within the orders' dates.
+THEN = 852_076_800
+
+
+@query(f"SELECT o.* FROM outs o JOIN txs USING (txid) WHERE miner_time <= {THEN} AND NOT EXISTS (SELECT 1 FROM spends s JOIN txs t USING (txid) WHERE t.miner_time <= {THEN} AND s.vin_txid = o.txid AND s.vin_vout = o.vout_n)", "spends")
+def utxo_set(spark, d):
+    return B.utxo_set(T.outputs(spark, d), T.inputs(spark, d), T.transactions(spark, d), THEN)
