@@ -216,10 +216,10 @@ def apply_reveals(spark, d):
     return N.apply_reveals(T.addresses(T.outputs(spark, d)), T.scripts(T.inputs(spark, d)))
 
 
-@query("SELECT hash, min_by(root, at) AS root FROM (SELECT p_brand AS hash, p_name AS root, p_partkey AS at FROM part) GROUP BY hash")
+@query("SELECT hash, min_by(root, pos) AS root FROM (SELECT p_brand AS hash, p_name AS root, p_partkey AS pos FROM part) GROUP BY hash")
 def first_wins_map(spark, d):
-    rows = T.table(spark, d, "part").select(F.col("p_brand").alias("hash"), F.col("p_name").alias("root"), F.col("p_partkey").alias("at"))
-    return N.first_wins(rows, "hash", "root", "at")
+    rows = T.table(spark, d, "part").select(F.col("p_brand").alias("hash"), F.col("p_name").alias("root"), F.col("p_partkey").alias("pos"))
+    return N.first_wins(rows, "hash", "root", "pos")
 
 
 @query("SELECT i.txid, o.txid AS spent_txid, o.vout_n, o.value_sats FROM ins i JOIN outs o ON i.vin_txid = o.txid AND i.vin_vout = o.vout_n", "ins")
