@@ -1,8 +1,8 @@
 """Token ids and counts of whole texts, equal to the tokenizers library's, with the library called for rare pieces only.
 
 Both encoders cut a text where no token can reach across, remember what the pieces give, and ask the
-library for pieces not seen before, all of a batch at once. What is remembered has a bound: beyond it
-the pieces learnt last are dropped, as frequent ones are learnt early.
+library for the merges of pieces not seen before. What is remembered has a bound: beyond it the pieces
+learnt last are dropped, as frequent ones are learnt early.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from __future__ import annotations
 import os
 import re
 import sys
-from itertools import chain, islice
+from array import array
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 
 from walletgraph.llm.words import raw_bytes
 
-#: Pieces remembered by a task.
-REMEMBERED = 400_000
+#: Pieces remembered by a task, and as many words; together about 400 bytes each.
+REMEMBERED = 800_000
 #: Texts that are encoded together.
 GROUP = 256
 # Fixed value: the pattern that splits text before the merges of byte-level vocabularies.
@@ -50,35 +51,92 @@ def _batch(tokenizer, texts: list[str]) -> list:
     return tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it is visible, else the next from U+0100."""
+    spare = iter(range(256, 512))
+    return {b: b if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174 else next(spare) for b in range(256)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _model_word(word: str) -> str:
+    return word.translate(_LETTERS) if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
+
+
+def _latin(word: str) -> bool:
+    """Whether all characters are below U+0100: there composition changes nothing, and lower case is one for one."""
+    if word.isascii():
+        return True
+    try:
+        word.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class Known(dict):
+    """What pieces give; a new piece is learnt when it is asked for."""
+
+    def __init__(self, learn, items=()):
+        super().__init__(items)
+        self.learn = learn
+
+    def __missing__(self, piece):
+        found = self[piece] = self.learn(piece)
+        return found
+
+    def bound(self, most: int) -> None:
+        """If it has grown beyond `most`, drops the half that was learnt last."""
+        if len(self) > most:
+            for _ in range(len(self) - most // 2):
+                self.popitem()
+
+
 class IdEncoder:
     """Ids of texts as bytes of little-endian integers of `width` bytes.
 
     For vocabularies that drop white space the pieces are what stands between white space; for others a
-    piece is a whole text."""
+    piece is a whole text. A new piece that is a Latin word with punctuation after it is two pre-tokens, whose
+    merges are asked for alone; others are encoded by the library as they are."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
-        self.tokenizer, self.remembered, self.known = _library(path), remembered, {}
+        self.tokenizer, self.remembered = _library(path), remembered
+        self.known, self.words = Known(self._piece), Known(self._word)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.code = {2: "H", 4: "I"}[self.width]
+        self.simple = False
         probes = ["one two", "a\n b\tc", " x  y ", "it's 12, no.\nÄ é"]
-        alone = [[i for w in p.split() for i in self.tokenizer.encode(w, add_special_tokens=False).ids] for p in probes]
-        self.apart = alone == [self.tokenizer.encode(p, add_special_tokens=False).ids for p in probes]
+        self.apart = all(b"".join(map(self._whole, p.split())) == self._whole(p) for p in probes)
+        plain = ["the", "unbelievably", "été", "naïveté", "straße", "...", "?!", "no."]
+        self.simple = self.apart and all(self._simple(p) == self._whole(p) for p in plain)
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, word: str) -> bytes:
+        return self._ids([t.id for t in self.tokenizer.model.tokenize(_model_word(word))])
+
+    def _simple(self, piece: str) -> bytes | None:
+        core = piece.rstrip(punctuation)
+        if core.isalpha() and _latin(core):
+            return self.words[core.lower()] + self.words[piece[len(core) :]] if len(core) < len(piece) else self.words[core.lower()]
+        return None if core else self.words[piece]
+
+    def _piece(self, piece: str) -> bytes:
+        found = self._simple(piece) if self.simple else None
+        return self._whole(piece) if found is None else found
 
     def _cut(self, text: str) -> list[str]:
         return text.split() if self.apart and not ODD_SPACE.search(text) else [text] if text else []
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(x) for x in texts]
-        known = self.known
-        new = list(set(chain.from_iterable(cut)).difference(known))
-        if new:
-            if len(known) + len(new) > self.remembered:
-                self.known = known = dict(islice(known.items(), self.remembered // 2))
-                new = list(set(chain.from_iterable(cut)).difference(known))
-            kind = f"<u{self.width}"
-            for lo in range(0, len(new), 4096):
-                own = new[lo : lo + 4096]
-                known.update(zip(own, (np.array(x.ids, kind).tobytes() for x in _batch(self.tokenizer, own)), strict=True))
-        return [b"".join(map(known.__getitem__, x)) for x in cut]
+        self.known.bound(self.remembered), self.words.bound(self.remembered)
+        get = self.known.__getitem__
+        return [b"".join(map(get, self._cut(x))) for x in texts]
 
 
 def whole_tokens(path: str) -> frozenset[str]:
@@ -98,11 +156,13 @@ class Counter:
         import regex
 
         self.tokenizer, self.whole, self.remembered = _library(path), whole, remembered
-        self.known: dict[str, int] = {}
+        self.known, self.words = Known(self._piece), Known(self._word)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.pattern, self.plain = regex.compile(PATTERN), regex.compile(r"[ \t\r\n!-~\p{Latin}]*")
         self.mixed = re.compile(r"\s \s|\s \Z")
+        plain = ["the", " unbelievably", " été", "naïveté", " straße", "...", " ?!", "no.", " no,"]
+        self.simple = all(self._simple(p) == len(self.tokenizer.encode(p, add_special_tokens=False).ids) for p in plain)
 
     def _cut(self, text: str) -> list[str]:
         if ODD_SPACE.search(text):
@@ -112,34 +172,32 @@ class Counter:
         first, *rest = text.split(" ")
         return [first, *map(" ".__add__, rest)] if first else list(map(" ".__add__, rest))
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Pre-tokens of a piece that are no whole tokens go to the library, all pieces' at once."""
-        direct, merge, of = [], [], []
-        for i, piece in enumerate(pieces):
-            own = self.pattern.findall(piece) if self.plain.fullmatch(piece) else [piece]
-            rest = [x for x in own if x not in self.whole]
-            direct.append(len(own) - len(rest))
-            merge += rest
-            of += [i] * len(rest)
-        for lo in range(0, len(merge), 4096):
-            for i, x in zip(of[lo : lo + 4096], _batch(self.tokenizer, merge[lo : lo + 4096]), strict=True):
-                direct[i] += len(x.ids)
-        self.known.update(zip(pieces, direct, strict=True))
+    def _word(self, word: str) -> int:
+        return 1 if word in self.whole else len(self.tokenizer.model.tokenize(_model_word(word)))
+
+    def _simple(self, piece: str) -> int | None:
+        """Of a Latin word, with a space before or punctuation after it, or of punctuation alone."""
+        core = piece.rstrip(punctuation)
+        if core.removeprefix(" ").isalpha() and _latin(core):
+            return self.words[core] + self.words[piece[len(core) :]] if len(core) < len(piece) else self.words[core]
+        return self.words[piece] if core in ("", " ") and len(core) < len(piece) else None
+
+    def _piece(self, piece: str) -> int:
+        """Pre-tokens of an odd piece that are no whole tokens are merged by the library."""
+        found = self._simple(piece) if self.simple else None
+        if found is not None:
+            return found
+        own = self.pattern.findall(piece) if self.plain.fullmatch(piece) else [piece]
+        rest = [x for x in own if x not in self.whole]
+        return len(own) - len(rest) + sum(len(x.ids) for x in _batch(self.tokenizer, rest))
 
     def count(self, texts: list[str]) -> list[int]:
-        cut, extra = [], []
+        self.known.bound(self.remembered), self.words.bound(self.remembered)
+        get, out = self.known.__getitem__, []
         for text in texts:
             parts = self.special.split(text) if self.special and self.special.search(text) else [text]
-            cut.append([x for part in parts if part for x in self._cut(part)])
-            extra.append(len(parts) - 1)
-        new = list(set(chain.from_iterable(cut)).difference(self.known))
-        if new:
-            if len(self.known) + len(new) > self.remembered:
-                self.known = dict(islice(self.known.items(), self.remembered // 2))
-                new = list(set(chain.from_iterable(cut)).difference(self.known))
-            self._learn(new)
-        get = self.known.__getitem__
-        return [sum(map(get, x)) + n for x, n in zip(cut, extra, strict=True)]
+            out.append(sum(sum(map(get, self._cut(part))) for part in parts if part) + len(parts) - 1)
+        return out
 
 
 def groups(texts: pa.Array, size: int = GROUP, most: int = 1 << 20):
