@@ -224,8 +224,12 @@ def first_wins_map(spark, d):
 
 @query("SELECT i.txid, o.txid AS spent_txid, o.vout_n, o.value_sats FROM ins i JOIN outs o ON i.vin_txid = o.txid AND i.vin_vout = o.vout_n", "ins")
 def resolve_inputs(spark, d):
-    outs = T.outputs(spark, d).select(F.col("txid").alias("spent_txid"), "vout_n", "value_sats")
-    return T.inputs(spark, d).join(outs, (F.col("vin_txid") == F.col("spent_txid")) & (F.col("vin_vout") == F.col("vout_n"))).select("txid", "spent_txid", "vout_n", "value_sats")
+    return N.match_inputs(T.inputs(spark, d), T.outputs(spark, d))
+
+
+@query("SELECT i.txid, o.txid AS spent_txid, o.vout_n, o.wallet FROM ins i JOIN outs o ON i.vin_txid = o.txid AND i.vin_vout = o.vout_n", "ins")
+def match_input_output(spark, d):
+    return N.match_inputs(T.inputs(spark, d).drop("wallet"), T.outputs(spark, d), ("wallet",))
 
 
 @query("SELECT i.txid, i.vin_txid, i.vin_vout, coalesce(n.root_hash, nullif(k.address, '')) AS vin_wallet_id FROM ins i LEFT JOIN keyed k ON i.vin_txid = k.txid AND i.vin_vout = k.vout_n LEFT JOIN norm n ON n.hash = k.address", "ins", "keyed", "norm")

@@ -11,8 +11,8 @@ from walletgraph.operators.normalize import dictionary
 
 def star_edges(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet") -> DataFrame:
     """Each wallet of a transaction with the smallest one: as many edges as pairs, never all pairs of a transaction."""
-    least = pairs.groupBy(tx).agg(F.min(wallet).alias("b"))
-    return pairs.where(F.col(wallet).isNotNull()).join(least, tx).select(F.col(wallet).alias("a"), "b").distinct()
+    least = F.min(wallet).over(Window.partitionBy(tx))  # one shuffle; a transaction's rows are bounded by its block
+    return pairs.where(F.col(tx).isNotNull() & F.col(wallet).isNotNull()).select(F.col(wallet).alias("a"), least.alias("b")).distinct()
 
 
 def components(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet") -> DataFrame:

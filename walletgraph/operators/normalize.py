@@ -54,7 +54,9 @@ def unmapped_keys(outputs: DataFrame, known: DataFrame | None = None) -> DataFra
 
 def derived(keys: DataFrame, column: str = "address", n_child: int = CHILDREN) -> DataFrame:
     """(key, forms) of distinct keys, spread over all tasks for the costly part; forms is NULL for an unusable key."""
-    distinct = keys.select(F.col(column).alias("key")).where("key is not null").distinct()
+    spark = keys.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    distinct = keys.select(F.col(column).alias("key")).where("key is not null").distinct().repartition(tasks, "key")  # adaptive execution would put few small rows into one task
     return distinct.withColumn("forms", derive_addresses(n_child)("key"))
 
 
@@ -102,6 +104,13 @@ def input_nodes(inputs: DataFrame, outputs: DataFrame, normalized: DataFrame, ed
     return rows.select("tx", node_id("root_hash", "address", "vin_txid", "vin_vout").alias("node")).distinct()
 
 
+def match_inputs(inputs: DataFrame, outputs: DataFrame, extra: tuple[str, ...] = ("value_sats",)) -> DataFrame:
+    """Each input with the output that it spends: (txid, spent_txid, vout_n, ...). An output is spent once at most."""
+    spent = outputs.select(F.col("txid").alias("spent_txid"), "vout_n", *extra)
+    on = (inputs["vin_txid"] == spent["spent_txid"]) & (inputs["vin_vout"] == spent["vout_n"])
+    return inputs.select("txid", "vin_txid", "vin_vout").join(spent, on).select("txid", "spent_txid", "vout_n", *extra)
+
+
 def missing_nodes(nodes: DataFrame, normalized: DataFrame) -> DataFrame:
     """(hash, root_hash) of nodes that don't map to themselves yet."""
     own = nodes.select(F.col("node").alias("hash"), F.col("node").alias("root_hash")).distinct()

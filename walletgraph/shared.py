@@ -27,6 +27,11 @@ def drop_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def clean(spark: SparkSession) -> None:
+    """Deletes all work tables of all sessions that share the folder; for when no result that reads them is needed."""
+    drop_path(spark, f"{shared_dir(spark)}/walletgraph")
+
+
 class Table:
     """A DataFrame written to the shared folder and read again: its lineage is cut and any executor can be lost."""
 
