@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from walletgraph.llm.tokens import IdEncoder, cached, groups
+from walletgraph.llm.tokens import IdEncoder, groups, kept
 from walletgraph.shared import Table
 
 END_ID = 1
@@ -57,10 +57,10 @@ def train(docs: DataFrame, path: str) -> bytes:
     ids = docs.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
 
     def encode(batches):
-        encoder = cached(("ids", path), lambda: IdEncoder(path))
-        for batch in batches:
-            for _, texts in groups(batch["text"]):
-                yield pa.RecordBatch.from_arrays([pa.array([x[:SAMPLE_BYTES] for x in encoder.encode(texts)], pa.binary())], ["ids"])
+        with kept(("ids", path), lambda: IdEncoder(path)) as encoder:
+            for batch in batches:
+                for _, texts in groups(batch["text"]):
+                    yield pa.RecordBatch.from_arrays([pa.array([x[:SAMPLE_BYTES] for x in encoder.encode(texts)], pa.binary())], ["ids"])
 
     sample = docs.join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select("text").mapInArrow(encode, "ids binary").limit(2 * SAMPLE_DOCS)
     return _train([x for x in sample.toArrow()["ids"].to_pylist() if x])
@@ -133,13 +133,13 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = END_ID) -> tupl
     n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(1 << 16, size // FILE_BYTES))
 
     def run(batches):
-        encoder, task = cached(("ids", path), lambda: IdEncoder(path)), TaskContext.get()
-        end = np.array([end_id], f"<u{encoder.width}").tobytes()
+        task = TaskContext.get()
         system, place = pafs.FileSystem.from_uri(folder)
         system.create_dir(place, recursive=True)
         name = f"{task.partitionId():06d}.ids"
         own = f"{place}/.{name}-{task.taskAttemptId()}"
-        with system.open_output_stream(own) as stream:
+        with system.open_output_stream(own) as stream, kept(("ids", path), lambda: IdEncoder(path)) as encoder:
+            end = np.array([end_id], f"<u{encoder.width}").tobytes()
             writer = Writer(stream, encoder.width, dictionary)
             for batch in batches:
                 for at, texts in groups(batch["text"]):

@@ -51,7 +51,7 @@ PART = 4096
 #: Largest boundary that is weighed, and the cost of scanning a posting against making one.
 MOST_SMALL, SCAN = 64, 3.0
 SKETCH_BITS = 512
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 ROUNDS = ("best", "best", "all")
 
 
@@ -105,7 +105,7 @@ def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> DataFrame:
             for _, own in sets(hasher, batch["text"], k):
                 grams.append(own), sizes.append(len(own))
                 held += len(own)
-                if held > 4 * FLUSH:
+                if held > 2 * FLUSH:
                     yield out(grams, sizes)
                     grams, sizes, held = [], [], 0
             if sizes:
@@ -307,7 +307,7 @@ def _lists(found: DataFrame, n: int) -> DataFrame:
 
 def _pairs(num: int, den: int, mode: str):
     """Of a bucket's lists: pairs of documents of different labels that the bounds allow; best: one for each document."""
-    small_list, block = 48, 1 << 19
+    small_list, block = 48, 1 << 18
 
     def scan(table: pa.Table) -> pa.Table:
         key, doc = gather(table, "keys", np.uint64), gather(table, "docs", np.int64)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walletgraph.llm.tokens import IdEncoder, cached, groups
+from walletgraph.llm.tokens import IdEncoder, groups, kept
 from walletgraph.shared import Table
 
 CAPACITY, END_ID = 2048, 0
@@ -100,19 +100,20 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
     """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset."""
 
     def cut(batches):
-        encoder, task, seen = cached(("ids", path), lambda: IdEncoder(path)), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        end, kind = np.array([end_id], f"<u{encoder.width}").tobytes(), f"<u{encoder.width}"
-        for batch in batches:
-            for at, texts in groups(batch["text"]):
-                rows = []
-                for doc, own in zip(batch["doc_id"][at : at + len(texts)].to_pylist(), encoder.encode(texts), strict=True):
-                    ids = np.frombuffer(own + end, kind).astype("<u4")
-                    for piece, start in enumerate(range(0, len(ids), capacity)):
-                        part = ids[start : start + capacity]
-                        n = len(part)
-                        rows.append((doc, piece, start, n, zlib.crc32(part.tobytes()), task, n // LENGTHS, int(seen[n])))
-                        seen[n] += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PIECES, strict=True)], schema=_PIECES)
+        task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        with kept(("ids", path), lambda: IdEncoder(path)) as encoder:
+            end, kind = np.array([end_id], f"<u{encoder.width}").tobytes(), f"<u{encoder.width}"
+            for batch in batches:
+                for at, texts in groups(batch["text"]):
+                    rows = []
+                    for doc, own in zip(batch["doc_id"][at : at + len(texts)].to_pylist(), encoder.encode(texts), strict=True):
+                        ids = np.frombuffer(own + end, kind).astype("<u4")
+                        for piece, start in enumerate(range(0, len(ids), capacity)):
+                            part = ids[start : start + capacity]
+                            n = len(part)
+                            rows.append((doc, piece, start, n, zlib.crc32(part.tobytes()), task, n // LENGTHS, int(seen[n])))
+                            seen[n] += 1
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PIECES, strict=True)], schema=_PIECES)
         yield pa.RecordBatch.from_arrays([pa.array([], f.type) for f in _PIECES], schema=_PIECES)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, lengths int, rank long"

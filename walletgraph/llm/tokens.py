@@ -11,6 +11,8 @@ import os
 import re
 import sys
 from array import array
+from contextlib import contextmanager
+from itertools import islice
 from string import punctuation
 
 import numpy as np
@@ -22,6 +24,8 @@ from walletgraph.llm.words import raw_bytes
 
 #: Pieces remembered by a task, and as many words; together about 400 bytes each.
 REMEMBERED = 800_000
+#: And between tasks.
+AT_REST = 20_000
 #: Texts that are encoded together.
 GROUP = 256
 # Fixed value: the pattern that splits text before the merges of byte-level vocabularies.
@@ -30,12 +34,16 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 ODD_SPACE = re.compile("[\x1c-\x1f\x85᠎​]")
 
 
-def cached(key, make):
-    """Kept in a Python worker from task to task."""
+@contextmanager
+def kept(key, make):
+    """An encoder that a Python worker keeps from task to task; between tasks it remembers little."""
     held = sys.__dict__.setdefault("_walletgraph_kept", {})
     if key not in held:
         held[key] = make()
-    return held[key]
+    try:
+        yield held[key]
+    finally:
+        held[key].rest()
 
 
 def _library(path: str):
@@ -92,6 +100,9 @@ class Known(dict):
             for _ in range(len(self) - most // 2):
                 self.popitem()
 
+    def first(self, n: int) -> Known:
+        return Known(self.learn, islice(self.items(), n))
+
 
 class IdEncoder:
     """Ids of texts as bytes of little-endian integers of `width` bytes.
@@ -111,6 +122,9 @@ class IdEncoder:
         plain = ["the", "unbelievably", "été", "naïveté", "straße", "...", "?!", "no."]
         self.simple = self.apart and all(self._simple(p) == self._whole(p) for p in plain)
 
+    def rest(self) -> None:
+        self.known, self.words = self.known.first(AT_REST), self.words.first(AT_REST)
+
     def _ids(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
 
@@ -164,6 +178,9 @@ class Counter:
         plain = ["the", " unbelievably", " été", "naïveté", " straße", "...", " ?!", "no.", " no,"]
         self.simple = all(self._simple(p) == len(self.tokenizer.encode(p, add_special_tokens=False).ids) for p in plain)
 
+    def rest(self) -> None:
+        self.known, self.words = self.known.first(AT_REST), self.words.first(AT_REST)
+
     def _cut(self, text: str) -> list[str]:
         if ODD_SPACE.search(text):
             return [text]
@@ -220,10 +237,10 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
 
     def run(batches):
-        counter = cached(("count", path), lambda: Counter(path, whole.value))
-        for batch in batches:
-            size = np.diff(raw_bytes(batch["text"])[1])
-            count = np.array([n for _, texts in groups(batch["text"]) for n in counter.count(texts)], np.int64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(size.astype(np.int64)), pa.array(count), pa.array(count > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+        with kept(("count", path), lambda: Counter(path, whole.value)) as counter:
+            for batch in batches:
+                size = np.diff(raw_bytes(batch["text"])[1])
+                count = np.array([n for _, texts in groups(batch["text"]) for n in counter.count(texts)], np.int64)
+                yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(size.astype(np.int64)), pa.array(count), pa.array(count > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -38,17 +38,18 @@ def _stars(edges: DataFrame) -> DataFrame:
     return small.where("a <> b").distinct(), large
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", small: int = SMALL) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", small: int = SMALL, cheap: bool = False) -> DataFrame:
     """(node, component): every node that edges name, with the smallest node that it is connected to.
 
     Up to `small` distinct edges are solved in one task; more by rounds of large-star and small-star
     (Kiveris et al., 2014), each written to the shared folder. Null ends are ignored; an edge from a node
-    to itself only names it.
+    to itself only names it. cheap: edges are read twice rather than written first.
     """
     named = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
-    held = Table(named, "edges")
-    kind = held.df.schema["a"].dataType.simpleString()
-    size = held.df.count()
+    kind = named.schema["a"].dataType.simpleString()
+    held = None if cheap else Table(named, "edges")
+    named = held.df if held else named
+    size = named.count()
     if size <= small:
 
         def solve(batches):
@@ -58,12 +59,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", small: in
                 nodes, roots = union_find(table["a"].to_numpy(), table["b"].to_numpy())
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, table["a"].type), pa.array(roots, table["a"].type)], ["node", "component"])
 
-        out = Table(held.df.coalesce(1).mapInArrow(solve, f"node {kind}, component {kind}"), "components")
-        held.drop()
+        out = Table(named.coalesce(1).mapInArrow(solve, f"node {kind}, component {kind}"), "components", rebalance=False)
+        if held:
+            held.drop()
         return out.df
-    nodes = Table(held.df.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-    current, seen = Table(held.df.where("a <> b"), "stars"), None
-    held.drop()
+    nodes = Table(named.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+    current, seen = Table(named.where("a <> b"), "stars"), None
+    if held:
+        held.drop()
     while True:
         nxt, large = _stars(current.df)
         new = Table(nxt, "stars")

@@ -128,7 +128,7 @@ def trim(outputs: DataFrame, inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def dictionary(df: DataFrame, column: str, name: str) -> DataFrame:
     """(column, name): dense ids from 0 in the order of the distinct values, without a window over all of them."""
-    sorted_values = Table(df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).withColumn("__at", F.monotonically_increasing_id()), "dictionary").df
+    sorted_values = Table(df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).withColumn("__at", F.monotonically_increasing_id()), "dictionary", rebalance=False).df
     part, nth = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     counts = sorted_values.groupBy(part.alias("__part")).agg(F.count("*").alias("n")).orderBy("__part").collect()  # a row for each task
     starts, at = [], 0

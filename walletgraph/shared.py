@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,12 +34,23 @@ def clean(spark: SparkSession) -> None:
     drop_path(spark, f"{shared_dir(spark)}/walletgraph")
 
 
+def send(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast that workers without this package can open with received(). The caller answers for its size."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast) -> object:
+    return pickle.loads(sent.value)
+
+
 class Table:
-    """A DataFrame written to the shared folder and read again: its lineage is cut and any executor can be lost."""
+    """A DataFrame written to the shared folder and read again: its lineage is cut and any executor can be lost.
+
+    Rows are first rebalanced, so that many tasks' few rows make few files; not so with rebalance=False."""
 
-    def __init__(self, df: DataFrame, name: str):
+    def __init__(self, df: DataFrame, name: str, rebalance: bool = True):
         self.spark, self.path = df.sparkSession, new_path(df.sparkSession, name)
-        df.write.parquet(self.path)
+        (df.hint("rebalance") if rebalance else df).write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
