@@ -56,7 +56,7 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        new = Table(stage(spark, docs, sf_dir), name)
+        new = Table(stage(spark, docs, sf_dir), name, rebalance=False)
         if held:
             held.drop()
         docs, held = new.df, new

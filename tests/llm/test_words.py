@@ -64,7 +64,7 @@ def test_grams_and_minima():
 def test_filter_and_buckets(spark):
     keys = [0, 1, -1, 2**63 - 1, -(2**63), 12345678901]
     df = spark.createDataFrame([(k,) for k in keys], "k long")
-    f = KeyFilter.of(df, "k")
+    (f,) = KeyFilter.of(df, "k")
     assert f.has(np.array(keys)).all() and not f.has(np.arange(1000, 2000)).any()
     got = [r.b for r in df.select(id_bucket_column("k", 13).alias("b")).collect()]
     assert got == id_bucket(np.array(keys), 13).tolist()

@@ -85,13 +85,19 @@ class KeyFilter:
         self.bits = bits
 
     @staticmethod
-    def of(df: DataFrame, name: str) -> KeyFilter:
+    def of(df: DataFrame, name: str, kinds: int = 1, kind: str | None = None) -> list[KeyFilter]:
+        """A filter for each kind from 0 on, in one pass."""
         at = F.pmod(F.col(name), F.lit(1 << FILTER_BITS).cast("long"))
-        pieces = df.select(F.shiftright(at, 15).alias("piece"), F.pmod(at, F.lit(1 << 15).cast("long")).alias("bit")).groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits"))
-        bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-        for piece, own in pieces.collect():
-            bits[piece << 12 : (piece + 1) << 12] = np.frombuffer(own, np.uint8)
-        return KeyFilter(bits)
+        of = F.col(kind) if kind else F.lit(0)
+        pieces = df.select(of.alias("kind"), F.shiftright(at, 15).alias("piece"), F.pmod(at, F.lit(1 << 15).cast("long")).alias("bit"))
+        filters = [KeyFilter(np.zeros(1 << (FILTER_BITS - 3), np.uint8)) for _ in range(kinds)]
+        for i, piece, own in pieces.groupBy("kind", "piece").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
+            filters[i].add(piece, own)
+        return filters
+
+    def add(self, piece: int, bits: bytes) -> None:
+        """Bits of 2^15 keys that follow each other."""
+        self.bits[piece << 12 : (piece + 1) << 12] |= np.frombuffer(bits, np.uint8)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         at = keys.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)

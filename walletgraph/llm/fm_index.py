@@ -8,7 +8,7 @@ transform of that text as a wavelet matrix; all phrases are searched backward at
 places are read from suffix positions sampled at every eighth word and at the starts of runs. Places
 merge into spans of words to remove.
 
-The benchmark is sent to all tasks in blocks of at most `block_bytes` of text; a task holds one at a time.
+The benchmark is sent to all tasks in blocks of about `block_bytes` of text; a task opens one at a time.
 
 Defined cases: null or empty texts have no words; items with a null id or without words take no part;
 items that share an id count once; a null doc_id or a repeated row is treated like any other.
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletgraph.llm.words import PLAIN_LOWER, Hasher
+from walletgraph.shared import received, send
 
 SIZE, SAMPLE = 10, 8
 BLOCK_BYTES = 16 << 20
@@ -172,19 +173,19 @@ def _blocks(benchmark: DataFrame, size: int, block_bytes: int) -> list:
     sent = []
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks).cast("long")) == b).toArrow().to_pydict()
-        sent.append(benchmark.sparkSession.sparkContext.broadcast(Phrases(list(zip(own["item"], own["text"], strict=True)), size)))
+        sent.append(send(benchmark.sparkSession, Phrases(list(zip(own["item"], own["text"], strict=True)), size)))
     return sent
 
 
 def _hits(blocks: list):
     """For a batch of texts: yields of each group of documents (first, counts, covered words, sets of item names)."""
-    held = [blocks[0].value] if len(blocks) == 1 else None
+    held = [received(blocks[0])] if len(blocks) == 1 else None
 
     def group(at, counts, parts):
         counts, hashes = np.concatenate(counts), np.concatenate(parts)
         covered, items = np.zeros(len(hashes), bool), [set() for _ in counts]
         for i, block in enumerate(blocks):
-            phrases = held[i] if held else block.load_from_path(block._path)
+            phrases = held[i] if held else received(block)
             depth, pairs = _places(hashes, counts, phrases)
             covered |= depth > 0
             for doc, item in pairs.tolist():

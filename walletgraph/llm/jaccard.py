@@ -35,10 +35,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walletgraph.llm.buckets import KeyFilter, bucket_count, deal, gather, key_bucket, record_batch, runs
+from walletgraph.llm.buckets import FILTER_BITS, KeyFilter, bucket_count, deal, gather, key_bucket, record_batch, runs
 from walletgraph.llm.words import SPACED_LOWER, Hasher, mix, within
 from walletgraph.operators.graph import connected_components
-from walletgraph.shared import Table
+from walletgraph.shared import Table, received, send
 
 #: N-grams whose frequency orders the prefixes: at most so many, sent to all tasks (16 bytes each); the rest count as rare.
 FREQUENT = 200_000
@@ -75,13 +75,15 @@ def sets(hasher: Hasher, texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndar
         del ok
 
 
-_COUNTS = pa.schema([("bucket", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
+_COUNTS = pa.schema([("bucket", pa.int32()), ("once", pa.binary()), ("twice", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
-def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> DataFrame:
-    """By bucket of 32 bits of the n-grams below the cut: those seen in one set of a batch, and in more.
+def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, int]]:
+    """Places of n-grams below the cut that two sets have; the most frequent n-grams and their counts; sets by size.
 
-    Bucket -1: n-grams that a batch has often, with counts; bucket -2: sizes of sets, with counts."""
+    Places are 32 bits of an n-gram. They are dealt by the part of the filter's bitmap that they fall into, so
+    each bucket makes its part; a bucket gives its share of the most frequent n-grams; bucket -1 has the sizes."""
+    share = 2 * FREQUENT // n + 16
 
     def count(batches):
         hasher = Hasher(SPACED_LOWER)
@@ -92,42 +94,64 @@ def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> DataFrame:
             place, first, again = np.unique((key[low] & np.uint64(0xFFFFFFFF)).astype(np.uint32), return_index=True, return_counts=True)
             twice = (again > 1) | (many[low][first] > 1)
             often = many >= BATCH_LEAST
+            key, many = key[often], many[often].astype(np.int64)
             size, sets_of = np.unique(np.minimum(sizes, MOST_SMALL * 4), return_counts=True)
-            rows = [(-1, key[often].tobytes(), many[often].astype(np.int64).tobytes()), (-2, size.astype(np.int64).tobytes(), sets_of.astype(np.int64).tobytes())]
-            cells: dict[int, list[bytes]] = {}
+            cells: dict[int, list[bytes]] = {-1: [b"", b"", size.astype(np.int64).tobytes(), sets_of.astype(np.int64).tobytes()]}
+            part = lambda own: ((own.astype(np.int64) & ((1 << FILTER_BITS) - 1)) * n >> FILTER_BITS).astype(np.int32)
             for i, own in enumerate((place[~twice], place[twice])):
-                for b, cell in deal((own.astype(np.int64) * n >> 32).astype(np.int32), own):
-                    cells.setdefault(b, [b"", b""])[i] = cell
-            return record_batch(rows + [(b, *x) for b, x in cells.items()], _COUNTS)
+                for b, cell in deal(part(own), own):
+                    cells.setdefault(b, [b""] * 4)[i] = cell
+            for b, *cell in deal(key_bucket(key, n), key, many):
+                cells.setdefault(b, [b""] * 4)[2:] = cell
+            return record_batch([(b, *x) for b, x in cells.items()], _COUNTS)
 
         for batch in batches:
             grams, sizes, held = [], [], 0
             for _, own in sets(hasher, batch["text"], k):
                 grams.append(own), sizes.append(len(own))
                 held += len(own)
-                if held > 2 * FLUSH:
+                if held > 4 * FLUSH:
                     yield out(grams, sizes)
                     grams, sizes, held = [], [], 0
             if sizes:
                 yield out(grams, sizes)
 
-    return docs.mapInArrow(count, "bucket int, once binary, twice binary")
-
-
-def _repeated(table: pa.Table) -> pa.Table:
-    """Places that two sets have."""
-    once = np.sort(gather(table, "once", np.uint32))
-    twice = np.r_[once[1:][once[1:] == once[:-1]], gather(table, "twice", np.uint32)]
-    return pa.table({"place": np.unique(twice).astype(np.int64)})
-
+    def meet(table: pa.Table) -> pa.Table:
+        """kind 0: pieces of the bitmap; kind 1: n-grams and counts; kind 2: sizes and counts."""
+        once = np.sort(gather(table, "once", np.uint32))
+        place = np.unique(np.r_[once[1:][once[1:] == once[:-1]], gather(table, "twice", np.uint32)] & np.uint32((1 << FILTER_BITS) - 1)).astype(np.int64)
+        keys, at = np.unique(gather(table, "keys", np.int64), return_inverse=True)
+        counts = np.bincount(at, gather(table, "counts", np.int64), len(keys)).astype(np.int64)
+        size = table.num_rows > 0 and table["bucket"][0].as_py() == -1
+        if not size:
+            best = np.lexsort((keys, -counts))[:share]
+            best = best[counts[best] >= 2 * BATCH_LEAST]
+            keys, counts = keys[best], counts[best]
+        pieces = []
+        for lo in runs(place >> 15):
+            own = place[lo : np.searchsorted(place, (place[lo] >> 15) + 1 << 15)]
+            bits = np.zeros(1 << 15, np.uint8)
+            bits[own & 0x7FFF] = 1
+            pieces.append((0, int(place[lo] >> 15), np.packbits(bits, bitorder="little").tobytes(), b""))
+        pieces.append((2 if size else 1, 0, keys.tobytes(), counts.tobytes()))
+        return pa.Table.from_batches([record_batch(pieces, _SUMS)], schema=_SUMS)
+
+    dealt = docs.mapInArrow(count, "bucket int, once binary, twice binary, keys binary, counts binary")
+    found = dealt.groupBy("bucket").applyInArrow(meet, "kind int, piece long, a binary, b binary").toArrow()  # 16 MB of bitmap and 2 FREQUENT counts at most
+    twice, often, sizes = KeyFilter(np.zeros(1 << (FILTER_BITS - 3), np.uint8)), [np.zeros((2, 0), np.int64)], {}
+    for kind, piece, x, y in zip(*(c.to_pylist() for c in found.columns), strict=True):
+        if kind == 0:
+            twice.add(piece, x)
+        elif kind == 1:
+            often.append(np.stack([np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)]))
+        else:
+            sizes = dict(zip(np.frombuffer(x, np.int64).tolist(), np.frombuffer(y, np.int64).tolist(), strict=True))
+    keys, counts = np.concatenate(often, axis=1)
+    best = np.lexsort((keys, -counts))[:FREQUENT]
+    return twice.bits, keys[best].view(np.uint64), counts[best], sizes
 
-def _pairs_of_cells(df: DataFrame) -> DataFrame:
-    def rows(batches):
-        for batch in batches:
-            for x, y in zip(batch["once"], batch["twice"], strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(c.as_buffer(), np.int64)) for c in (x, y)], ["key", "n"])
 
-    return df.select("once", "twice").mapInArrow(rows, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+_SUMS = pa.schema([("kind", pa.int32()), ("piece", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 
 
 def boundary(sizes: dict[int, int], num: int, den: int) -> int:
@@ -224,7 +248,7 @@ def _postings(docs: DataFrame, k: int, prefixes, n: int) -> DataFrame:
     """Keys by bucket, a posting for each key and class of equal sets; bucket -1: (prints, docs, sizes) of all documents."""
 
     def send(batches):
-        hasher, pre = Hasher(SPACED_LOWER), prefixes.value
+        hasher, pre = Hasher(SPACED_LOWER), received(prefixes)
 
         def out(keys, who, prints, ids, sizes):
             rows = [(-1, b"", prints.tobytes(), ids.tobytes(), sizes.tobytes())]
@@ -269,7 +293,7 @@ def _shared_keys(table: pa.Table) -> pa.Table:
 
 def _candidate_sets(docs: DataFrame, k: int, prefixes, ids, keys) -> DataFrame:
     def pick(batches):
-        hasher, pre, known, shared = Hasher(SPACED_LOWER), prefixes.value, KeyFilter(ids.value), KeyFilter(keys.value)
+        hasher, pre, known, shared = Hasher(SPACED_LOWER), received(prefixes), KeyFilter(ids.value), KeyFilter(keys.value)
         for batch in batches:
             doc_ids = batch["doc_id"].to_numpy(zero_copy_only=False).astype(np.int64)
             some = np.flatnonzero(known.has(doc_ids))
@@ -387,25 +411,17 @@ def _verified(pairs: DataFrame, found: DataFrame, num: int, den: int) -> DataFra
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id): documents link when den * intersection >= num * union of their k-word n-gram sets."""
     spark = docs.sparkSession
-    broadcast = spark.sparkContext.broadcast
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     own = docs.where("doc_id is not null")
     n = bucket_count(own)
 
     cut = min((1 << 64) - 1, (1 << 64) * LOW * (den - num) // den)
-    counted = Table(_statistics(own, k, cut, n), "statistics")
-    twice = KeyFilter.of(counted.df.where("bucket >= 0").groupBy("bucket").applyInArrow(_repeated, "place long"), "place").bits
-    often = _pairs_of_cells(counted.df.where("bucket = -1")).where(f"n >= {2 * BATCH_LEAST}").orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
-    sizes = {r.key: r.n for r in _pairs_of_cells(counted.df.where("bucket = -2")).collect()}
-    counted.drop()
-    prefixes = broadcast(Prefixes(often["key"].to_numpy().view(np.uint64), often["n"].to_numpy(), twice, cut, boundary(sizes, num, den), num, den))
+    twice, often, counts, sizes = _statistics(own, k, cut, n)
+    prefixes = send(spark, Prefixes(often, counts, twice, cut, boundary(sizes, num, den), num, den))
 
     posted = Table(_postings(own, k, prefixes, n), "postings")
-    shared = Table(posted.df.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared_keys, "kind int, value long"), "shared")
-    ids, keys = (broadcast(KeyFilter.of(shared.df.where(f"kind = {kind}"), "value").bits) for kind in (0, 1))
-    shared.drop()
-    digests = Table(_digests(posted.df.where("bucket = -1")), "digests")
-    posted.drop()
+    shared = posted.df.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared_keys, "kind int, value long")
+    ids, keys = (spark.sparkContext.broadcast(x.bits) for x in KeyFilter.of(shared, "value", 2, "kind"))
     found = Table(_candidate_sets(own, k, prefixes, ids, keys), "sets")
 
     links: list[Table] = []
@@ -414,14 +430,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         labelled = found.df.withColumn("label", F.col("doc_id")) if labels is None else found.df.join(labels.select(F.col("node").alias("doc_id"), F.col("component").alias("label")), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
         pairs = _lists(labelled, n).groupBy("bucket").applyInArrow(_pairs(num, den, mode), "a long, b long").distinct()
         links.append(Table(_verified(pairs, found.df, num, den), "links"))
-        labels = connected_components(reduce(DataFrame.unionByName, (x.df for x in links)))
+        labels = connected_components(reduce(DataFrame.unionByName, (x.df for x in links)), cheap=True)
     found.drop()
 
-    classes = digests.df.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("node"))
+    digests = _digests(posted.df.where("bucket = -1"))
+    classes = digests.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("node"))
     classes = Table(classes.join(labels, "node", "left").select("print", F.coalesce("component", "node").alias("component")), "classes")
     for x in links:
         x.drop()
-    out = digests.df.join(classes.df, "print", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = digests.join(classes.df, "print", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
 
     def count_only(batches):
         hasher = Hasher(SPACED_LOWER)

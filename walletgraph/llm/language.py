@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from walletgraph.llm.words import raw_bytes
-from walletgraph.shared import Table
+from walletgraph.shared import Table, received, send
 
 #: Texts of the sample: for each language, and in all.
 PER_LANGUAGE, SAMPLE = 300, 2400
+#: Rows of a language that are ordered, in multiples of those wanted; languages whose counts are sent to all tasks.
+OVERSAMPLE, MOST_LANGUAGES = 4, 10_000
 FEATURES, LANDMARKS, RIDGE = 12_000, 200, 1e-2
 #: How sharply scores follow the margins between languages.
 SHARPNESS = 4.0
@@ -99,10 +101,14 @@ def held_out(doc_id: str = "doc_id"):
 def fit(docs: DataFrame) -> Model | None:
     """From labelled documents that are not held out; None if there are none."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "lang")
-    languages = labelled.select("lang").distinct().count()
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("many"))
+    languages = counts.count()
     each = max(1, min(PER_LANGUAGE, SAMPLE // max(languages, 1)))
+    # A few times as many as needed of each language, by hash, so that no language's rows meet in one task; then the least.
+    share = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30).cast("long")).cast("double") * F.col("many") < F.lit(OVERSAMPLE * each << 30).cast("double")
+    near = labelled.join(F.broadcast(counts) if languages <= MOST_LANGUAGES else counts, "lang").where(share)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= each).select("doc_id", "lang").distinct()
+    chosen = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= each).select("doc_id", "lang").distinct()
     sample = Table(docs.select("doc_id", "lang", "text").where("text is not null").join(F.broadcast(chosen), ["doc_id", "lang"]), "sample")
 
     def found(batches):
@@ -134,11 +140,11 @@ def fit(docs: DataFrame) -> Model | None:
     return Model(codes, presence, [r.lang for r in rows])
 
 
-def _classifier(sent):
+def _classifier(model: Model | None):
     """For the texts of a batch: predicted labels and scores."""
+    presence = Presence(model.codes) if model else None
 
-    def run(texts: pa.Array, presence: Presence | None) -> tuple[list[str], np.ndarray]:
-        model = sent.value
+    def run(texts: pa.Array) -> tuple[list[str], np.ndarray]:
         data, offsets = raw_bytes(texts)
         labels, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if model is None:
@@ -164,13 +170,12 @@ def _classifier(sent):
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    classify = _classifier(sent)
+    sent = send(docs.sparkSession, model)
 
     def run(batches):
-        presence = Presence(sent.value.codes) if sent.value else None
+        classify = _classifier(received(sent))
         for batch in batches:
-            labels, scores = classify(batch["text"], presence)
+            labels, scores = classify(batch["text"])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(labels, pa.string()), pa.array(scores)], ["doc_id", "held_out", "lang_pred", "score"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
@@ -179,13 +184,12 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def identified(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
     """The documents, all columns kept, whose language is known with at least that score."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    classify = _classifier(sent)
+    sent = send(docs.sparkSession, model)
 
     def run(batches):
-        presence = Presence(sent.value.codes) if sent.value else None
+        classify = _classifier(received(sent))
         for batch in batches:
-            labels, scores = classify(batch["text"], presence)
+            labels, scores = classify(batch["text"])
             yield batch.filter(pa.array((np.array(labels, dtype=object) != UNKNOWN) & (scores >= least), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -224,7 +224,7 @@ def find_by_suffixes(docs: DataFrame, size: int = SIZE, k: int = SUFFIX_WORDS) -
     """Sparse suffix array: (found windows, number of buckets)."""
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n = bucket_count(own)
-    keys = docs.sparkSession.sparkContext.broadcast(KeyFilter.of(_recurring(own, n, size, k, False), "key").bits)
+    keys = docs.sparkSession.sparkContext.broadcast(KeyFilter.of(_recurring(own, n, size, k, False), "key")[0].bits)
 
     def locator():
         known = KeyFilter(keys.value)
