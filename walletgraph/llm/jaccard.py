@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletgraph.llm.buckets import FILTER_BITS, KeyFilter, bucket_count, deal, gather, key_bucket, record_batch, runs
-from walletgraph.llm.words import SPACED_LOWER, Hasher, mix, within
+from walletgraph.llm.words import SPACED_LOWER, Hasher, mix
 from walletgraph.operators.graph import connected_components
 from walletgraph.shared import Table, received, send
 
@@ -63,7 +63,7 @@ def need(n, num: int, den: int):
 def sets(hasher: Hasher, texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """Index and sorted n-gram hashes of every document."""
     for at, counts, hashes in hasher.words(texts):
-        ok, grams = within(counts, k), hasher.grams(hashes, k)
+        grams = hasher.grams(hashes, k)
         ends = np.cumsum(counts)
         for i, (n, hi) in enumerate(zip(counts.tolist(), ends.tolist(), strict=True)):
             if n >= k:
@@ -72,9 +72,9 @@ def sets(hasher: Hasher, texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndar
                 yield at + i, np.array([hasher.sequence(hashes[hi - n : hi])], np.uint64)
             else:
                 yield at + i, np.zeros(0, np.uint64)
-        del ok
 
 
+_SUMS = pa.schema([("kind", pa.int32()), ("piece", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 _COUNTS = pa.schema([("bucket", pa.int32()), ("once", pa.binary()), ("twice", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
@@ -151,9 +151,6 @@ def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> tuple[np.ndarray,
     return twice.bits, keys[best].view(np.uint64), counts[best], sizes
 
 
-_SUMS = pa.schema([("kind", pa.int32()), ("piece", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
-
-
 def boundary(sizes: dict[int, int], num: int, den: int) -> int:
     """The size up to which sets enumerate subsets; 0: none do."""
 
