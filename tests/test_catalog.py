@@ -48,3 +48,25 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(catalog.QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_all_pairs(spark):
+    """The graph queries over the whole table, against union-find: one giant component, by one task and by stars."""
+    from tests.test_graph import brute
+    from walletgraph import testbed
+    from walletgraph.operators import clusters, graph
+
+    rows = {(r.l_orderkey, r.l_partkey) for r in testbed.table(spark, DATA, "lineitem").collect()}
+    orders = {}
+    for tx, wallet in rows:
+        orders.setdefault(tx, set()).add(wallet)
+    expected = brute([(w, min(own)) for own in orders.values() for w in own])
+    assert set(map(tuple, testbed.all_pairs(spark, DATA).collect())) == rows
+    found = catalog.QUERIES["all_components_min_label"](spark, DATA).collect()
+    assert len(found) == len(expected) and dict(map(tuple, found)) == expected
+    stars = clusters.star_edges(testbed.all_pairs(spark, DATA))
+    assert dict(map(tuple, graph.connected_components(stars, small=0).collect())) == expected
+    largest = max(r.n_wallets for r in catalog.QUERIES["all_cluster_sizes"](spark, DATA).collect())
+    assert largest == max(list(expected.values()).count(c) for c in set(expected.values())) > 0.9 * len(expected)
+    edges = {(a, b) for own in orders.values() for a in own for b in own if a < b}
+    assert set(map(tuple, catalog.QUERIES["all_spend_edges"](spark, DATA).collect())) == edges

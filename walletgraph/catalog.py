@@ -31,6 +31,18 @@ def query(oracle: str | None = None, *ctes: str):
     return register
 
 
+def pairs_query(oracle: str, *ctes: str):
+    """Registers a query over the clustering workload's pairs, and as all_... the same over all pairs."""
+
+    def register(f):
+        name = f"all_{f.__name__}"
+        QUERIES[name] = lambda spark, d: f(spark, d, T.all_pairs)
+        ORACLES[name] = T.sql(oracle, *ctes, whole=True)
+        return query(oracle, *ctes)(f)
+
+    return register
+
+
 # The ledger's tables.
 
 
@@ -300,50 +312,50 @@ def upsert_clusters(spark, d):
 # Graph operators.
 
 
-@query("SELECT DISTINCT x.wallet AS a, y.wallet AS b FROM pairs x JOIN pairs y ON x.tx = y.tx AND x.wallet < y.wallet", "pairs")
-def spend_edges(spark, d):
-    return C.spend_edges(T.pairs(spark, d))
+@pairs_query("SELECT DISTINCT x.wallet AS a, y.wallet AS b FROM pairs x JOIN pairs y ON x.tx = y.tx AND x.wallet < y.wallet", "pairs")
+def spend_edges(spark, d, source=T.pairs):
+    return C.spend_edges(source(spark, d))
 
 
-@query("SELECT DISTINCT y.wallet FROM pairs x JOIN pairs y ON x.tx = y.tx AND x.wallet <> y.wallet WHERE x.wallet = (SELECT min(wallet) FROM pairs JOIN (SELECT tx FROM pairs GROUP BY tx HAVING count(*) > 1) USING (tx))", "pairs")
-def neighbors(spark, d):
-    pairs = T.pairs(spark, d)
+@pairs_query("SELECT DISTINCT y.wallet FROM pairs x JOIN pairs y ON x.tx = y.tx AND x.wallet <> y.wallet WHERE x.wallet = (SELECT min(wallet) FROM pairs JOIN (SELECT tx FROM pairs GROUP BY tx HAVING count(*) > 1) USING (tx))", "pairs")
+def neighbors(spark, d, source=T.pairs):
+    pairs = source(spark, d)
     shared = pairs.groupBy("tx").count().where("count > 1").select("tx")
     of = pairs.join(shared, "tx", "left_semi").agg(F.min("wallet")).first()[0]
     return C.neighbors(pairs, of)
 
 
-@query("SELECT wallet, component FROM comps", "comps")
-def components_min_label(spark, d):
-    return C.components(T.pairs(spark, d))
+@pairs_query("SELECT wallet, component FROM comps", "comps")
+def components_min_label(spark, d, source=T.pairs):
+    return C.components(source(spark, d))
 
 
-@query("SELECT wallet, dense_rank() OVER (ORDER BY component) - 1 AS cluster_id FROM comps", "comps")
-def cluster_dense_id(spark, d):
-    return C.cluster(T.pairs(spark, d))
+@pairs_query("SELECT wallet, dense_rank() OVER (ORDER BY component) - 1 AS cluster_id FROM comps", "comps")
+def cluster_dense_id(spark, d, source=T.pairs):
+    return C.cluster(source(spark, d))
 
 
-@query("SELECT component, string_agg(wallet, ',' ORDER BY wallet) AS members FROM comps GROUP BY component", "comps")
-def cluster_members(spark, d):
-    found = C.members(C.components(T.pairs(spark, d)))
+@pairs_query("SELECT component, string_agg(wallet, ',' ORDER BY wallet) AS members FROM comps GROUP BY component", "comps")
+def cluster_members(spark, d, source=T.pairs):
+    found = C.members(C.components(source(spark, d)))
     return found.select("component", F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
 
 
-@query("SELECT component, count(*) AS n_wallets FROM comps GROUP BY component", "comps")
-def cluster_sizes(spark, d):
-    return C.sizes(C.components(T.pairs(spark, d)))
+@pairs_query("SELECT component, count(*) AS n_wallets FROM comps GROUP BY component", "comps")
+def cluster_sizes(spark, d, source=T.pairs):
+    return C.sizes(C.components(source(spark, d)))
 
 
-@query("SELECT wallet, dense_rank() OVER (ORDER BY f, component) AS cluster_id FROM comps JOIN (SELECT component, max(wallet) AS f FROM comps GROUP BY component) USING (component)", "comps")
-def visited_order(spark, d):
-    found = C.components(T.pairs(spark, d))
+@pairs_query("SELECT wallet, dense_rank() OVER (ORDER BY f, component) AS cluster_id FROM comps JOIN (SELECT component, max(wallet) AS f FROM comps GROUP BY component) USING (component)", "comps")
+def visited_order(spark, d, source=T.pairs):
+    found = C.components(source(spark, d))
     latest = found.groupBy("component").agg(F.max("wallet").alias("seed"))
     return C.visited_order(found.join(latest, "component"), "seed")
 
 
-@query("SELECT wallet, min(m) AS label FROM pairs JOIN (SELECT tx, min(wallet) AS m FROM pairs GROUP BY tx) USING (tx) GROUP BY wallet", "pairs")
-def one_hop_label(spark, d):
-    return C.one_hop_label(T.pairs(spark, d))
+@pairs_query("SELECT wallet, min(m) AS label FROM pairs JOIN (SELECT tx, min(wallet) AS m FROM pairs GROUP BY tx) USING (tx) GROUP BY wallet", "pairs")
+def one_hop_label(spark, d, source=T.pairs):
+    return C.one_hop_label(source(spark, d))
 
 
 _ROWS = """r AS (SELECT p_partkey AS row_id, CASE WHEN p_partkey % 4 < 2 THEN 'u' || (p_partkey // 4) END AS u, CASE WHEN p_partkey % 4 IN (1, 2) THEN 'c' || (p_partkey // 4) END AS c,
@@ -367,33 +379,33 @@ def match_addresses(spark, d):
 # Balances.
 
 
-def _clusters(spark: SparkSession, d: str) -> DataFrame:
-    return C.components(T.pairs(spark, d)).withColumnRenamed("component", "cluster")
+def _clusters(spark: SparkSession, d: str, source: Callable) -> DataFrame:
+    return C.components(source(spark, d)).withColumnRenamed("component", "cluster")
 
 
-def _flows(spark: SparkSession, d: str) -> DataFrame:
-    outs, txs, clusters = T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d)
+def _flows(spark: SparkSession, d: str, source: Callable) -> DataFrame:
+    outs, txs, clusters = T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d, source)
     return B.credits(outs, txs, clusters).unionByName(B.debits(T.inputs(spark, d).drop("wallet"), outs, txs, clusters))
 
 
-@query("SELECT cluster, miner_time, CAST(sum(delta) AS BIGINT) AS delta FROM flows WHERE delta > 0 GROUP BY ALL", "flows")
-def cluster_credits(spark, d):
-    return B.by_time(B.credits(T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d)))
+@pairs_query("SELECT cluster, miner_time, CAST(sum(delta) AS BIGINT) AS delta FROM flows WHERE delta > 0 GROUP BY ALL", "flows")
+def cluster_credits(spark, d, source=T.pairs):
+    return B.by_time(B.credits(T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d, source)))
 
 
-@query("SELECT cluster, miner_time, CAST(sum(delta) AS BIGINT) AS delta FROM flows WHERE delta < 0 GROUP BY ALL", "flows")
-def cluster_debits(spark, d):
-    return B.by_time(B.debits(T.inputs(spark, d).drop("wallet"), T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d)))
+@pairs_query("SELECT cluster, miner_time, CAST(sum(delta) AS BIGINT) AS delta FROM flows WHERE delta < 0 GROUP BY ALL", "flows")
+def cluster_debits(spark, d, source=T.pairs):
+    return B.by_time(B.debits(T.inputs(spark, d).drop("wallet"), T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d, source)))
 
 
-@query("SELECT cluster, txid, CAST(sum(delta) AS BIGINT) AS delta FROM flows GROUP BY ALL", "flows")
-def net_flows(spark, d):
-    return B.net_flows(_flows(spark, d))
+@pairs_query("SELECT cluster, txid, CAST(sum(delta) AS BIGINT) AS delta FROM flows GROUP BY ALL", "flows")
+def net_flows(spark, d, source=T.pairs):
+    return B.net_flows(_flows(spark, d, source))
 
 
-@query("SELECT cluster, miner_time, CAST(sum(delta) OVER (PARTITION BY cluster ORDER BY miner_time) AS BIGINT) AS balance FROM (SELECT cluster, miner_time, sum(delta) AS delta FROM flows GROUP BY ALL)", "flows")
-def balance_through_time(spark, d):
-    return B.balance_through_time(_flows(spark, d))
+@pairs_query("SELECT cluster, miner_time, CAST(sum(delta) OVER (PARTITION BY cluster ORDER BY miner_time) AS BIGINT) AS balance FROM (SELECT cluster, miner_time, sum(delta) AS delta FROM flows GROUP BY ALL)", "flows")
+def balance_through_time(spark, d, source=T.pairs):
+    return B.balance_through_time(_flows(spark, d, source))
 
 
 #: 1997-01-01, within the orders' dates.

@@ -40,6 +40,11 @@ def pairs(spark: SparkSession, sf_dir: str, quantity: int = QUANTITY) -> DataFra
     return table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= quantity).select(F.col("l_orderkey").alias("tx"), F.col("l_partkey").alias("wallet")).distinct()
 
 
+def all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the whole table: nearly all wallets are one component."""
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("tx"), F.col("l_partkey").alias("wallet")).distinct()
+
+
 def addresses(outs: DataFrame) -> DataFrame:
     """Outputs with the columns of the ledger: every fifth wallet blank, every seventh to a bare key, every third to a key's hash."""
     w = F.col("wallet")
@@ -76,11 +81,18 @@ SQL = {
     "flows": "flows AS (SELECT coalesce(component, wallet) AS cluster, txid, miner_time, delta FROM (SELECT wallet, txid, value_sats AS delta FROM outs UNION ALL SELECT o.wallet, i.txid, -o.value_sats FROM spends i JOIN outs o ON o.txid = i.vin_txid AND o.vout_n = i.vin_vout) JOIN txs USING (txid) LEFT JOIN comps USING (wallet))",
 }
 
+#: The same over the whole table. Labels start only from wallets that no transaction links to a smaller one, as all others' would be quadratic in the giant component.
+WHOLE = {
+    "pairs": "pairs AS (SELECT DISTINCT l_orderkey AS tx, l_partkey AS wallet FROM lineitem)",
+    "reach": "reach(node, c) AS (SELECT wallet, wallet FROM pairs p WHERE NOT EXISTS (SELECT 1 FROM star s WHERE s.a = p.wallet AND s.b < s.a) UNION SELECT e.b, r.c FROM reach r JOIN (SELECT a, b FROM star UNION SELECT b, a FROM star) e ON r.node = e.a)",
+}
+
 _NEEDS = {"spends": ["txs", "outs"], "ins": ["spends"], "star": ["pairs"], "reach": ["star"], "comps": ["reach"], "keyed": ["outs"], "shown": ["ins"], "flows": ["spends", "comps"]}
 
 
-def sql(body: str, *names: str) -> str:
-    """The body with the common table expressions that it names."""
+def sql(body: str, *names: str, whole: bool = False) -> str:
+    """The body with the common table expressions that it names. whole: with all pairs."""
+    texts = SQL | WHOLE if whole else SQL
     order: list[str] = []
 
     def need(name: str) -> None:
@@ -91,4 +103,4 @@ def sql(body: str, *names: str) -> str:
 
     for name in names:
         need(name)
-    return f"WITH RECURSIVE {', '.join(SQL[n] for n in order)} {body}" if order else body
+    return f"WITH RECURSIVE {', '.join(texts[n] for n in order)} {body}" if order else body
