@@ -125,6 +125,18 @@ def test_licences(spark):
     assert licenses.scan(docs(spark)).where("n_base > 0 or labels <> ''").count() == 0
 
 
+def test_whole_wording(spark):
+    """A grant without its warranty paragraph, or with another one, is not the whole licence."""
+    grant = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the 'Software'), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+    warranty = "The software is provided 'as is', without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software."
+    header = "Licensed under the Apache License, Version 2.0 (the 'License'); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/ Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an 'AS IS' BASIS, without warranties or conditions of any kind, either express or implied. "
+    end = "See the License for the specific language governing permissions and limitations under the License."
+    own = [grant + warranty, grant, grant + warranty.replace("tort", "fault"), header + end, header, header + end.replace("limitations", "limits")]
+    out = {r.doc_id: (r.labels.split(","), r.score) for r in licenses.scan(spark.createDataFrame(list(enumerate(own)), "doc_id long, text string")).collect()}
+    assert out[0] == (["mit-grant"], 1.0) and out[1] == out[2] == ([""], 0.0)
+    assert ["apache-2.0-header-whole" in out[i][0] for i in (3, 4, 5)] == [True, False, False]
+
+
 def test_automaton():
     run = lambda t, text: licenses.Automaton.compile(t).accepts(np.array(licenses.word_hashes(text), np.uint64))
     t = "a <<beginOptional>>b <<beginOptional>>c<<endOptional>><<endOptional>> <<var;match=1..2>> d"

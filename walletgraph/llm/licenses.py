@@ -36,8 +36,9 @@ PHRASES = {
 TEMPLATES = {
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0 <<beginOptional>>(the \"License\")<<endOptional>>",
     "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this <<var;match=1..3>> except in compliance with the License. You may obtain a copy of the License at <<var;match=1..12>> Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    "apache-2.0-header-whole": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this <<var;match=1..3>> except in compliance with the License. You may obtain a copy of the License at <<var;match=1..12>> Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     "mit-notice": "<<beginOptional>>This work is<<endOptional>> released under the <<beginOptional>>terms of the<<endOptional>> MIT License",
-    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and <<beginOptional>>associated<<endOptional>> documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of the Software.",
+    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and <<beginOptional>>associated<<endOptional>> documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE <<var;match=1..8>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     "gpl-3.0-notice": "licensed under the GNU General Public License, <<beginOptional>>either<<endOptional>> version 3",
     "gpl-later-grant": "This <<var;match=1..4>> is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version <<var;match=1..2>> of the License, or (at your option) any later version.",
     "cc-by-nc-4.0-notice": "<<beginOptional>>This <<var;match=1..3>> is<<endOptional>> licensed under <<beginOptional>>the terms of<<endOptional>> CC BY-NC 4.0",
