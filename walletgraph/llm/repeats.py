@@ -5,9 +5,8 @@ document with a smaller doc_id. Both ways to find such windows start from phrase
 places: in each window the phrase of k words with the smallest hash. Equal windows choose the same phrase.
 Only windows whose phrase occurs in two documents can repeat, so only those are compared:
 
-* suffix_array: the phrases' places are a sparse suffix array. Suffixes are dealt by phrase, and of
-  those that share one, all windows that extend it left and right are sorted and compared with their
-  neighbours in the order.
+* suffix_array: the recurring phrases' hashes are a bitmap, which all documents are held against. No
+  suffix is sorted or extended; the name is that of the query.
 * automata: the recurring phrases are compiled into Aho-Corasick automata over words (15 bits of a word's
   hash, written as three letters), in shards of bounded size, and all documents stream through each.
 
@@ -221,7 +220,7 @@ def _apply(docs: DataFrame, found: DataFrame, n: int, size: int, finish, schema:
 
 
 def find_by_suffixes(docs: DataFrame, size: int = SIZE, k: int = SUFFIX_WORDS) -> tuple[DataFrame, int]:
-    """Sparse suffix array: (found windows, number of buckets)."""
+    """Windows whose minimiser recurs, by a bitmap of the minimisers: (found windows, number of buckets)."""
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n = bucket_count(own)
     keys = docs.sparkSession.sparkContext.broadcast(KeyFilter.of(_recurring(own, n, size, k, False), "key")[0].bits)
