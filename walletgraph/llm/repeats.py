@@ -9,6 +9,7 @@ Only windows whose phrase occurs in two documents can repeat, so only those are
   suffix is sorted or extended; the name is that of the query.
 * automata: the recurring phrases are compiled into Aho-Corasick automata over words (15 bits of a word's
   hash, written as three letters), in shards of bounded size, and all documents stream through each.
+  The phrases are not confirmed to be part of a recurring passage; the automata only choose windows.
 
 Windows then meet in buckets of their hash. Each batch of documents sends one record for each distinct
 window, with its smallest doc_id: other documents of the batch that hold it are settled at once. So a
