@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.common import SCHEMA, docs, empty, plain, rows, spaced
 from walletgraph.llm import cover_tree, language
@@ -94,6 +95,16 @@ def test_nothing_to_learn(spark):
     assert language.predict(empty(spark), None).collect() == []
 
 
+def test_unlabelled_corpus_stays(spark):
+    import corpus_pipeline as P
+
+    df = docs(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = P.identify_language(spark, df, "")
+    assert kept.schema == df.schema
+    letters = [r[:2] for r in rows() if r[1] and any(c.isalpha() for c in r[1])]
+    assert 0 < len(letters) < len(rows()) and sorted(map(repr, map(tuple, kept.select("doc_id", "text").collect()))) == sorted(map(repr, letters))
+
+
 def test_pipeline(spark, tmp_path):
     """Each stage against the plain form of what it decides, on what the one before kept."""
     import corpus_pipeline as P

@@ -10,7 +10,7 @@ The classifier is fitted on a sample of labelled texts of bounded size, the leas
 its n-grams are those most common in the sample. Whole texts are classified.
 
 Defined cases: null texts and texts without a letter are `und` with score 0, as is every text if nothing
-could be learned; a null doc_id is not held out and never learned from; a repeated row is treated like any
+could be learned (the pipeline then keeps all texts with a letter); a null doc_id is not held out and never learned from; a repeated row is treated like any
 other.
 """
 
@@ -183,12 +183,17 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def identified(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
-    """The documents, all columns kept, whose language is known with at least that score."""
+    """The documents, all columns kept, whose language is known with at least that score; without a model, those with a letter."""
     sent = send(docs.sparkSession, model)
 
     def run(batches):
-        classify = _classifier(received(sent))
+        known = received(sent)
+        classify = _classifier(known)
         for batch in batches:
+            if known is None:
+                data, offsets = raw_bytes(batch["text"])
+                yield batch.filter(pa.array([has_letter(data[lo:hi]) for lo, hi in zip(offsets[:-1], offsets[1:], strict=True)], pa.bool_()))
+                continue
             labels, scores = classify(batch["text"])
             yield batch.filter(pa.array((np.array(labels, dtype=object) != UNKNOWN) & (scores >= least), pa.bool_()))
 
