@@ -12,35 +12,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletgraph.llm.words import mix
 
 #: Input bytes for each bucket.
 BUCKET_BYTES = 8 << 20
-MOST_BUCKETS = 1 << 16
 #: Size of a KeyFilter's bitmap; it is the same for any input.
 FILTER_BITS = 27
 
 
-def bucket_count(df: DataFrame) -> int:
-    """By the estimated size of the input; odd, so that regular ids spread."""
+def input_bytes(df: DataFrame) -> int:
+    """The planner's estimate; where it has none, and so says exabytes, a terabyte."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(MOST_BUCKETS, size // BUCKET_BYTES)) | 1
-
+    return size if size < 1 << 60 else 1 << 40
 
-def id_bucket(ids: np.ndarray, n: int) -> np.ndarray:
-    u = ids.astype(np.int64).view(np.uint64)
-    return ((u ^ (u >> np.uint64(33)) ^ (u >> np.uint64(17)) ^ (u >> np.uint64(7))).view(np.int64) % n).astype(np.int32)
 
-
-def id_bucket_column(name: str, n: int) -> Column:
-    """The same in SQL; null ids are of bucket 0."""
-    c = F.col(name).cast("long")
-    h = c.bitwiseXOR(F.shiftrightunsigned(c, 33)).bitwiseXOR(F.shiftrightunsigned(c, 17)).bitwiseXOR(F.shiftrightunsigned(c, 7))
-    return F.coalesce(F.pmod(h, F.lit(n).cast("long")).cast("int"), F.lit(0))
+def bucket_count(df: DataFrame) -> int:
+    """In proportion to the input; odd."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(input_bytes(df) // BUCKET_BYTES, (1 << 31) - 2)) | 1
 
 
 def key_bucket(keys: np.ndarray, n: int) -> np.ndarray:

@@ -1,312 +1,78 @@
 """Passages of at least `size` words that repeat across documents: found whole, removed from all but the first.
 
 A word is removed if a window of `size` consecutive words covers it whose word sequence also starts in a
-document with a smaller doc_id. Both ways to find such windows start from phrases at content-selected
-places: in each window the phrase of k words with the smallest hash. Equal windows choose the same phrase.
-Only windows whose phrase occurs in two documents can repeat, so only those are compared:
+document with a smaller doc_id. Windows meet as segments around a chosen phrase (see passages); what in them
+repeats is found in one of two ways:
 
-* suffix_array: the recurring phrases' hashes are a bitmap, which all documents are held against. No
-  suffix is sorted or extended; the name is that of the query.
-* automata: the recurring phrases are compiled into Aho-Corasick automata over words (15 bits of a word's
-  hash, written as three letters), in shards of bounded size, and all documents stream through each.
-  The phrases are not confirmed to be part of a recurring passage; the automata only choose windows.
-
-Windows then meet in buckets of their hash. Each batch of documents sends one record for each distinct
-window, with its smallest doc_id: other documents of the batch that hold it are settled at once. So a
-passage that a third of all documents share costs one record a batch.
+* suffix_array: the sparse array of suffixes at the chosen phrases is sorted, neighbours are compared, and
+  matches extended to both sides.
+* automata: recurring passages are confirmed and compiled into Aho-Corasick automata, a shard of phrases at
+  a time, through which all segments stream.
 
 Defined cases: null or empty texts have no words and stay; texts shorter than a window stay; rows with a
-null doc_id are never changed and never cause a removal; rows that repeat a doc_id with their text don't
-remove each other's words; columns besides doc_id and text are carried along untouched.
+null doc_id are never changed and never cause a removal; rows that repeat a doc_id don't remove each other's
+words, whatever their texts; equal windows within one document don't either; an empty table gives no rows;
+columns besides doc_id and text, whatever their names, are carried along untouched (n_chars is kept right).
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walletgraph.llm.buckets import KeyFilter, bucket_count, deal, gather, id_bucket, id_bucket_column, key_bucket, record_batch, runs
-from walletgraph.llm.words import SPACED, Hasher, mix, sliding_min, within
-from walletgraph.shared import Table
-
-#: Words in a window, and in a phrase for either method.
-SIZE, SUFFIX_WORDS, PHRASE_WORDS = 50, 10, 3
-#: Phrases in one automaton; about half a kilobyte each in a worker's memory.
-SHARD = 1 << 19
-#: Windows that a task gathers before it sends them.
-FLUSH = 1 << 20
-_FAR = np.uint64(2**64 - 1)
-#: Letters of a word, bits of each, and the letters' first codes: one range for each place, so matches start at words.
-_LETTERS, _BITS, _FIRST = 3, 5, 65
-_WORD = np.uint64((1 << _LETTERS * _BITS) - 1)
-
-
-def _phrases(hasher: Hasher, hashes: np.ndarray, k: int, packed: bool) -> np.ndarray:
-    """A key for each k words: their hash, or a bijection of k words of 15 bits."""
-    if not packed:
-        return hasher.grams(hashes, k)
-    n = len(hashes) - k + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for i in range(k):
-        out = (out << np.uint64(_LETTERS * _BITS)) | (hashes[i : n + i] & _WORD)
-    return mix(out)
-
-
-def _unmix(x: int) -> int:
-    whole = (1 << 64) - 1
-    x ^= (x >> 31) ^ (x >> 62)
-    x = x * pow(0x94D049BB133111EB, -1, 1 << 64) & whole
-    x ^= (x >> 27) ^ (x >> 54)
-    x = x * pow(0xBF58476D1CE4E5B9, -1, 1 << 64) & whole
-    return x ^ (x >> 30) ^ (x >> 60)
-
-
-def _letters(words: np.ndarray) -> str:
-    shift = np.arange(_LETTERS, dtype=np.uint64) * np.uint64(_BITS)
-    code = (words[:, None] >> shift & np.uint64((1 << _BITS) - 1)) + np.arange(_LETTERS, dtype=np.uint64) * np.uint64(1 << _BITS) + np.uint64(_FIRST)
-    return code.astype(np.uint8).tobytes().decode("latin-1")
-
-
-def _phrase_text(key: int, k: int) -> str:
-    packed = _unmix(key)
-    return _letters(np.array([packed >> _LETTERS * _BITS * (k - 1 - i) & int(_WORD) for i in range(k)], np.uint64))
-
-
-def _windows(hasher: Hasher, texts: pa.Array, size: int, k: int, packed: bool, located=None) -> Iterator[tuple]:
-    """Index of the document, phrase key and hash of each window; located: picks the places that count."""
-    for at, counts, hashes in hasher.words(texts):
-        ok = within(counts, size)
-        if not ok.any():
-            continue
-        keys = _phrases(hasher, hashes, k, packed)
-        least = sliding_min(keys, size - k + 1)
-        if located is not None:
-            ok &= sliding_min(np.where(located(keys, hashes), keys, _FAR), size - k + 1) == least
-        doc = np.repeat(np.arange(at, at + len(counts)), counts)[: len(ok)]
-        yield doc[ok], least[ok], hasher.grams(hashes, size)[ok]
-
-
-_KEYS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("low", pa.binary()), ("high", pa.binary())])
-_PARTS = pa.schema([("bucket", pa.int32()), ("settled", pa.bool_()), ("docs", pa.binary()), ("windows", pa.binary())])
-_FOUND = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("windows", pa.binary())])
-
-
-def _recurring(docs: DataFrame, n: int, size: int, k: int, packed: bool) -> DataFrame:
-    """Keys of phrases that windows of two documents choose."""
-
-    def send(batches):
-        hasher, held, ids = Hasher(SPACED), [], []
-
-        def out():
-            key, doc = np.concatenate(held), np.concatenate(ids)
-            order = np.argsort(key, kind="stable")
-            key, doc = key[order], doc[order]
-            first = runs(key)
-            low, high, key = np.minimum.reduceat(doc, first), np.maximum.reduceat(doc, first), key[first]
-            held.clear(), ids.clear()
-            return record_batch(list(deal(key_bucket(key, n), key, low, high)), _KEYS)
-
-        for batch in batches:
-            own = batch["doc_id"].to_numpy(zero_copy_only=False)
-            for doc, key, _ in _windows(hasher, batch["text"], size, k, packed):
-                new = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]
-                held.append(key[new]), ids.append(own[doc[new]])
-                if sum(map(len, held)) > FLUSH:
-                    yield out()
-        if held:
-            yield out()
-
-    def meet(table: pa.Table) -> pa.Table:
-        key, low, high = gather(table, "keys", np.uint64), gather(table, "low", np.int64), gather(table, "high", np.int64)
-        order = np.argsort(key, kind="stable")
-        key, first = key[order], runs(key[order])
-        twice = np.minimum.reduceat(low[order], first) != np.maximum.reduceat(high[order], first)
-        return pa.table({"key": key[first][twice].view(np.int64)})
-
-    return docs.mapInArrow(send, "bucket int, keys binary, low binary, high binary").groupBy("bucket").applyInArrow(meet, "key long")
-
-
-def _repeated(docs: DataFrame, n: int, size: int, k: int, packed: bool, locator) -> DataFrame:
-    """(bucket of doc_id, doc_ids, hashes): the documents' windows that also start in a document with a smaller id."""
-
-    def send(batches):
-        hasher, located, held, ids, turn = Hasher(SPACED), locator(), [], [], 0
-
-        def out():
-            nonlocal turn
-            window, doc = np.concatenate(held), np.concatenate(ids)
-            held.clear(), ids.clear()
-            order = np.lexsort((doc, window))
-            window, doc = window[order], doc[order]
-            new = np.r_[True, (window[1:] != window[:-1]) | (doc[1:] != doc[:-1])]
-            window, doc = window[new], doc[new]
-            first = np.zeros(len(window), bool)
-            first[runs(window)] = True
-            rows = [(b, False, d, w) for b, d, w in deal(key_bucket(window[first], n), doc[first], window[first])]
-            if not first.all():
-                turn += 1
-                rows.append((int(mix(np.array([doc[0] + turn], np.int64).view(np.uint64))[0] % np.uint64(n)), True, doc[~first].tobytes(), window[~first].tobytes()))
-            return record_batch(rows, _PARTS)
-
-        for batch in batches:
-            own = batch["doc_id"].to_numpy(zero_copy_only=False)
-            for doc, _, window in _windows(hasher, batch["text"], size, k, packed, located):
-                held.append(window), ids.append(own[doc])
-                if sum(map(len, held)) > FLUSH:
-                    yield out()
-        if held:
-            yield out()
-
-    def meet(table: pa.Table) -> pa.Table:
-        settled = table.filter(table["settled"])
-        opened = table.filter(pc.invert(table["settled"]))
-        window, doc = gather(opened, "windows", np.uint64), gather(opened, "docs", np.int64)
-        order = np.lexsort((doc, window))
-        window, doc = window[order], doc[order]
-        first = runs(window)
-        least = np.repeat(doc[first], np.diff(np.r_[first, len(doc)]))
-        later = doc > least
-        doc = np.r_[doc[later], gather(settled, "docs", np.int64)]
-        window = np.r_[window[later], gather(settled, "windows", np.uint64)]
-        return pa.Table.from_batches([record_batch(list(deal(id_bucket(doc, n), doc, window)), _FOUND)], schema=_FOUND)
-
-    parts = docs.mapInArrow(send, "bucket int, settled boolean, docs binary, windows binary")
-    return parts.groupBy("bucket").applyInArrow(meet, "bucket int, docs binary, windows binary")
-
-
-def _pair(doc: np.ndarray, window: np.ndarray) -> np.ndarray:
-    return mix(doc.view(np.uint64)) + window
-
-
-def covered(texts: pa.Array, ids: np.ndarray, docs: np.ndarray, windows: np.ndarray, size: int) -> dict[int, np.ndarray]:
-    """By index of the document: whether each word is in one of its found windows; only documents that have some."""
-    out: dict[int, np.ndarray] = {}
-    some = np.flatnonzero(np.isin(ids, docs))
-    if not len(some):
-        return out
-    found, hasher = np.unique(_pair(docs, windows)), Hasher(SPACED)
-    for at, counts, hashes in hasher.words(texts.take(pa.array(some))):
-        ok = within(counts, size)
-        if not ok.any():
-            continue
-        doc = np.repeat(np.arange(at, at + len(counts)), counts)
-        hit = np.flatnonzero(ok)
-        hit = hit[np.isin(_pair(ids[some[doc[hit]]], hasher.grams(hashes, size)[hit]), found)]
-        depth = np.zeros(len(hashes) + 1, np.int64)
-        np.add.at(depth, hit, 1), np.add.at(depth, hit + size, -1)
-        gone, last = np.cumsum(depth[:-1]) > 0, np.cumsum(counts)
-        for i in np.unique(doc[hit]).tolist():
-            out[int(some[i])] = gone[last[i - at] - counts[i - at] : last[i - at]]
-    return out
-
-
-def _apply(docs: DataFrame, found: DataFrame, n: int, size: int, finish, schema: str) -> DataFrame:
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = left.drop_columns(["__bucket"]).combine_chunks()
-        texts = left["text"].combine_chunks() if left.num_rows else pa.array([], left["text"].type)
-        texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
-        ids = left["doc_id"].fill_null(-1 << 63).to_numpy()
-        return finish(left, texts, covered(texts, ids, gather(right, "docs", np.int64), gather(right, "windows", np.uint64), size))
-
-    dealt = docs.withColumn("__bucket", id_bucket_column("doc_id", n))
-    return dealt.groupBy("__bucket").cogroup(found.groupBy("bucket")).applyInArrow(meet, schema)
-
-
-def find_by_suffixes(docs: DataFrame, size: int = SIZE, k: int = SUFFIX_WORDS) -> tuple[DataFrame, int]:
-    """Windows whose minimiser recurs, by a bitmap of the minimisers: (found windows, number of buckets)."""
-    own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    n = bucket_count(own)
-    keys = docs.sparkSession.sparkContext.broadcast(KeyFilter.of(_recurring(own, n, size, k, False), "key")[0].bits)
-
-    def locator():
-        known = KeyFilter(keys.value)
-        return lambda key, _: known.has(key)
-
-    return _repeated(own, n, size, k, False, locator), n
-
-
-def find_by_automata(docs: DataFrame, size: int = SIZE, k: int = PHRASE_WORDS, shard: int = SHARD) -> tuple[DataFrame, int]:
-    """Sharded Aho-Corasick automata over the recurring phrases: (found windows, number of buckets)."""
-    import ahocorasick
-
-    spark = docs.sparkSession
-    own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    n = bucket_count(own)
-    phrases = Table(_recurring(own, n, size, k, True), "phrases")
-    shards = -(-phrases.df.count() // shard)
-    found = None
-    for s in range(max(shards, 1)):
-        machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        keys = phrases.df.where(F.pmod(F.xxhash64("key"), F.lit(max(shards, 1)).cast("long")) == s)
-        for cell in keys.toArrow()["key"].to_pylist():
-            machine.add_word(_phrase_text(cell & 0xFFFFFFFFFFFFFFFF, k))
-        machine.make_automaton()
-        sent = spark.sparkContext.broadcast(machine)
-
-        def locator(sent=sent):
-            machine = sent.value
-
-            def located(key, hashes):
-                out = np.zeros(len(key), bool)
-                if len(machine):
-                    ends = np.fromiter((end for end, _ in machine.iter(_letters(hashes))), np.int64)
-                    out[ends // _LETTERS - (k - 1)] = True
-                return out
-
-            return located
+from walletgraph.llm import automata, passages, suffix_array
+from walletgraph.llm.passages import SIZE, cover, cut
+from walletgraph.llm.words import SPACED, Hasher
 
-        part = _repeated(own, n, size, k, True, locator)
-        found = part if found is None else found.unionByName(part)
-    phrases.drop()
-    return found, n
+METHODS = {"suffix_array": suffix_array, "automata": automata}
 
 
-_FINDERS = {"suffix_array": find_by_suffixes, "automata": find_by_automata}
+def windows(docs: DataFrame, method: str, size: int = SIZE) -> DataFrame:
+    """(doc_id, print, at, mask) of repeated windows; see passages.found."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("print"))
+    how = METHODS[method]
+    return passages.found(own, how.match, how.MOST, size)
 
 
 def digests(docs: DataFrame, method: str, size: int = SIZE) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 (of the kept words joined by one space) of every document."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found, n = _FINDERS[method](own, size)
 
-    def finish(rows: pa.Table, texts: pa.Array, gone: dict[int, np.ndarray]) -> pa.Table:
+    def finish(rows: pa.RecordBatch, gone: dict):
         counts, removed, shas = [], [], []
-        for i, text in enumerate(texts):
+        for i, text in enumerate(rows["text"]):
             words = (text.as_py() or "").encode().split()
             counts.append(len(words))
-            off = gone.get(i)
-            if off is not None:
+            if i in gone:
+                off = cover(len(words), *gone[i], size)
                 words = [w for w, x in zip(words, off.tolist(), strict=True) if not x]
             removed.append(counts[-1] - len(words))
             shas.append(hashlib.sha256(b" ".join(words)).hexdigest())
-        return pa.table({"doc_id": rows["doc_id"], "n_words": pa.array(counts, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(shas, pa.string())})
+        yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(shas, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return _apply(own, found, n, size, finish, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return cut(own, windows(own, method, size), size, finish, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove(docs: DataFrame, method: str, size: int = SIZE) -> DataFrame:
     """The documents, all columns kept, with repeated passages cut out of text; those left without a word go.
 
     n_chars, where there is such a column, follows the text."""
-    found, n = _FINDERS[method](docs, size)
     names = docs.columns
 
-    def finish(rows: pa.Table, texts: pa.Array, gone: dict[int, np.ndarray]) -> pa.Table:
+    def finish(rows: pa.RecordBatch, gone: dict):
         if not gone:
-            return rows.select(names)
-        hasher, kept = Hasher(SPACED), texts.to_pylist()
+            yield rows
+            return
+        hasher, kept = Hasher(SPACED), rows["text"].to_pylist()
         stay = np.ones(len(kept), bool)
-        for i, off in gone.items():
+        for i, spots in gone.items():
             data = kept[i].encode()
             starts, ends, _ = hasher._piece(np.frombuffer(data, np.uint8), np.zeros(0, np.int64))
+            off = cover(len(starts), *spots, size)
             stay[i] = not off.all()
             edge = np.flatnonzero(np.diff(np.r_[0, off.astype(np.int8), 0]))
             out, at = [], 0
@@ -320,6 +86,6 @@ def remove(docs: DataFrame, method: str, size: int = SIZE) -> DataFrame:
             for i in gone:
                 sizes[i] = len(kept[i])
             new["n_chars"] = pa.array(sizes, rows["n_chars"].type)
-        return pa.table({c: new.get(c, rows[c]) for c in names}).filter(pa.array(stay))
+        yield pa.RecordBatch.from_arrays([new.get(c, rows[c]) for c in names], names).filter(pa.array(stay))
 
-    return _apply(docs, found, n, size, finish, docs.schema)
+    return cut(docs, windows(docs, method, size), size, finish, docs.schema)

@@ -123,6 +123,13 @@ class Hasher:
         np.cumsum(hashes * up[:n], out=total[1:])
         return mix((total[k:] - total[: n - k + 1]) * down[: n - k + 1])
 
+    def spans(self, hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Hash of the words from lo to hi, for each pair; that of an n-gram if they are n."""
+        up, down = self.powers(len(hashes) + 1)
+        total = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum(hashes * up[: len(hashes)], out=total[1:])
+        return mix((total[hi] - total[lo]) * down[lo])
+
     def sequence(self, hashes: np.ndarray) -> int:
         """Hash of a whole sequence, never that of an n-gram of another length."""
         up, _ = self.powers(len(hashes) + 1)
