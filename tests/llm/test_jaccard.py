@@ -32,11 +32,11 @@ def brute(own, k, num, den):
     return sorted(((i, len(a), None if i is None else min(least[find(x)])) for x, (i, a) in enumerate(own)), key=repr)
 
 
-@pytest.mark.parametrize("k,num", [(4, 85), (5, 80), (3, 60), (1, 90)])
+@pytest.mark.parametrize("k,num", [(4, 85), (5, 80), (3, 60), (1, 90), (1, 50), (2, 30)])
 def test_brute(spark, k, num):
-    for seed in (0, 3):
-        out = jaccard.near_duplicates(docs(spark, seed), k, num, 100)
-        assert sorted(map(tuple, out.collect()), key=repr) == brute(rows(seed), k, num, 100)
+    seed = k + num
+    out = jaccard.near_duplicates(docs(spark, seed), k, num, 100)
+    assert sorted(map(tuple, out.collect()), key=repr) == brute(rows(seed), k, num, 100)
 
 
 @pytest.mark.parametrize("small", [0, 8, 64])
@@ -44,11 +44,33 @@ def test_boundaries_and_parts(spark, monkeypatch, small):
     """Whatever the boundary, and with lists that are split, links are the same."""
     monkeypatch.setattr(jaccard, "boundary", lambda *_: small)
     monkeypatch.setattr(jaccard, "PART", 2)
+    monkeypatch.setattr(jaccard, "PART_SHIFT", 60)
     monkeypatch.setattr(jaccard, "BATCH_LEAST", 1)
     monkeypatch.setattr(jaccard, "FLUSH", 64)
     assert sorted(map(tuple, jaccard.near_duplicates(docs(spark), 4, 70, 100).collect()), key=repr) == brute(rows(), 4, 70, 100)
 
 
+@pytest.mark.parametrize("num,small", [(50, 8), (30, 0), (30, 64)])
+def test_one_common_word(spark, monkeypatch, num, small):
+    """Small sets that are similar by a single n-gram."""
+    monkeypatch.setattr(jaccard, "boundary", lambda *_: small)
+    own = [(1, "x"), (2, "x y"), (3, "y z"), (4, "p q r"), (5, "r s t"), (6, "s"), (7, "u v w a b c d e f"), (8, "u"), (9, "u v w g h i j k l")]
+    out = jaccard.near_duplicates(spark.createDataFrame(own, "doc_id long, text string").repartition(4), 1, num, 100)
+    assert sorted(map(tuple, out.collect()), key=repr) == brute(own, 1, num, 100)
+
+
+def test_lists_that_turn_out_long(spark, monkeypatch):
+    """An n-gram twice in every batch is not among the frequent ones of the first pass; its list is split all the same."""
+    monkeypatch.setattr(jaccard, "PART", 2)
+    monkeypatch.setattr(jaccard, "PART_SHIFT", 60)
+    made = []
+    monkeypatch.setattr(jaccard, "Prefixes", lambda *a, own=jaccard.Prefixes: made.append(len(a[0])) or own(*a))
+    own = [(i, f"a{i % 7} b{i} same words here") for i in range(40)]
+    df = spark.createDataFrame(own, "doc_id long, text string").repartitionByRange(20, "doc_id")
+    assert sorted(map(tuple, jaccard.near_duplicates(df, 1, 60, 100).collect()), key=repr) == brute(own, 1, 60, 100)
+    assert made[0] == 0 and made[-1] > 0
+
+
 def test_boundary():
     assert 0 <= jaccard.boundary({3: 100, 500: 10}, 80, 100) <= jaccard.MOST_SMALL
     assert jaccard.boundary({}, 80, 100) == 0

@@ -24,9 +24,9 @@ FILTER_BITS = 27
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The planner's estimate; where it has none, and so says exabytes, a terabyte."""
+    """The planner's estimate; where it has none, and so says exabytes, 64 GB."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size if size < 1 << 60 else 1 << 40
+    return size if size < 1 << 60 else 1 << 36
 
 
 def bucket_count(df: DataFrame) -> int:

@@ -5,8 +5,8 @@ similar sets share an n-gram among the first n - ceil(t n) + 1 of each, and two
 at all) among the first n - ceil(t n) + 2.
 
 * Small sets, up to a boundary, enumerate the 2-subsets of the longer prefix as keys.
-* Large sets, and small ones that a large one may be similar to, put the n-grams of the shorter prefix
-  into inverted lists, which are then scanned.
+* Large sets, small ones that a large one may be similar to, and those that may be similar to a set by one
+  common n-gram put the n-grams of the shorter prefix into inverted lists, which are then scanned.
 * The boundary is the one of least cost for the histogram of set sizes: subsets that would be made
   against postings made and scanned.
 
@@ -18,7 +18,8 @@ are dropped. The others' lists are scanned in rounds: a bound from 512-bit parit
 true overlap, rules pairs out; of those left each document's most promising partner is verified on the
 whole sets, and verified links are contracted to components. A last round verifies every remaining pair
 between different components, so no link is lost, while groups of near copies never make all their pairs.
-Lists of n-grams known to be very frequent are split: each pair of their parts meets in a bucket of its own.
+Lists of very frequent keys are split: each pair of their parts meets in a bucket of its own. Keys are known
+to be frequent from the first pass, or from the lists themselves: where one is too long, keys are made anew.
 
 Defined cases: null or empty texts have an empty set and are linked with nothing; texts of fewer than k
 words have their whole sequence as one n-gram; rows with a null doc_id get a null component; rows that
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walletgraph.llm.buckets import FILTER_BITS, KeyFilter, bucket_count, deal, gather, key_bucket, record_batch, runs
+from walletgraph.llm.buckets import FILTER_BITS, KeyFilter, bucket_count, deal, gather, input_bytes, key_bucket, record_batch, runs
 from walletgraph.llm.words import SPACED_LOWER, Hasher, mix
 from walletgraph.operators.graph import connected_components
 from walletgraph.shared import Table, received, send
@@ -46,8 +47,10 @@ FREQUENT = 200_000
 BATCH_LEAST = 3
 #: The share of n-grams, in multiples of 1 - t, whose being in one set only is known; by hash, so any n-gram may be among them.
 LOW = 2
-#: Members of one part of a very frequent n-gram's list.
-PART = 4096
+#: Members of one part of a very frequent key's list; more where the input is so large that a million keys might be split.
+PART, PART_SHIFT = 4096, 26
+#: Times that keys are made, for the lists that turn out too long; what is left after that costs time only.
+TURNS = 3
 #: Largest boundary that is weighed, and the cost of scanning a posting against making one.
 MOST_SMALL, SCAN = 64, 3.0
 SKETCH_BITS = 512
@@ -172,10 +175,10 @@ class Prefixes:
 
     First come n-grams below the cut that only one set has; they need no key. Then the rest, rare ones first."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, twice: np.ndarray, cut: int, small: int, num: int, den: int):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, twice: np.ndarray, cut: int, small: int, num: int, den: int, part: int):
         order = np.argsort(keys)
         self.keys, self.counts, self.small, self.num, self.den = keys[order], counts[order], small, num, den
-        self.twice, self.cut = KeyFilter(twice), np.uint64(cut)
+        self.twice, self.cut, self.part = KeyFilter(twice), np.uint64(cut), part
 
     def order(self, own: np.ndarray, p: int) -> np.ndarray:
         """Of the first p n-grams, those that another set may have."""
@@ -204,7 +207,7 @@ class Prefixes:
             first = self.order(own, min(n, n - least + 2))
             i, j = np.triu_indices(len(first), 1)
             out.append(mix(mix(first[i]) + first[j]))
-        if n and n * self.den > self.num * self.small:
+        if n and (n * self.den > self.num * self.small or least < 2):
             out.append(self.order(own, n - least + 1))
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -213,7 +216,7 @@ class Prefixes:
         if not len(self.keys):
             return np.ones(len(keys), np.int64)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where((self.keys[at] == keys) & (self.counts[at] > 2 * PART), -(-self.counts[at] // PART), 1)
+        return np.where((self.keys[at] == keys) & (self.counts[at] > 2 * self.part), -(-self.counts[at] // self.part), 1)
 
     def split(self, keys: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Keys, and which postings they are of: a posting of a split list goes to each pair of parts that has its own."""
@@ -275,17 +278,21 @@ def _postings(docs: DataFrame, k: int, prefixes, n: int) -> DataFrame:
     return docs.mapInArrow(send, "bucket int, keys binary, prints binary, docs binary, sizes binary")
 
 
-def _shared_keys(table: pa.Table) -> pa.Table:
-    """(kind, value): documents (0) and keys (1) of lists that have two classes of equal sets."""
-    key, print_, doc = gather(table, "keys", np.uint64), gather(table, "prints", np.int64), gather(table, "docs", np.int64)
-    order = np.lexsort((doc, print_, key))
-    key, print_, doc = key[order], print_[order], doc[order]
-    new = np.r_[True, (key[1:] != key[:-1]) | (print_[1:] != print_[:-1])][: len(key)]
-    key, doc = key[new], doc[new]
-    first = runs(key)
-    size = np.diff(np.r_[first, len(key)])
-    docs, keys = np.unique(doc[np.repeat(size > 1, size)]), key[first][size > 1].view(np.int64)
-    return pa.table({"kind": pa.array(np.r_[np.zeros(len(docs), np.int32), np.ones(len(keys), np.int32)]), "value": pa.array(np.r_[docs, keys].astype(np.int64))})
+def _shared_keys(most: int):
+    def meet(table: pa.Table) -> pa.Table:
+        """(kind, value, many): documents (0) and keys (1) of lists that have two classes of equal sets; keys (2) of lists of more than `most`."""
+        key, print_, doc = gather(table, "keys", np.uint64), gather(table, "prints", np.int64), gather(table, "docs", np.int64)
+        order = np.lexsort((doc, print_, key))
+        key, print_, doc = key[order], print_[order], doc[order]
+        new = np.r_[True, (key[1:] != key[:-1]) | (print_[1:] != print_[:-1])][: len(key)]
+        key, doc = key[new], doc[new]
+        first = runs(key)
+        size = np.diff(np.r_[first, len(key)])
+        docs, keys, long = np.unique(doc[np.repeat(size > 1, size)]), key[first][size > 1].view(np.int64), size > most
+        kind = np.repeat(np.arange(3, dtype=np.int32), [len(docs), len(keys), int(long.sum())])
+        return pa.table({"kind": pa.array(kind), "value": pa.array(np.r_[docs, keys, key[first][long].view(np.int64)].astype(np.int64)), "many": pa.array(np.r_[np.zeros(len(docs) + len(keys), np.int64), size[long]])})
+
+    return meet
 
 
 def _candidate_sets(docs: DataFrame, k: int, prefixes, ids, keys) -> DataFrame:
@@ -391,6 +398,14 @@ def _pairs(num: int, den: int, mode: str):
 
 
 def _verified(pairs: DataFrame, found: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that link. Only sets that a pair names are moved."""
+    ids = found.sparkSession.sparkContext.broadcast(KeyFilter.of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), "doc_id")[0].bits)
+
+    def named(batches):
+        known = KeyFilter(ids.value)
+        for batch in batches:
+            yield batch.filter(pa.array(known.has(batch["doc_id"].to_numpy())))
+
     def test(batches):
         for batch in batches:
             keep = []
@@ -400,8 +415,8 @@ def _verified(pairs: DataFrame, found: DataFrame, num: int, den: int) -> DataFra
                 keep.append(den * both >= num * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    x = found.select(F.col("doc_id").alias("a"), F.col("grams").alias("x"))
-    y = found.select(F.col("doc_id").alias("b"), F.col("grams").alias("y"))
+    some = found.select("doc_id", "grams").mapInArrow(named, "doc_id long, grams binary")
+    x, y = (some.withColumnsRenamed({"doc_id": i, "grams": g}) for i, g in (("a", "x"), ("b", "y")))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(test, "a long, b long")
 
 
@@ -414,11 +429,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
 
     cut = min((1 << 64) - 1, (1 << 64) * LOW * (den - num) // den)
     twice, often, counts, sizes = _statistics(own, k, cut, n)
-    prefixes = send(spark, Prefixes(often, counts, twice, cut, boundary(sizes, num, den), num, den))
-
-    posted = Table(_postings(own, k, prefixes, n), "postings")
-    shared = posted.df.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared_keys, "kind int, value long")
-    ids, keys = (spark.sparkContext.broadcast(x.bits) for x in KeyFilter.of(shared, "value", 2, "kind"))
+    part, small = max(PART, input_bytes(own) >> PART_SHIFT), boundary(sizes, num, den)
+    for turn in range(TURNS):
+        prefixes = send(spark, Prefixes(often, counts, twice, cut, small, num, den, part))
+        posted = Table(_postings(own, k, prefixes, n), "postings")
+        shared = Table(posted.df.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared_keys(4 * part), "kind int, value long, many long"), "shared")
+        long = shared.df.where("kind = 2").select("value", "many").toArrow()
+        keys, many = long["value"].to_numpy().view(np.uint64), long["many"].to_numpy()
+        new = ~np.isin(keys, often)
+        if not new.any() or turn == TURNS - 1:
+            break
+        posted.drop(), shared.drop()
+        often, counts = np.r_[often, keys[new]], np.r_[counts, many[new]]
+    ids, keys = (spark.sparkContext.broadcast(x.bits) for x in KeyFilter.of(shared.df.where("kind < 2"), "value", 2, "kind"))
+    shared.drop()
     found = Table(_candidate_sets(own, k, prefixes, ids, keys), "sets")
 
     links: list[Table] = []
@@ -426,7 +450,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     for mode in ROUNDS:
         labelled = found.df.withColumn("label", F.col("doc_id")) if labels is None else found.df.join(labels.select(F.col("node").alias("doc_id"), F.col("component").alias("label")), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
         pairs = _lists(labelled, n).groupBy("bucket").applyInArrow(_pairs(num, den, mode), "a long, b long").distinct()
-        links.append(Table(_verified(pairs, found.df, num, den), "links"))
+        pairs = Table(pairs, "pairs")
+        links.append(Table(_verified(pairs.df, found.df, num, den), "links"))
+        pairs.drop()
         labels = connected_components(reduce(DataFrame.unionByName, (x.df for x in links)), cheap=True)
     found.drop()
 
@@ -457,5 +483,5 @@ def _digests(df: DataFrame) -> DataFrame:
 
 def representatives(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The documents, all columns kept, without those that a smaller doc_id of their component stands for."""
-    gone = near_duplicates(docs, k, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    gone = near_duplicates(docs, k, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
