@@ -142,6 +142,58 @@ def test_automaton():
     t = "a <<beginOptional>>b <<beginOptional>>c<<endOptional>><<endOptional>> <<var;match=1..2>> d"
     assert all(run(t, x) for x in ("a x d", "a b c x y d", "a b x d", "a b d", "a d d", "a x y d e"))
     assert not any(run(t, x) for x in ("a d", "a", "b a x d", "a x y z d", "a b c x y z d"))
-    for bad in ("<<var;match=1..2>> a", "", "<<beginOptional>>a", "<<beginOptional>>a<<endOptional>>"):
+    for bad in ("<<var;match=1..2>> a", "", "<<beginOptional>>a", "<<beginOptional>>a<<endOptional>>", "a <<endOptional>>", "a <<var;match=.+>> b", "a <<var>> b", "a <<var;match=3..2>> b", "a <<note>> b"):
         with pytest.raises(ValueError):
             licenses.Automaton.compile(bad)
+
+
+def test_automaton_against_expressions():
+    """Random templates on random words, against a backtracking matcher."""
+    import random
+    import re
+
+    rng = random.Random(6)
+
+    def part(depth):
+        kind = rng.random()
+        if kind < 0.25 and depth < 3:
+            inner = [part(depth + 1) for _ in range(rng.randint(1, 3))]
+            return f"<<beginOptional>>{' '.join(x for x, _ in inner)}<<endOptional>>", f"(?:{''.join(y for _, y in inner)})?"
+        if kind < 0.45:
+            low = rng.randint(0, 2)
+            high = low + rng.randint(0, 2)
+            return f"<<var;match={low}..{high}>>", f"(?: [a-z]+){{{low},{high}}}"
+        word = rng.choice("abc")
+        return word, f" {word}"
+
+    seen = set()
+    for _ in range(300):
+        parts = [part(0) for _ in range(rng.randint(1, 5))]
+        machine = licenses.Automaton.compile(" ".join(["a", *(x for x, _ in parts), "b"]))
+        plain_form = re.compile(" a" + "".join(y for _, y in parts) + " b(?: |$)")
+        for _ in range(20):
+            words = [rng.choice("abcd") for _ in range(rng.randint(0, 9))]
+            want = bool(plain_form.match("".join(f" {w}" for w in words)))
+            seen.add(want)
+            assert machine.accepts(np.array(licenses.word_hashes(" ".join(words)), np.uint64)) == want
+    assert seen == {True, False}
+
+
+def test_whole_texts(spark):
+    """Each template's own wording is accepted, with its regions filled or left out, by the automata and by the SQL's expressions alike."""
+    import re
+
+    from walletgraph.llm import oracles
+
+    fill = lambda t, n: re.sub(r"<<var;match=(\d+)\.\.(\d+)>>", lambda m: " ".join(["word"] * int(m[n])), t)
+    full = {label: re.sub("<<.*?>>", "", fill(t, 2)) for label, t in licenses.TEMPLATES.items()}
+    lean = {label: re.sub("<<beginOptional>>.*?<<endOptional>>", "", fill(t.replace("<<beginOptional>>This <<var;match=1..3>> is<<endOptional>>", ""), 1)) for label, t in licenses.TEMPLATES.items()}
+    own = [(f"{label}/{i}", f"xx {text} yy") for i, texts in enumerate((full, lean)) for label, text in texts.items()]
+    cut = [(f"{label}/cut", " ".join(text.split()[:-1])) for label, text in lean.items()]
+    ids = dict(enumerate(own + cut))
+    got = {ids[r.doc_id][0]: r.labels.split(",") for r in licenses.scan(spark.createDataFrame([(i, t) for i, (_, t) in ids.items()], "doc_id long, text string")).collect()}
+    for name, text in own + cut:
+        label, kind = name.split("/")
+        assert (label in got[name]) == (kind != "cut"), name
+        words = "".join(f" {w}" for w in plain(text))
+        assert sorted(x for x, t in licenses.TEMPLATES.items() if re.search(oracles.wording(t), words)) == sorted(set(got[name]) & set(licenses.TEMPLATES)), name

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+from walletgraph.llm.licenses import TEMPLATES
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -48,8 +52,39 @@ WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding
 s AS (SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
 
+
+
+def wording(template: str) -> str:
+    """A template as a regular expression over a text's words, each after a space."""
+    parts = re.split(r"(<<.*?>>)", re.sub(r"^(\s*<<beginOptional>>.*?<<endOptional>>)|(<<beginOptional>>[^<]*<<endOptional>>\s*)$", "", template))
+    out = []
+    for x in parts:
+        if x.startswith("<<var"):
+            low, high = re.findall(r"\d+", x)
+            out.append(f"(?: [^ ]+){{{low},{high}}}")
+        elif x.startswith("<<"):
+            out.append("(?:" if "begin" in x else ")?")
+        else:
+            out += [f" {w}" for w in re.findall("[a-z0-9]+", x.lower())]
+    return "".join(out) + "(?: |$)"
+
+
+LICENSES = f"""
+WITH w AS (SELECT doc_id, {_PLAIN.format(_lower("text"))} AS w FROM documents),
+j AS (SELECT doc_id, ' ' || array_to_string(w, ' ') AS j FROM w),
+x AS (SELECT doc_id, unnest(w) AS a, unnest(range(len(w))) AS p FROM w),
+y AS (SELECT *, lead(a) OVER o AS b, lead(a, 2) OVER o AS c, lead(a, 3) OVER o AS d FROM x WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+z AS (SELECT doc_id, p, CASE WHEN a = 'gnu' AND b = 'general' AND c = 'public' AND d = 'license' THEN 'gpl' WHEN a = 'apache' AND b = 'license' THEN 'apache' WHEN a = 'cc' AND b = 'by' THEN 'cc-by' WHEN a = 'mit' AND b = 'license' THEN 'mit' END AS label FROM y),
+f AS (SELECT doc_id, count(*) AS n, min(p) AS first, max(p) AS last, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM z WHERE label IS NOT NULL GROUP BY doc_id),
+t AS ({" UNION ALL ".join(f"SELECT doc_id, '{label}' AS label FROM j WHERE regexp_matches(j, '{wording(template)}')" for label, template in TEMPLATES.items())}),
+l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM t UNION ALL SELECT doc_id, label FROM z WHERE label IS NOT NULL) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, CAST(first AS BIGINT) AS first_word, CAST(last AS BIGINT) AS last_word, coalesce(f.labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
+CAST(CASE WHEN w.doc_id IN (SELECT doc_id FROM t) THEN 1.0 WHEN n > 0 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS score
+FROM w LEFT JOIN f USING (doc_id) LEFT JOIN l USING (doc_id)"""
+
 ORACLES = {
     "op2_benchmark_decontamination": CONTAMINATION,
+    "op3_license_scans": LICENSES,
     "op6_suffix_array_dedup": REPEATS,
     "op7_ngram_jaccard_join": JACCARD,
     "op8_substring_dedup": REPEATS,
