@@ -8,7 +8,8 @@ transform of that text as a wavelet matrix; all phrases are searched backward at
 places are read from suffix positions sampled at every eighth word and at the starts of runs. Places
 merge into spans of words to remove.
 
-The benchmark is sent to all tasks in blocks of about `block_bytes` of text; a task opens one at a time.
+The benchmark's phrases are made by tasks in blocks of about `block_bytes` of text. A benchmark of one block is
+broadcast (some ten times its text); more blocks are files in the shared folder, and a task opens one at a time.
 
 Defined cases: null or empty texts have no words; items with a null id or without words take no part;
 items that share an id count once; a null doc_id or a repeated row is treated like any other.
@@ -17,42 +18,52 @@ items that share an id count once; a null doc_id or a repeated row is treated li
 from __future__ import annotations
 
 import hashlib
+import pickle
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletgraph.llm.words import PLAIN_LOWER, Hasher
-from walletgraph.shared import received, send
+from walletgraph.shared import new_path
 
 SIZE, SAMPLE = 10, 8
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20
 #: Words of a shard's index.
 SHARD_WORDS = 4 << 20
 
 
+@dataclass
 class Phrases:
-    """Distinct phrases as numbers of their words, by length, with the items that hold each."""
+    """Distinct phrases as numbers of their words, by length: (length, numbers, where each one's items begin, items)."""
 
-    def __init__(self, items: list[tuple[str, str]], size: int):
+    vocabulary: np.ndarray
+    names: list[str]
+    groups: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]
+
+    @staticmethod
+    def of(items: list[tuple[str, str]], size: int) -> Phrases:
         hasher = Hasher(PLAIN_LOWER)
-        own: dict[int, dict[bytes, set[str]]] = {}
+        names, words, holders = sorted({item for item, _ in items}), {}, {}
+        number = {item: i for i, item in enumerate(names)}
         for at, counts, hashes in hasher.words(pa.array([text for _, text in items], pa.large_string())):
-            ends = np.cumsum(counts)
-            for i, (n, hi) in enumerate(zip(counts.tolist(), ends.tolist(), strict=True)):
+            for i, (n, hi) in enumerate(zip(counts.tolist(), np.cumsum(counts).tolist(), strict=True)):
                 k = min(n, size)
-                for lo in range(hi - n, hi - k + 1) if n else ():
-                    own.setdefault(k, {}).setdefault(hashes[lo : lo + k].tobytes(), set()).add(items[at + i][0])
-        words = [np.frombuffer(b"".join(x), np.uint64) for x in own.values()]
-        self.vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
-        self.names = sorted({item for x in own.values() for y in x.values() for item in y})
-        number = {item: i for i, item in enumerate(self.names)}
-        self.groups = []
-        for k, found in sorted(own.items()):
-            ids = np.searchsorted(self.vocabulary, np.frombuffer(b"".join(found), np.uint64)).reshape(-1, k) + 1
-            holders = [[number[item] for item in x] for x in found.values()]
-            self.groups.append((k, ids, np.cumsum([0, *map(len, holders)]), np.array([x for y in holders for x in y], np.int64)))
+                if k:
+                    words.setdefault(k, []).append(np.lib.stride_tricks.sliding_window_view(hashes[hi - n : hi], k))
+                    holders.setdefault(k, []).append(np.full(n - k + 1, number[items[at + i][0]]))
+        vocabulary = np.unique(np.concatenate([x.ravel() for own in words.values() for x in own])) if words else np.zeros(0, np.uint64)
+        groups = []
+        for k in sorted(words):
+            ids = np.searchsorted(vocabulary, np.concatenate(words[k])).astype(np.int32) + np.int32(1)
+            found, which = np.unique(ids, axis=0, return_inverse=True)
+            pairs = np.unique(np.stack([which.ravel(), np.concatenate(holders[k])], 1), axis=0)
+            groups.append((k, found, np.searchsorted(pairs[:, 0], np.arange(len(found) + 1)), pairs[:, 1]))
+        return Phrases(vocabulary, names, groups)
 
     @property
     def shortest(self) -> int:
@@ -167,25 +178,49 @@ def _places(hashes: np.ndarray, counts: np.ndarray, phrases: Phrases) -> tuple[n
 
 
 def _blocks(benchmark: DataFrame, size: int, block_bytes: int) -> list:
+    """The phrases in blocks, each made by a task: one alone is broadcast, more stay as files in the shared folder."""
+    spark = benchmark.sparkSession
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item"), "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes)
-    sent = []
-    for b in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks).cast("long")) == b).toArrow().to_pydict()
-        sent.append(send(benchmark.sparkSession, Phrases(list(zip(own["item"], own["text"], strict=True)), size)))
-    return sent
+    folder = None if blocks <= 1 else new_path(spark, "phrases")
+
+    def build(table: pa.Table) -> pa.Table:
+        block = table["block"][0].as_py()
+        own = Phrases.of(list(zip(table["item"].to_pylist(), table["text"].to_pylist(), strict=True)), size)
+        data = pickle.dumps((own.vocabulary, own.names, own.groups))
+        if folder:
+            task = TaskContext.get()
+            system, place = pafs.FileSystem.from_uri(folder)
+            system.create_dir(place, recursive=True)
+            with system.open_output_stream(f"{place}/.{block}-{task.taskAttemptId()}") as stream:
+                stream.write(data)
+            system.move(f"{place}/.{block}-{task.taskAttemptId()}", f"{place}/{block}")
+            data = b""
+        return pa.table({"block": pa.array([block], pa.int32()), "data": pa.array([data], pa.binary())})
+
+    block = F.pmod(F.xxhash64("item", "text"), F.lit(max(blocks, 1)).cast("long")).cast("int").alias("block")
+    made = items.select(block, "item", "text").groupBy("block").applyInArrow(build, "block int, data binary").collect()
+    return [f"{folder}/{r.block}" if folder else spark.sparkContext.broadcast(r.data) for r in made]
+
+
+def _open(block) -> Phrases:
+    if isinstance(block, str):
+        system, place = pafs.FileSystem.from_uri(block)
+        with system.open_input_file(place) as file:
+            return Phrases(*pickle.loads(file.read()))
+    return Phrases(*pickle.loads(block.value))
 
 
 def _hits(blocks: list):
     """For a batch of texts: yields of each group of documents (first, counts, covered words, sets of item names)."""
-    held = [received(blocks[0])] if len(blocks) == 1 else None
+    held = [_open(blocks[0])] if len(blocks) == 1 else None
 
     def group(at, counts, parts):
         counts, hashes = np.concatenate(counts), np.concatenate(parts)
         covered, items = np.zeros(len(hashes), bool), [set() for _ in counts]
         for i, block in enumerate(blocks):
-            phrases = held[i] if held else received(block)
+            phrases = held[i] if held else _open(block)
             depth, pairs = _places(hashes, counts, phrases)
             covered |= depth > 0
             for doc, item in pairs.tolist():
