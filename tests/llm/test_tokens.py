@@ -157,3 +157,16 @@ def test_files_empty(spark):
     folder = new_path(spark, "test")
     files, dictionary = id_files.write(empty(spark), WORD, folder)
     assert id_files.read(files, folder, dictionary).collect() == []
+
+
+def test_many_rows_of_one_id(spark, library):
+    """Rows without an id, or with one, are dealt to several files and keep their order."""
+    own, folder = [(None, f"{i % 97} null words {i}") for i in range(400)] + [(3, f"{i % 89} more words {i}") for i in range(300)] + [(5, "same")] * 50, new_path(spark, "test")
+    files, dictionary = id_files.write(spark.createDataFrame(own, "doc_id long, text string").repartition(4), WORD, folder)
+    assert sum(r.n_docs > 0 for r in files.collect()) >= 5 and max(r.n_docs for r in files.collect()) < 300
+    want, at = [], 0
+    for i, t in sorted(own, key=lambda r: (r[0] or 0, r[1])):
+        part = np.array(ids(library, WORD, t) + [1], "<u4")
+        want.append((i, at, len(part), zlib.crc32(part.tobytes())))
+        at += len(part)
+    assert sorted(map(tuple, id_files.read(files, folder, dictionary).collect()), key=lambda r: r[1]) == want

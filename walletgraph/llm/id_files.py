@@ -9,7 +9,8 @@ Tasks write under a name of their own attempt and move the file when it is whole
 replaces a file by an equal one. Files lie in the shared folder, by any file system that Arrow knows.
 
 Defined cases: a null or empty text holds the end id alone; documents without doc_id come first; rows that
-repeat a doc_id follow each other in the order of their texts; no documents make files without frames.
+repeat a doc_id follow each other in the order of their texts, across files if they are many (equal rows
+stay in one); no documents make files without frames.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from walletgraph.llm.buckets import input_bytes
 from walletgraph.llm.tokens import IdEncoder, groups, kept
 from walletgraph.shared import Table
 
@@ -34,6 +36,8 @@ END_ID = 1
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16 << 10, 64 << 10
 #: Input bytes for each file.
 FILE_BYTES = 32 << 20
+#: Characters of texts that tell apart the ranges of rows with one doc_id.
+RANGE_CHARS = 64
 LEVEL = 3
 MAGIC = b"IDSHARD1"
 _HEAD, _TAIL = "<8sI32s", "<QQ8s"
@@ -129,8 +133,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = END_ID) -> tupl
     system.create_dir(place, recursive=True)
     with system.open_output_stream(f"{place}/dictionary") as stream:
         stream.write(dictionary)
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(1 << 16, size // FILE_BYTES))
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(input_bytes(docs) // FILE_BYTES, 1 << 24))
 
     def run(batches):
         task = TaskContext.get()
@@ -149,7 +152,8 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = END_ID) -> tupl
         system.move(own, f"{place}/{name}")
         yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()], pa.int32()), pa.array([name]), pa.array([len(writer.docs)], pa.int64()), pa.array([sum(writer.counts)], pa.int64())], ["shard", "file", "n_docs", "n_ids"])
 
-    files = docs.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, "shard int, file string, n_docs long, n_ids long")
+    # By how texts start, too, so that the many rows of one id, or of none, are dealt out; whole texts are sorted.
+    files = docs.repartitionByRange(n, F.col("doc_id"), F.substring("text", 1, RANGE_CHARS)).sortWithinPartitions("doc_id", "text").mapInArrow(run, "shard int, file string, n_docs long, n_ids long")
     return Table(files, "manifest").df, dictionary
 
 
