@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import DATA
 from tests.llm.common import SCHEMA, docs, empty, plain, rows, spaced
 from walletgraph.llm import cover_tree, language
 
@@ -47,14 +48,54 @@ def test_top_k_empty(spark):
     assert cover_tree.top_k(spark.createDataFrame([(0, [1.0, 2.0], 1, "")], VECTORS)).collect() == []
 
 
-def test_tree_covers_and_prunes():
-    rng = np.random.default_rng(3)
-    centres = rng.normal(size=(20, 6)) * 500
-    points = np.floor(np.repeat(centres, 200, axis=0) + rng.normal(size=(4000, 6)) * 5)
+def clustered(seed=3, n=200):
+    rng = np.random.default_rng(seed)
+    return np.floor(np.repeat(rng.normal(size=(20, 6)) * 500, n, axis=0) + rng.normal(size=(20 * n, 6)) * 5)
+
+
+def test_tree_levels():
+    points = clustered()
     tree = cover_tree.CoverTree(points)
+    away = lambda x, y: np.sqrt(((x - y) ** 2).sum(axis=-1))
     for i, below in enumerate(tree.below):
-        assert np.sqrt(((points[below] - tree.centre[i]) ** 2).sum(axis=1)).max() <= tree.radius[i] + 1e-9
-    assert sorted(np.concatenate([x for x in tree.own if x is not None]).tolist()) == list(range(4000))
+        assert len(below) == 0 or away(points[below], tree.centre[i]).max() <= tree.radius[i] + 1e-9
+        own = tree.children[i]
+        if own:
+            scale = 2.0 ** (tree.level[i] - 1)
+            assert (tree.centre[own[0]] == tree.centre[i]).all()  # nesting
+            assert all(away(tree.centre[c], tree.centre[i]) <= 2 * scale for c in own)  # covering
+    for level in sorted({tree.level[i] for i, own in enumerate(tree.children) if own}):
+        net = np.unique([tree.centre[i] for i, own in enumerate(tree.children) if own and tree.level[i] == level for i in own], axis=0)
+        apart = away(net[:, None], net[None, :]) + np.diag(np.full(len(net), np.inf))
+        assert apart.min(initial=np.inf) > 2.0 ** (level - 1)  # separation
+    assert len(tree.children[0]) > 1 and sorted(np.concatenate([x for x in tree.own if x is not None]).tolist()) == list(range(len(points)))
+
+
+def test_tree_prunes():
+    points, ids = clustered(), np.arange(4000)
+    q = points[::5]
+    got, names, scores, seen = cover_tree.search(q, ids[::5], points, ids, 5)
+    assert seen < 0.2 * len(q) * len(points)
+    least = np.array([np.sort(points @ x)[-6] for x in q]).astype(np.int64)  # with the query's own row
+    again = cover_tree.search(q, ids[::5], points, ids, 5, least)
+    assert again[3] <= seen and sorted(zip(again[0], again[1], strict=True)) == sorted(zip(got, names, strict=True))
+
+
+def test_cells_are_left_out():
+    """Of far-apart cells, only those that may hold a best vector meet a chunk."""
+    from types import SimpleNamespace as Row
+
+    pivots = {2: np.array([[1000.0, 0], [0, 1000.0], [-1000.0, 0]])}
+    stats = [Row(dim=2, cell=i, n=100, radius=10.0, asked=5, reach=10.0) for i in range(3)]
+    chunks = cover_tree._chunks([(2, i, 5) for i in range(3)], 5)
+    floors = {(2, i, i): 980_000 for i in range(3)}
+    assert cover_tree._meetings(stats, chunks, floors, pivots) == [(2, 0, 0), (2, 1, 1), (2, 2, 2)]
+    assert len(cover_tree._meetings(stats, chunks, {}, pivots)) == 9
+
+
+def test_scores_that_do_not_fit(spark):
+    with pytest.raises(ValueError, match="fit"):
+        cover_tree.top_k(spark.createDataFrame([(0, [1e15] * 4, 1, ""), (1, [1e15] * 4, 1, "")], VECTORS))
 
 
 def corpus(spark, n=240):
@@ -78,7 +119,7 @@ def test_language(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 for r in out if r.doc_id is not None)
     held = [(got[i].lang_pred, lang) for i, _, lang, *_ in own if lang and got[i].held_out]
     assert len(held) > 40 and np.mean([a == b for a, b in held]) > 0.98
-    kept = language.identified(df, model, 0.3)
+    kept = language.identified(df, model, 1.0)
     assert kept.schema == df.schema and {1000, 1001, 1002}.isdisjoint(r.doc_id for r in kept.collect()) and kept.count() == len(out) - 3
 
 
@@ -88,6 +129,66 @@ def test_learns_from_the_rest_only(spark):
     assert "zz" not in language.fit(lies).labels
 
 
+def test_no_language_is_lost(spark):
+    """Whatever id a row with thousands of copies has, and however many null or letterless texts there are."""
+    few = [(100 + i, f"leden weed {i}", "ee", *(None,) * 4) for i in range(30)]
+    blank = [(1000 + i, None if i % 2 else "12 34", "ee", *(None,) * 4) for i in range(2000)]
+    for i in (0, 1, 2, 3, 5, 6):
+        if zlib.crc32(str(i).encode()) % 3 == 1:
+            continue
+        df = spark.createDataFrame([(i, "alba aroma", "aa", *(None,) * 4)] * 3000 + few + blank, SCHEMA).repartition(4)
+        assert language.fit(df).labels == ["aa", "ee"]
+
+
+def test_every_language_of_many(spark):
+    own = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} " * 5, f"l{i:04d}", *(None,) * 4) for i in range(3000)]
+    held = sum(zlib.crc32(str(i).encode()) % 3 == 1 for i in range(3000))
+    assert len(language.fit(spark.createDataFrame(own, SCHEMA).repartition(8)).labels) == 3000 - held
+
+
+def test_plain_kernel_ridge():
+    """With all texts as landmarks the model is kernel ridge regression on the plain kernel."""
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdé" if i % 2 else "cdefg", k=4)) for _ in range(6)) for i in range(40)]
+    labels = ["xy"[i % 2] for i in range(40)]
+
+    def grams(text):
+        data = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text.encode())
+        return {data[i : i + n] for n in (1, 2, 3) for i in range(len(data) - n + 1)}
+
+    presence = np.zeros((40, language.SPACE), np.uint8)
+    for row, text in zip(presence, texts, strict=True):
+        language.fill(row, np.frombuffer(text.encode(), np.uint8))
+    assert [len(grams(t)) for t in texts] == presence.sum(axis=1).tolist(), "columns are shared: choose other texts"
+    model = language.Model(presence[:30], labels[:30])
+    kernel = lambda a, b: np.array([[len(grams(x) & grams(y)) / np.sqrt(len(grams(x)) * len(grams(y))) for y in b] for x in a])
+    values, vectors = np.linalg.eigh(kernel(texts[:30], texts[:30]))
+    root = vectors / np.sqrt(values)
+    z, held = (np.c_[kernel(x, texts[:30]) @ root, np.ones(len(x))] for x in (texts[:30], texts[30:]))
+    y = np.array([[1.0 if x == label else -1.0 for x in "xy"] for label in labels[:30]])
+    margin = held @ np.linalg.solve(z.T @ z + language.RIDGE * np.eye(z.shape[1]), z.T @ y)
+    share = np.exp(language.SHARPNESS * margin) / np.exp(language.SHARPNESS * margin).sum(axis=1, keepdims=True)
+    top, best, ahead = model.classify(presence[30:])
+    assert top.tolist() == margin.argmax(axis=1).tolist()
+    assert np.allclose(best, share.max(axis=1), atol=1e-3) and np.allclose(ahead, share.max(axis=1) / share.min(axis=1), rtol=1e-2)
+
+
+def test_accuracy_on_documents(spark):
+    df = spark.read.parquet(f"{DATA}/documents.parquet")
+    got = language.predict(df, language.fit(df)).where("held_out").join(df.select("doc_id", "lang"), "doc_id").where("lang is not null").select("lang", "lang_pred").collect()
+    assert len(got) > 40 and np.mean([r.lang == r.lang_pred for r in got]) >= 0.95
+
+
+def test_unknown_languages_go(spark):
+    """The stage removes texts in scripts and letters that no learned language has, and no others."""
+    import corpus_pipeline as P
+
+    df, _ = corpus(spark)
+    odd = spark.createDataFrame([(5000, "ψφω ξζθ " * 20, *(None,) * 5), (5001, "лдж шщъ " * 20, *(None,) * 5), (5002, "漢字仮名" * 20, *(None,) * 5)], SCHEMA)
+    kept = {r.doc_id for r in P.identify_language(spark, df.unionByName(odd), "").collect()}
+    assert kept == {r.doc_id for r in df.collect()} - {1000, 1001, 1002}
+
+
 def test_nothing_to_learn(spark):
     assert language.fit(empty(spark)) is None
     df, _ = corpus(spark, 20)
@@ -134,6 +235,30 @@ def test_pipeline(spark, tmp_path):
     assert P.run(spark, str(tmp_path)).count() == len(packed)
 
 
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Every stage on empty tables, and on null ids, texts and languages with clashing column names."""
+    import corpus_pipeline as P
+
+    benchmark = spark.createDataFrame([(1, " ".join(spaced(rows()[8][1])[:14])), (None, "moon"), (2, None), (3, "!")], "item_id long, text string")
+    names = "__bucket string, own_id int, own_print int, gone int, label string, print int"
+    for turn, (df, items) in enumerate((
+        (empty(spark), benchmark.limit(0)),
+        (spark.createDataFrame([(None,) * 7, (1, None, *(None,) * 5), (1, "", *(None,) * 5)], SCHEMA), benchmark),
+        (docs(spark).selectExpr("*", *(f"cast(1 as {t}) as {c}" for c, t in (x.split() for x in names.split(", ")))), benchmark),
+    )):
+        folder = tmp_path / str(turn)
+        items.write.parquet(str(folder / "benchmark.parquet"))
+        df.write.parquet(str(folder / "documents.parquet"))
+        own = spark.read.parquet(str(folder / "documents.parquet"))
+        for name, stage in P.STAGES[:-1]:
+            out = stage(spark, own, str(folder))
+            assert out.schema == own.schema
+            assert 0 < out.count() <= own.count() if turn == 2 or turn == 1 and name != "language" else out.count() == 0, name
+        packed = P.STAGES[-1][1](spark, own, str(folder)).collect()
+        assert len(packed) >= own.count() and {r.doc_id for r in packed} == {r.doc_id for r in own.collect()}
+        assert turn == 1 or (P.run(spark, str(folder)).count() > 0) == (turn == 2)
+
+
 def test_registered():
     import __spark_entry__
     from walletgraph.llm import catalog

@@ -1,21 +1,25 @@
 """Language identification with a string kernel.
 
 A text's features are which n-grams of one to three bytes it has (a blended spectrum, presence only), after
-A-Z are lower-cased and digits, punctuation and white space become one separator. The kernel of two texts is
-the number of n-grams that both have over the geometric mean of the numbers that each has. It is
-approximated by Nyström with landmark texts, and one-versus-rest kernel ridge regression is fitted on that.
-Texts are scored in batches: presence matrix times landmarks, then times weights.
+A-Z are lower-cased and digits, punctuation and white space become one separator. N-grams are hashed into
+SPACE columns; two that share a column count as one, which makes kernels of unlike texts a little larger.
+The kernel of two texts is the number of columns that both have over the geometric mean of the numbers that
+each has. It is approximated by Nyström with landmark texts, and one-versus-rest kernel ridge regression is
+fitted on that. Texts are scored in batches: presence matrix times landmarks, then times weights.
 
-The classifier is fitted on a sample of labelled texts of bounded size, the least by hash in each language;
-its n-grams are those most common in the sample. Whole texts are classified.
+The classifier is fitted on a sample of bounded size: of each language the distinct (doc_id, text) of least
+hash, as many of each as SAMPLE allows, one at least. No language is left out. Whole texts are classified.
 
 Defined cases: null texts and texts without a letter are `und` with score 0, as is every text if nothing
-could be learned (the pipeline then keeps all texts with a letter); a null doc_id is not held out and never learned from; a repeated row is treated like any
-other.
+could be learned (the pipeline then keeps all texts with a letter); they are not learned from. A null doc_id
+is not held out and never learned from. Repeated rows are learned from once, and each gets its prediction.
+More than MOST_LANGUAGES labels are an error.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -24,11 +28,13 @@ from pyspark.sql import functions as F
 from walletgraph.llm.words import raw_bytes
 from walletgraph.shared import Table, received, send
 
-#: Texts of the sample: for each language, and in all.
-PER_LANGUAGE, SAMPLE = 300, 2400
-#: Rows of a language that are ordered, in multiples of those wanted; languages whose counts are sent to all tasks.
-OVERSAMPLE, MOST_LANGUAGES = 4, 10_000
-FEATURES, LANDMARKS, RIDGE = 12_000, 200, 1e-2
+#: Texts of the sample: for each language at most, and in all (more only if there are more languages).
+PER_LANGUAGE, SAMPLE, MOST_LANGUAGES = 300, 2400, 10_000
+#: Columns that n-grams are hashed into.
+SPACE = 1 << 15
+LANDMARKS, RIDGE = 200, 1e-2
+#: Of a text in a learned language, landmarks have at least this share of what they have of the sample's median text.
+LEAST_KNOWN = 0.5
 #: How sharply scores follow the margins between languages.
 SHARPNESS = 4.0
 BATCH, PIECE = 256, 1 << 20
@@ -50,48 +56,67 @@ def has_letter(data: np.ndarray) -> bool:
     return bool(_LETTER[data].any()) or bool((data >= 128).any()) and any(c.isalpha() for c in data.tobytes().decode("utf-8", "ignore"))
 
 
-class Presence:
-    """Which of the model's n-grams texts have, a row for each text."""
+def columns(codes: np.ndarray) -> np.ndarray:
+    return codes * np.uint32(0x9E3779B1) >> np.uint32(33 - SPACE.bit_length())
 
-    def __init__(self, codes: np.ndarray):
-        self.size = len(codes) + 1  # column 0 takes all other n-grams
-        self.columns = np.zeros(4 << 24, np.uint16)
-        self.columns[codes] = np.arange(1, self.size)
 
-    def fill(self, out: np.ndarray, data: np.ndarray) -> None:
-        for orders in _grams(data):
-            for codes in orders:
-                out[self.columns[codes]] = 1
-        out[0] = 0
+def fill(out: np.ndarray, data: np.ndarray) -> None:
+    """Marks a text's columns."""
+    for orders in _grams(data):
+        for codes in orders:
+            out[columns(codes)] = 1
 
 
 class Model:
-    def __init__(self, codes: np.ndarray, presence: np.ndarray, labels: list[str]):
-        self.codes = codes
+    """presence: a row of SPACE zeros and ones for each text of the sample; labels: their languages."""
+
+    def __init__(self, presence: np.ndarray, labels: list[str]):
         self.labels = sorted(set(labels))
         y = np.array([[1.0 if label == x else -1.0 for x in self.labels] for label in labels])
-        turn = np.argsort([labels[:i].count(x) for i, x in enumerate(labels)], kind="stable")  # one of each language, again and again
-        self.landmarks = np.ascontiguousarray(presence[turn[:LANDMARKS]].T, dtype=np.float32)
-        self.sizes = np.sqrt(np.maximum(self.landmarks.sum(axis=0), 1)).astype(np.float32)
-        kernel = self.kernel(presence.astype(np.float32))
-        own = self.kernel(np.ascontiguousarray(self.landmarks.T))
-        values, vectors = np.linalg.eigh(own.astype(np.float64))
+        seen, nth = Counter(), []
+        for x in labels:
+            seen[x] += 1
+            nth.append(seen[x])
+        marks = presence[np.argsort(nth, kind="stable")[:LANDMARKS]]  # one of each language, again and again
+        self.sizes = np.sqrt(np.maximum(marks.sum(axis=1, dtype=np.int64), 1)).astype(np.float32)
+        self.used = np.flatnonzero(marks.any(axis=0))
+        self.marks = np.packbits(marks[:, self.used], axis=1)  # a megabyte at most
+        self.landmarks = None
+        own = self.kernel(marks)
+        values, vectors = np.linalg.eigh((own + own.T).astype(np.float64) / 2)
         keep = values > 1e-6 * values.max()
         root = vectors[:, keep] / np.sqrt(values[keep])
-        z = np.c_[kernel @ root, np.ones(len(kernel))]
+        z = np.c_[self.kernel(presence) @ root, np.ones(len(presence))]
         w = np.linalg.solve(z.T @ z + RIDGE * np.eye(z.shape[1]), z.T @ y)
+        rest = presence[np.argsort(nth, kind="stable")[LANDMARKS:]]
+        self.least_known = LEAST_KNOWN * float(np.median(self.known(rest if len(rest) else marks)))
         self.weights, self.bias = (root @ w[:-1]).astype(np.float32), w[-1].astype(np.float32)
+        self.landmarks = None  # travels packed
 
     def kernel(self, presence: np.ndarray) -> np.ndarray:
-        size = np.sqrt(np.maximum(presence.sum(axis=1), 1))
-        return presence @ self.landmarks / size[:, None] / self.sizes[None, :]
-
-    def classify(self, presence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.landmarks is None:
+            self.landmarks = np.ascontiguousarray(np.unpackbits(self.marks, axis=1, count=len(self.used)).T, dtype=np.float32)
+        out = np.empty((len(presence), len(self.sizes)), np.float32)
+        for at in range(0, len(presence), BATCH):
+            own = presence[at : at + BATCH]
+            size = np.sqrt(np.maximum(own.sum(axis=1, dtype=np.int64), 1)).astype(np.float32)
+            out[at : at + BATCH] = own[:, self.used].astype(np.float32) @ self.landmarks / size[:, None] / self.sizes[None, :]
+        return out
+
+    def known(self, presence: np.ndarray) -> np.ndarray:
+        """The share of each text's columns that some landmark has."""
+        return presence[:, self.used].sum(axis=1, dtype=np.int64) / np.maximum(presence.sum(axis=1, dtype=np.int64), 1)
+
+    def classify(self, presence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text the language, its share of all, and how many times the next one's share that is."""
         margin = SHARPNESS * (self.kernel(presence) @ self.weights + self.bias)
         share = np.exp(margin - margin.max(axis=1, keepdims=True))
         share /= share.sum(axis=1, keepdims=True)
         top = share.argmax(axis=1)
-        return top, share[np.arange(len(top)), top].astype(np.float64)
+        best = share[np.arange(len(top)), top].astype(np.float64)
+        if share.shape[1] == 1:
+            return top, best, np.full(len(top), np.inf)
+        return top, best, best / np.maximum(np.partition(share, -2, axis=1)[:, -2], 1e-30)
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -100,70 +125,61 @@ def held_out(doc_id: str = "doc_id"):
 
 def fit(docs: DataFrame) -> Model | None:
     """From labelled documents that are not held out; None if there are none."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "lang")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("many"))
-    languages = counts.count()
-    each = max(1, min(PER_LANGUAGE, SAMPLE // max(languages, 1)))
-    # A few times as many as needed of each language, by hash, so that no language's rows meet in one task; then the least.
-    share = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30).cast("long")).cast("double") * F.col("many") < F.lit(OVERSAMPLE * each << 30).cast("double")
-    near = labelled.join(F.broadcast(counts) if languages <= MOST_LANGUAGES else counts, "lang").where(share)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= each).select("doc_id", "lang").distinct()
-    sample = Table(docs.select("doc_id", "lang", "text").where("text is not null").join(F.broadcast(chosen), ["doc_id", "lang"]), "sample")
-
-    def found(batches):
-        for batch in batches:
-            data, offsets = raw_bytes(batch["text"])
-            for lo, hi in zip(offsets[:-1], offsets[1:], strict=True):
-                own = np.unique(np.concatenate([x for orders in _grams(data[lo:hi]) for x in orders] or [np.zeros(0, np.uint32)]))
-                yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32))], ["code"])
-
-    common = sample.df.select("text").mapInArrow(found, "code int").groupBy("code").count().orderBy(F.desc("count"), "code").limit(FEATURES)
-    codes = np.array([r.code for r in common.collect()], np.int64)
+    usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out())
+    own = usable.select("doc_id", "lang", F.xxhash64("text").alias("print")).distinct()
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "print"), "doc_id", "print")  # its limit is kept before rows of a language meet
+    chosen = Table(own.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PER_LANGUAGE), "chosen")
+    languages = chosen.df.where("nth = 1").count()
+    if languages > MOST_LANGUAGES:
+        raise ValueError(f"{languages} labels are more than {MOST_LANGUAGES}")
+    each = max(1, SAMPLE // max(languages, 1))
+    wanted = chosen.df.where(F.col("nth") <= each).drop("nth")
 
     def mark(batches):
-        presence = Presence(codes)
         for batch in batches:
             data, offsets = raw_bytes(batch["text"])
             bits = []
             for lo, hi in zip(offsets[:-1], offsets[1:], strict=True):
-                row = np.zeros(presence.size, np.uint8)
-                presence.fill(row, data[lo:hi])
+                row = np.zeros(SPACE, np.uint8)
+                if has_letter(data[lo:hi]):
+                    fill(row, data[lo:hi])
                 bits.append(np.packbits(row).tobytes())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["lang"], pa.array(bits, pa.binary())], ["doc_id", "lang", "bits"])
-
-    rows = sample.df.mapInArrow(mark, "doc_id long, lang string, bits binary").orderBy("lang", "doc_id").limit(SAMPLE + languages).collect() if len(codes) else []
-    sample.drop()
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["lang"], batch["print"], pa.array(bits, pa.binary())], ["doc_id", "lang", "print", "bits"])
+
+    texts = usable.select("doc_id", "lang", F.xxhash64("text").alias("print"), "text").join(F.broadcast(wanted), ["doc_id", "lang", "print"], "left_semi")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = texts.mapInArrow(mark, f"doc_id {kind}, lang string, print long, bits binary").dropDuplicates(["doc_id", "lang", "print"]).collect()  # 4 KB each
+    chosen.drop()
+    blank = bytes(SPACE // 8)
+    rows = sorted((r for r in rows if r.bits != blank), key=lambda r: (r.lang, r.doc_id, r.print))
     if not rows:
         return None
-    presence = np.unpackbits(np.frombuffer(b"".join(r.bits for r in rows), np.uint8).reshape(len(rows), -1), axis=1)[:, : len(codes) + 1]
-    return Model(codes, presence, [r.lang for r in rows])
+    return Model(np.unpackbits(np.frombuffer(b"".join(r.bits for r in rows), np.uint8).reshape(len(rows), -1), axis=1), [r.lang for r in rows])
 
 
 def _classifier(model: Model | None):
-    """For the texts of a batch: predicted labels and scores."""
-    presence = Presence(model.codes) if model else None
+    """For the texts of a batch: predicted labels, scores, and how far each is ahead of the next; 0 for texts that are like none."""
 
-    def run(texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    def run(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         data, offsets = raw_bytes(texts)
-        labels, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        labels, scores, ahead = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
         if model is None:
-            return labels, scores
+            return labels, scores, ahead
         for at in range(0, len(texts), BATCH):
             to = min(at + BATCH, len(texts))
-            known = np.zeros((to - at, presence.size), np.float32)
+            known = np.zeros((to - at, SPACE), np.uint8)
             ok = []
             for i in range(at, to):
                 own = data[offsets[i] : offsets[i + 1]]
                 if has_letter(own):
-                    presence.fill(known[i - at], own)
+                    fill(known[i - at], own)
                     ok.append(i)
             if ok:
-                top, share = model.classify(known[np.array(ok) - at])
+                top, share, more = model.classify(known[np.array(ok) - at])
                 for i, t in zip(ok, top.tolist(), strict=True):
                     labels[i] = model.labels[t]
-                scores[ok] = share
-        return labels, scores
+                scores[ok], ahead[ok] = share, np.where(model.known(known[np.array(ok) - at]) >= model.least_known, more, 0.0)
+        return labels, scores, ahead
 
     return run
 
@@ -175,15 +191,16 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches):
         classify = _classifier(received(sent))
         for batch in batches:
-            labels, scores = classify(batch["text"])
+            labels, scores, _ = classify(batch["text"])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(labels, pa.string()), pa.array(scores)], ["doc_id", "held_out", "lang_pred", "score"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
     return own.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def identified(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
-    """The documents, all columns kept, whose language is known with at least that score; without a model, those with a letter."""
+def identified(docs: DataFrame, model: Model | None, ahead: float) -> DataFrame:
+    """The documents, all columns kept, that are in a learned language: it has at least `ahead` times the share of the next one, and most of
+    the text's n-grams are known. Without a model, those with a letter."""
     sent = send(docs.sparkSession, model)
 
     def run(batches):
@@ -194,7 +211,7 @@ def identified(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
                 data, offsets = raw_bytes(batch["text"])
                 yield batch.filter(pa.array([has_letter(data[lo:hi]) for lo, hi in zip(offsets[:-1], offsets[1:], strict=True)], pa.bool_()))
                 continue
-            labels, scores = classify(batch["text"])
-            yield batch.filter(pa.array((np.array(labels, dtype=object) != UNKNOWN) & (scores >= least), pa.bool_()))
+            labels, _, more = classify(batch["text"])
+            yield batch.filter(pa.array((np.array(labels, dtype=object) != UNKNOWN) & (more >= ahead), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
