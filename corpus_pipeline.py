@@ -7,6 +7,21 @@
 5. packing: the remaining texts become token sequences of one length.
 
 Rows of the first four have the columns of documents, with text and n_chars as the stage left them.
+
+Defined cases, by stage:
+
+* Null, empty and letterless texts: language drops them, whatever was learned. Handed to a later stage they
+  stay unchanged in near copies, repeats and benchmark, and are one piece, the end id, in packing.
+* Very long texts are worked on whole by every stage; packing cuts them into pieces.
+* Null lang: not learned from; where no label is left at all, language keeps all texts with a letter. Two
+  languages of equal score: the text is not ahead in either and goes.
+* Null doc_id: never learned from, never a near copy, never cut by or a cause of repeats; cleaned of the
+  benchmark and packed like any other.
+* Repeated rows: one doc_id stands for its component, so all its rows stay or go together in near copies;
+  they don't cut each other's words in repeats; each row is packed. Ties between copies go to the smaller doc_id.
+* Texts without a word left by repeats or benchmark: their rows go.
+* Empty tables give empty tables; an empty benchmark cuts nothing; benchmark items without id or words count not.
+* Extra columns, whatever their names, pass the first four stages unchanged; packing returns its own columns.
 """
 
 from __future__ import annotations
@@ -18,14 +33,14 @@ from walletgraph.llm import fm_index, jaccard, language, packing, repeats
 from walletgraph.llm.catalog import WORD_VOCABULARY
 from walletgraph.shared import Table
 
-#: A language's score must be at least this.
-LEAST_SCORE = 0.34
+#: How many times the next language's share the best one's must be: where no language is known, all are near each other, however many there are.
+AHEAD = 1.1
 #: Not expressible in SQL: the classifier and the packing.
 ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.identified(docs, language.fit(docs), LEAST_SCORE)
+    return language.identified(docs, language.fit(docs), AHEAD)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
