@@ -11,17 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; only where none is set (tests), a local one is made and set."""
+    """The cluster's checkpoint folder; where none is set, a local one is made and set if all runs on this machine, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="walletgraph-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/walletgraph-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/walletgraph/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -30,8 +37,8 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 def clean(spark: SparkSession) -> None:
-    """Deletes all work tables of all sessions that share the folder; for when no result that reads them is needed."""
-    drop_path(spark, f"{shared_dir(spark)}/walletgraph")
+    """Deletes all work tables of this run; for when no result that reads them is needed."""
+    drop_path(spark, run_dir(spark))
 
 
 def send(spark: SparkSession, value: object) -> Broadcast:
