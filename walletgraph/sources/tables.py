@@ -19,14 +19,30 @@ def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).csv(path, header=True)
 
 
-def write_chunks(df: DataFrame, path: str, chunk: str = "chunk") -> None:
-    """A folder for each chunk; chunks that are there already are replaced."""
-    df.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(chunk).parquet(path)
+def write_chunks(df: DataFrame, path: str, chunk: str = "chunk", kind: str = "parquet") -> None:
+    """A folder for each chunk, of Parquet or CSV with a header; chunks that are there already are replaced.
 
+    _SUCCESS goes before the first chunk is touched and is there again once all are whole: replacing some chunks, Spark sets none."""
+    options = {"header": True} if kind == "csv" else {}
+    system, mark = _mark(df.sparkSession, path)
+    system.delete(mark, False)
+    df.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(chunk).format(kind).options(**options).save(path)
+    system.create(mark, True).close()
 
-def is_whole(spark: SparkSession, path: str) -> bool:
+
+def read_chunk(spark: SparkSession, path: str, chunk: int, kind: StructType, name: str = "chunk") -> DataFrame:
+    """One chunk of CSV."""
+    return read_csv(spark, f"{path}/{name}={chunk}", kind)
+
+
+def _mark(spark: SparkSession, path: str):
     mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()), mark
+
+
+def is_whole(spark: SparkSession, path: str) -> bool:
+    system, mark = _mark(spark, path)
+    return system.exists(mark)
 
 
 def fit_columns(df: DataFrame, kind: StructType) -> DataFrame:
