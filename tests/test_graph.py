@@ -86,5 +86,6 @@ def test_edges_and_neighbors(spark):
     assert sorted(r.wallet for r in C.neighbors(pairs, 3).collect()) == [2, 4]
     assert dict(map(tuple, C.one_hop_label(pairs).collect())) == {2: 2, 3: 2, 4: 3, 7: 7}
     found = C.components(pairs)
-    assert sorted((r.component, r.members) for r in C.members(found).collect()) == [(2, [2, 3, 4]), (7, [7])]
+    assert sorted((r.component, r.part, r.members) for r in C.members(found, size=2).collect()) == [(2, 0, [2, 3]), (2, 1, [4]), (7, 0, [7])]
+    assert sorted(map(tuple, C.positions(found).collect())) == [(2, 0, 2), (2, 1, 3), (2, 2, 4), (7, 0, 7)]
     assert sorted(map(tuple, C.numbered(found).collect())) == sorted(map(tuple, C.cluster(pairs).collect()))

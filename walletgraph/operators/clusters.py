@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from walletgraph.operators.graph import connected_components
+from walletgraph.operators.graph import SMALL, connected_components
 from walletgraph.operators.normalize import dictionary
+from walletgraph.shared import Table
+
+#: Wallets of a cluster in one row.
+MEMBERS = 1000
 
 
 def star_edges(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet") -> DataFrame:
@@ -15,9 +19,9 @@ def star_edges(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet") -> Data
     return pairs.where(F.col(tx).isNotNull() & F.col(wallet).isNotNull()).select(F.col(wallet).alias("a"), least.alias("b")).distinct()
 
 
-def components(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet") -> DataFrame:
+def components(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet", small: int = SMALL) -> DataFrame:
     """(wallet, component): the smallest wallet that it is linked to; wallets that are alone are their own."""
-    return connected_components(star_edges(pairs, tx, wallet)).select(F.col("node").alias(wallet), "component")
+    return connected_components(star_edges(pairs, tx, wallet), small=small).select(F.col("node").alias(wallet), "component")
 
 
 def cluster(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet") -> DataFrame:
@@ -26,9 +30,18 @@ def cluster(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet") -> DataFra
     return found.join(dictionary(found, "component", "cluster_id"), "component").select(wallet, "cluster_id")
 
 
-def members(found: DataFrame, wallet: str = "wallet", group: str = "component") -> DataFrame:
-    """A row for each group with its wallets in order."""
-    return found.groupBy(group).agg(F.sort_array(F.collect_list(wallet)).alias("members"))
+def positions(found: DataFrame, wallet: str = "wallet", group: str = "component") -> DataFrame:
+    """(group, position, wallet): each group's wallets in order, from 0; no task holds a whole group."""
+    key = F.struct(F.col(group).alias("g"), F.col(wallet).alias("w"))
+    placed = Table(dictionary(found.withColumn("__key", key), "__key", "__n").select("__key.g", "__key.w", "__n"), "positions")
+    first = placed.df.groupBy("g").agg(F.min("__n").alias("__first"))
+    return placed.df.join(first, "g").select(F.col("g").alias(group), (F.col("__n") - F.col("__first")).alias("position"), F.col("w").alias(wallet))
+
+
+def members(found: DataFrame, wallet: str = "wallet", group: str = "component", size: int = MEMBERS) -> DataFrame:
+    """(group, part, members): each group's wallets in order, `size` of them a row."""
+    placed = positions(found, wallet, group).withColumn("part", F.expr(f"position DIV {size}"))
+    return placed.groupBy(group, "part").agg(F.sort_array(F.collect_list(wallet)).alias("members"))
 
 
 def sizes(found: DataFrame, group: str = "component") -> DataFrame:
@@ -36,7 +49,9 @@ def sizes(found: DataFrame, group: str = "component") -> DataFrame:
 
 
 def spend_edges(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet") -> DataFrame:
-    """Distinct (a, b), a < b, of wallets in one transaction: a report of links; components use stars."""
+    """Distinct (a, b), a < b, of wallets in one transaction: a report of links; components use stars.
+
+    A transaction of n inputs has n (n - 1) / 2 of them; n is bounded by its block's size, some thousands."""
     left, right = pairs.select(tx, F.col(wallet).alias("a")), pairs.select(tx, F.col(wallet).alias("b"))
     return left.join(right, tx).where("a < b").select("a", "b").distinct()
 

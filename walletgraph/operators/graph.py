@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from walletgraph.shared import Table
 
-#: Edges that one task can hold; above it, stars are contracted by joins.
-SMALL = 2_000_000
+#: Edges that one task can hold, and bytes of their nodes if these are strings; above it, stars are contracted by joins.
+SMALL, SMALL_BYTES = 2_000_000, 64 << 20
 
 
 def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,8 +49,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", small: in
     kind = named.schema["a"].dataType.simpleString()
     held = None if cheap else Table(named, "edges")
     named = held.df if held else named
-    size = named.count()
-    if size <= small:
+    length = F.sum(F.octet_length("a") + F.octet_length("b")) if kind in ("string", "binary") else F.lit(0)
+    size, width = named.agg(F.count("*"), length).first()
+    if size <= small and (width or 0) <= SMALL_BYTES:
 
         def solve(batches):
             parts = [x for x in batches if x.num_rows]

@@ -53,11 +53,17 @@ def unmapped_keys(outputs: DataFrame, known: DataFrame | None = None) -> DataFra
 
 
 def derived(keys: DataFrame, column: str = "address", n_child: int = CHILDREN) -> DataFrame:
-    """(key, forms) of distinct keys, spread over all tasks for the costly part; forms is NULL for an unusable key."""
+    """(key, forms) of distinct keys, spread over all tasks for the costly part; forms is NULL for an unusable key.
+
+    Each key is derived once: the forms are written before anything filters on them, as a filter would make the planner derive them again."""
+    return Table(_underived(keys, column).withColumn("forms", derive_addresses(n_child)("key")), "forms", rebalance=False).df
+
+
+def _underived(keys: DataFrame, column: str) -> DataFrame:
+    """Distinct keys, dealt out in turn: dealt by key, they would stay where the aggregation put them, few small rows in one task."""
     spark = keys.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    distinct = keys.select(F.col(column).alias("key")).where("key is not null").distinct().repartition(tasks, "key")  # adaptive execution would put few small rows into one task
-    return distinct.withColumn("forms", derive_addresses(n_child)("key"))
+    return keys.select(F.col(column).alias("key")).where("key is not null").distinct().repartition(tasks)
 
 
 def unusable_keys(forms: DataFrame) -> DataFrame:
@@ -88,11 +94,18 @@ def one_root(hashes: DataFrame) -> DataFrame:
     return hashes.groupBy("hash").agg(F.min("root_hash").alias("root_hash"))
 
 
+def with_root(rows: DataFrame, normalized: DataFrame, *spread: str) -> DataFrame:
+    """Rows with the root_hash of their address. Rows without an address, which may be very many, match nothing: their keys are dealt out by other columns."""
+    none = F.concat(F.lit("\0"), F.xxhash64(*spread).cast("string"))
+    own = rows.withColumn("__key", F.coalesce("address", none))
+    return own.join(one_root(normalized).withColumnRenamed("hash", "__key"), "__key", "left").drop("__key")
+
+
 def wallet_ids(inputs: DataFrame, hashes: DataFrame, normalized: DataFrame) -> DataFrame:
     """Inputs with vin_wallet_id: the root of the spent output's address, else that address."""
     address = hashes.groupBy("txid", "vout_n").agg(F.min(_blank("address")).alias("address"))
     spent = inputs.join(address.withColumnsRenamed({"txid": "vin_txid", "vout_n": "vin_vout"}), ["vin_txid", "vin_vout"], "left")
-    return spent.join(one_root(normalized).withColumnRenamed("hash", "address"), "address", "left").select(*(c for c in inputs.columns if c != "vin_wallet_id"), F.coalesce("root_hash", "address").alias("vin_wallet_id"))
+    return with_root(spent, normalized, "txid", "vin_txid", "vin_vout").select(*(c for c in inputs.columns if c != "vin_wallet_id"), F.coalesce("root_hash", "address").alias("vin_wallet_id"))
 
 
 def input_nodes(inputs: DataFrame, outputs: DataFrame, normalized: DataFrame, edge_key: str = "spending") -> DataFrame:
@@ -100,8 +113,7 @@ def input_nodes(inputs: DataFrame, outputs: DataFrame, normalized: DataFrame, ed
     tx = {"spending": "txid", "funding": "vin_txid"}[edge_key]
     out = outputs.select(F.col("txid").alias("vin_txid"), F.col("vout_n").alias("vin_vout"), _blank("address").alias("address"))
     rows = inputs.where("vin_txid is not null").select(F.col(tx).alias("tx"), F.col("vin_txid"), "vin_vout").join(out, ["vin_txid", "vin_vout"])
-    rows = rows.join(one_root(normalized).withColumnRenamed("hash", "address"), "address", "left")
-    return rows.select("tx", node_id("root_hash", "address", "vin_txid", "vin_vout").alias("node")).distinct()
+    return with_root(rows, normalized, "vin_txid", "vin_vout").select("tx", node_id("root_hash", "address", "vin_txid", "vin_vout").alias("node")).distinct()
 
 
 def match_inputs(inputs: DataFrame, outputs: DataFrame, extra: tuple[str, ...] = ("value_sats",)) -> DataFrame:

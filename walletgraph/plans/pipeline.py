@@ -45,14 +45,14 @@ def run_tables(tables: dict[str, DataFrame], settings: Settings = Settings()) ->
     Returns outputs and inputs (trimmed), normalized_hashes, unusable_keys, nodes, clusters and balances."""
     outputs, inputs = tables["outputs"], tables["inputs"]
     outputs = Table(N.parse_pubkey_descriptors(N.apply_reveals(outputs, inputs)), "outputs").df
-    forms = Table(N.derived(N.unmapped_keys(outputs), n_child=settings.n_child), "forms").df
+    forms = N.derived(N.unmapped_keys(outputs), n_child=settings.n_child)
     normalized = Table(N.normalized_hashes(forms, settings.root), "normalized").df
     lean_outputs, lean_inputs = N.trim(outputs, inputs)
     nodes = Table(N.input_nodes(inputs, outputs, normalized, settings.edge_key), "nodes").df
     found = C.components(nodes, wallet="node").withColumnRenamed("component", "cluster")
     ids = N.dictionary(found, "cluster", "cluster_id")
     clusters = found.join(ids, "cluster").select(F.col("node").alias("root_hash"), "cluster", "cluster_id")
-    owned = outputs.join(N.one_root(normalized).withColumnRenamed("hash", "address"), "address", "left")
+    owned = N.with_root(outputs, normalized, "txid", "vout_n")
     owned = owned.select("txid", "vout_n", "value_sats", node_id("root_hash", "address", "txid", "vout_n").alias("wallet"))
     times = tables["transactions"].select("txid", "miner_time")
     by_wallet = found.select(F.col("node").alias("wallet"), "cluster")
