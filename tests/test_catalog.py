@@ -61,12 +61,43 @@ def test_all_pairs(spark):
     for tx, wallet in rows:
         orders.setdefault(tx, set()).add(wallet)
     expected = brute([(w, min(own)) for own in orders.values() for w in own])
-    assert set(map(tuple, testbed.all_pairs(spark, DATA).collect())) == rows
-    found = catalog.QUERIES["all_components_min_label"](spark, DATA).collect()
+    assert set(map(tuple, testbed.pairs(spark, DATA).collect())) == rows
+    found = catalog.QUERIES["components_min_label"](spark, DATA).collect()
     assert len(found) == len(expected) and dict(map(tuple, found)) == expected
-    stars = clusters.star_edges(testbed.all_pairs(spark, DATA))
+    stars = clusters.star_edges(testbed.pairs(spark, DATA))
     assert dict(map(tuple, graph.connected_components(stars, small=0).collect())) == expected
-    largest = max(r.n_wallets for r in catalog.QUERIES["all_cluster_sizes"](spark, DATA).collect())
+    largest = max(r.n_wallets for r in catalog.QUERIES["cluster_sizes"](spark, DATA).collect())
     assert largest == max(list(expected.values()).count(c) for c in set(expected.values())) > 0.9 * len(expected)
     edges = {(a, b) for own in orders.values() for a in own for b in own if a < b}
-    assert set(map(tuple, catalog.QUERIES["all_spend_edges"](spark, DATA).collect())) == edges
+    assert set(map(tuple, catalog.QUERIES["spend_edges"](spark, DATA).collect())) == edges
+
+
+def test_extended_keys(spark):
+    """Children of all extended keys, against the plain derivation of each."""
+    from walletgraph import testbed
+    from walletgraph.functions import keys
+
+    known = {r.address: keys.derive_or_none(r.address, 2) for r in testbed.extended_keys(spark, DATA).collect()}
+    got = {}
+    for r in catalog.QUERIES["xpub_children"](spark, DATA).collect():
+        got.setdefault(r.key, {})[r.nth] = r.form
+    assert {k: None if v == {None: None} else [v[i] for i in sorted(v)] for k, v in got.items()} == known
+    assert None in known.values() and any(v and len(v) == 10 for v in known.values())
+
+
+def test_ledger_run(spark):
+    """The whole run over blocks: each node in one cluster, and all clusters' last balances are the unspent outputs."""
+    import collections
+
+    from walletgraph import testbed
+    from walletgraph.operators import balances
+
+    clusters = catalog.QUERIES["ledger_clusters"](spark, DATA).collect()
+    assert len({r.root_hash for r in clusters}) == len(clusters) and {r.cluster_id for r in clusters} == set(range(len({r.cluster for r in clusters})))
+    last = {}
+    for r in sorted(catalog.QUERIES["ledger_balances"](spark, DATA).collect(), key=lambda r: r.miner_time):
+        last[r.cluster] = r.balance
+    unspent = balances.utxo_set(testbed.outputs(spark, DATA), testbed.inputs(spark, DATA), testbed.transactions(spark, DATA), 1 << 40).collect()
+    assert sum(last.values()) == sum(r.value_sats for r in unspent)
+    by_cluster = collections.Counter(r.cluster for r in clusters)
+    assert set(by_cluster) <= set(last)

@@ -111,6 +111,40 @@ def test_tables(spark, tmp_path):
     assert tables.concat(df, df.drop("vin_vout")).count() == 4
 
 
+def test_derivation_is_spread(spark):
+    """Each key is derived once, and the keys lie in as many partitions as there are tasks."""
+    keys = spark.range(200).selectExpr("'02' || sha2(cast(id % 150 as string), 256) AS address")
+    planned = N._underived(keys, "address")
+    sizes = [n for n in planned.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    assert len(sizes) == 8 and sum(sizes) == 150 and max(sizes) < 40
+    forms = N.derived(keys)
+    assert "ArrowEvalPython" not in forms.where("forms is not null")._jdf.queryExecution().toString()
+    assert {r.key: r.forms for r in forms.collect()} == {r.address: K.derive_or_none(r.address) for r in keys.distinct().collect()}
+
+
+def test_shared_folder(spark):
+    """Off a local master a folder must be named; runs have folders of their own."""
+    from types import SimpleNamespace as Fake
+
+    from walletgraph import shared
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        context = Fake(master=master, getCheckpointDir=lambda: None)
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared.shared_dir(Fake(conf=Fake(get=lambda *_: None), sparkContext=context))
+    named = Fake(conf=Fake(get=lambda *_: "hdfs://x/y/"), sparkContext=Fake(applicationId="a1"))
+    assert shared.new_path(named, "t").startswith("hdfs://x/y/walletgraph-a1/t-")
+
+
+def test_csv_chunks(spark, tmp_path):
+    df = spark.createDataFrame([(0, "a", None), (0, "b", 2), (1, "c", 3)], "chunk long, txid string, vin_vout int")
+    for _ in range(2):
+        tables.write_chunks(df, str(tmp_path / "c"), kind="csv")
+    kind = df.drop("chunk").schema
+    assert sorted(map(tuple, tables.read_chunk(spark, str(tmp_path / "c"), 0, kind).collect())) == [("a", None), ("b", 2)]
+    assert tables.read_chunk(spark, str(tmp_path / "c"), 1, kind).count() == 1 and tables.is_whole(spark, str(tmp_path / "c"))
+
+
 def test_calls(spark):
     tries = []
 

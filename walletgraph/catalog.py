@@ -13,7 +13,9 @@ from walletgraph.functions import script as S
 from walletgraph.operators import balances as B
 from walletgraph.operators import clusters as C
 from walletgraph.operators import normalize as N
-from walletgraph.sources import tables
+from walletgraph.plans import pipeline
+from walletgraph.shared import new_path
+from walletgraph.sources import blocks, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,18 +33,6 @@ def query(oracle: str | None = None, *ctes: str):
     return register
 
 
-def pairs_query(oracle: str, *ctes: str):
-    """Registers a query over the clustering workload's pairs, and as all_... the same over all pairs."""
-
-    def register(f):
-        name = f"all_{f.__name__}"
-        QUERIES[name] = lambda spark, d: f(spark, d, T.all_pairs)
-        ORACLES[name] = T.sql(oracle, *ctes, whole=True)
-        return query(oracle, *ctes)(f)
-
-    return register
-
-
 # The ledger's tables.
 
 
@@ -63,11 +53,9 @@ def inputs_table(spark, d):
 
 @query("SELECT o_orderkey AS height, (o_orderkey - 0) // 800 AS chunk FROM orders")
 def height_chunks(spark, d):
-    from walletgraph.sources.blocks import chunks
-
     heights = T.table(spark, d, "orders").select(F.col("o_orderkey").alias("height"))
     top = heights.agg(F.max("height")).first()[0] or 0
-    return heights.join(chunks(spark, 0, top), "height").select("height", "chunk")
+    return heights.join(blocks.chunks(spark, 0, top), "height").select("height", "chunk")
 
 
 @query("SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS tx_id, o_orderkey AS txid FROM orders")
@@ -107,10 +95,8 @@ def distinct_pubkeys(spark, d):
 # Script and descriptor functions.
 
 _KEY = "sha256(CAST(p_partkey AS VARCHAR))"
-_DESC = f"""descs AS (SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'pk(02' || {_KEY} || ')#abcd1234' WHEN 1 THEN 'multi(1, 02' || {_KEY} || ',03' || {_KEY} || ')'
-WHEN 2 THEN 'tr(' || {_KEY} || ',{{pk(' || {_KEY} || ')}})' WHEN 3 THEN 'addr(none)' WHEN 4 THEN 'pkh([d34db33f/44''/0'']02' || {_KEY} || ')' ELSE 'wpkh(xpub' || {_KEY} || '/0/*)' END AS descriptor FROM part)"""
-_PATTERN = S.KEY_PATTERN.replace("'", "''")
-_EXTRACT = f"regexp_extract_all(string_split(replace(descriptor, ' ', ''), '#')[1], '{_PATTERN}', 2)"
+# What each form holds, by hand.
+_KEYS = f"CASE p_partkey % 6 WHEN 1 THEN ['02' || {_KEY}, '03' || {_KEY}] WHEN 2 THEN [{_KEY}, {_KEY}] WHEN 3 THEN [] WHEN 5 THEN ['xpub' || {_KEY} || '/0/*'] ELSE ['02' || {_KEY}] END"
 
 
 def _descriptors(spark: SparkSession, d: str) -> DataFrame:
@@ -126,12 +112,12 @@ def _descriptors(spark: SparkSession, d: str) -> DataFrame:
     return T.table(spark, d, "part").select(p, out.alias("descriptor"))
 
 
-@query(f"WITH {_DESC} SELECT p_partkey, array_to_string({_EXTRACT}, ',') AS keys, CAST(len({_EXTRACT}) AS INTEGER) AS n_keys FROM descs")
+@query(f"SELECT p_partkey, array_to_string({_KEYS}, ',') AS keys, CAST(len({_KEYS}) AS INTEGER) AS n_keys FROM part")
 def parse_desc_keys(spark, d):
     return _descriptors(spark, d).select("p_partkey", F.array_join(S.parse_desc("descriptor"), ",").alias("keys"), F.size(S.parse_desc("descriptor")).alias("n_keys"))
 
 
-@query(f"WITH {_DESC} SELECT p_partkey, {_EXTRACT}[1] AS key FROM descs")
+@query(f"SELECT p_partkey, ({_KEYS})[1] AS key FROM part")
 def parse_desc_first(spark, d):
     return _descriptors(spark, d).select("p_partkey", S.first_desc_key("descriptor").alias("key"))
 
@@ -202,9 +188,62 @@ def decompressed_pubkeys(spark, d):
 
 @query()
 def xpub_children(spark, d):
-    known = "xpub69H7F5d8KSRgmmdJg2KhpAK8SR3DjMwAdkxj3ZuxV27CprR9LgpeyGmXUbC6wb7ERfvrnKZjXoUmmDznezpbZb7ap6r1D3tgFxHmwMkQTPH"
-    one = spark.range(1).select(F.lit(known).alias("key"))
-    return one.select(F.explode(K.derive_addresses()("key")).alias("form"))
+    return N.derived(T.extended_keys(spark, d), n_child=2).select("key", F.posexplode_outer("forms").alias("nth", "form"))
+
+
+_FORMS = "forms AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS key, sha256('a' || p_partkey // 2) AS a, sha256('b' || p_partkey) AS b, sha256('c' || p_partkey // 2) AS c, sha256('d' || p_partkey) AS d, sha256('e' || p_partkey) AS e FROM part WHERE p_partkey % 7 <> 0)"
+_TUPLE = "sha256('(''' || a || ''', ''' || b || ''', ''' || c || ''', ''' || e || ''')')"
+
+
+@query(f"WITH {_FORMS} SELECT DISTINCT unnest([a, b, c, d, e]) AS hash, a AS root_hash FROM forms")
+def normalized_roots_v2(spark, d):
+    return N.normalized_hashes(T.forms(spark, d))
+
+
+@query(f"WITH {_FORMS}, r AS (SELECT key, unnest([a, b, c, e]) AS hash, {_TUPLE} AS root FROM forms) SELECT hash, min_by(root, key) AS root_hash FROM r GROUP BY hash")
+def normalized_roots_v1(spark, d):
+    return N.normalized_hashes(T.forms(spark, d), N.ROOT_TUPLE)
+
+
+@query("SELECT lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS key FROM part WHERE p_partkey % 7 = 0")
+def unusable_roots(spark, d):
+    return N.unusable_keys(T.forms(spark, d))
+
+
+# Blocks.
+
+
+def _shredded(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Through JSON lines in the shared folder, as landed blocks are."""
+    path = new_path(spark, "blocks")
+    T.blocks(spark, d).write.text(path)
+    return blocks.shred(blocks.read_blocks(spark, path))
+
+
+@query("SELECT CAST(txid AS VARCHAR) AS txid, t - 600 AS median_blocktime, t AS miner_time, CAST(0 AS BIGINT) AS locktime FROM txs JOIN (SELECT txid // 8 AS height, min(miner_time) AS t FROM txs GROUP BY ALL) b ON b.height = txid // 8", "txs")
+def shredded_transactions(spark, d):
+    return _shredded(spark, d)["transactions"]
+
+
+@query("SELECT CAST(txid AS VARCHAR) AS txid, vout_n, value_sats, descriptor, nullif(address, '') AS address, descriptor_type FROM keyed", "keyed")
+def shredded_outputs(spark, d):
+    return _shredded(spark, d)["outputs"]
+
+
+@query("SELECT CAST(txid AS VARCHAR) AS txid, CAST(vin_txid AS VARCHAR) AS vin_txid, vin_vout, vin_asm, witness_data FROM shown", "shown")
+def shredded_inputs(spark, d):
+    return _shredded(spark, d)["inputs"]
+
+
+@query()
+def ledger_clusters(spark, d):
+    """The whole run, from blocks."""
+    return pipeline.run_tables(_shredded(spark, d))["clusters"]
+
+
+@query()
+def ledger_balances(spark, d):
+    return pipeline.run_tables(_shredded(spark, d))["balances"]
 
 
 # Joins and updates.
@@ -281,6 +320,23 @@ def sibling_edges(spark, d):
     return C.spend_edges(_nodes(spark, d, "funding"), wallet="node")
 
 
+_COMPONENTS = "pairs AS (SELECT tx, node AS wallet FROM nodes), " + ", ".join(T.SQL[x] for x in ("star", "reach", "comps"))
+
+
+def _component_oracle(tx: str) -> str:
+    return T.sql("", "ins", "keyed", "norm").rstrip() + f", {_NODES.format(tx=tx)}, {_COMPONENTS} SELECT wallet AS node, component FROM comps"
+
+
+@query(_component_oracle("i.txid"))
+def node_components(spark, d):
+    return C.components(_nodes(spark, d, "spending"), wallet="node")
+
+
+@query(_component_oracle("i.vin_txid"))
+def node_components_funding(spark, d):
+    return C.components(_nodes(spark, d, "funding"), wallet="node")
+
+
 @query("SELECT DISTINCT address FROM keyed WHERE descriptor_type = 'pubkey' AND address <> '' AND NOT EXISTS (SELECT 1 FROM norm WHERE hash = address)", "keyed", "norm")
 def unmapped_outputs(spark, d):
     return N.unmapped_keys(T.addresses(T.outputs(spark, d)), T.normalized(spark, d))
@@ -312,50 +368,56 @@ def upsert_clusters(spark, d):
 # Graph operators.
 
 
-@pairs_query("SELECT DISTINCT x.wallet AS a, y.wallet AS b FROM pairs x JOIN pairs y ON x.tx = y.tx AND x.wallet < y.wallet", "pairs")
-def spend_edges(spark, d, source=T.pairs):
-    return C.spend_edges(source(spark, d))
+@query("SELECT DISTINCT x.wallet AS a, y.wallet AS b FROM pairs x JOIN pairs y ON x.tx = y.tx AND x.wallet < y.wallet", "pairs")
+def spend_edges(spark, d):
+    return C.spend_edges(T.pairs(spark, d))
 
 
-@pairs_query("SELECT DISTINCT y.wallet FROM pairs x JOIN pairs y ON x.tx = y.tx AND x.wallet <> y.wallet WHERE x.wallet = (SELECT min(wallet) FROM pairs JOIN (SELECT tx FROM pairs GROUP BY tx HAVING count(*) > 1) USING (tx))", "pairs")
-def neighbors(spark, d, source=T.pairs):
-    pairs = source(spark, d)
+@query("SELECT DISTINCT y.wallet FROM pairs x JOIN pairs y ON x.tx = y.tx AND x.wallet <> y.wallet WHERE x.wallet = (SELECT min(wallet) FROM pairs JOIN (SELECT tx FROM pairs GROUP BY tx HAVING count(*) > 1) USING (tx))", "pairs")
+def neighbors(spark, d):
+    pairs = T.pairs(spark, d)
     shared = pairs.groupBy("tx").count().where("count > 1").select("tx")
     of = pairs.join(shared, "tx", "left_semi").agg(F.min("wallet")).first()[0]
     return C.neighbors(pairs, of)
 
 
-@pairs_query("SELECT wallet, component FROM comps", "comps")
-def components_min_label(spark, d, source=T.pairs):
-    return C.components(source(spark, d))
+@query("SELECT wallet, component FROM comps", "comps")
+def components_min_label(spark, d):
+    return C.components(T.pairs(spark, d))
+
+
+@query("SELECT wallet, component FROM comps", "comps")
+def components_by_stars(spark, d):
+    """By rounds of joins, as for graphs that no task can hold."""
+    return C.components(T.pairs(spark, d), small=0)
 
 
-@pairs_query("SELECT wallet, dense_rank() OVER (ORDER BY component) - 1 AS cluster_id FROM comps", "comps")
-def cluster_dense_id(spark, d, source=T.pairs):
-    return C.cluster(source(spark, d))
+@query("SELECT wallet, dense_rank() OVER (ORDER BY component) - 1 AS cluster_id FROM comps", "comps")
+def cluster_dense_id(spark, d):
+    return C.cluster(T.pairs(spark, d))
 
 
-@pairs_query("SELECT component, string_agg(wallet, ',' ORDER BY wallet) AS members FROM comps GROUP BY component", "comps")
-def cluster_members(spark, d, source=T.pairs):
-    found = C.members(C.components(source(spark, d)))
-    return found.select("component", F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
+@query(f"SELECT component, (n - 1) // {C.MEMBERS} AS part, string_agg(wallet, ',' ORDER BY n) AS members FROM (SELECT *, row_number() OVER (PARTITION BY component ORDER BY wallet) AS n FROM comps) GROUP BY ALL", "comps")
+def cluster_members(spark, d):
+    found = C.members(C.components(T.pairs(spark, d)))
+    return found.select("component", "part", F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
 
 
-@pairs_query("SELECT component, count(*) AS n_wallets FROM comps GROUP BY component", "comps")
-def cluster_sizes(spark, d, source=T.pairs):
-    return C.sizes(C.components(source(spark, d)))
+@query("SELECT component, count(*) AS n_wallets FROM comps GROUP BY component", "comps")
+def cluster_sizes(spark, d):
+    return C.sizes(C.components(T.pairs(spark, d)))
 
 
-@pairs_query("SELECT wallet, dense_rank() OVER (ORDER BY f, component) AS cluster_id FROM comps JOIN (SELECT component, max(wallet) AS f FROM comps GROUP BY component) USING (component)", "comps")
-def visited_order(spark, d, source=T.pairs):
-    found = C.components(source(spark, d))
+@query("SELECT wallet, dense_rank() OVER (ORDER BY f, component) AS cluster_id FROM comps JOIN (SELECT component, max(wallet) AS f FROM comps GROUP BY component) USING (component)", "comps")
+def visited_order(spark, d):
+    found = C.components(T.pairs(spark, d))
     latest = found.groupBy("component").agg(F.max("wallet").alias("seed"))
     return C.visited_order(found.join(latest, "component"), "seed")
 
 
-@pairs_query("SELECT wallet, min(m) AS label FROM pairs JOIN (SELECT tx, min(wallet) AS m FROM pairs GROUP BY tx) USING (tx) GROUP BY wallet", "pairs")
-def one_hop_label(spark, d, source=T.pairs):
-    return C.one_hop_label(source(spark, d))
+@query("SELECT wallet, min(m) AS label FROM pairs JOIN (SELECT tx, min(wallet) AS m FROM pairs GROUP BY tx) USING (tx) GROUP BY wallet", "pairs")
+def one_hop_label(spark, d):
+    return C.one_hop_label(T.pairs(spark, d))
 
 
 _ROWS = """r AS (SELECT p_partkey AS row_id, CASE WHEN p_partkey % 4 < 2 THEN 'u' || (p_partkey // 4) END AS u, CASE WHEN p_partkey % 4 IN (1, 2) THEN 'c' || (p_partkey // 4) END AS c,
@@ -379,33 +441,33 @@ def match_addresses(spark, d):
 # Balances.
 
 
-def _clusters(spark: SparkSession, d: str, source: Callable) -> DataFrame:
-    return C.components(source(spark, d)).withColumnRenamed("component", "cluster")
+def _clusters(spark: SparkSession, d: str) -> DataFrame:
+    return C.components(T.pairs(spark, d)).withColumnRenamed("component", "cluster")
 
 
-def _flows(spark: SparkSession, d: str, source: Callable) -> DataFrame:
-    outs, txs, clusters = T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d, source)
+def _flows(spark: SparkSession, d: str) -> DataFrame:
+    outs, txs, clusters = T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d)
     return B.credits(outs, txs, clusters).unionByName(B.debits(T.inputs(spark, d).drop("wallet"), outs, txs, clusters))
 
 
-@pairs_query("SELECT cluster, miner_time, CAST(sum(delta) AS BIGINT) AS delta FROM flows WHERE delta > 0 GROUP BY ALL", "flows")
-def cluster_credits(spark, d, source=T.pairs):
-    return B.by_time(B.credits(T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d, source)))
+@query("SELECT cluster, miner_time, CAST(sum(delta) AS BIGINT) AS delta FROM flows WHERE delta > 0 GROUP BY ALL", "flows")
+def cluster_credits(spark, d):
+    return B.by_time(B.credits(T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d)))
 
 
-@pairs_query("SELECT cluster, miner_time, CAST(sum(delta) AS BIGINT) AS delta FROM flows WHERE delta < 0 GROUP BY ALL", "flows")
-def cluster_debits(spark, d, source=T.pairs):
-    return B.by_time(B.debits(T.inputs(spark, d).drop("wallet"), T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d, source)))
+@query("SELECT cluster, miner_time, CAST(sum(delta) AS BIGINT) AS delta FROM flows WHERE delta < 0 GROUP BY ALL", "flows")
+def cluster_debits(spark, d):
+    return B.by_time(B.debits(T.inputs(spark, d).drop("wallet"), T.outputs(spark, d), T.transactions(spark, d), _clusters(spark, d)))
 
 
-@pairs_query("SELECT cluster, txid, CAST(sum(delta) AS BIGINT) AS delta FROM flows GROUP BY ALL", "flows")
-def net_flows(spark, d, source=T.pairs):
-    return B.net_flows(_flows(spark, d, source))
+@query("SELECT cluster, txid, CAST(sum(delta) AS BIGINT) AS delta FROM flows GROUP BY ALL", "flows")
+def net_flows(spark, d):
+    return B.net_flows(_flows(spark, d))
 
 
-@pairs_query("SELECT cluster, miner_time, CAST(sum(delta) OVER (PARTITION BY cluster ORDER BY miner_time) AS BIGINT) AS balance FROM (SELECT cluster, miner_time, sum(delta) AS delta FROM flows GROUP BY ALL)", "flows")
-def balance_through_time(spark, d, source=T.pairs):
-    return B.balance_through_time(_flows(spark, d, source))
+@query("SELECT cluster, miner_time, CAST(sum(delta) OVER (PARTITION BY cluster ORDER BY miner_time) AS BIGINT) AS balance FROM (SELECT cluster, miner_time, sum(delta) AS delta FROM flows GROUP BY ALL)", "flows")
+def balance_through_time(spark, d):
+    return B.balance_through_time(_flows(spark, d))
 
 
 #: 1997-01-01, within the orders' dates.

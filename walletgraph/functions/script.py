@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The key forms of output descriptors, tried in this order.
-KEY_ORIGIN = r"(\[[0-9A-Fa-f]{8}(?:/[0-9]+'?)*\])?"
-EXTENDED_KEY = r"(?:[xtyzuv]pub|[xt]prv)[A-Za-z0-9]+(?:/[0-9]+'?)*(?:/\*)?'?"
-COMPRESSED_KEY = "0[23][0-9A-Fa-f]{64}"
-UNCOMPRESSED_KEY = "04[0-9A-Fa-f]{128}"
-X_ONLY_KEY = "[0-9A-Fa-f]{64}"
-WIF_KEY = "[1-9A-HJ-NP-Za-km-z]{50,52}"
+# Prefixes of extended public keys.
 EXTENDED_PREFIXES = ("xpub", "tpub", "ypub", "zpub", "vpub")
 
-KEY_PATTERN = f"{KEY_ORIGIN}({'|'.join((EXTENDED_KEY, COMPRESSED_KEY, UNCOMPRESSED_KEY, X_ONLY_KEY, WIF_KEY))})"
+_STEP = r"/[0-9]+['h]?"
+_HEX = "[0-9A-Fa-f]"
+#: Key expressions of output descriptors, as their public grammar has them: an origin in brackets, then (group 2) an extended
+#: key of any one-letter network with its path, a key in hex (compressed, uncompressed or x only), or a private key in Base58.
+#: Steps are hardened by ' or h.
+KEY_PATTERN = rf"(\[{_HEX}{{8}}(?:{_STEP})*\])?([A-Za-z](?:pub|prv)[0-9A-Za-z]+(?:{_STEP})*(?:/\*['h]?)?|(?:0[23]|04{_HEX}{{64}})?{_HEX}{{64}}|[1-9A-HJ-NP-Za-km-z]{{50,52}})"
 
 
 def _column(c: Column | str) -> Column:

@@ -6,12 +6,11 @@ order that touches a wallet spends the output.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Pairs of this quantity and more make the clustering workload: many components, the largest of some ten wallets.
-QUANTITY = 48
-
+from walletgraph.functions.keys import base58check
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -36,12 +35,8 @@ def inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spends.unionByName(first, allowMissingColumns=True)
 
 
-def pairs(spark: SparkSession, sf_dir: str, quantity: int = QUANTITY) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= quantity).select(F.col("l_orderkey").alias("tx"), F.col("l_partkey").alias("wallet")).distinct()
-
-
-def all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the whole table: nearly all wallets are one component."""
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wallets of each order: nearly all wallets are one component."""
     return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("tx"), F.col("l_partkey").alias("wallet")).distinct()
 
 
@@ -66,14 +61,48 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.concat(F.lit("P"), p.cast("string")).alias("hash"), F.concat(F.lit("R"), (p / 4).cast("bigint").cast("string")).alias("root_hash"))
 
 
+def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): blocks as a node writes them in JSON, eight orders' keys to a block, at its first order's time."""
+    outs, ins, txs = addresses(outputs(spark, sf_dir)), scripts(inputs(spark, sf_dir)), transactions(spark, sf_dir)
+    address = F.when(F.col("address") != "", F.col("address"))
+    vout = F.struct((F.col("value_sats").cast("decimal(24,0)") / 100_000_000).cast("decimal(16,8)").alias("value"), F.col("vout_n").alias("n"), F.struct(F.col("descriptor").alias("desc"), address.alias("address"), F.col("descriptor_type").alias("type")).alias("scriptPubKey"))
+    script = F.when(F.col("vin_asm").isNotNull(), F.struct(F.col("vin_asm").alias("asm")))
+    vin = F.struct(F.col("vin_txid").cast("string").alias("txid"), F.col("vin_vout").alias("vout"), script.alias("scriptSig"), F.split("witness_data", ", ").alias("txinwitness"))
+    paid, spent = outs.groupBy("txid").agg(F.collect_list(vout).alias("vout")), ins.groupBy("txid").agg(F.collect_list(vin).alias("vin"))
+    whole = txs.join(paid, "txid", "left").join(spent, "txid", "left")
+    tx = F.struct(F.col("txid").cast("string").alias("txid"), F.lit(0).alias("locktime"), "vin", "vout")
+    rows = whole.groupBy(F.expr("txid DIV 8").alias("height")).agg(F.min("miner_time").alias("time"), F.collect_list(tx).alias("tx"))
+    return rows.select(F.to_json(F.struct("height", F.concat(F.lit("h"), F.col("height").cast("string")).alias("hash"), (F.col("time") - 600).alias("mediantime"), "time", "tx")).alias("value"))
+
+
+def extended_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extended public key for each part; every second one is no point of the curve."""
+
+    @F.pandas_udf("string")
+    def encode(chains: pd.Series, keys: pd.Series) -> pd.Series:
+        return pd.Series([base58check(bytes.fromhex("0488b21e010000000000000000" + c + "02" + k)) for c, k in zip(chains, keys, strict=True)], dtype=object)
+
+    p = F.col("p_partkey").cast("string")
+    return table(spark, sf_dir, "part").select(encode(F.sha2(F.concat(F.lit("chain"), p), 256), F.sha2(p, 256)).alias("address"))
+
+
+def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key, forms) as derivation gives them, from digests rather than curve points: every seventh key unusable, two keys to a first and a third form."""
+    p = F.col("p_partkey")
+    form = lambda letter, by: F.sha2(F.concat(F.lit(letter), F.expr(f"p_partkey DIV {by}").cast("string")), 256)
+    own = F.when(p % 7 != 0, F.array(form("a", 2), form("b", 1), form("c", 2), form("d", 1), form("e", 1)))
+    return table(spark, sf_dir, "part").select(F.lpad(p.cast("string"), 12, "0").alias("key"), own.alias("forms"))
+
+
 SQL = {
     "txs": "txs AS (SELECT o_orderkey AS txid, CAST(epoch(o_orderdate) AS BIGINT) AS miner_time FROM orders)",
     "outs": "outs AS (SELECT l_orderkey AS txid, l_linenumber AS vout_n, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS value_sats, min(l_partkey) AS wallet FROM lineitem GROUP BY ALL)",
     "spends": "spends AS (SELECT * FROM (SELECT lead(txid) OVER (PARTITION BY wallet ORDER BY miner_time, txid, vout_n) AS txid, txid AS vin_txid, vout_n AS vin_vout, wallet FROM outs JOIN txs USING (txid)) WHERE txid <> vin_txid)",
     "ins": "ins AS (SELECT * FROM spends UNION ALL SELECT txid, NULL, NULL, NULL FROM txs WHERE txid NOT IN (SELECT txid FROM spends))",
-    "pairs": f"pairs AS (SELECT DISTINCT l_orderkey AS tx, l_partkey AS wallet FROM lineitem WHERE l_quantity >= {QUANTITY})",
+    "pairs": "pairs AS (SELECT DISTINCT l_orderkey AS tx, l_partkey AS wallet FROM lineitem)",
     "star": "star AS (SELECT DISTINCT wallet AS a, m AS b FROM pairs JOIN (SELECT tx, min(wallet) AS m FROM pairs GROUP BY tx) USING (tx))",
-    "reach": "reach(node, c) AS (SELECT wallet, wallet FROM pairs UNION SELECT e.b, r.c FROM reach r JOIN (SELECT a, b FROM star UNION SELECT b, a FROM star) e ON r.node = e.a)",
+    # One label a node: the smallest met so far. Without a key the recursion would keep all labels that reach a node, quadratic in the giant component.
+    "reach": "reach(node, c) USING KEY (node) AS (SELECT DISTINCT wallet, wallet FROM pairs UNION SELECT e.b, min(r.c) FROM reach r JOIN (SELECT a, b FROM star UNION SELECT b, a FROM star) e ON r.node = e.a JOIN recurring.reach x ON x.node = e.b WHERE r.c < x.c GROUP BY e.b)",
     "comps": "comps AS (SELECT node AS wallet, min(c) AS component FROM reach GROUP BY node)",
     "keyed": "keyed AS (SELECT txid, vout_n, value_sats, 'pk(02' || sha256(CAST(wallet AS VARCHAR)) || ')#qwerty12' AS descriptor, CASE WHEN wallet % 5 = 0 THEN '' ELSE 'P' || wallet END AS address, CASE WHEN wallet % 7 = 0 THEN 'pubkey' WHEN wallet % 3 = 0 THEN 'pubkeyhash' ELSE 'witness_v0_keyhash' END AS descriptor_type FROM outs)",
     "shown": "shown AS (SELECT txid, vin_txid, vin_vout, CASE WHEN vin_txid % 3 = 1 THEN '3044 02' || sha256(CAST(wallet AS VARCHAR)) END AS vin_asm, CASE WHEN vin_txid % 3 = 0 THEN '3045, 02' || sha256(CAST(wallet AS VARCHAR)) END AS witness_data FROM ins)",
@@ -81,18 +110,11 @@ SQL = {
     "flows": "flows AS (SELECT coalesce(component, wallet) AS cluster, txid, miner_time, delta FROM (SELECT wallet, txid, value_sats AS delta FROM outs UNION ALL SELECT o.wallet, i.txid, -o.value_sats FROM spends i JOIN outs o ON o.txid = i.vin_txid AND o.vout_n = i.vin_vout) JOIN txs USING (txid) LEFT JOIN comps USING (wallet))",
 }
 
-#: The same over the whole table. Labels start only from wallets that no transaction links to a smaller one, as all others' would be quadratic in the giant component.
-WHOLE = {
-    "pairs": "pairs AS (SELECT DISTINCT l_orderkey AS tx, l_partkey AS wallet FROM lineitem)",
-    "reach": "reach(node, c) AS (SELECT wallet, wallet FROM pairs p WHERE NOT EXISTS (SELECT 1 FROM star s WHERE s.a = p.wallet AND s.b < s.a) UNION SELECT e.b, r.c FROM reach r JOIN (SELECT a, b FROM star UNION SELECT b, a FROM star) e ON r.node = e.a)",
-}
-
 _NEEDS = {"spends": ["txs", "outs"], "ins": ["spends"], "star": ["pairs"], "reach": ["star"], "comps": ["reach"], "keyed": ["outs"], "shown": ["ins"], "flows": ["spends", "comps"]}
 
 
-def sql(body: str, *names: str, whole: bool = False) -> str:
-    """The body with the common table expressions that it names. whole: with all pairs."""
-    texts = SQL | WHOLE if whole else SQL
+def sql(body: str, *names: str) -> str:
+    """The body with the common table expressions that it names."""
     order: list[str] = []
 
     def need(name: str) -> None:
@@ -103,4 +125,4 @@ def sql(body: str, *names: str, whole: bool = False) -> str:
 
     for name in names:
         need(name)
-    return f"WITH RECURSIVE {', '.join(texts[n] for n in order)} {body}" if order else body
+    return f"WITH RECURSIVE {', '.join(SQL[n] for n in order)} {body}" if order else body
