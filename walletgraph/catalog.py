@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from walletgraph import schema
 from walletgraph import testbed as T
 from walletgraph.functions import keys as K
+from walletgraph.functions import registry
 from walletgraph.functions import script as S
 from walletgraph.operators import balances as B
 from walletgraph.operators import clusters as C
 from walletgraph.operators import normalize as N
 from walletgraph.plans import pipeline
-from walletgraph.shared import new_path
+from walletgraph.shared import Table, new_path
 from walletgraph.sources import blocks, tables
+from walletgraph.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -365,6 +368,90 @@ def upsert_clusters(spark, d):
     return tables.upsert(own, own.where("wallet % 3 = 0").withColumn("cluster_id", F.col("wallet") + 1), ["wallet"])
 
 
+# Sources and sinks.
+
+
+@query("SELECT txid, vout_n, value_sats, txid // 800 AS chunk, wallet FROM outs", "outs")
+def csv_chunks(spark, d):
+    """Written as CSV by chunk of heights, marked once whole, and read back."""
+    path = new_path(spark, "chunks")
+    rows = T.outputs(spark, d).withColumn("chunk", F.expr("txid DIV 800"))
+    tables.write_chunks(rows, path, kind="csv")
+    if not tables.is_whole(spark, path):
+        raise RuntimeError("a chunk is missing")
+    return tables.read_csv(spark, path, rows.schema)
+
+
+@query("SELECT txid, vin_txid, vin_vout FROM ins", "ins")
+def csv_load(spark, d):
+    """Missing values survive a CSV file as empty fields."""
+    path, rows = new_path(spark, "inputs"), T.inputs(spark, d).drop("wallet")
+    tables.write_csv(rows, path)
+    return tables.read_csv(spark, path, rows.schema)
+
+
+@query("SELECT p_partkey AS row_id, p_name AS name FROM part UNION ALL SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT s_suppkey, s_name FROM supplier")
+def create_and_append(spark, d):
+    """A table is created once, however often that is asked, and appended to."""
+    path = new_path(spark, "rows")
+    parts = T.table(spark, d, "part").select(F.col("p_partkey").alias("row_id"), F.col("p_name").alias("name"))
+    suppliers = T.table(spark, d, "supplier").select(F.col("s_suppkey").alias("row_id"), F.col("s_name").alias("name"))
+    for rows in (parts, suppliers):
+        tables.create_if_missing(rows, path)
+    for _ in range(2):
+        tables.append(suppliers, path)
+    return spark.read.parquet(path)
+
+
+@query("SELECT CAST(txid AS VARCHAR) AS txid, CAST(vin_txid AS VARCHAR) AS vin_txid, vin_vout, vin_asm, CAST(NULL AS VARCHAR) AS witness_data FROM shown", "shown")
+def fixed_columns(spark, d):
+    """The schema's columns: one is missing, one too many, and two are of another kind."""
+    return tables.fit_columns(T.scripts(T.inputs(spark, d)).drop("witness_data").withColumn("extra", F.lit(1)), schema.INPUTS)
+
+
+@query("SELECT txid, miner_time, CAST(NULL AS BIGINT) AS value_sats FROM txs UNION ALL SELECT txid, NULL, value_sats FROM outs", "txs", "outs")
+def concatenated(spark, d):
+    return tables.concat(T.transactions(spark, d), T.outputs(spark, d).select("txid", "value_sats"))
+
+
+@query("SELECT txid, vout_n, wallet + 1 AS wallet FROM outs WHERE value_sats % 2 = 1 UNION ALL SELECT txid, vout_n, wallet FROM outs WHERE value_sats % 2 = 0", "outs")
+def staged_update(spark, d):
+    """Updates staged in a work table, then applied to the rows that they name."""
+    rows = T.outputs(spark, d)
+    staged = Table(rows.where("value_sats % 2 = 1").select("txid", "vout_n", (F.col("wallet") + 1).alias("new_wallet")), "staged")
+    return tables.update_from(rows.select("txid", "vout_n", "wallet"), staged.df, ["txid", "vout_n"], {"wallet": F.col("new_wallet")})
+
+
+# Other filters and functions.
+
+
+@query("SELECT txid, vout_n, unnest(CASE WHEN nullif(address, '') IS NOT NULL THEN [address] ELSE regexp_extract_all(string_split(descriptor, '#')[1], '0[23][0-9A-Fa-f]{64}') END) AS address, descriptor_type FROM keyed k WHERE descriptor_type IN ('pubkey', 'pubkeyhash', 'multisig') AND NOT EXISTS (SELECT 1 FROM spends s WHERE s.vin_txid = k.txid AND s.vin_vout = k.vout_n)", "keyed", "spends")
+def output_hashes_unknown(spark, d):
+    """Hashes of outputs that are not known yet; known here: the spent ones."""
+    known = T.inputs(spark, d).where("vin_txid is not null").select(F.col("vin_txid").alias("txid"), F.col("vin_vout").alias("vout_n"))
+    return N.output_hashes(T.addresses(T.outputs(spark, d)), known)
+
+
+@query(f"SELECT p_partkey, array_to_string({_KEYS}, ',') AS keys, p_partkey % 6 = 5 AS extended, CASE WHEN p_partkey % 2 = 0 THEN 'w' || p_partkey ELSE 'a' || p_partkey END AS revealed, 'x' || p_partkey || ',y' AS tokens FROM part")
+def sql_functions(spark, d):
+    """The library's functions under their SQL names."""
+    registry.register(spark)
+    _descriptors(spark, d).createOrReplaceTempView("walletgraph_descriptors")
+    return spark.sql(
+        """SELECT p_partkey, array_join(parse_desc(descriptor), ',') AS keys, coalesce(is_extended_key(get(parse_desc(descriptor), 0)), false) AS extended,
+        revealed_key(IF(p_partkey % 2 = 0, concat('s, w', p_partkey), NULL), concat('s a', p_partkey)) AS revealed, array_join(parse_push_data(concat('OP_1 x', p_partkey, '  OP_2 y')), ',') AS tokens FROM walletgraph_descriptors"""
+    )
+
+
+@query("SELECT wallet, component FROM comps", "comps")
+def streamed_labels(spark, d):
+    """Labels merged batch by batch, as the stream does: the pairs in four batches by order."""
+    labels = None
+    for i in range(4):
+        labels = incremental.merge(labels, T.pairs(spark, d).where(F.pmod("tx", F.lit(4)) == i))
+    return labels.select("wallet", "component")
+
+
 # Graph operators.
 
 
