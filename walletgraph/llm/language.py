@@ -30,6 +30,8 @@ from walletgraph.shared import Table, received, send
 
 #: Texts of the sample: for each language at most, and in all (more only if there are more languages).
 PER_LANGUAGE, SAMPLE, MOST_LANGUAGES = 300, 2400, 10_000
+#: Rows of a language that are ordered: so many times those wanted, and so many more; odds are e^-60 that none is among them.
+OVERSAMPLE, SPARE = 4, 60
 #: Columns that n-grams are hashed into.
 SPACE = 1 << 15
 LANDMARKS, RIDGE = 200, 1e-2
@@ -126,14 +128,19 @@ def held_out(doc_id: str = "doc_id"):
 def fit(docs: DataFrame) -> Model | None:
     """From labelled documents that are not held out; None if there are none."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out())
-    own = usable.select("doc_id", "lang", F.xxhash64("text").alias("print")).distinct()
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "print"), "doc_id", "print")  # its limit is kept before rows of a language meet
-    chosen = Table(own.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PER_LANGUAGE), "chosen")
-    languages = chosen.df.where("nth = 1").count()
+    own = Table(usable.select("doc_id", "lang", F.xxhash64("text").alias("print")).distinct(), "labelled")
+    counts = own.df.groupBy("lang").agg(F.count("*").alias("many"))
+    languages = counts.count()
     if languages > MOST_LANGUAGES:
         raise ValueError(f"{languages} labels are more than {MOST_LANGUAGES}")
-    each = max(1, SAMPLE // max(languages, 1))
-    wanted = chosen.df.where(F.col("nth") <= each).drop("nth")
+    each = max(1, min(PER_LANGUAGE, SAMPLE // max(languages, 1)))
+    # Some times as many as needed of each language, by hash, so that no language's rows meet in one task; then the least.
+    turn = F.xxhash64("doc_id", "print")
+    near = own.df.join(F.broadcast(counts), "lang").where(F.pmod(turn, F.lit(1 << 30).cast("long")).cast("double") * F.col("many") <= F.lit(float((OVERSAMPLE * each + SPARE) << 30)))
+    order = Window.partitionBy("lang").orderBy(F.pmod(turn, F.lit(1 << 30).cast("long")), turn, "doc_id", "print")
+    chosen = Table(near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= each), "chosen")
+    own.drop()
+    wanted = chosen.df.drop("nth")
 
     def mark(batches):
         for batch in batches:
