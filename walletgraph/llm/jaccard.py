@@ -398,13 +398,16 @@ def _pairs(num: int, den: int, mode: str):
 
 
 def _verified(pairs: DataFrame, found: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that link. Only sets that a pair names are moved."""
-    ids = found.sparkSession.sparkContext.broadcast(KeyFilter.of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), "doc_id")[0].bits)
+    """Pairs that link. Only sets that a pair names on that side are moved."""
+    ends = KeyFilter.of(pairs.select(F.posexplode(F.array("a", "b")).alias("side", "doc_id")), "doc_id", 2, "side")
 
-    def named(batches):
-        known = KeyFilter(ids.value)
-        for batch in batches:
-            yield batch.filter(pa.array(known.has(batch["doc_id"].to_numpy())))
+    def named(ids):
+        def run(batches):
+            known = KeyFilter(ids.value)
+            for batch in batches:
+                yield batch.filter(pa.array(known.has(batch["doc_id"].to_numpy())))
+
+        return run
 
     def test(batches):
         for batch in batches:
@@ -415,8 +418,8 @@ def _verified(pairs: DataFrame, found: DataFrame, num: int, den: int) -> DataFra
                 keep.append(den * both >= num * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    some = found.select("doc_id", "grams").mapInArrow(named, "doc_id long, grams binary")
-    x, y = (some.withColumnsRenamed({"doc_id": i, "grams": g}) for i, g in (("a", "x"), ("b", "y")))
+    broadcast = found.sparkSession.sparkContext.broadcast
+    x, y = (found.select("doc_id", "grams").mapInArrow(named(broadcast(end.bits)), "doc_id long, grams binary").toDF(i, g) for end, i, g in zip(ends, ("a", "b"), ("x", "y"), strict=True))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(test, "a long, b long")
 
 
@@ -432,7 +435,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     part, small = max(PART, input_bytes(own) >> PART_SHIFT), boundary(sizes, num, den)
     for turn in range(TURNS):
         prefixes = send(spark, Prefixes(often, counts, twice, cut, small, num, den, part))
-        posted = Table(_postings(own, k, prefixes, n), "postings")
+        posted = Table(_postings(own, k, prefixes, n), "postings", rebalance=False)
         shared = Table(posted.df.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared_keys(4 * part), "kind int, value long, many long"), "shared")
         long = shared.df.where("kind = 2").select("value", "many").toArrow()
         keys, many = long["value"].to_numpy().view(np.uint64), long["many"].to_numpy()
@@ -443,7 +446,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         often, counts = np.r_[often, keys[new]], np.r_[counts, many[new]]
     ids, keys = (spark.sparkContext.broadcast(x.bits) for x in KeyFilter.of(shared.df.where("kind < 2"), "value", 2, "kind"))
     shared.drop()
-    found = Table(_candidate_sets(own, k, prefixes, ids, keys), "sets")
+    found = Table(_candidate_sets(own, k, prefixes, ids, keys), "sets", rebalance=False)
 
     links: list[Table] = []
     labels = None
