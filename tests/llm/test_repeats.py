@@ -60,9 +60,8 @@ def test_tangled_and_hot(spark, monkeypatch, method, hot):
     monkeypatch.setattr(passages, "FLUSH", 64)
     monkeypatch.setattr(passages, "FLUSH_WORDS", 500)
     monkeypatch.setattr(repeats.METHODS[method], "MOST", 300)
-    for seed, words in ((1, 8), (2, 2)):
-        own = tangled(seed, words=words)
-        assert got(repeats.digests(spark.createDataFrame(own, SCHEMA).repartition(3), method, 20)) == brute(own, 20)
+    own = tangled(1, words=8) + [(1000 + i, *rest) for i, *rest in tangled(2, words=2)]
+    assert got(repeats.digests(spark.createDataFrame(own, SCHEMA).repartition(3), method, 20)) == brute(own, 20)
 
 
 @pytest.mark.parametrize("method", METHODS)
@@ -97,7 +96,8 @@ def test_remove(spark, method):
 def test_reserved_names(spark, method):
     own = docs(spark).selectExpr("*", "1 AS __bucket", "2 AS own_id", "3 AS own_print", "4 AS OWN_SPOTS", "5 AS print", "6 AS mask", "7 AS at")
     out = repeats.remove(own, method)
-    assert out.schema == own.schema and out.where("own_id = 2 and OWN_SPOTS = 4 and at = 7").count() == repeats.remove(docs(spark), method).count()
+    stay = [x for x in brute(rows(), 50) if x[1] > x[2] or not x[2]]
+    assert out.schema == own.schema and out.where("own_id = 2 and OWN_SPOTS = 4 and at = 7").count() == len(stay)
 
 
 @pytest.mark.parametrize("method", METHODS)
