@@ -49,6 +49,38 @@ def deal(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
         yield (b, *(c[lo:hi].tobytes() for c in columns))
 
 
+def part_count(df: DataFrame) -> int:
+    """Parts that buckets are dealt to: some for each task of an exchange, so that they lie evenly; odd."""
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) | 1
+
+
+def nest(bucket: np.ndarray, parts: int, **columns: np.ndarray | None) -> pa.RecordBatch:
+    """(part, cells): for each part a list of its buckets' cells, (bucket, cell, cell ...); see nested().
+
+    A row for each part that has records, however many buckets there are; columns may be left out as None."""
+    order = np.lexsort((bucket, bucket % parts))
+    bucket = bucket[order]
+    first = runs(bucket)
+    edges = np.r_[first, len(bucket)]
+    cells = [pa.array(bucket[first])]
+    for c in columns.values():
+        if c is None:
+            cells.append(pa.nulls(len(first), pa.binary()))
+            continue
+        c = np.ascontiguousarray(c[order])
+        width = c.itemsize * (c.shape[1] if c.ndim > 1 else 1)
+        cells.append(pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((edges * width).astype(np.int32)), pa.py_buffer(c)]))
+    part = (bucket[first] % parts).astype(np.int32)
+    heads = runs(part)
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[heads, len(part)].astype(np.int32)), pa.StructArray.from_arrays(cells, ["bucket", *columns]))
+    return pa.RecordBatch.from_arrays([pa.array(part[heads]), lists], ["part", "cells"])
+
+
+def nested(df: DataFrame) -> DataFrame:
+    """(part, bucket, cell, cell ...) of what nest() made, exchanged by part; groupBy("part", "bucket") then needs no other exchange."""
+    return df.repartition("part").select("part", F.inline("cells"))
+
+
 def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     cells = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cells, schema, strict=True)], schema=schema)

@@ -1,11 +1,11 @@
-"""The ten operators as registered queries over whole tables, and SQL where SQL can express them."""
+"""The operators as registered queries over whole tables, and SQL where SQL can express them."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from walletgraph.llm import cover_tree, fm_index, id_files, jaccard, language, licenses, packing, repeats, tokens
+from walletgraph.llm import cover_tree, filter_audit, fm_index, id_files, jaccard, language, licenses, line_dedup, merkle, packing, repeats, tokens
 from walletgraph.llm.oracles import ORACLES
 from walletgraph.shared import new_path
 
@@ -61,6 +61,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs))
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -72,4 +84,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_exact_top_k_search": op9_exact_top_k_search,
     "op10_language_id": op10_language_id,
+    "op11_filter_interaction_audit": op11_filter_interaction_audit,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_line_dedup": op13_line_dedup,
 }
