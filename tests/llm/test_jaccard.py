@@ -88,3 +88,39 @@ def test_empty(spark):
     assert jaccard.near_duplicates(empty(spark)).collect() == []
     nulls = spark.createDataFrame([(None,) * 7, (1, None, *(None,) * 5), (2, "", *(None,) * 5)], SCHEMA)
     assert sorted(map(tuple, jaccard.near_duplicates(nulls).collect()), key=repr) == [(1, 0, 1), (2, 0, 2), (None, 0, None)]
+
+
+@pytest.mark.parametrize("n", [9, 10_001])
+def test_driver_data(spark, monkeypatch, n):
+    """What the first pass sends to the driver depends neither on the number of buckets nor, but for its bounds, on the texts."""
+    from walletgraph.llm.jaccard import _most_frequent, _pieces
+
+    got = []
+    monkeypatch.setattr(jaccard, "_pieces", lambda found: got.append(_pieces(found)) or got[-1])
+    monkeypatch.setattr(jaccard, "_most_frequent", lambda found: got.append(_most_frequent(found)) or got[-1])
+    monkeypatch.setattr(jaccard, "BATCH_LEAST", 1)
+    own = docs(spark, 3).where("doc_id is not null")
+    bits, keys, counts, sizes = jaccard._statistics(own, 2, 1 << 62, n)
+    plain = collections.Counter(x for i, t, *_ in rows(3) if i is not None for x in shingles(t, 2))
+    assert len(got[0]) <= 4096 and sorted(counts.tolist()) == sorted(c for c in plain.values() if c > 1) and sum(sizes.values()) == own.count()
+    assert sum(int(x).bit_count() for x in bits) <= sum(c > 1 for c in plain.values())
+    monkeypatch.setattr(jaccard, "FREQUENT", 10)
+    few = jaccard._statistics(own, 2, 1 << 62, n)
+    assert len(few[1]) <= 10 and (few[0] == bits).all() and set(few[2].tolist()) <= set(sorted(counts.tolist())[-10:])
+
+
+def test_rows_of_a_batch(spark):
+    """A batch sends a row for each part, however many buckets there are."""
+    import numpy as np
+
+    from walletgraph.llm import buckets
+
+    keys = np.random.default_rng(1).integers(0, 1 << 62, 1 << 16, np.uint64)
+    own = buckets.key_bucket(keys, 1_000_001)
+    batch = buckets.nest(own, 33, keys=keys, other=None)
+    again = buckets.nest_rows(list(buckets.deal(own, keys)), 33, buckets.pa.schema([("bucket", buckets.pa.int32()), ("keys", buckets.pa.binary())]))
+    assert len(batch) == len(again) == 33 and len(np.unique(own)) > 60_000
+    for b in (batch, again):
+        found = {r["bucket"]: r["keys"] for row in b["cells"].to_pylist() for r in row}
+        assert len(found) == len(np.unique(own)) and all(len(found[x]) == 8 * c for x, c in zip(*(v.tolist() for v in np.unique(own, return_counts=True)), strict=True))
+        assert all(buckets.key_bucket(np.frombuffer(v, np.uint64), 1_000_001).tolist() == [k] * (len(v) // 8) for k, v in list(found.items())[:100])

@@ -1,9 +1,11 @@
 """Columnar exchange: arrays of many small records travel as a few binary cells, one for each bucket of keys.
 
 A batch of documents makes thousands of postings. Sent as rows they would cost a Java object each; here a
-batch sends, for each bucket, one row whose cells hold the postings' columns as raw arrays. Buckets are
-dealt by a hash of the key, so all postings of a key meet in one bucket, and the number of buckets follows
-the size of the input, so a bucket stays at some megabytes.
+batch sends, for each bucket, cells that hold the postings' columns as raw arrays. Buckets are dealt by a hash
+of the key, so all postings of a key meet in one bucket, and the number of buckets follows the size of the
+input, so a bucket stays at some megabytes. Buckets in turn are dealt to parts, some for each task of an
+exchange: a batch sends one row for each part, however many buckets there are, and rows are taken apart
+into buckets where they arrive.
 """
 
 from __future__ import annotations
@@ -76,6 +78,22 @@ def nest(bucket: np.ndarray, parts: int, **columns: np.ndarray | None) -> pa.Rec
     return pa.RecordBatch.from_arrays([pa.array(part[heads]), lists], ["part", "cells"])
 
 
+def nest_rows(rows: list[tuple], parts: int, schema: pa.Schema) -> pa.RecordBatch:
+    """The same from (bucket, cell, cell ...); buckets below 0 make a part -1 of their own, for what is read apart."""
+    of = np.array([r[0] for r in rows], np.int64)
+    of = np.where(of < 0, -1, of % parts)
+    order = np.argsort(of, kind="stable")
+    of, cells = of[order].astype(np.int32), record_batch([rows[i] for i in order], schema)
+    heads = runs(of)
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[heads, len(of)].astype(np.int32)), pa.StructArray.from_arrays(cells.columns, schema.names))
+    return pa.RecordBatch.from_arrays([pa.array(of[heads]), lists], ["part", "cells"])
+
+
+def nest_schema(schema: pa.Schema) -> str:
+    """What nest_rows() returns, for Spark."""
+    return "part int, cells array<struct<bucket: int, " + ", ".join(f"{c}: binary" for c in schema.names[1:]) + ">>"
+
+
 def nested(df: DataFrame) -> DataFrame:
     """(part, bucket, cell, cell ...) of what nest() made, exchanged by part; groupBy("part", "bucket") then needs no other exchange."""
     return df.repartition("part").select("part", F.inline("cells"))

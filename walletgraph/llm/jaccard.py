@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walletgraph.llm.buckets import FILTER_BITS, KeyFilter, bucket_count, deal, gather, input_bytes, key_bucket, record_batch, runs
+from walletgraph.llm.buckets import FILTER_BITS, KeyFilter, bucket_count, deal, gather, input_bytes, key_bucket, nest, nest_rows, nest_schema, nested, part_count, record_batch, runs
 from walletgraph.llm.words import SPACED_LOWER, Hasher, mix
 from walletgraph.operators.graph import connected_components
 from walletgraph.shared import Table, received, send
@@ -85,8 +85,9 @@ def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> tuple[np.ndarray,
     """Places of n-grams below the cut that two sets have; the most frequent n-grams and their counts; sets by size.
 
     Places are 32 bits of an n-gram. They are dealt by the part of the filter's bitmap that they fall into, so
-    each bucket makes its part; a bucket gives its share of the most frequent n-grams; bucket -1 has the sizes."""
-    share = 2 * FREQUENT // n + 16
+    each bucket makes its part; bucket -1 has the sizes. The driver gets 4,096 pieces, 2,048 steps of frequency
+    and FREQUENT n-grams at most, however many buckets and texts there are."""
+    parts = part_count(docs)
 
     def count(batches):
         hasher = Hasher(SPACED_LOWER)
@@ -106,7 +107,7 @@ def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> tuple[np.ndarray,
                     cells.setdefault(b, [b""] * 4)[i] = cell
             for b, *cell in deal(key_bucket(key, n), key, many):
                 cells.setdefault(b, [b""] * 4)[2:] = cell
-            return record_batch([(b, *x) for b, x in cells.items()], _COUNTS)
+            return nest_rows([(b, *x) for b, x in cells.items()], parts, _COUNTS)
 
         for batch in batches:
             grams, sizes, held = [], [], 0
@@ -127,9 +128,7 @@ def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> tuple[np.ndarray,
         counts = np.bincount(at, gather(table, "counts", np.int64), len(keys)).astype(np.int64)
         size = table.num_rows > 0 and table["bucket"][0].as_py() == -1
         if not size:
-            best = np.lexsort((keys, -counts))[:share]
-            best = best[counts[best] >= 2 * BATCH_LEAST]
-            keys, counts = keys[best], counts[best]
+            keys, counts = keys[counts >= 2 * BATCH_LEAST], counts[counts >= 2 * BATCH_LEAST]
         pieces = []
         for lo in runs(place >> 15):
             own = place[lo : np.searchsorted(place, (place[lo] >> 15) + 1 << 15)]
@@ -139,19 +138,40 @@ def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> tuple[np.ndarray,
         pieces.append((2 if size else 1, 0, keys.tobytes(), counts.tobytes()))
         return pa.Table.from_batches([record_batch(pieces, _SUMS)], schema=_SUMS)
 
-    dealt = docs.mapInArrow(count, "bucket int, once binary, twice binary, keys binary, counts binary")
-    found = dealt.groupBy("bucket").applyInArrow(meet, "kind int, piece long, a binary, b binary").toArrow()  # 16 MB of bitmap and 2 FREQUENT counts at most
-    twice, often, sizes = KeyFilter(np.zeros(1 << (FILTER_BITS - 3), np.uint8)), [np.zeros((2, 0), np.int64)], {}
-    for kind, piece, x, y in zip(*(c.to_pylist() for c in found.columns), strict=True):
-        if kind == 0:
-            twice.add(piece, x)
-        elif kind == 1:
-            often.append(np.stack([np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)]))
-        else:
-            sizes = dict(zip(np.frombuffer(x, np.int64).tolist(), np.frombuffer(y, np.int64).tolist(), strict=True))
-    keys, counts = np.concatenate(often, axis=1)
-    best = np.lexsort((keys, -counts))[:FREQUENT]
-    return twice.bits, keys[best].view(np.uint64), counts[best], sizes
+    dealt = nested(docs.mapInArrow(count, nest_schema(_COUNTS)))
+    found = Table(dealt.groupBy("part", "bucket").applyInArrow(meet, "kind int, piece long, a binary, b binary"), "statistics", rebalance=False)
+    twice = KeyFilter(np.zeros(1 << (FILTER_BITS - 3), np.uint8))
+    for piece, own in zip(*(c.to_pylist() for c in _pieces(found.df).columns), strict=True):
+        twice.add(piece, own)
+    often = _most_frequent(found.df)
+    keys, counts = often["key"].to_numpy().view(np.uint64), often["n"].to_numpy()
+    size = found.df.where("kind = 2").select("a", "b").toArrow().to_pylist()
+    found.drop()
+    sizes = {k: v for row in size for k, v in zip(np.frombuffer(row["a"], np.int64).tolist(), np.frombuffer(row["b"], np.int64).tolist(), strict=True)}
+    return twice.bits, keys, counts, sizes
+
+
+def _pieces(found: DataFrame) -> pa.Table:
+    """The bitmap in pieces of 4 KB, each put together from the buckets that own some of it."""
+    return found.where("kind = 0").groupBy("piece").agg(F.bitmap_or_agg("a").alias("a")).toArrow()
+
+
+def _most_frequent(found: DataFrame) -> pa.Table:
+    """(key, n) of the most frequent n-grams, FREQUENT at most: those above the least step of frequency that leaves no more."""
+
+    def rows(batches):
+        for batch in batches:
+            for a, b in zip(batch["a"], batch["b"], strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(a.as_buffer(), np.int64)), pa.array(np.frombuffer(b.as_buffer(), np.int64))], ["key", "n"])
+
+    known = found.where("kind = 1").select("a", "b").mapInArrow(rows, "key long, n long").withColumn("step", F.floor(F.log2("n") * 32).cast("int"))
+    total, least = 0, 1 << 30
+    for step, many in sorted(map(tuple, known.groupBy("step").count().collect()), reverse=True):  # 2,048 steps at most
+        total += many
+        if total > FREQUENT:
+            break
+        least = step
+    return known.where(F.col("step") >= least).select("key", "n").toArrow()
 
 
 def boundary(sizes: dict[int, int], num: int, den: int) -> int:
@@ -245,7 +265,8 @@ _SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("grams", pa.binar
 
 
 def _postings(docs: DataFrame, k: int, prefixes, n: int) -> DataFrame:
-    """Keys by bucket, a posting for each key and class of equal sets; bucket -1: (prints, docs, sizes) of all documents."""
+    """Keys by bucket, a posting for each key and class of equal sets; part -1: (prints, docs, sizes) of all documents."""
+    parts = part_count(docs)
 
     def send(batches):
         hasher, pre = Hasher(SPACED_LOWER), received(prefixes)
@@ -261,7 +282,7 @@ def _postings(docs: DataFrame, k: int, prefixes, n: int) -> DataFrame:
                 key, index = pre.split(key, prints[own])
                 own = own[index]
                 rows += deal(key_bucket(key, n), key, prints[own], ids[own], sizes[own])
-            return record_batch(rows, _POSTINGS)
+            return nest_rows(rows, parts, _POSTINGS)
 
         for batch in batches:
             doc_ids = batch["doc_id"].to_numpy(zero_copy_only=False)
@@ -275,7 +296,7 @@ def _postings(docs: DataFrame, k: int, prefixes, n: int) -> DataFrame:
                     yield out(keys, who, np.array(prints, np.int64), doc_ids[start : i + 1].astype(np.int64), np.array(sizes, np.int32))
                     keys, who, prints, sizes, held, start = [], [], [], [], 0, i + 1
 
-    return docs.mapInArrow(send, "bucket int, keys binary, prints binary, docs binary, sizes binary")
+    return docs.mapInArrow(send, nest_schema(_POSTINGS))
 
 
 def _shared_keys(most: int):
@@ -320,6 +341,8 @@ def _candidate_sets(docs: DataFrame, k: int, prefixes, ids, keys) -> DataFrame:
 
 
 def _lists(found: DataFrame, n: int) -> DataFrame:
+    parts = part_count(found)
+
     def send(batches):
         for batch in batches:
             keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch["keys"]]
@@ -328,9 +351,9 @@ def _lists(found: DataFrame, n: int) -> DataFrame:
             own = np.repeat(np.arange(len(keys)), list(map(len, keys)))
             key = np.concatenate(keys)
             marks = np.frombuffer(b"".join(batch["sketch"].to_pylist()), np.uint8).reshape(len(keys), -1)
-            yield record_batch(list(deal(key_bucket(key, n), key, batch["doc_id"].to_numpy()[own], batch["n"].to_numpy()[own], batch["label"].to_numpy()[own], marks[own])), _LISTS)
+            yield nest(key_bucket(key, n), parts, keys=key, docs=batch["doc_id"].to_numpy()[own], sizes=batch["n"].to_numpy()[own], labels=batch["label"].to_numpy()[own], sketches=marks[own])
 
-    return found.select("keys", "sketch", "doc_id", "n", "label").mapInArrow(send, "bucket int, keys binary, docs binary, sizes binary, labels binary, sketches binary")
+    return nested(found.select("keys", "sketch", "doc_id", "n", "label").mapInArrow(send, nest_schema(_LISTS)))
 
 
 def _pairs(num: int, den: int, mode: str):
@@ -436,7 +459,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     for turn in range(TURNS):
         prefixes = send(spark, Prefixes(often, counts, twice, cut, small, num, den, part))
         posted = Table(_postings(own, k, prefixes, n), "postings", rebalance=False)
-        shared = Table(posted.df.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared_keys(4 * part), "kind int, value long, many long"), "shared")
+        shared = Table(nested(posted.df.where("part >= 0")).groupBy("part", "bucket").applyInArrow(_shared_keys(4 * part), "kind int, value long, many long"), "shared")
         long = shared.df.where("kind = 2").select("value", "many").toArrow()
         keys, many = long["value"].to_numpy().view(np.uint64), long["many"].to_numpy()
         new = ~np.isin(keys, often)
@@ -452,14 +475,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     labels = None
     for mode in ROUNDS:
         labelled = found.df.withColumn("label", F.col("doc_id")) if labels is None else found.df.join(labels.select(F.col("node").alias("doc_id"), F.col("component").alias("label")), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-        pairs = _lists(labelled, n).groupBy("bucket").applyInArrow(_pairs(num, den, mode), "a long, b long").distinct()
+        pairs = _lists(labelled, n).groupBy("part", "bucket").applyInArrow(_pairs(num, den, mode), "a long, b long").distinct()
         pairs = Table(pairs, "pairs")
         links.append(Table(_verified(pairs.df, found.df, num, den), "links"))
         pairs.drop()
         labels = connected_components(reduce(DataFrame.unionByName, (x.df for x in links)), cheap=True)
     found.drop()
 
-    digests = _digests(posted.df.where("bucket = -1"))
+    digests = _digests(posted.df.where("part = -1").select(F.inline("cells")))
     classes = digests.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("node"))
     classes = Table(classes.join(labels, "node", "left").select("print", F.coalesce("component", "node").alias("component")), "classes")
     for x in links:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walletgraph.llm.buckets import KeyFilter, bucket_count, deal, gather, input_bytes, key_bucket, record_batch, runs
+from walletgraph.llm.buckets import KeyFilter, bucket_count, deal, gather, input_bytes, key_bucket, nest_rows, nest_schema, nested, part_count, runs
 from walletgraph.llm.words import SPACED, Hasher, mix, sliding_min, within
 from walletgraph.shared import Table
 
@@ -110,6 +110,7 @@ def _seen(own: DataFrame, n: int, size: int, k: int, hot, least: int, around=Non
     """(kind, key): 0 for phrases that two documents choose, 1 for those of `least` documents and more.
 
     around: phrases; instead of the chosen ones all in segments around these count, if a batch has them twice."""
+    parts = part_count(own)
 
     def send(batches):
         hasher, known, held, ids = Hasher(SPACED), Hot(hot.value), [], []
@@ -127,7 +128,7 @@ def _seen(own: DataFrame, n: int, size: int, k: int, hot, least: int, around=Non
             low, high, key = doc[first], doc[first + many - 1], key[first]
             if near is not None:
                 key, many, low, high = (x[many > 1] for x in (key, many, low, high))
-            return record_batch(list(deal(key_bucket(key, n), key, many, low, high)), _SEEN)
+            return nest_rows(list(deal(key_bucket(key, n), key, many, low, high)), parts, _SEEN)
 
         for batch in batches:
             doc_ids = batch["doc_id"].to_numpy(zero_copy_only=False)
@@ -156,7 +157,7 @@ def _seen(own: DataFrame, n: int, size: int, k: int, hot, least: int, around=Non
         key = key[first].view(np.int64)
         return pa.table({"kind": pa.array(np.repeat([0, 1], [twice.sum(), often.sum()]), pa.int32()), "key": pa.array(np.r_[key[twice], key[often]])})
 
-    return own.mapInArrow(send, "bucket int, keys binary, docs binary, low binary, high binary").groupBy("bucket").applyInArrow(meet, "kind int, key long")
+    return nested(own.mapInArrow(send, nest_schema(_SEEN))).groupBy("part", "bucket").applyInArrow(meet, "kind int, key long")
 
 
 _PARTS = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("docs", "offsets", "lengths", "words", "of", "prints", "at", "settled"))])
@@ -181,6 +182,7 @@ class Context:
 
 def _sent(own: DataFrame, n: int, size: int, k: int, hot, recurring) -> DataFrame:
     """Segments whose phrase recurs, by bucket of the phrase; settled: repeated ones of this batch as (doc, print, at, mask)."""
+    parts = part_count(own)
 
     def send(batches):
         hasher, chosen, known, held = Hasher(SPACED), Hot(hot.value), KeyFilter(recurring.value), []
@@ -189,7 +191,7 @@ def _sent(own: DataFrame, n: int, size: int, k: int, hot, recurring) -> DataFram
             key, print_, at, doc, offset, length, digest, words = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             if not len(key):
-                return record_batch([], _PARTS)
+                return nest_rows([], parts, _PARTS)
             begin = np.cumsum(length) - length
             bucket = key_bucket(key, n)
             order = np.lexsort((doc, digest, bucket))
@@ -210,7 +212,7 @@ def _sent(own: DataFrame, n: int, size: int, k: int, hot, recurring) -> DataFram
                 rows.append((b, doc[c].tobytes(), offset[c].astype(np.int32).tobytes(), length[c].astype(np.int32).tobytes(), words[spread(begin[c], length[c])].tobytes(), (of[o] - lo).astype(np.int32).tobytes(), print_[own[o]].tobytes(), at[own[o]].tobytes(), b""))
             if len(settled):
                 rows.append((int(mix(digest[gone[:1]])[0] % np.uint64(n)), *[b""] * 7, settled.tobytes()))
-            return record_batch(rows, _PARTS)
+            return nest_rows(rows, parts, _PARTS)
 
         total = 0
         for batch in batches:
@@ -229,7 +231,7 @@ def _sent(own: DataFrame, n: int, size: int, k: int, hot, recurring) -> DataFram
         if held:
             yield out()
 
-    return own.mapInArrow(send, "bucket int, docs binary, offsets binary, lengths binary, words binary, of binary, prints binary, at binary, settled binary")
+    return nested(own.mapInArrow(send, nest_schema(_PARTS)))
 
 
 def _groups(context: Context, keys: np.ndarray, most: int) -> Iterator[np.ndarray]:
@@ -291,7 +293,7 @@ def found(docs: DataFrame, match: Callable[[Context, int, int], np.ndarray], mos
         columns = context.doc[of[hit]], gather(table, "prints", np.int64)[hit], gather(table, "at", np.int64)[hit], mask[of[hit]].view(np.int64)
         return pa.table({c: pa.array(np.r_[x, settled[:, i]]) for i, (c, x) in enumerate(zip(("doc_id", "print", "at", "mask"), columns, strict=True))})
 
-    return _sent(own, n, size, k, sent, recurring).groupBy("bucket").applyInArrow(meet, "doc_id long, print long, at long, mask long")
+    return _sent(own, n, size, k, sent, recurring).groupBy("part", "bucket").applyInArrow(meet, "doc_id long, print long, at long, mask long")
 
 
 def _keys(df: DataFrame) -> np.ndarray:
