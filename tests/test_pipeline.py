@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from walletgraph import schema
 from walletgraph.functions import keys as K
@@ -57,8 +58,41 @@ def test_shred(spark, landed):
     assert ("t3", "t2", 1, None, f"sig, {B[1]}") in ins and ("c0", None, None, None, "00") in ins
 
 
+def test_rejects(spark):
+    """Each line is a block or a reject, and says why; nothing of a broken block gets through."""
+    good = [json.dumps(b) for b in chain()]
+    no_txid = json.loads(good[2])
+    del no_txid["tx"][1]["txid"]
+    far = json.loads(good[1])
+    far["tx"][0]["vout"][0]["value"] = 1e30
+    bad = [(good[3][:-2], "malformed"), ("no json", "malformed"), (good[0].replace("100", '"soon"'), "malformed"), (json.dumps(far), "malformed"), ("{}", "no transactions"), ('{"height": 7}', "no transactions"), (json.dumps(no_txid), "no txid")]
+    lines = spark.createDataFrame([(x,) for x in [*good, *(b for b, _ in bad), "", "  ", None]], "value string")
+    blocks, rejects = S.landed(lines)
+    assert blocks.schema == schema.BLOCK and sorted(r.height for r in blocks.collect()) == list(range(6))
+    assert sorted(map(tuple, rejects.collect())) == sorted(bad)
+    assert {k: v.count() for k, v in S.shred_lines(lines).items()} == {"transactions": 9, "outputs": 10, "inputs": 11, "rejects": 7}
+    assert S.landed(lines.limit(0))[1].count() == 0
+
+
+def test_counters(spark):
+    from walletgraph.sources.counters import Counters
+
+    counters = Counters()
+    df = counters.rows(spark.range(100, numPartitions=7), "all", even=F.col("id") % 2 == 0)
+    counters.rows(df.where("id < 30"), "some").collect()
+    assert counters.counts() == {"all": 100, "all.even": 50, "some": 30}
+    assert {r.name: r.n for r in counters.table(spark).collect()} == counters.counts()
+
+
+def test_unparsed_descriptors(spark):
+    own = spark.createDataFrame([("a", 0, "pubkey", "", "raw(6a)"), ("b", 0, "pubkey", None, f"pk({A[1]})"), ("c", 0, "multisig", None, None), ("d", 0, "pubkeyhash", None, "x"), ("e", 0, "pubkey", "P", None)], "txid string, vout_n int, descriptor_type string, address string, descriptor string")
+    assert sorted(r.txid for r in N.unparsed_descriptors(own).collect()) == ["a", "c"]
+
+
 def test_run(spark, landed):
     r = pipeline.run(spark, str(landed))
+    assert {x.name: x.n for x in r["counters"].collect()} == {"transactions": 9, "outputs": 10, "inputs": 11, "inputs.coinbase": 6, "rejects": 1, "rejects.malformed": 1, "rejects.no_transactions": 0, "rejects.no_txid": 0}
+    assert [tuple(x) for x in r["rejects"].collect()] == [("no json", "malformed")] and r["unparsed_descriptors"].count() == 0
     roots = {x.hash: x.root_hash for x in r["normalized_hashes"].collect()}
     assert roots == {h: own[0] for own in (A, B) for h in own}
     assert [x.key for x in r["unusable_keys"].collect()] == ["02" + "ff" * 32]

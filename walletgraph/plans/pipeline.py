@@ -14,6 +14,7 @@ from walletgraph.operators import clusters as C
 from walletgraph.operators import normalize as N
 from walletgraph.shared import Table
 from walletgraph.sources import blocks as S
+from walletgraph.sources.counters import Counters
 
 
 @dataclass(frozen=True)
@@ -70,7 +71,9 @@ def run_tables(tables: dict[str, DataFrame], settings: Settings = Settings()) ->
 
 
 def run(spark: SparkSession, path: str, settings: Settings = Settings()) -> dict[str, DataFrame]:
-    """The same from blocks in JSON, one a line."""
+    """The same from blocks in JSON, one a line; with the rejected lines and the counters of what was read."""
     tune(spark)
-    tables = {name: Table(df, name).df for name, df in S.shred(S.read_blocks(spark, path)).items()}
-    return tables | run_tables(tables, settings)
+    counters = Counters()
+    of = {"rejects": {r.replace(" ", "_"): F.col("reason") == r for r in (S.MALFORMED, S.NO_TRANSACTIONS, S.NO_TXID)}, "inputs": {"coinbase": F.col("vin_txid").isNull()}}
+    tables = {name: Table(counters.rows(df, name, **of.get(name, {})), name).df for name, df in S.shred_lines(spark.read.text(path)).items()}
+    return tables | run_tables(tables, settings) | {"unparsed_descriptors": N.unparsed_descriptors(tables["outputs"]), "counters": counters.table(spark)}
