@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 
 from walletgraph.operators import clusters as C
-from walletgraph.operators.graph import connected_components, union_find
+from walletgraph.operators.graph import _forest, connected_components, contract, union_find
 from walletgraph.operators.normalize import dictionary
+from walletgraph.operators.walk import route, walk
 
 CASES = {
     "single": ([(1, 2), (1, 3), (1, 4)], [(2, 0), (3, 0), (4, 0)]),
@@ -88,4 +89,72 @@ def test_edges_and_neighbors(spark):
     found = C.components(pairs)
     assert sorted((r.component, r.part, r.members) for r in C.members(found, size=2).collect()) == [(2, 0, [2, 3]), (2, 1, [4]), (7, 0, [7])]
     assert sorted(map(tuple, C.positions(found).collect())) == [(2, 0, 2), (2, 1, 3), (2, 2, 4), (7, 0, 7)]
-    assert sorted(map(tuple, C.numbered(found).collect())) == sorted(map(tuple, C.cluster(pairs).collect()))
+
+
+@pytest.mark.parametrize("name,edges", [g for g in graphs() if g[0] in ("path", "hubs", "random80")])
+def test_contraction(spark, name, edges):
+    """Forests of any size, merged or left to the stars, give the same components."""
+    expected = brute(edges)
+    df = spark.createDataFrame(edges, "a long, b long").repartition(6)
+    for small in (1, 3, 7, 30, 1000):
+        assert {r.node: r.component for r in connected_components(df, small=small).collect()} == expected, small
+        forest, whole = contract(df, small)
+        rows = [tuple(r) for r in forest.df.select("a", "b").collect()]
+        assert brute(rows) == expected and (not whole or dict(rows) == expected)
+        assert whole or small < 1000
+
+
+def test_contraction_exchanges_less(spark):
+    """What is left of each task's edges is a node's star at most, before anything is exchanged."""
+    rng = random.Random(4)
+    edges = [(rng.randrange(500), rng.randrange(500)) for _ in range(40_000)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    assert _forest(df, 1 << 20).count() <= 4 * 500 < len(edges) // 10
+    forest, whole = contract(df)
+    assert whole and forest.df.count() == 500
+
+
+def plain_walk(rows, seeds, hops):
+    found, level = {s: (0, None) for s in seeds}, set(seeds)
+    near = {}
+    for tx, w in rows:
+        near.setdefault(tx, set()).add(w)
+    while level and (hops is None or max(d for d, _ in found.values()) < hops):
+        new = {}
+        for own in near.values():
+            via = own & level
+            for w in own - found.keys() if via else ():
+                new[w] = min(min(via), new.get(w, min(via)))
+        found |= {w: (max(d for d, _ in found.values()) + 1, v) for w, v in new.items()}
+        level = set(new)
+    return found
+
+
+@pytest.mark.parametrize("hops", [0, 1, 3, None])
+def test_walk(spark, hops):
+    rng = random.Random(9)
+    rows = [(t, w) for t in range(120) for w in {t, t + 1, rng.randrange(300)}] + [(500, 900), (500, 901), (501, 5), (501, 5)]
+    pairs = spark.createDataFrame([*rows, (None, 5), (7, None)], "tx long, wallet long").repartition(3)
+    seeds = spark.createDataFrame([(3,), (3,), (118,), (9999,), (None,)], "wallet long")
+    found = walk(pairs, seeds, hops)
+    got = {r.wallet: (r.distance, r.via) for r in found.collect()}
+    assert got == plain_walk(rows, [3, 118, 9999], hops) and found.count() == len(got)
+    if hops is None:
+        assert 901 not in got and max(d for d, _ in got.values()) > 4
+        goals = sorted(got, key=got.get)[-3:]
+        steps = {}
+        for r in route(found, spark.createDataFrame([(g,) for g in goals], "wallet long")).collect():
+            steps.setdefault(r.goal, {})[r.step] = r.wallet
+        txs = {}
+        for t, w in rows:
+            txs.setdefault(w, set()).add(t)
+        assert set(steps) == set(goals)
+        for g, own in steps.items():
+            path = [own[i] for i in range(len(own))]
+            assert path[0] == g and path[-1] in (3, 118) and len(path) == got[g][0] + 1 and all(txs[x] & txs[y] for x, y in zip(path, path[1:]))
+
+
+def test_walk_of_nothing(spark):
+    none = spark.createDataFrame([], "tx long, wallet string")
+    assert walk(none, none).count() == 0
+    assert [tuple(r) for r in walk(none, spark.createDataFrame([("a",)], "wallet string")).collect()] == [("a", 0, None)]

@@ -15,9 +15,11 @@ from walletgraph.functions import script as S
 from walletgraph.operators import balances as B
 from walletgraph.operators import clusters as C
 from walletgraph.operators import normalize as N
+from walletgraph.operators import walk
 from walletgraph.plans import pipeline
 from walletgraph.shared import Table, new_path
 from walletgraph.sources import blocks, tables
+from walletgraph.sources.counters import Counters
 from walletgraph.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -238,6 +240,24 @@ def shredded_inputs(spark, d):
     return _shredded(spark, d)["inputs"]
 
 
+_REASON = "CASE txid // 8 % 6 WHEN 1 THEN 'malformed' WHEN 3 THEN 'no transactions' END"
+
+
+@query(f"SELECT coalesce(r, 'blocks') AS kind, count(*) AS n FROM (SELECT DISTINCT txid // 8 AS height, {_REASON} AS r FROM txs) GROUP BY 1 UNION ALL SELECT 'transactions', count(*) FROM txs WHERE {_REASON} IS NULL UNION ALL SELECT 'outputs', count(*) FROM outs WHERE {_REASON} IS NULL UNION ALL SELECT 'inputs', count(*) FROM ins WHERE {_REASON} IS NULL UNION ALL SELECT 'inputs.coinbase', count(*) FROM ins WHERE {_REASON} IS NULL AND vin_txid IS NULL", "ins")
+def rejected_blocks(spark, d):
+    """A third of the lines broken, by a truncated end or for want of transactions: what was read and what was not, as counted on the way."""
+    height = F.get_json_object("value", "$.height").cast("long")
+    broken = F.when(height % 6 == 1, F.expr("left(value, length(value) - 9)")).when(height % 6 == 3, F.concat(F.lit('{"height":'), height.cast("string"), F.lit("}"))).otherwise(F.col("value"))
+    path, counters = new_path(spark, "lines"), Counters()
+    T.blocks(spark, d).select(broken.alias("value")).write.text(path)
+    read, rejects = blocks.landed(spark.read.text(path))
+    for name, df in ({"blocks": read} | blocks.shred(read)).items():
+        also = {"coinbase": F.col("vin_txid").isNull()} if name == "inputs" else {}
+        counters.rows(df, name, **also).write.format("noop").mode("overwrite").save()
+    seen = counters.table(spark).select(F.col("name").alias("kind"), "n")
+    return seen.unionByName(rejects.groupBy(F.col("reason").alias("kind")).agg(F.count("*").alias("n")))
+
+
 @query()
 def ledger_clusters(spark, d):
     """The whole run, from blocks."""
@@ -479,6 +499,30 @@ def components_by_stars(spark, d):
     return C.components(T.pairs(spark, d), small=0)
 
 
+_WALK = """, near(wallet, distance) USING KEY (wallet) AS (SELECT DISTINCT p_partkey, 0 FROM part WHERE p_partkey % 500 = 1
+UNION SELECT y.wallet, min(n.distance) + 1 FROM near n JOIN pairs x ON x.wallet = n.wallet JOIN pairs y ON y.tx = x.tx LEFT JOIN recurring.near k ON k.wallet = y.wallet WHERE k.wallet IS NULL{limit} GROUP BY y.wallet)
+SELECT n.wallet, CAST(n.distance AS INTEGER) AS distance, min(m.wallet) AS via FROM near n LEFT JOIN pairs y ON y.wallet = n.wallet LEFT JOIN pairs x ON x.tx = y.tx LEFT JOIN near m ON m.wallet = x.wallet AND m.distance = n.distance - 1 GROUP BY ALL"""
+
+
+def _walk_oracle(limit: str) -> str:
+    return T.sql("", "pairs").rstrip() + _WALK.format(limit=limit)
+
+
+def _seeds(spark: SparkSession, d: str) -> DataFrame:
+    return T.table(spark, d, "part").where("p_partkey % 500 = 1").select(F.col("p_partkey").alias("wallet"))
+
+
+@query(_walk_oracle(" AND n.distance < 1"))
+def wallet_walk_one_hop(spark, d):
+    return walk.walk(T.pairs(spark, d), _seeds(spark, d), 1)
+
+
+@query(_walk_oracle(""))
+def wallet_walk(spark, d):
+    """All wallets that can be reached from some, by distance, each with one of the level before."""
+    return walk.walk(T.pairs(spark, d), _seeds(spark, d))
+
+
 @query("SELECT wallet, dense_rank() OVER (ORDER BY component) - 1 AS cluster_id FROM comps", "comps")
 def cluster_dense_id(spark, d):
     return C.cluster(T.pairs(spark, d))

@@ -14,9 +14,9 @@ MEMBERS = 1000
 
 
 def star_edges(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet") -> DataFrame:
-    """Each wallet of a transaction with the smallest one: as many edges as pairs, never all pairs of a transaction."""
+    """Each wallet of a transaction with the smallest one: as many edges as pairs (repeated ones go when they are contracted), never all pairs of a transaction."""
     least = F.min(wallet).over(Window.partitionBy(tx))  # one shuffle; a transaction's rows are bounded by its block
-    return pairs.where(F.col(tx).isNotNull() & F.col(wallet).isNotNull()).select(F.col(wallet).alias("a"), least.alias("b")).distinct()
+    return pairs.where(F.col(tx).isNotNull() & F.col(wallet).isNotNull()).select(F.col(wallet).alias("a"), least.alias("b"))
 
 
 def components(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet", small: int = SMALL) -> DataFrame:
@@ -92,8 +92,3 @@ def visited_order(found: DataFrame, seed: str, wallet: str = "wallet") -> DataFr
     first = found.groupBy("component").agg(F.min(seed).alias("__first"))
     ids = dictionary(first.withColumn("__key", F.struct("__first", "component")), "__key", "n")
     return found.join(ids.select("__key.component", (F.col("n") + 1).alias("cluster_id")), "component").select(wallet, "cluster_id")
-
-
-def numbered(found: DataFrame, wallet: str = "wallet") -> DataFrame:
-    """dense_rank form of `cluster`, for few components."""
-    return found.select(wallet, (F.dense_rank().over(Window.orderBy("component")) - 1).cast("long").alias("cluster_id"))

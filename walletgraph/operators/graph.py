@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletgraph.shared import Table
 
-#: Edges that one task can hold, and bytes of their nodes if these are strings; above it, stars are contracted by joins.
+#: Edges that a task solves at a time, and rows of forests that one task is given; and bytes of their nodes if these are strings.
 SMALL, SMALL_BYTES = 2_000_000, 64 << 20
+#: Forests are merged as long as that leaves fewer rows than this share.
+SHRINKS = 0.9
 
 
 def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -38,36 +41,82 @@ def _stars(edges: DataFrame) -> DataFrame:
     return small.where("a <> b").distinct(), large
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", small: int = SMALL, cheap: bool = False) -> DataFrame:
-    """(node, component): every node that edges name, with the smallest node that it is connected to.
+def _forest(edges: DataFrame, most: int) -> DataFrame:
+    """(a, b, task): of each task's edges a spanning forest only, as stars: every node with the smallest one that it is connected to there, itself if that is it.
 
-    Up to `small` distinct edges are solved in one task; more by rounds of large-star and small-star
-    (Kiveris et al., 2014), each written to the shared folder. Null ends are ignored; an edge from a node
-    to itself only names it. cheap: edges are read twice rather than written first.
-    """
-    named = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
-    kind = named.schema["a"].dataType.simpleString()
-    held = None if cheap else Table(named, "edges")
-    named = held.df if held else named
-    length = F.sum(F.octet_length("a") + F.octet_length("b")) if kind in ("string", "binary") else F.lit(0)
-    size, width = named.agg(F.count("*"), length).first()
-    if size <= small and (width or 0) <= SMALL_BYTES:
+    A task works on `most` edges at a time, with the forest of those before them; a forest of more than half as many is left as it is, under a number of its own."""
+    kind = edges.schema["a"].dataType.simpleString()
+
+    def run(batches):
+        held, many = [], 0
+
+        def stars() -> pa.Table:
+            table = pa.Table.from_batches(held)
+            nodes, roots = union_find(table["a"].to_numpy(), table["b"].to_numpy())
+            held.clear()
+            return pa.table({"a": pa.array(nodes, table["a"].type), "b": pa.array(roots, table["a"].type)})
 
-        def solve(batches):
-            parts = [x for x in batches if x.num_rows]
-            if parts:
-                table = pa.Table.from_batches(parts)
-                nodes, roots = union_find(table["a"].to_numpy(), table["b"].to_numpy())
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, table["a"].type), pa.array(roots, table["a"].type)], ["node", "component"])
+        def out(table: pa.Table):
+            nonlocal turn
+            turn += 1
+            return table.append_column("task", pa.array(np.full(len(table), task << 32 | turn, np.int64))).to_batches()
 
-        out = Table(named.coalesce(1).mapInArrow(solve, f"node {kind}, component {kind}"), "components", rebalance=False)
+        task, turn = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                many += batch.num_rows
+            if many > most:
+                found = stars()
+                many = len(found)
+                if many > most // 2:
+                    yield from out(found)
+                    many = 0
+                else:
+                    held += found.to_batches()
         if held:
-            held.drop()
-        return out.df
-    nodes = Table(named.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-    current, seen = Table(named.where("a <> b"), "stars"), None
-    if held:
+            yield from out(stars())
+
+    return edges.select("a", "b").mapInArrow(run, f"a {kind}, b {kind}, task long")
+
+
+def contract(edges: DataFrame, most: int = SMALL) -> tuple[Table, bool]:
+    """A forest that connects what the edges (a, b) do, and whether it is the stars of whole components.
+
+    Each task keeps a forest of its edges, before anything is exchanged; forests are then merged, several to a task and again,
+    as long as there are fewer rows each time. They are whole once one task has met them all, which it does if they are few."""
+    kind = edges.schema["a"].dataType.simpleString()
+    held = Table(_forest(edges, most), "forest", rebalance=False)
+    length = F.sum(F.octet_length("a") + F.octet_length("b")) if kind in ("string", "binary") else F.lit(0)
+    measure = lambda t: t.df.agg(F.count("*"), F.count_distinct("task"), length).first()
+    rows, tasks, width = measure(held)
+    while tasks > 1:
+        parts = max(-(-rows // max(most, 1)), -(-(width or 0) // SMALL_BYTES))
+        if parts >= tasks:
+            break
+        new = Table(_forest(held.df.coalesce(parts), most), "forest", rebalance=False)
         held.drop()
+        before, held = rows, new
+        rows, tasks, width = measure(held)
+        if tasks > 1 and rows > SHRINKS * before:
+            break
+    return held, tasks <= 1
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", small: int = SMALL) -> DataFrame:
+    """(node, component): every node that edges name, with the smallest node that it is connected to.
+
+    Tasks contract their own edges to forests and merge these (see contract()), `small` rows to a task at most; what that
+    leaves unfinished is solved by rounds of large-star and small-star joins (Kiveris et al., 2014), each written to the
+    shared folder. Null ends are ignored; an edge from a node to itself only names it.
+    """
+    named = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
+    forest, whole = contract(named, max(small, 1)) if small else (Table(named.distinct(), "edges"), False)
+    if whole:
+        return forest.df.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    nodes = Table(forest.df.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+    current, seen = Table(forest.df.where("a <> b").select("a", "b").distinct(), "stars"), None
+    forest.drop()
     while True:
         nxt, large = _stars(current.df)
         new = Table(nxt, "stars")

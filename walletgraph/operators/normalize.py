@@ -33,6 +33,12 @@ def parse_pubkey_descriptors(outputs: DataFrame) -> DataFrame:
     return outputs.withColumn("address", F.when(lacks, first_desc_key("descriptor")).otherwise(F.col("address")))
 
 
+def unparsed_descriptors(outputs: DataFrame) -> DataFrame:
+    """(txid, vout_n, descriptor) of outputs to a key, or to several, that have neither an address nor a descriptor with a key."""
+    lacks = F.col("descriptor_type").isin("pubkey", "multisig") & _blank("address").isNull() & first_desc_key("descriptor").isNull()
+    return outputs.where(lacks).select("txid", "vout_n", "descriptor")
+
+
 def revealed_keys(outputs: DataFrame, inputs: DataFrame) -> DataFrame:
     """(txid, vout_n, revealed_key) of outputs to a key's hash whose spending script shows the key."""
     asked = outputs.where(F.col("descriptor_type") == "pubkeyhash").select("txid", "vout_n")
