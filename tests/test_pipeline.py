@@ -200,10 +200,146 @@ def test_calls(spark):
     assert sorted((r.chunk, json.loads(r.value)["hash"]) for r in got) == [(0, "hash5"), (0, "hash6"), (1, "hash7"), (1, "hash8")]
 
 
+def batch_labels(rows):
+    """Components of wallets over all pairs at once."""
+    from tests.test_graph import brute
+
+    own = {}
+    for tx, wallet in rows:
+        own.setdefault(tx, set()).add(wallet)
+    return brute([(w, min(x)) for x in own.values() for w in x])
+
+
+def land(folder, number, blocks):
+    folder.mkdir(exist_ok=True)
+    (folder / f"{number}.json").write_text("\n".join(map(json.dumps, blocks)) + "\n")
+
+
 def test_stream(spark, landed, tmp_path):
     folder, checkpoint = str(tmp_path / "labels"), str(tmp_path / "checkpoint")
     incremental.follow(incremental.stream_pairs(spark, str(landed)), folder, checkpoint).awaitTermination()
-    labels = {r.wallet: r.component for r in incremental.latest(spark, folder).collect()}
-    assert labels == {"c0:0": "c0:0", "c1:0": "c1:0", "c2:0": "c1:0", "t2:1": "c1:0", "c4:0": "c4:0"}
-    more = incremental.merge(incremental.latest(spark, folder), spark.createDataFrame([("z", "c0:0"), ("z", "t2:1")], "tx string, wallet string"))
-    assert {r.wallet: r.component for r in more.collect()} == dict.fromkeys(("c0:0", "c1:0", "c2:0", "t2:1"), "c0:0") | {"c4:0": "c4:0"}
+    labels = {r.wallet: r.component for r in incremental.Labels(spark, folder).wallets().collect()}
+    least = min(A[3], B[3], B[4])
+    assert labels == {A[0]: A[0], A[3]: least, B[3]: least, B[4]: least, "c4:0": "c4:0"}
+    incremental.follow_rejects(incremental.stream_lines(spark, str(landed)), str(tmp_path / "bad"), str(tmp_path / "c2")).awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == [("no json", "malformed")]
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 2, 0)])
+def test_stream_joins_wallets(spark, tmp_path, order):
+    """Two transactions spend one address with another each: one cluster, whatever lands first; the query goes on from its checkpoint."""
+    pay = lambda n, *to: {"height": n, "hash": f"h{n}", "mediantime": 0, "time": n, "tx": [tx(f"f{n}", [], [out(i, 1, "raw(6a)", a, "x") for i, a in enumerate(to)])]}
+    spend = lambda n, *of: {"height": n, "hash": f"h{n}", "mediantime": 0, "time": n, "tx": [tx(f"s{n}", [{"txid": t, "vout": v} for t, v in of], [])]}
+    chain_ = [[pay(0, "a", "b", "a", "d"), pay(1, "c", "e")], [spend(2, ("f0", 0), ("f0", 1))], [spend(3, ("f0", 2), ("f1", 0)), spend(4, ("f0", 3), ("f1", 1))]]
+    folder = tmp_path / "in"
+    for i in order:
+        land(folder, i, chain_[i])
+        incremental.follow(incremental.stream_pairs(spark, str(folder)), str(tmp_path / "labels"), str(tmp_path / "c")).awaitTermination()
+    labels = {r.wallet: r.component for r in incremental.Labels(spark, str(tmp_path / "labels")).wallets().collect()}
+    assert labels == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "d"}
+
+
+def test_label_batches(spark, tmp_path):
+    """Batches against one run over all; a batch writes what it changes, a repeated one changes nothing, and storage stays within some copies of the labels."""
+    import random
+
+    rng = random.Random(2)
+    labels, seen = incremental.Labels(spark, str(tmp_path / "l")), []
+    wallet = lambda: f"w{rng.randrange(400):03}" if rng.random() < 0.7 else f"w{rng.randrange(4000):04}"
+    for n in range(9):
+        new = [(f"t{n}-{i}", wallet()) for i in range(600 if n == 0 else 8) for _ in range(rng.choice([1, 1, 2, 3]))]
+        seen += new
+        df = spark.createDataFrame([(t, w, False) for t, w in new], "tx string, wallet string, late boolean")
+        before = {} if n == 0 else dict(map(tuple, labels.read().collect()))
+        for _ in range(1 + (n == 4)):
+            labels.add(n, df)
+        after = dict(map(tuple, labels.read().collect()))
+        assert after == batch_labels(seen)
+        if labels._system.exists(labels._path(f"{labels.folder}/delta={n}")):
+            assert {tuple(r) for r in spark.read.parquet(f"{labels.folder}/delta={n}").collect()} == {x for x in after.items() if before.get(x[0]) != x[1]}
+    spark.createDataFrame(list(after.items()), "wallet string, component string").coalesce(1).write.parquet(str(tmp_path / "copy"))
+    copy = labels._system.getContentSummary(labels._path(str(tmp_path / "copy"))).getLength()
+    assert labels.bytes() < 5 * copy
+
+
+# A node.
+
+
+@pytest.fixture
+def node():
+    """An HTTP server with blocks by height; it fails where it is told to."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from types import SimpleNamespace
+
+    state = SimpleNamespace(blocks=[{"height": i, "hash": f"h{i}", "tx": []} for i in range(10)], asked=[], fails=[])
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            method, params = asked["method"], asked["params"]
+            state.asked.append((method, *params))
+            if (method, *params) in state.fails:
+                state.fails.remove((method, *params))
+                self.send_error(503)
+                return
+            result = len(state.blocks) - 1 if method == "getblockcount" else f"h{params[0]}" if method == "getblockhash" else state.blocks[int(params[0][1:])]
+            body = json.dumps({"result": result, "error": None}).encode()
+            self.send_response(200), self.send_header("Content-Length", str(len(body))), self.end_headers(), self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    state.url = f"http://127.0.0.1:{server.server_port}/"
+    yield state
+    server.shutdown()
+
+
+def test_node_batch(spark, node):
+    from walletgraph.sources import node as source
+
+    source.register(spark)
+    read = lambda **o: spark.read.format("node").options(url=node.url, wait=0.01, **o).load()
+    found = read(chunk=3)
+    assert found.rdd.getNumPartitions() == 4 and sorted(r.height for r in found.collect()) == list(range(10))
+    assert sorted(r.height for r in S.landed(read(start=2, end=5))[0].collect()) == [2, 3, 4, 5]
+    node.asked.clear()
+    assert [r.height for r in read(chunk=2).where("height >= 4 and height < 6 and value like '%h5%'").collect()] == [5]
+    assert {x for x in node.asked if x[0] == "getblockhash"} == {("getblockhash", 4), ("getblockhash", 5)}
+    assert read(start=8, confirmations=3).count() == 0 and read(end=99).count() == 10
+    with pytest.raises(Exception, match="url"):
+        spark.read.format("node").load().count()
+
+
+def test_node_failures(spark, node):
+    """Requests are repeated within a task; a task that fails in the end is one that can be run again."""
+    from walletgraph.sources import node as source
+
+    source.register(spark)
+    node.fails += [("getblock", "h4", 2)] * 2
+    assert spark.read.format("node").options(url=node.url, tries=3, wait=0.01).load().count() == 10
+    node.fails += [("getblock", "h4", 2)]
+    df = spark.read.format("node").options(url=node.url, tries=1).load()
+    with pytest.raises(Exception, match="503"):
+        df.count()
+    assert df.count() == 10
+
+
+def test_node_stream(spark, node, tmp_path):
+    """A stream reads up to the tip, and goes on from its offset once there is more."""
+    from walletgraph.sources import node as source
+
+    source.register(spark)
+
+    def run():
+        lines = spark.readStream.format("node").options(url=node.url, start=3, chunk=2, confirmations=1, wait=0.01).load()
+        lines.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+        return sorted(r.height for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert run() == [3, 4, 5, 6, 7, 8]
+    node.blocks += [{"height": i, "hash": f"h{i}", "tx": []} for i in (10, 11)]
+    node.asked.clear()
+    assert run() == [3, 4, 5, 6, 7, 8, 9, 10]
+    assert {x for x in node.asked if x[0] == "getblockhash"} == {("getblockhash", 9), ("getblockhash", 10)}

@@ -463,13 +463,16 @@ def sql_functions(spark, d):
     )
 
 
-@query("SELECT wallet, component FROM comps", "comps")
+_SPENT = "nodes AS (SELECT DISTINCT i.txid AS tx, coalesce(nullif(k.address, ''), CASE WHEN k.descriptor_type = 'pubkey' THEN regexp_extract(k.descriptor, '0[23][0-9a-f]{64}') END, i.vin_txid || ':' || i.vin_vout) AS node FROM ins i JOIN keyed k ON i.vin_txid = k.txid AND i.vin_vout = k.vout_n)"
+
+
+@query(T.sql("", "ins", "keyed").rstrip() + f", {_SPENT}, {_COMPONENTS} SELECT wallet, component FROM comps")
 def streamed_labels(spark, d):
-    """Labels merged batch by batch, as the stream does: the pairs in four batches by order."""
-    labels = None
-    for i in range(4):
-        labels = incremental.merge(labels, T.pairs(spark, d).where(F.pmod("tx", F.lit(4)) == i))
-    return labels.select("wallet", "component")
+    """Blocks that land in four files in no order, followed one file a batch: clusters of wallets as a run over all of them has them."""
+    path, folder = new_path(spark, "landed"), new_path(spark, "labels")
+    T.blocks(spark, d).repartition(4, "value").write.text(path)
+    incremental.follow(incremental.stream_pairs(spark, path, 1), folder, new_path(spark, "offsets")).awaitTermination()
+    return incremental.Labels(spark, folder).wallets()
 
 
 # Graph operators.
