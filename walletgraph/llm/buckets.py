@@ -21,8 +21,8 @@ from walletgraph.llm.words import mix
 
 #: Input bytes for each bucket.
 BUCKET_BYTES = 8 << 20
-#: Size of a KeyFilter's bitmap; it is the same for any input.
-FILTER_BITS = 27
+#: Size of a KeyFilter's bitmap at most, as a power of two; and at least, a piece.
+FILTER_BITS, PIECE_BITS = 27, 15
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -115,23 +115,33 @@ def runs(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, sorted_values[1:] != sorted_values[:-1]]) if len(sorted_values) else np.zeros(0, np.int64)
 
 
+def filter_bits(keys: int) -> int:
+    """Power of two of a bitmap for so many keys: eight places or more for each, as far as FILTER_BITS goes."""
+    return min(FILTER_BITS, max(PIECE_BITS, (8 * keys).bit_length()))
+
+
 class KeyFilter:
-    """A bitmap of fixed size of a set of 64-bit keys: it finds every key of the set, and few others unless it is full.
+    """A bitmap of a set of 64-bit keys: it finds every key of the set, and few others unless it is full.
 
-    Executors make it in pieces of 4 KB; the driver gets 16 MB at most, whatever the number of keys.
+    Its size follows the number of keys up to 16 MB. Executors make it in pieces of 4 KB, which is what the driver gets.
     Callers must be right with false positives.
     """
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
 
+    @staticmethod
+    def empty(power: int) -> KeyFilter:
+        return KeyFilter(np.zeros(1 << (power - 3), np.uint8))
+
     @staticmethod
     def of(df: DataFrame, name: str, kinds: int = 1, kind: str | None = None) -> list[KeyFilter]:
-        """A filter for each kind from 0 on, in one pass."""
-        at = F.pmod(F.col(name), F.lit(1 << FILTER_BITS).cast("long"))
+        """A filter for each kind from 0 on, in one pass over a written table after its count."""
+        power = filter_bits(df.count())
+        at = F.pmod(F.col(name), F.lit(1 << power).cast("long"))
         of = F.col(kind) if kind else F.lit(0)
-        pieces = df.select(of.alias("kind"), F.shiftright(at, 15).alias("piece"), F.pmod(at, F.lit(1 << 15).cast("long")).alias("bit"))
-        filters = [KeyFilter(np.zeros(1 << (FILTER_BITS - 3), np.uint8)) for _ in range(kinds)]
+        pieces = df.select(of.alias("kind"), F.shiftright(at, PIECE_BITS).alias("piece"), F.pmod(at, F.lit(1 << PIECE_BITS).cast("long")).alias("bit"))
+        filters = [KeyFilter.empty(power) for _ in range(kinds)]
         for i, piece, own in pieces.groupBy("kind", "piece").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
             filters[i].add(piece, own)
         return filters
@@ -141,5 +151,5 @@ class KeyFilter:
         self.bits[piece << 12 : (piece + 1) << 12] |= np.frombuffer(bits, np.uint8)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        at = keys.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)
+        at = keys.view(np.uint64) & np.uint64(8 * len(self.bits) - 1)
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walletgraph.llm.buckets import FILTER_BITS, KeyFilter, bucket_count, deal, gather, input_bytes, key_bucket, nest, nest_rows, nest_schema, nested, part_count, record_batch, runs
+from walletgraph.llm.buckets import PIECE_BITS, KeyFilter, bucket_count, deal, filter_bits, gather, input_bytes, key_bucket, nest, nest_rows, nest_schema, nested, part_count, record_batch, runs
 from walletgraph.llm.words import SPACED_LOWER, Hasher, mix
 from walletgraph.operators.graph import connected_components
 from walletgraph.shared import Table, received, send
@@ -87,7 +87,7 @@ def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> tuple[np.ndarray,
     Places are 32 bits of an n-gram. They are dealt by the part of the filter's bitmap that they fall into, so
     each bucket makes its part; bucket -1 has the sizes. The driver gets 4,096 pieces, 2,048 steps of frequency
     and FREQUENT n-grams at most, however many buckets and texts there are."""
-    parts = part_count(docs)
+    parts, power = part_count(docs), filter_bits(input_bytes(docs) // 2)  # a byte has less than half an n-gram below the cut
 
     def count(batches):
         hasher = Hasher(SPACED_LOWER)
@@ -101,7 +101,7 @@ def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> tuple[np.ndarray,
             key, many = key[often], many[often].astype(np.int64)
             size, sets_of = np.unique(np.minimum(sizes, MOST_SMALL * 4), return_counts=True)
             cells: dict[int, list[bytes]] = {-1: [b"", b"", size.astype(np.int64).tobytes(), sets_of.astype(np.int64).tobytes()]}
-            part = lambda own: ((own.astype(np.int64) & ((1 << FILTER_BITS) - 1)) * n >> FILTER_BITS).astype(np.int32)
+            part = lambda own: ((own.astype(np.int64) & ((1 << power) - 1)) * n >> power).astype(np.int32)
             for i, own in enumerate((place[~twice], place[twice])):
                 for b, cell in deal(part(own), own):
                     cells.setdefault(b, [b""] * 4)[i] = cell
@@ -123,24 +123,24 @@ def _statistics(docs: DataFrame, k: int, cut: int, n: int) -> tuple[np.ndarray,
     def meet(table: pa.Table) -> pa.Table:
         """kind 0: pieces of the bitmap; kind 1: n-grams and counts; kind 2: sizes and counts."""
         once = np.sort(gather(table, "once", np.uint32))
-        place = np.unique(np.r_[once[1:][once[1:] == once[:-1]], gather(table, "twice", np.uint32)] & np.uint32((1 << FILTER_BITS) - 1)).astype(np.int64)
+        place = np.unique(np.r_[once[1:][once[1:] == once[:-1]], gather(table, "twice", np.uint32)] & np.uint32((1 << power) - 1)).astype(np.int64)
         keys, at = np.unique(gather(table, "keys", np.int64), return_inverse=True)
         counts = np.bincount(at, gather(table, "counts", np.int64), len(keys)).astype(np.int64)
         size = table.num_rows > 0 and table["bucket"][0].as_py() == -1
         if not size:
             keys, counts = keys[counts >= 2 * BATCH_LEAST], counts[counts >= 2 * BATCH_LEAST]
         pieces = []
-        for lo in runs(place >> 15):
-            own = place[lo : np.searchsorted(place, (place[lo] >> 15) + 1 << 15)]
-            bits = np.zeros(1 << 15, np.uint8)
-            bits[own & 0x7FFF] = 1
-            pieces.append((0, int(place[lo] >> 15), np.packbits(bits, bitorder="little").tobytes(), b""))
+        for lo in runs(place >> PIECE_BITS):
+            own = place[lo : np.searchsorted(place, (place[lo] >> PIECE_BITS) + 1 << PIECE_BITS)]
+            bits = np.zeros(1 << PIECE_BITS, np.uint8)
+            bits[own & (1 << PIECE_BITS) - 1] = 1
+            pieces.append((0, int(place[lo] >> PIECE_BITS), np.packbits(bits, bitorder="little").tobytes(), b""))
         pieces.append((2 if size else 1, 0, keys.tobytes(), counts.tobytes()))
         return pa.Table.from_batches([record_batch(pieces, _SUMS)], schema=_SUMS)
 
     dealt = nested(docs.mapInArrow(count, nest_schema(_COUNTS)))
     found = Table(dealt.groupBy("part", "bucket").applyInArrow(meet, "kind int, piece long, a binary, b binary"), "statistics", rebalance=False)
-    twice = KeyFilter(np.zeros(1 << (FILTER_BITS - 3), np.uint8))
+    twice = KeyFilter.empty(power)
     for piece, own in zip(*(c.to_pylist() for c in _pieces(found.df).columns), strict=True):
         twice.add(piece, own)
     often = _most_frequent(found.df)
@@ -420,8 +420,8 @@ def _pairs(num: int, den: int, mode: str):
     return scan
 
 
-def _verified(pairs: DataFrame, found: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that link. Only sets that a pair names on that side are moved."""
+def _verified(pairs: DataFrame, found: DataFrame, num: int, den: int) -> Table:
+    """Pairs that link, written. Only sets that a pair names on that side are moved."""
     ends = KeyFilter.of(pairs.select(F.posexplode(F.array("a", "b")).alias("side", "doc_id")), "doc_id", 2, "side")
 
     def named(ids):
@@ -441,9 +441,12 @@ def _verified(pairs: DataFrame, found: DataFrame, num: int, den: int) -> DataFra
                 keep.append(den * both >= num * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    broadcast = found.sparkSession.sparkContext.broadcast
-    x, y = (found.select("doc_id", "grams").mapInArrow(named(broadcast(end.bits)), "doc_id long, grams binary").toDF(i, g) for end, i, g in zip(ends, ("a", "b"), ("x", "y"), strict=True))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(test, "a long, b long")
+    sent = [found.sparkSession.sparkContext.broadcast(end.bits) for end in ends]
+    x, y = (found.select("doc_id", "grams").mapInArrow(named(ids), "doc_id long, grams binary").toDF(i, g) for ids, i, g in zip(sent, ("a", "b"), ("x", "y"), strict=True))
+    out = Table(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(test, "a long, b long"), "links")
+    for ids in sent:
+        ids.destroy()
+    return out
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -465,11 +468,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         new = ~np.isin(keys, often)
         if not new.any() or turn == TURNS - 1:
             break
-        posted.drop(), shared.drop()
+        posted.drop(), shared.drop(), prefixes.destroy()
         often, counts = np.r_[often, keys[new]], np.r_[counts, many[new]]
     ids, keys = (spark.sparkContext.broadcast(x.bits) for x in KeyFilter.of(shared.df.where("kind < 2"), "value", 2, "kind"))
     shared.drop()
     found = Table(_candidate_sets(own, k, prefixes, ids, keys), "sets", rebalance=False)
+    for sent in (prefixes, ids, keys):
+        sent.destroy()
 
     links: list[Table] = []
     labels = None
@@ -477,7 +482,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         labelled = found.df.withColumn("label", F.col("doc_id")) if labels is None else found.df.join(labels.select(F.col("node").alias("doc_id"), F.col("component").alias("label")), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
         pairs = _lists(labelled, n).groupBy("part", "bucket").applyInArrow(_pairs(num, den, mode), "a long, b long").distinct()
         pairs = Table(pairs, "pairs")
-        links.append(Table(_verified(pairs.df, found.df, num, den), "links"))
+        links.append(_verified(pairs.df, found.df, num, den))
         pairs.drop()
         labels = connected_components(reduce(DataFrame.unionByName, (x.df for x in links)))
     found.drop()
