@@ -343,3 +343,20 @@ def test_node_stream(spark, node, tmp_path):
     node.asked.clear()
     assert run() == [3, 4, 5, 6, 7, 8, 9, 10]
     assert {x for x in node.asked if x[0] == "getblockhash"} == {("getblockhash", 9), ("getblockhash", 10)}
+
+
+def test_one_outpoint_join(spark, landed):
+    """Flows come from one join of outpoints, and are what credits and debits are apart."""
+    from walletgraph.functions.script import node_id
+    from walletgraph.operators import balances as B
+    from walletgraph.operators import clusters as C
+
+    t = S.shred(S.read_blocks(spark, str(landed)))
+    none = spark.createDataFrame([], schema.NORMALIZED_HASHES)
+    rooted, times = N.with_root(t["outputs"], none, "txid", "vout_n"), t["transactions"].select("txid", "miner_time")
+    spends = B.spends(rooted, t["inputs"])
+    assert spends.count() == t["outputs"].count() and spends.where("spender is not null").count() == 5
+    clusters = C.components(N.input_nodes(t["inputs"], t["outputs"], none), wallet="node").select(F.col("node").alias("wallet"), F.col("component").alias("cluster"))
+    owned = rooted.select("txid", "vout_n", "value_sats", node_id("root_hash", "address", "txid", "vout_n").alias("wallet"))
+    apart = B.credits(owned, times, clusters).unionByName(B.debits(t["inputs"], owned, times, clusters))
+    assert sorted(map(tuple, B.flows(spends, times, clusters).collect())) == sorted(map(tuple, apart.collect()))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from walletgraph.functions.script import node_id
+
 
 def credits(outputs: DataFrame, times: DataFrame, clusters: DataFrame) -> DataFrame:
     """(cluster, txid, miner_time, delta): outputs by receiver. outputs has wallet; a wallet without a cluster is its own."""
@@ -20,6 +22,24 @@ def debits(inputs: DataFrame, outputs: DataFrame, times: DataFrame, clusters: Da
     return rows.select(F.coalesce("cluster", "wallet").alias("cluster"), "txid", "miner_time", (-F.col("value_sats")).alias("delta"))
 
 
+def spends(outputs: DataFrame, inputs: DataFrame) -> DataFrame:
+    """(txid, vout_n, value_sats, wallet, spender): every output with its wallet and the transaction that spends it, if any. outputs has root_hash.
+
+    The one join of outpoints that links of wallets, credits and debits all come from."""
+    wallet = node_id("root_hash", "address", "txid", "vout_n")
+    spent = inputs.where("vin_txid is not null").groupBy(F.col("vin_txid").alias("txid"), F.col("vin_vout").alias("vout_n")).agg(F.min("txid").alias("spender"))
+    return outputs.select("txid", "vout_n", "value_sats", wallet.alias("wallet")).join(spent, ["txid", "vout_n"], "left")
+
+
+def flows(spends: DataFrame, times: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(cluster, txid, miner_time, delta): credits and debits at once, with one join for clusters and one for times."""
+    own = spends.join(clusters, "wallet", "left").withColumn("cluster", F.coalesce("cluster", "wallet"))
+    paid = F.struct(F.col("txid"), F.col("value_sats").alias("delta"))
+    drawn = F.when(F.col("spender").isNotNull(), F.struct(F.col("spender").alias("txid"), (-F.col("value_sats")).alias("delta")))
+    both = own.select("cluster", F.explode(F.array_compact(F.array(paid, drawn))).alias("f")).select("cluster", "f.*")
+    return both.join(times, "txid").select("cluster", "txid", "miner_time", "delta")
+
+
 def by_time(flows: DataFrame) -> DataFrame:
     return flows.groupBy("cluster", "miner_time").agg(F.sum("delta").alias("delta"))
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walletgraph.functions.keys import CHILDREN
-from walletgraph.functions.script import node_id
 from walletgraph.operators import balances as B
 from walletgraph.operators import clusters as C
 from walletgraph.operators import normalize as N
@@ -49,15 +48,13 @@ def run_tables(tables: dict[str, DataFrame], settings: Settings = Settings()) ->
     forms = N.derived(N.unmapped_keys(outputs), n_child=settings.n_child)
     normalized = Table(N.normalized_hashes(forms, settings.root), "normalized").df
     lean_outputs, lean_inputs = N.trim(outputs, inputs)
-    nodes = Table(N.input_nodes(inputs, outputs, normalized, settings.edge_key), "nodes").df
+    spends = Table(B.spends(N.with_root(outputs, normalized, "txid", "vout_n"), inputs), "spends").df
+    tx = {"spending": "spender", "funding": "txid"}[settings.edge_key]
+    nodes = Table(spends.where("spender is not null").select(F.col(tx).alias("tx"), F.col("wallet").alias("node")).distinct(), "nodes").df
     found = C.components(nodes, wallet="node").withColumnRenamed("component", "cluster")
     ids = N.dictionary(found, "cluster", "cluster_id")
     clusters = found.join(ids, "cluster").select(F.col("node").alias("root_hash"), "cluster", "cluster_id")
-    owned = N.with_root(outputs, normalized, "txid", "vout_n")
-    owned = owned.select("txid", "vout_n", "value_sats", node_id("root_hash", "address", "txid", "vout_n").alias("wallet"))
-    times = tables["transactions"].select("txid", "miner_time")
-    by_wallet = found.select(F.col("node").alias("wallet"), "cluster")
-    flows = B.credits(owned, times, by_wallet).unionByName(B.debits(inputs, owned, times, by_wallet))
+    flows = Table(B.flows(spends, tables["transactions"].select("txid", "miner_time"), found.withColumnRenamed("node", "wallet")), "flows").df
     return {
         "outputs": lean_outputs,
         "inputs": lean_inputs,
