@@ -18,7 +18,7 @@ from walletgraph.operators import normalize as N
 from walletgraph.operators import walk
 from walletgraph.plans import pipeline
 from walletgraph.shared import Table, new_path
-from walletgraph.sources import blocks, tables
+from walletgraph.sources import blocks, keyed, tables
 from walletgraph.sources.counters import Counters
 from walletgraph.streaming import incremental
 
@@ -388,6 +388,25 @@ def upsert_clusters(spark, d):
     return tables.upsert(own, own.where("wallet % 3 = 0").withColumn("cluster_id", F.col("wallet") + 1), ["wallet"])
 
 
+@query("SELECT c_custkey AS wallet, CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 1 WHEN c_custkey % 5 = 0 THEN -1 ELSE c_nationkey END AS cluster_id FROM customer UNION ALL SELECT -1 - c_custkey, 0 FROM customer WHERE c_custkey % 7 = 0")
+def upsert_in_buckets(spark, d):
+    """A table by buckets of its key: updated, upserted and inserted into, each time only in the buckets that change."""
+    own = T.table(spark, d, "customer").select(F.col("c_custkey").alias("wallet"), F.col("c_nationkey").cast("long").alias("cluster_id"))
+    table = keyed.Keyed(new_path(spark, "keyed"), ("wallet",), 16)
+    table.create(own)
+    table.update_from(own.where("wallet % 5 = 0").select("wallet"), {"cluster_id": F.lit(-1).cast("long")})
+    table.upsert(own.where("wallet % 3 = 0").withColumn("cluster_id", F.col("wallet") + 1))
+    table.insert_ignore(own.where("wallet % 7 = 0").select((-1 - F.col("wallet")).alias("wallet"), F.lit(0).cast("long").alias("cluster_id")).unionByName(own))
+    return table.read(spark)
+
+
+@query("SELECT i.txid, o.txid AS spent_txid, o.vout_n, o.value_sats FROM ins i JOIN outs o ON i.vin_txid = o.txid AND i.vin_vout = o.vout_n", "ins")
+def resolve_in_buckets(spark, d):
+    """The join of outpoints on tables bucketed alike, without an exchange."""
+    outs, ins = keyed.outpoint_tables(T.outputs(spark, d), T.inputs(spark, d), 8)
+    return N.match_inputs(ins, outs)
+
+
 # Sources and sinks.
 
 
@@ -611,3 +630,31 @@ THEN = 852_076_800
 @query(f"SELECT o.* FROM outs o JOIN txs USING (txid) WHERE miner_time <= {THEN} AND NOT EXISTS (SELECT 1 FROM spends s JOIN txs t USING (txid) WHERE t.miner_time <= {THEN} AND s.vin_txid = o.txid AND s.vin_vout = o.vout_n)", "spends")
 def utxo_set(spark, d):
     return B.utxo_set(T.outputs(spark, d), T.inputs(spark, d), T.transactions(spark, d), THEN)
+
+
+def _spends(spark, d):
+    ins = T.inputs(spark, d).where("vin_txid is not null").groupBy(F.col("vin_txid").alias("txid"), F.col("vin_vout").alias("vout_n")).agg(F.min("txid").alias("spender"))
+    return T.outputs(spark, d).join(ins, ["txid", "vout_n"], "left")
+
+
+def _month_ends(spark, d):
+    """Seconds of the last instant of each month that has an order."""
+    months = T.transactions(spark, d).select(F.trunc(F.timestamp_seconds("miner_time"), "month").alias("m")).distinct()
+    return months.select((F.unix_date(F.add_months("m", 1)).cast("long") * 86_400 - 1).alias("at"))
+
+
+MONTHS = "months AS (SELECT DISTINCT CAST(epoch(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH) AS BIGINT) - 1 AS at FROM orders)"
+LIVES = "lives AS (SELECT o.wallet, o.value_sats, m.miner_time AS made, e.miner_time AS ended FROM outs o JOIN txs m USING (txid) LEFT JOIN spends s ON s.vin_txid = o.txid AND s.vin_vout = o.vout_n LEFT JOIN txs e ON e.txid = s.txid)"
+ALIVE = "lives l ON l.made <= m.at AND (l.ended IS NULL OR l.ended > m.at)"
+
+
+@query(f", {MONTHS}, {LIVES} SELECT m.at, count(l.wallet) AS n_unspent, CAST(coalesce(sum(l.value_sats), 0) AS BIGINT) AS unspent_sats FROM months m LEFT JOIN {ALIVE} GROUP BY m.at", "spends")
+def utxo_by_month(spark, d):
+    """Unspent outputs and their sum at every month's end, in one pass."""
+    return B.holdings(B.lifetimes(_spends(spark, d), T.transactions(spark, d)), _month_ends(spark, d))
+
+
+@query(f", {MONTHS}, {LIVES} SELECT l.wallet, m.at, count(*) AS n_unspent, CAST(sum(l.value_sats) AS BIGINT) AS unspent_sats FROM months m JOIN {ALIVE} GROUP BY ALL", "spends")
+def wallets_by_month(spark, d):
+    """The same for each wallet that holds something."""
+    return B.holdings(B.lifetimes(_spends(spark, d), T.transactions(spark, d)), _month_ends(spark, d), "wallet")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from walletgraph.functions.script import node_id
+from walletgraph.operators.normalize import dictionary
+from walletgraph.shared import Table
 
 
 def credits(outputs: DataFrame, times: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -60,3 +62,60 @@ def utxo_set(outputs: DataFrame, inputs: DataFrame, times: DataFrame, at: int) -
     known = times.where(F.col("miner_time") <= at).select("txid")
     spent = inputs.join(known, "txid", "left_semi").where("vin_txid is not null").select(F.col("vin_txid").alias("txid"), F.col("vin_vout").alias("vout_n"))
     return outputs.join(known, "txid", "left_semi").join(spent, ["txid", "vout_n"], "left_anti")
+
+
+def lifetimes(spends: DataFrame, times: DataFrame) -> DataFrame:
+    """(txid, vout_n, wallet, value_sats, made, ended): from when to when an output is unspent; ended is NULL if it still is.
+
+    A spender without a time counts as none. Outputs that nobody spends may be most: their keys are dealt out and match nothing."""
+    made = times.select("txid", F.col("miner_time").alias("made"))
+    ended = times.select(F.col("txid").cast("string").alias("__spender"), F.col("miner_time").alias("ended"))
+    none = F.concat(F.lit("\0"), F.xxhash64("txid", "vout_n").cast("string"))
+    own = spends.withColumn("__spender", F.coalesce(F.col("spender").cast("string"), none))
+    return own.join(made, "txid").join(ended, "__spender", "left").select("txid", "vout_n", "wallet", "value_sats", "made", "ended")
+
+
+def first_at(rows: DataFrame, at: DataFrame, time: str, slot: str = "slot") -> DataFrame:
+    """rows with the number of the first time in `at` (at, slot: dense ids in order) that isn't before `time`; rows after the last time go.
+
+    An equi-join on stretches of time, as wide as the times lie apart on average: a stretch has the times within it and the first one after it.
+    There are some stretches for each time, whatever the rows."""
+    span = at.agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("*").alias("n")).first()
+    if not span.n:
+        return rows.limit(0).withColumn(slot, F.lit(None).cast("long"))
+    width = max(1, -(-(span.hi - span.lo + 1) // span.n))
+    stretch = lambda c: F.greatest(F.expr(f"(({c}) - {span.lo}) DIV {width}"), F.lit(0).cast("long"))
+    within = at.groupBy(stretch("at").alias("__stretch")).agg(F.sort_array(F.collect_list(F.struct(F.col("at").cast("long").alias("at"), F.col(slot)))).alias("__within"))
+    # The first time after a stretch is the one after its last; stretches without any take it from the last that has some.
+    starts = at.select(stretch("at").alias("__stretch"), slot).groupBy("__stretch").agg(F.max(slot).alias("__last")).join(at.select((F.col(slot) - 1).alias("__last"), stretch("at").alias("__next")), "__last", "left")
+    filled = starts.select(F.explode(F.sequence("__stretch", F.coalesce(F.col("__next") - 1, "__stretch"))).alias("__stretch"), (F.col("__last") + 1).alias("__after"), F.col("__next").isNotNull().alias("__more"))
+    stretches = filled.join(within, "__stretch", "left")
+    own = rows.withColumn("__stretch", stretch(time)).join(stretches, "__stretch")
+    here = F.get(F.filter("__within", lambda x: x["at"] >= F.col(time)), F.lit(0))[slot]
+    return own.withColumn(slot, F.coalesce(here, F.when(F.col("__more"), F.col("__after")))).where(F.col(slot).isNotNull()).select(*rows.columns, slot)
+
+
+def holdings(lifetimes: DataFrame, at: DataFrame, group: str | None = None) -> DataFrame:
+    """(group, at, n_unspent, unspent_sats): what is unspent at each of many times (column at), in one pass over the lifetimes.
+
+    An output is unspent from the transaction that makes it to the one that spends it, both as of their own times (made <= at < ended).
+    It adds itself at the first time that it lives to see and takes itself away at the first that it doesn't, so work doesn't grow with the times
+    that it lives through. Lifetimes are summed by their two times before anything is ordered. A group has rows for the times
+    at which it has unspent outputs; without a group there is one row for each time, zeros included. Repeated and null times count once or not at all."""
+    keys = [group] if group else []
+    times = Table(dictionary(at.select(F.col("at").cast("long").alias("at")), "at", "slot"), "times").df
+    sums = lifetimes.where("made is not null and (ended is null or ended > made)").groupBy(*keys, "made", "ended").agg(F.count("*").alias("n"), F.sum("value_sats").alias("sats"))
+    born = F.struct(F.col("made").cast("long").alias("time"), "n", "sats")
+    gone = F.when(F.col("ended").isNotNull(), F.struct(F.col("ended").cast("long").alias("time"), (-F.col("n")).alias("n"), (-F.col("sats")).alias("sats")))
+    events = sums.select(*keys, F.explode(F.array_compact(F.array(born, gone))).alias("e")).select(*keys, "e.*").groupBy(*keys, "time").agg(F.sum("n").alias("n"), F.sum("sats").alias("sats"))
+    changes = first_at(events, times, "time").groupBy(*keys, "slot").agg(F.sum("n").alias("n"), F.sum("sats").alias("sats"))
+    order = Window.partitionBy(*keys).orderBy("slot")  # of a group one row for each time at most
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    end = F.coalesce(F.lead("slot").over(order), F.lit(times.count()).cast("long"))
+    if not group:
+        changes = changes.unionByName(times.select("slot", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("sats"))).groupBy("slot").agg(F.sum("n").alias("n"), F.sum("sats").alias("sats"))
+    runs = changes.select(*keys, "slot", F.sum("n").over(upto).alias("n_unspent"), F.sum("sats").over(upto).alias("unspent_sats"), end.alias("__end"))
+    if group:
+        runs = runs.where("n_unspent > 0")
+    spread = runs.select(*keys, F.explode(F.sequence("slot", F.col("__end") - 1)).alias("slot"), "n_unspent", "unspent_sats")
+    return spread.join(times, "slot").select(*keys, "at", "n_unspent", "unspent_sats")
