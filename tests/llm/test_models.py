@@ -264,4 +264,4 @@ def test_registered():
     from walletgraph.llm import catalog
 
     assert set(catalog.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
-    assert sorted(int(x[2:].split("_")[0]) for x in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(x[2:].split("_")[0]) for x in catalog.QUERIES) == list(range(1, 14))

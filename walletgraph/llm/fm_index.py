@@ -12,7 +12,9 @@ The benchmark's phrases are made by tasks in blocks of about `block_bytes` of te
 broadcast (some ten times its text); more blocks are files in the shared folder, and a task opens one at a time.
 
 Defined cases: null or empty texts have no words; items with a null id or without words take no part;
-items that share an id count once; a null doc_id or a repeated row is treated like any other.
+items that share an id count once; a null doc_id or a repeated row is treated like any other. Very long texts are
+searched whole. A table without documents gives no rows; a benchmark without items hits nothing. Columns besides
+doc_id and text, whatever their names, are not read by contamination() and carried along by decontaminate().
 """
 
 from __future__ import annotations

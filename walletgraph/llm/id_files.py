@@ -10,7 +10,8 @@ replaces a file by an equal one. Files lie in the shared folder, by any file sys
 
 Defined cases: a null or empty text holds the end id alone; documents without doc_id come first; rows that
 repeat a doc_id follow each other in the order of their texts, across files if they are many (equal rows
-stay in one); no documents make files without frames.
+stay in one); no documents make files without frames; very long texts are one frame; further columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations

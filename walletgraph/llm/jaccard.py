@@ -23,7 +23,9 @@ to be frequent from the first pass, or from the lists themselves: where one is t
 
 Defined cases: null or empty texts have an empty set and are linked with nothing; texts of fewer than k
 words have their whole sequence as one n-gram; rows with a null doc_id get a null component; rows that
-repeat a doc_id count as one node with several texts.
+repeat a doc_id count as one node with several texts. Very long texts are read whole. Which of equally similar
+partners is looked at first changes no component. An empty table gives no rows. Further columns, whatever their names,
+are not read by near_duplicates() and carried along by representatives().
 """
 
 from __future__ import annotations

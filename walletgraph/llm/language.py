@@ -13,7 +13,9 @@ hash, as many of each as SAMPLE allows, one at least. No language is left out. W
 Defined cases: null texts and texts without a letter are `und` with score 0, as is every text if nothing
 could be learned (the pipeline then keeps all texts with a letter); they are not learned from. A null doc_id
 is not held out and never learned from. Repeated rows are learned from once, and each gets its prediction.
-More than MOST_LANGUAGES labels are an error.
+More than MOST_LANGUAGES labels are an error. Very long texts are read whole, in pieces. Of languages with equal
+scores the first by name is predicted. An empty table gives no rows. Further columns, whatever their names, are
+not read by predict() and carried along by identified().
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ are no part of words. Optional regions at a template's ends don't matter for a s
 Places for the automata to start are those of the template's first literal words, found on hashes.
 
 Defined cases: null or empty texts have no words, no labels and score 0; a null doc_id or a repeated row is
-treated like any other.
+treated like any other; very long texts are read whole; where several templates accept a text, it has all their
+labels, each once; an empty table gives no rows; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ length goes to such a bin at such a place). Pieces learn their rank among all pi
 counts by task, summed over the tasks before.
 
 Defined cases: a null or empty text is one piece that holds the end id alone; rows that repeat a doc_id or
-lack one are packed like any other; no documents make no pieces.
+lack one are packed like any other; no documents make no pieces; very long texts are tokenized whole and cut into pieces;
+of equally tight bins any is right; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

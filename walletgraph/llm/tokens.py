@@ -233,6 +233,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
 
     Defined cases: null or empty texts have no bytes and no tokens; strings of special tokens inside texts
     are those tokens, as the library has it; a null doc_id or a repeated row is treated like any other.
+    Very long texts are counted whole; an empty table gives no rows; further columns, whatever their names, are not read.
     """
     whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
 
