@@ -1,6 +1,6 @@
 """A packed training corpus from raw documents, in stages that are each written as Parquet before the next reads it.
 
-1. language: documents whose language can't be told go.
+1. language: documents whose language can't be told go, and letters that are no language, such as hex or random ones.
 2. near copies: of each group of documents with similar word sets the one with the smallest doc_id stays.
 3. repeats: passages of 50 words that also stand in a document with a smaller doc_id are cut out.
 4. benchmark: words covered by a benchmark's phrases are cut out.
@@ -40,7 +40,7 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.identified(docs, language.fit(docs), AHEAD)
+    return language.identified(docs, language.fit(docs, noise=True), AHEAD)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

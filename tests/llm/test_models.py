@@ -189,6 +189,52 @@ def test_unknown_languages_go(spark):
     assert kept == {r.doc_id for r in df.collect()} - {1000, 1001, 1002}
 
 
+def worded(r, words, n):
+    return " ".join(r.choice(words) for _ in range(n)).capitalize() + "."
+
+
+def test_letters_without_a_language_go(spark):
+    """Random letters, hex and base64 go; real languages, mixed, very short and very long texts stay, and nothing changes for predict()."""
+    import corpus_pipeline as P
+
+    r = random.Random(5)
+    words = {x: ["".join(r.choice(c) + r.choice(v) for _ in range(r.randrange(1, 4))) + r.choice(["", "n", "s"]) for _ in range(80)] for x, c, v in (("p", "bcdflmnst", "aeio"), ("q", "ghkrstvw", "aeuy"), ("s", "dklmnprt", "äöaui"))}
+    own = [(i, worded(r, words["pqs"[i % 3]], r.randrange(30, 200)), "pqs"[i % 3], *(None,) * 4) for i in range(240)]
+    good = [worded(r, words["p"], 40) + " " + worded(r, words["q"], 60), worded(r, words["s"], 2), worded(r, words["q"], 100_000), "12 34 " * 50 + worded(r, words["p"], 40)]
+    letters, code = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    bad = [f(n) for n in (300, 3000, 200_000) for f in (
+        lambda n: " ".join("".join(r.choice(letters) for _ in range(r.randrange(2, 9))) for _ in range(n // 5)),
+        lambda n: "".join(r.choice("0123456789abcdef") for _ in range(4 * n)),
+        lambda n: "".join(r.choice(code) for _ in range(n)),
+    )]
+    rest = [(1000 + i, x, None, *(None,) * 4) for i, x in enumerate(good)] + [(2000 + i, x, None, *(None,) * 4) for i, x in enumerate(bad)]
+    df = spark.createDataFrame(own + rest, SCHEMA).repartition(5)
+    kept = {x.doc_id for x in P.identify_language(spark, df, "").select("doc_id").collect()}
+    assert kept >= {x[0] for x in own} and kept & set(range(1000, 2000)) >= {1001, 1002, 1003}
+    assert not any(i >= 2000 for i in kept)
+    plain, more = language.fit(df), language.fit(df, noise=True)
+    assert not plain.least_usual and set(more.least_usual) == {"p", "q", "s"} and np.array_equal(plain.weights, more.weights)
+
+
+def test_usual_share_against_counting():
+    r = random.Random(6)
+    texts = ["".join(r.choice("abcé 1,") for _ in range(60)) for _ in range(30)]
+    presence = np.zeros((30, language.SPACE), np.uint8)
+    for row, text in zip(presence, texts, strict=True):
+        language.fill(row, np.frombuffer(text.encode(), np.uint8))
+    model = language.Model(presence, ["x"] * 25 + ["y"] * 5)
+    assert set(model.usual) == {"x"}
+    fold = lambda text: bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in text.encode())
+    runs = lambda text: [t for t in (fold(text)[i : i + 3] for i in range(len(fold(text)) - 2)) if 32 not in t]
+    usual = {t for t in {t for x in texts for t in runs(x)} if sum(t in fold(x) for x in texts[:25]) >= 0.05 * 25}
+    for text in [*texts, "abc", "", "zzz" * 9]:
+        own, want = runs(text), None
+        if len(own) >= language.LEAST_RUNS:
+            want = sum(t in usual for t in own) / len(own)
+        assert model.usual_share(np.frombuffer(text.encode(), np.uint8), "x") == want
+    assert model.usual_share(np.frombuffer(texts[0].encode(), np.uint8), "y") is None
+
+
 def test_nothing_to_learn(spark):
     assert language.fit(empty(spark)) is None
     df, _ = corpus(spark, 20)

@@ -39,6 +39,10 @@ SPACE = 1 << 15
 LANDMARKS, RIDGE = 200, 1e-2
 #: Of a text in a learned language, landmarks have at least this share of what they have of the sample's median text.
 LEAST_KNOWN = 0.5
+#: Usual columns of a language are those that this share of its sample has; only a language with so many texts in the sample has any.
+COMMON, LEAST_TEXTS = 0.05, 20
+#: Of a text's runs of three letters at least this share of what a language's median text has are usual in it; fewer runs than these tell nothing.
+LEAST_USUAL, LEAST_RUNS = 1 / 3, 10
 #: How sharply scores follow the margins between languages.
 SHARPNESS = 4.0
 BATCH, PIECE = 256, 1 << 20
@@ -64,6 +68,13 @@ def columns(codes: np.ndarray) -> np.ndarray:
     return codes * np.uint32(0x9E3779B1) >> np.uint32(33 - SPACE.bit_length())
 
 
+def letter_runs(data: np.ndarray):
+    """Columns of all occurrences of three bytes that belong to letters, piece by piece."""
+    for one, _, three in _grams(data):
+        letter = (one & np.uint32(255)) != 32
+        yield columns(three[letter[:-2] & letter[1:-1] & letter[2:]])
+
+
 def fill(out: np.ndarray, data: np.ndarray) -> None:
     """Marks a text's columns."""
     for orders in _grams(data):
@@ -96,6 +107,12 @@ class Model:
         self.least_known = LEAST_KNOWN * float(np.median(self.known(rest if len(rest) else marks)))
         self.weights, self.bias = (root @ w[:-1]).astype(np.float32), w[-1].astype(np.float32)
         self.landmarks = None  # travels packed
+        own = np.array(labels, dtype=object)
+        many = {x: int((own == x).sum()) for x in self.labels}
+        #: Of each language with enough texts its usual columns, 4 KB each, of SAMPLE / LEAST_TEXTS languages at most.
+        self.usual = {x: np.packbits(presence[own == x].sum(axis=0, dtype=np.int32) >= COMMON * n) for x, n in many.items() if n >= LEAST_TEXTS}
+        #: The least share of usual runs of letters, where measure() has set one.
+        self.least_usual: dict[str, float] = {}
 
     def kernel(self, presence: np.ndarray) -> np.ndarray:
         if self.landmarks is None:
@@ -111,6 +128,25 @@ class Model:
         """The share of each text's columns that some landmark has."""
         return presence[:, self.used].sum(axis=1, dtype=np.int64) / np.maximum(presence.sum(axis=1, dtype=np.int64), 1)
 
+    def usual_share(self, data: np.ndarray, label: str) -> float | None:
+        """Of all runs of three letters in the text the share that is usual in the language; None if that can't be told. The share doesn't follow the text's length."""
+        if label not in self.usual:
+            return None
+        usual, found, runs = np.unpackbits(self.usual[label]), 0, 0
+        for own in letter_runs(data):
+            found, runs = found + int(usual[own].sum()), runs + len(own)
+        return found / runs if runs >= LEAST_RUNS else None
+
+    def is_usual(self, data: np.ndarray, label: str) -> bool:
+        """Whether runs of letters are usual in the language, or in another one, as texts of several languages have them."""
+        if label not in self.least_usual:
+            return True
+        for x in (label, *(x for x in self.least_usual if x != label)):
+            share = self.usual_share(data, x)
+            if share is None or share >= self.least_usual[x]:
+                return True
+        return False
+
     def classify(self, presence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each text the language, its share of all, and how many times the next one's share that is."""
         margin = SHARPNESS * (self.kernel(presence) @ self.weights + self.bias)
@@ -127,8 +163,11 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame) -> Model | None:
-    """From labelled documents that are not held out; None if there are none."""
+def fit(docs: DataFrame, noise: bool = False) -> Model | None:
+    """From labelled documents that are not held out; None if there are none.
+
+    With noise=True the model also learns what share of a language's runs of letters is usual, by which identified() tells letters
+    without a language: the sample's texts are written once and read again."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out())
     own = Table(usable.select("doc_id", "lang", F.xxhash64("text").alias("print")).distinct(), "labelled")
     counts = own.df.groupBy("lang").agg(F.count("*").alias("many"))
@@ -156,14 +195,35 @@ def fit(docs: DataFrame) -> Model | None:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["lang"], batch["print"], pa.array(bits, pa.binary())], ["doc_id", "lang", "print", "bits"])
 
     texts = usable.select("doc_id", "lang", F.xxhash64("text").alias("print"), "text").join(F.broadcast(wanted), ["doc_id", "lang", "print"], "left_semi")
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind, held = docs.schema["doc_id"].dataType.simpleString(), None
+    if noise:
+        held = Table(texts, "sample")
+        texts = held.df
     rows = texts.mapInArrow(mark, f"doc_id {kind}, lang string, print long, bits binary").dropDuplicates(["doc_id", "lang", "print"]).collect()  # 4 KB each
     chosen.drop()
     blank = bytes(SPACE // 8)
     rows = sorted((r for r in rows if r.bits != blank), key=lambda r: (r.lang, r.doc_id, r.print))
-    if not rows:
-        return None
-    return Model(np.unpackbits(np.frombuffer(b"".join(r.bits for r in rows), np.uint8).reshape(len(rows), -1), axis=1), [r.lang for r in rows])
+    model = Model(np.unpackbits(np.frombuffer(b"".join(r.bits for r in rows), np.uint8).reshape(len(rows), -1), axis=1), [r.lang for r in rows]) if rows else None
+    if held:
+        if model:
+            measure(model, held.df)
+        held.drop()
+    return model
+
+
+def measure(model: Model, sample: DataFrame) -> None:
+    """Sets the least share of usual runs of each language by its texts of the sample."""
+    sent = send(sample.sparkSession, model)
+
+    def shares(batches):
+        own = received(sent)
+        for batch in batches:
+            data, offsets = raw_bytes(batch["text"])
+            found = [own.usual_share(data[lo:hi], x) for x, lo, hi in zip(batch["lang"].to_pylist(), offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["lang"], pa.array(found, pa.float64())], ["lang", "share"])
+
+    medians = sample.select("lang", "text").mapInArrow(shares, "lang string, share double").where("share is not null").groupBy("lang").agg(F.percentile("share", 0.5).alias("share"))
+    model.least_usual = {r.lang: LEAST_USUAL * r.share for r in medians.collect()}  # as many as usual has
 
 
 def _classifier(model: Model | None):
@@ -208,8 +268,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def identified(docs: DataFrame, model: Model | None, ahead: float) -> DataFrame:
-    """The documents, all columns kept, that are in a learned language: it has at least `ahead` times the share of the next one, and most of
-    the text's n-grams are known. Without a model, those with a letter."""
+    """The documents, all columns kept, that are in a learned language: it has at least `ahead` times the share of the next one, most of
+    the text's n-grams are known, and runs of letters are usual in it, if fit() learned which are. Without a model, those with a letter."""
     sent = send(docs.sparkSession, model)
 
     def run(batches):
@@ -221,6 +281,10 @@ def identified(docs: DataFrame, model: Model | None, ahead: float) -> DataFrame:
                 yield batch.filter(pa.array([has_letter(data[lo:hi]) for lo, hi in zip(offsets[:-1], offsets[1:], strict=True)], pa.bool_()))
                 continue
             labels, _, more = classify(batch["text"])
-            yield batch.filter(pa.array((np.array(labels, dtype=object) != UNKNOWN) & (more >= ahead), pa.bool_()))
+            stays = (np.array(labels, dtype=object) != UNKNOWN) & (more >= ahead)
+            data, offsets = raw_bytes(batch["text"])
+            for i in np.flatnonzero(stays).tolist():
+                stays[i] = known.is_usual(data[offsets[i] : offsets[i + 1]], labels[i])
+            yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
