@@ -6,6 +6,7 @@ import pytest
 from walletgraph.operators import clusters as C
 from walletgraph.operators.graph import _forest, connected_components, contract, union_find
 from walletgraph.operators.normalize import dictionary
+from walletgraph.operators import adjacency
 from walletgraph.operators.walk import route, walk
 
 CASES = {
@@ -130,13 +131,14 @@ def plain_walk(rows, seeds, hops):
     return found
 
 
+@pytest.mark.parametrize("stored", [False, True])
 @pytest.mark.parametrize("hops", [0, 1, 3, None])
-def test_walk(spark, hops):
+def test_walk(spark, hops, stored, tmp_path):
     rng = random.Random(9)
     rows = [(t, w) for t in range(120) for w in {t, t + 1, rng.randrange(300)}] + [(500, 900), (500, 901), (501, 5), (501, 5)]
     pairs = spark.createDataFrame([*rows, (None, 5), (7, None)], "tx long, wallet long").repartition(3)
     seeds = spark.createDataFrame([(3,), (3,), (118,), (9999,), (None,)], "wallet long")
-    found = walk(pairs, seeds, hops)
+    found = walk(adjacency.build(pairs, str(tmp_path / "lists"), 4, size=2) if stored else pairs, seeds, hops)
     got = {r.wallet: (r.distance, r.via) for r in found.collect()}
     assert got == plain_walk(rows, [3, 118, 9999], hops) and found.count() == len(got)
     if hops is None:
@@ -158,3 +160,39 @@ def test_walk_of_nothing(spark):
     none = spark.createDataFrame([], "tx long, wallet string")
     assert walk(none, none).count() == 0
     assert [tuple(r) for r in walk(none, spark.createDataFrame([("a",)], "wallet string")).collect()] == [("a", 0, None)]
+
+
+def test_stored_lists(spark, tmp_path):
+    """A hub's list in parts and order, null and repeated pairs, keys that are not there, and only touched buckets read."""
+    rows = [(t, 0) for t in range(50)] + [(t, 1 + t % 20) for t in range(50)] + [(3, 99), (3, 99)]
+    pairs = spark.createDataFrame([*rows, (None, 5), (7, None)], "block long, owner long").repartition(4)
+    built = adjacency.build(pairs, str(tmp_path / "lists"), 8, "block", "owner", size=7)
+    hub = sorted((r.part, r.members) for r in built.lists(spark, "wallet").where("wallet = 0").collect())
+    assert [x for _, part in hub for x in part] == list(range(50)) and [p for p, _ in hub] == list(range(8)) and max(len(x) for _, x in hub) == 7
+    again = adjacency.Adjacency(built.path, 8)
+    assert {r.wallet: r.n for r in again.degrees(spark, "wallet").collect()} == {w: len({t for t, x in rows if x == w}) for _, w in rows}
+    some = spark.createDataFrame([(99,), (1,), (1,), (None,), (12345,)], "wallet int")
+    want = {(w, y) for w in (99, 1) for t, x in rows if x == w for u, y in rows if u == t and y != w}
+    got = [tuple(r) for r in again.neighbors(some).collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert again.neighbors(some.limit(0)).count() == 0
+    assert sorted(map(tuple, again.transactions(some).collect())) == sorted({(w, t) for t, w in rows if w in (99, 1)})
+    one = again.of(spark.createDataFrame([(99,)], "wallet long"), "wallet")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "bucket_of_8" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "PushedFilters: [" in plan and "wallet" in plan.split("PushedFilters: [")[1].split("]")[0]
+    assert one.select(adjacency.F.input_file_name()).distinct().count() == 1
+
+
+def test_many_keys_are_joined(spark, tmp_path):
+    pairs = spark.range(3000).select((adjacency.F.col("id") % 1000).alias("tx"), adjacency.F.col("id").alias("wallet"))
+    built = adjacency.build(pairs, str(tmp_path / "lists"), 4)
+    some = spark.range(1, 3000, 3).select(adjacency.F.col("id").alias("wallet"))
+    assert some.count() > adjacency.FEW and sorted(map(tuple, built.transactions(some).collect())) == [(w, w % 1000) for w in range(1, 3000, 3)]
+
+
+def test_stored_lists_of_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], "tx long, wallet string")
+    built = adjacency.build(none, str(tmp_path / "lists"), 4)
+    assert [tuple(r) for r in walk(built, spark.createDataFrame([("a",)], "wallet string")).collect()] == [("a", 0, None)]
+    assert built.degrees(spark, "tx").count() == 0

@@ -40,6 +40,14 @@ def test_update_insert_and_null_keys(spark, tmp_path):
         keyed.Keyed(table.path, ("a", "b"), 8).read(spark)
 
 
+def test_a_table_without_rows(spark, tmp_path):
+    table = keyed.Keyed(str(tmp_path / "t"), ("k",), 4)
+    table.create(spark.createDataFrame([], "k long, v string"))
+    assert table.read(spark).count() == 0 and table.read(spark).columns == ["k", "v"]
+    table.upsert(spark.createDataFrame([(k, "x") for k in range(20)], "k long, v string"))
+    assert sorted(r.k for r in table.read(spark).collect()) == list(range(20))
+
+
 def test_a_failed_change_leaves_the_table(spark, tmp_path):
     table = keyed.Keyed(str(tmp_path / "t"), ("k",), 4)
     table.create(spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v")))

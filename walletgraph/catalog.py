@@ -15,7 +15,7 @@ from walletgraph.functions import script as S
 from walletgraph.operators import balances as B
 from walletgraph.operators import clusters as C
 from walletgraph.operators import normalize as N
-from walletgraph.operators import walk
+from walletgraph.operators import adjacency, walk
 from walletgraph.plans import pipeline
 from walletgraph.shared import Table, new_path
 from walletgraph.sources import blocks, keyed, tables
@@ -545,6 +545,28 @@ def wallet_walk(spark, d):
     return walk.walk(T.pairs(spark, d), _seeds(spark, d))
 
 
+def _adjacency(spark: SparkSession, d: str) -> adjacency.Adjacency:
+    return adjacency.build(T.pairs(spark, d), new_path(spark, "adjacency"), 8)
+
+
+@query("SELECT wallet, count(DISTINCT tx) AS n FROM pairs GROUP BY wallet", "pairs")
+def adjacency_degrees(spark, d):
+    """Lengths of the stored lists of transactions."""
+    return _adjacency(spark, d).degrees(spark, "wallet")
+
+
+@query("SELECT DISTINCT x.wallet, y.wallet AS neighbor FROM pairs x JOIN pairs y ON x.tx = y.tx AND x.wallet <> y.wallet WHERE x.wallet IN (SELECT p_partkey FROM part WHERE p_partkey % 500 = 1)", "pairs")
+def adjacency_neighbors(spark, d):
+    """Neighbours of some wallets, looked up in stored lists."""
+    return _adjacency(spark, d).neighbors(_seeds(spark, d))
+
+
+@query(_walk_oracle(""))
+def adjacency_walk(spark, d):
+    """As wallet_walk, from stored lists."""
+    return walk.walk(_adjacency(spark, d), _seeds(spark, d))
+
+
 @query("SELECT wallet, dense_rank() OVER (ORDER BY component) - 1 AS cluster_id FROM comps", "comps")
 def cluster_dense_id(spark, d):
     return C.cluster(T.pairs(spark, d))

@@ -38,21 +38,26 @@ class Keyed:
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def _write(self, rows: DataFrame) -> None:
+    def _write(self, rows: DataFrame, order: tuple[str, ...] = ()) -> None:
         # Rows of a bucket meet in few tasks, so that it has few files; adaptive execution splits a large one.
-        (rows.hint("rebalance", self.column).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(self.column).parquet(self.path))
+        rows = rows.hint("rebalance", self.column)
+        rows = rows.sortWithinPartitions(self.column, *order) if order else rows
+        (rows.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(self.column).parquet(self.path))
 
-    def create(self, rows: DataFrame) -> None:
-        self._write(rows.withColumn(self.column, self.bucket()))
+    def create(self, rows: DataFrame, order: tuple[str, ...] = ()) -> None:
+        """Files are sorted by `order`, where given, so that a filter on those columns leaves out row groups and pages."""
+        rows.limit(0).write.mode("overwrite").parquet(f"{self.path}/{self.column}=0")  # the schema, if there are no rows
+        self._write(rows.withColumn(self.column, self.bucket()), order)
 
-    def _stored(self, spark: SparkSession) -> DataFrame:
+    def stored(self, spark: SparkSession) -> DataFrame:
+        """The rows with the number of their bucket, by which a filter leaves out folders."""
         found = spark.read.parquet(self.path)
         if self.column not in found.columns:
             raise ValueError(f"{self.path} is not laid out in {self.buckets} buckets")
         return found
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._stored(spark).drop(self.column)
+        return self.stored(spark).drop(self.column)
 
     def rewrite(self, change: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
         """Puts apply(rows, change) in place of the rows of the buckets that have a key of the change; returns how many those are.
@@ -66,7 +71,7 @@ class Keyed:
         if not touched:
             own.drop()
             return 0
-        old = self._stored(spark).where(F.col(self.column).isin(touched)).drop(self.column)
+        old = self.stored(spark).where(F.col(self.column).isin(touched)).drop(self.column)
         new = Table(apply(old, own.df.drop(self.column)).withColumn(self.column, self.bucket()), "rewritten", rebalance=False)
         self._write(new.df)
         new.drop()
