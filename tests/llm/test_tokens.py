@@ -170,3 +170,13 @@ def test_many_rows_of_one_id(spark, library):
         want.append((i, at, len(part), zlib.crc32(part.tobytes())))
         at += len(part)
     assert sorted(map(tuple, id_files.read(files, folder, dictionary).collect()), key=lambda r: r[1]) == want
+
+
+def test_starts_over_runs_of_files(spark, monkeypatch):
+    """Starts are the same however many files' sums are taken together."""
+    own, folder = docs(spark), new_path(spark, "test")
+    files, dictionary = id_files.write(own, WORD, folder)
+    want = sorted(map(tuple, id_files.read(files, folder, dictionary).collect()), key=repr)
+    for shift in (0, 1, 2):
+        monkeypatch.setattr(id_files, "TOGETHER_SHIFT", shift)
+        assert sorted(map(tuple, id_files.read(files, folder, dictionary).collect()), key=repr) == want

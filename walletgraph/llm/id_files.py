@@ -39,6 +39,8 @@ SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16 << 10, 64 << 10
 FILE_BYTES = 32 << 20
 #: Characters of texts that tell apart the ranges of rows with one doc_id.
 RANGE_CHARS = 64
+#: Files whose sums are taken together: of 2^24 files at most 2^12 such sums.
+TOGETHER_SHIFT = 12
 LEVEL = 3
 MAGIC = b"IDSHARD1"
 _HEAD, _TAIL = "<8sI32s", "<QQ8s"
@@ -160,8 +162,16 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = END_ID) -> tupl
 
 def read(files: DataFrame, folder: str, dictionary: bytes) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens and ids_crc32 of every document, from the files."""
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    placed = files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    # Ids before a file: those of the runs of files before its own, and of the files before it in its run.
+    run_of = F.shiftright("shard", TOGETHER_SHIFT)
+    sums = files.groupBy(run_of.alias("together")).agg(F.sum("n_ids").alias("ids")).orderBy("together").collect()  # 2^12 rows at most
+    starts, at = [], 0
+    for row in sums:
+        starts.append((row.together, at))
+        at += row.ids
+    first = files.sparkSession.createDataFrame(starts, "together int, first long")
+    before = Window.partitionBy("together").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    placed = files.withColumn("together", run_of).withColumn("inside", F.coalesce(F.sum("n_ids").over(before), F.lit(0))).join(F.broadcast(first), "together").withColumn("start", F.col("first") + F.col("inside"))
     n = max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches):
