@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,24 +13,41 @@ from walletgraph.shared import Table
 
 #: Edges that a task solves at a time, and rows of forests that one task is given; and bytes of their nodes if these are strings.
 SMALL, SMALL_BYTES = 2_000_000, 64 << 20
+#: Rows of a forest that a task hands back at a time.
+BATCH = 1 << 16
 #: Forests are merged as long as that leaves fewer rows than this share.
 SHRINKS = 0.9
 
 
-def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes in order, and the smallest node of each one's component; hooks roots to smaller ones, then halves paths."""
-    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = at[: len(a)], at[len(a) :]
-    root = np.arange(len(nodes))
+def _roots(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """Of nodes 0 .. n-1 the smallest one of each one's component; hooks roots to smaller ones, then halves paths."""
+    root = np.arange(n, dtype=x.dtype)
     while True:
         p, q = root[x], root[y]
         if (p == q).all():
-            return nodes, nodes[root]
+            return root
         np.minimum.at(root, np.maximum(p, q), np.minimum(p, q))
         while (root != root[root]).any():
             root = root[root]
 
 
+def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes in order, and the smallest node of each one's component."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    return nodes, nodes[_roots(at[: len(a)], at[len(a) :], len(nodes))]
+
+
+def _solve(table: pa.Table) -> pa.Table:
+    """union_find() of columns a and b. Nodes stay in Arrow, each once, and edges are numbers of four bytes: names as Python's strings would take ten times as much."""
+    coded = pa.chunked_array(table["a"].chunks + table["b"].chunks, table["a"].type).dictionary_encode()
+    at, nodes = np.concatenate([c.indices.to_numpy() for c in coded.chunks]), coded.chunk(0).dictionary
+    order = pc.sort_indices(nodes).to_numpy()
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    at, nodes = rank[at], nodes.take(pa.array(order))
+    return pa.table({"a": nodes, "b": nodes.take(pa.array(_roots(at[: len(table)], at[len(table) :], len(nodes))))})
+
+
 def _stars(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step; rows stay (larger, smaller)."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -44,38 +62,38 @@ def _stars(edges: DataFrame) -> DataFrame:
 def _forest(edges: DataFrame, most: int) -> DataFrame:
     """(a, b, task): of each task's edges a spanning forest only, as stars: every node with the smallest one that it is connected to there, itself if that is it.
 
-    A task works on `most` edges at a time, with the forest of those before them; a forest of more than half as many is left as it is, under a number of its own."""
-    kind = edges.schema["a"].dataType.simpleString()
+    A task works on `most` edges at a time, or on twice SMALL_BYTES of them, with the forest of those before them; a forest of more than half as many is left as it is, under a number of its own."""
+    kind, most_bytes = edges.schema["a"].dataType.simpleString(), 2 * SMALL_BYTES
 
     def run(batches):
-        held, many = [], 0
+        held, many, size = [], 0, 0
 
         def stars() -> pa.Table:
-            table = pa.Table.from_batches(held)
-            nodes, roots = union_find(table["a"].to_numpy(), table["b"].to_numpy())
+            found = _solve(pa.Table.from_batches(held))
             held.clear()
-            return pa.table({"a": pa.array(nodes, table["a"].type), "b": pa.array(roots, table["a"].type)})
+            return found
 
         def out(table: pa.Table):
             nonlocal turn
             turn += 1
-            return table.append_column("task", pa.array(np.full(len(table), task << 32 | turn, np.int64))).to_batches()
+            return table.append_column("task", pa.array(np.full(len(table), task << 32 | turn, np.int64))).to_batches(max_chunksize=BATCH)
 
         task, turn = TaskContext.get().partitionId(), 0
         for batch in batches:
             if batch.num_rows:
                 held.append(batch)
-                many += batch.num_rows
-            if many > most:
+                many, size = many + batch.num_rows, size + batch.nbytes
+            if many > most or size > most_bytes:
                 found = stars()
-                many = len(found)
-                if many > most // 2:
+                many, size = len(found), found.nbytes
+                if many > most // 2 or size > most_bytes // 2:
                     yield from out(found)
-                    many = 0
+                    many = size = 0
                 else:
-                    held += found.to_batches()
+                    held += found.to_batches(max_chunksize=BATCH)
         if held:
             yield from out(stars())
+        pa.default_memory_pool().release_unused()
 
     return edges.select("a", "b").mapInArrow(run, f"a {kind}, b {kind}, task long")
 
