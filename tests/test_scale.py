@@ -2,8 +2,11 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from tests.test_graph import brute
 from walletgraph.operators import graph
+from walletgraph.sources import tables
 
 
 def test_forests_of_long_names_are_bounded_by_bytes(spark, monkeypatch):
@@ -20,3 +23,11 @@ def test_forests_of_long_names_are_bounded_by_bytes(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert found == brute(edges)
+
+
+def test_chunks_have_a_file_each(spark, tmp_path):
+    """Not a file for every task that has some of a chunk's rows."""
+    rows = spark.range(4000).select("id", (F.col("id") % 20).alias("chunk")).repartition(8)
+    tables.write_chunks(rows, str(tmp_path / "c"), kind="csv")
+    assert len(list((tmp_path / "c").glob("chunk=*/*.csv"))) == 20
+    assert tables.read_csv(spark, str(tmp_path / "c"), rows.schema).count() == 4000

@@ -22,11 +22,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
 def write_chunks(df: DataFrame, path: str, chunk: str = "chunk", kind: str = "parquet") -> None:
     """A folder for each chunk, of Parquet or CSV with a header; chunks that are there already are replaced.
 
+    Rows meet by chunk before they are written, so a chunk has one file, or a few if it is large, not one from every task.
     _SUCCESS goes before the first chunk is touched and is there again once all are whole: replacing some chunks, Spark sets none."""
     options = {"header": True} if kind == "csv" else {}
     system, mark = _mark(df.sparkSession, path)
     system.delete(mark, False)
-    df.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(chunk).format(kind).options(**options).save(path)
+    df.hint("rebalance", F.col(chunk)).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(chunk).format(kind).options(**options).save(path)
     system.create(mark, True).close()
 
 
