@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from tests.test_graph import brute
+from walletgraph.functions import keys as K
 from walletgraph.operators import graph
 from walletgraph.sources import tables
 
@@ -31,3 +32,11 @@ def test_chunks_have_a_file_each(spark, tmp_path):
     tables.write_chunks(rows, str(tmp_path / "c"), kind="csv")
     assert len(list((tmp_path / "c").glob("chunk=*/*.csv"))) == 20
     assert tables.read_csv(spark, str(tmp_path / "c"), rows.schema).count() == 4000
+
+
+def test_multiples_of_the_generator():
+    """A child costs an addition for each window of its factor, not a doubling for each bit: the same points."""
+    rng, point = random.Random(3), K.multiply(12345, K.G)
+    for k in [1, 2, 255, 256, 12345, K.N - 1, 2**256 - 1, *(rng.randrange(K.N) for _ in range(20))]:
+        assert K.add_generator(k, point) == K.add(K.multiply(k, K.G), point)
+    assert K.add_generator(K.N - 12345, point) is None
