@@ -4,10 +4,12 @@ import random
 
 from pyspark.sql import functions as F
 
+from tests.conftest import DATA
 from tests.test_graph import brute
+from walletgraph import testbed as T
 from walletgraph.functions import keys as K
 from walletgraph.operators import graph
-from walletgraph.sources import tables
+from walletgraph.sources import blocks, tables
 
 
 def test_forests_of_long_names_are_bounded_by_bytes(spark, monkeypatch):
@@ -40,3 +42,21 @@ def test_multiples_of_the_generator():
     for k in [1, 2, 255, 256, 12345, K.N - 1, 2**256 - 1, *(rng.randrange(K.N) for _ in range(20))]:
         assert K.add_generator(k, point) == K.add(K.multiply(k, K.G), point)
     assert K.add_generator(K.N - 12345, point) is None
+
+
+def test_blocks_exchange_numbers_only(spark):
+    """Scripts are made above the last aggregation, not sent through every exchange."""
+    lines = T.blocks(spark, DATA)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert max(i for i, x in enumerate(lines) if "sha2" in x) < min(i for i, x in enumerate(lines) if "Aggregate" in x)
+
+
+def test_lines_are_told_once(spark):
+    """Blocks and rejects from one pass are those of two, and reading them parses no line."""
+    lines = spark.createDataFrame([('{"height": 1, "tx": [{"txid": "a", "vin": [], "vout": []}]}',), ("no json",), (" ",), ('{"height": 2}',)], "value string")
+    for one, two in zip(blocks.landed_once(lines), blocks.landed(lines), strict=True):
+        assert sorted(one.collect()) == sorted(two.collect())
+        assert "from_json" not in one._jdf.queryExecution().toString()
+
+
+def test_forms_are_dealt_out(spark):
+    assert T.forms(spark, DATA).rdd.getNumPartitions() >= 8
