@@ -8,6 +8,7 @@ from tests.conftest import DATA
 from tests.test_graph import brute
 from walletgraph import testbed as T
 from walletgraph.functions import keys as K
+from walletgraph.operators import clusters as C
 from walletgraph.operators import graph
 from walletgraph.sources import blocks, tables
 
@@ -60,3 +61,11 @@ def test_lines_are_told_once(spark):
 
 def test_forms_are_dealt_out(spark):
     assert T.forms(spark, DATA).rdd.getNumPartitions() >= 8
+
+
+def test_parts_follow_the_pairs(spark, monkeypatch):
+    """Edges are made distinct in as many parts as the pairs ask for, and after they have met."""
+    monkeypatch.setattr(C, "PAIRS", 10)
+    pairs = spark.createDataFrame([(i // 4, i) for i in range(400)], "tx long, wallet long")
+    edges = C.spend_edges(pairs)
+    assert edges.rdd.getNumPartitions() == 40 and edges.count() == 600

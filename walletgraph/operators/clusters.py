@@ -11,6 +11,8 @@ from walletgraph.shared import Table
 
 #: Wallets of a cluster in one row.
 MEMBERS = 1000
+#: Pairs (tx, wallet) of a part that links are made from.
+PAIRS = 1_000_000
 
 
 def star_edges(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet") -> DataFrame:
@@ -51,9 +53,13 @@ def sizes(found: DataFrame, group: str = "component") -> DataFrame:
 def spend_edges(pairs: DataFrame, tx: str = "tx", wallet: str = "wallet") -> DataFrame:
     """Distinct (a, b), a < b, of wallets in one transaction: a report of links; components use stars.
 
+    The number of parts follows the rows, so that a task's table of edges doesn't.
     A transaction of n inputs has n (n - 1) / 2 of them; n is bounded by its block's size, some thousands."""
-    left, right = pairs.select(tx, F.col(wallet).alias("a")), pairs.select(tx, F.col(wallet).alias("b"))
-    return left.join(right, tx).where("a < b").select("a", "b").distinct()
+    rows = Table(pairs.select(F.col(tx).alias("tx"), F.col(wallet).alias("wallet")).where("tx is not null and wallet is not null"), "pairs").df
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // PAIRS))
+    left, right = (rows.select("tx", F.col("wallet").alias(x)).repartition(parts, "tx") for x in "ab")
+    # Edges meet before they are made distinct: tables of those of one task would be large and hardly smaller than what goes in.
+    return left.join(right, "tx").where("a < b").select("a", "b").repartition(parts, "a", "b").distinct()
 
 
 def neighbors(pairs: DataFrame, of, tx: str = "tx", wallet: str = "wallet") -> DataFrame:
