@@ -10,6 +10,8 @@ from walletgraph import testbed as T
 from walletgraph.functions import keys as K
 from walletgraph.operators import clusters as C
 from walletgraph.operators import graph
+from walletgraph.operators import normalize as N
+from walletgraph.plans import pipeline
 from walletgraph.sources import blocks, tables
 
 
@@ -69,3 +71,17 @@ def test_parts_follow_the_pairs(spark, monkeypatch):
     pairs = spark.createDataFrame([(i // 4, i) for i in range(400)], "tx long, wallet long")
     edges = C.spend_edges(pairs)
     assert edges.rdd.getNumPartitions() == 40 and edges.count() == 600
+
+
+def test_ledger_moves_no_descriptors(spark):
+    """What clusters and balances come from has at most a key for a descriptor, and flows are written for neither."""
+    outputs = spark.createDataFrame([("t", i, 1, d, a, k) for i, (d, a, k) in enumerate([(f"pk(02{'ab' * 32})#x", None, "pubkey"), (f"pkh([d34db33f/0]02{'cd' * 32})", "1a", "pubkeyhash"), ("wpkh(xpubA1/0/*)", "bc1", "witness_v0_keyhash"), ("raw(6a)", "", "pubkey")])], "txid string, vout_n int, value_sats long, descriptor string, address string, descriptor_type string")
+    inputs = spark.createDataFrame([("s", "t", 1, "3044 ", None)], "txid string, vin_txid string, vin_vout int, vin_asm string, witness_data string")
+    slim = N.key_for_descriptor(outputs)
+    assert [r.descriptor for r in slim.orderBy("vout_n").collect()] == ["02" + "ab" * 32, "02" + "cd" * 32, None, None]
+    one, two = (N.parse_pubkey_descriptors(N.apply_reveals(x, inputs)).drop("descriptor") for x in (slim, outputs))
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    txs = spark.createDataFrame([("t", 0, 1, 0), ("s", 0, 2, 0)], "txid string, median_blocktime long, miner_time long, locktime long")
+    got = pipeline.run_tables({"transactions": txs, "outputs": outputs, "inputs": inputs})
+    assert not any("/flows-" in f for f in got["balances"].inputFiles())
+    assert {r.vout_n: r.descriptor for r in got["outputs"].collect()} == {0: None, 1: None, 2: "wpkh(xpubA1/0/*)", 3: None}

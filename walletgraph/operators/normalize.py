@@ -33,6 +33,12 @@ def parse_pubkey_descriptors(outputs: DataFrame) -> DataFrame:
     return outputs.withColumn("address", F.when(lacks, first_desc_key("descriptor")).otherwise(F.col("address")))
 
 
+def key_for_descriptor(outputs: DataFrame) -> DataFrame:
+    """Outputs with the first key alone in place of a descriptor that may have to give one, and NULL for the others: what reveals and parse_pubkey_descriptors() can use."""
+    asked = (F.col("descriptor_type") == "pubkey") & _blank("address").isNull() | (F.col("descriptor_type") == "pubkeyhash")
+    return outputs.withColumn("descriptor", F.when(asked, first_desc_key("descriptor")))
+
+
 def unparsed_descriptors(outputs: DataFrame) -> DataFrame:
     """(txid, vout_n, descriptor) of outputs to a key, or to several, that have neither an address nor a descriptor with a key."""
     lacks = F.col("descriptor_type").isin("pubkey", "multisig") & _blank("address").isNull() & first_desc_key("descriptor").isNull()
