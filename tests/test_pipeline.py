@@ -262,6 +262,48 @@ def test_label_batches(spark, tmp_path):
     assert labels.bytes() < 5 * copy
 
 
+def test_outpoint_batches(spark, tmp_path):
+    """Halves of outpoints in any order meet once, whatever batches they come in; a repeated batch gives the same links, and what is spent is merged away."""
+    import random
+
+    rng = random.Random(7)
+    halves = [(f"f{i}:0", f"w{i % 50}", None) for i in range(600)] + [(f"f{i}:0", None, f"s{i // 3}") for i in range(0, 900, 2)]
+    rng.shuffle(halves)
+    table, met, waiting, done = incremental.Outpoints(spark, str(tmp_path / "o")), set(), set(), set()
+    for n, (start, end) in enumerate([(0, 400), (400, 410), (410, 800), (800, 805), (805, 1050)]):
+        df = spark.createDataFrame(halves[start:end], "outpoint string, wallet string, spender string")
+        found = [sorted(map(tuple, table.add(n, df).df.collect()), key=str) for _ in range(2)]
+        assert found[0] == found[1]
+        for tx, wallet, late in found[0]:
+            (met if wallet else waiting).add((tx, wallet))
+            assert wallet is None or (tx, wallet) in {(f"s{i // 3}", f"w{i % 50}") for i in range(0, 600, 2)}
+        done |= set(halves[start:end])
+        paid, spent = ({o for o, w, s in done if x(w, s)} for x in (lambda w, s: w, lambda w, s: s))
+        assert {r.outpoint for r in table.merged(table.read()).collect()} == paid ^ spent
+    assert met == {(f"s{i // 3}", f"w{i % 50}") for i in range(0, 600, 2)}
+    assert {tx for tx, _ in waiting} >= {f"s{i // 3}" for i in range(600, 900, 2)}
+
+
+def test_stream_keeps_no_state_of_rows(spark, landed, tmp_path):
+    """Outpoints meet in joins of tables: the stream itself calls Python for no row and has no stateful operator."""
+    stream = incremental.stream_pairs(spark, str(landed))
+    assert "TransformWithState" not in stream._jdf.queryExecution().analyzed().toString()
+    query = incremental.follow(stream, str(tmp_path / "l"), str(tmp_path / "c"))
+    query.awaitTermination()
+    assert query.recentProgress and all(not p.stateOperators for p in query.recentProgress)
+
+
+def test_landed_blocks_are_many_files(spark):
+    """Blocks of an order's keys are whole in one part each, of as many parts as asked for."""
+    from tests.conftest import DATA
+    from walletgraph import testbed as T
+
+    many = T.blocks(spark, DATA, 12)
+    assert many.rdd.getNumPartitions() == 12
+    heights = lambda df: sorted(json.loads(r.value)["height"] for r in df.collect())
+    assert heights(many) == heights(T.blocks(spark, DATA))
+
+
 # A node.
 
 
