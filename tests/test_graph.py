@@ -196,3 +196,33 @@ def test_stored_lists_of_nothing(spark, tmp_path):
     built = adjacency.build(none, str(tmp_path / "lists"), 4)
     assert [tuple(r) for r in walk(built, spark.createDataFrame([("a",)], "wallet string")).collect()] == [("a", 0, None)]
     assert built.degrees(spark, "tx").count() == 0
+
+
+def test_rounds_move_few_edges(spark, monkeypatch):
+    """Each round has the edges between the roots of the last one only, so the first round writes most of what all rounds do."""
+    from walletgraph.operators import graph
+    from walletgraph.shared import Table
+
+    rng, rows = random.Random(11), []
+
+    class Counted(Table):
+        def __init__(self, df, name, *a, **k):
+            super().__init__(df, name, *a, **k)
+            if name in ("edges", "stars", "large"):
+                rows.append(self.df.count())
+
+    monkeypatch.setattr(graph, "Table", Counted)
+    edges = [(rng.randrange(3000), rng.randrange(3000)) for _ in range(20000)]
+    found = {r.node: r.component for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long"), small=0).collect()}
+    assert found == brute(edges)
+    assert sum(rows) < 1.5 * len(edges)
+
+
+def test_rounds_of_joins_on_paths_and_stars(spark):
+    """Paths in and out of order, a star whose centre is largest, a comb of both, and nodes alone: all by joins."""
+    rng = random.Random(4)
+    order = rng.sample(range(1000, 1200), 200)
+    edges = [(i, i + 1) for i in range(0, 150)] + list(zip(order, order[1:])) + [(2999, i) for i in range(2000, 2050)]
+    edges += [(3000 + i, 3100 + i) for i in range(50)] + [(3100 + i, 3001 + i) for i in range(49)] + [(5000, 5000)]
+    found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), small=0).collect()}
+    assert found == brute(edges)

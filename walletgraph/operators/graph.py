@@ -48,15 +48,26 @@ def _solve(table: pa.Table) -> pa.Table:
     return pa.table({"a": nodes, "b": nodes.take(pa.array(_roots(at[: len(table)], at[len(table) :], len(nodes))))})
 
 
-def _stars(edges: DataFrame) -> DataFrame:
-    """One large-star and one small-star step; rows stay (larger, smaller)."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.where("m < a").select("a", F.col("m").alias("b")))
-    large = Table(large.where("a <> b").distinct(), "large")
-    least = large.df.groupBy("a").agg(F.min("b").alias("m"))
-    small = large.df.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
-    return small.where("a <> b").distinct(), large
+def _flat(edges: DataFrame) -> Table:
+    """(a, b): each node a that has a smaller neighbour, with the root b that smallest neighbours lead to; a root has no smaller one.
+
+    Pointers are doubled, so a path takes as many joins as its length has bits."""
+    at = Table(edges.groupBy("a").agg(F.min("b").alias("b")), "least")
+    while True:
+        far = at.df.select(F.col("a").alias("b"), F.col("b").alias("c"))
+        new = Table(at.df.join(far, "b", "left").select("a", F.coalesce("c", "b").alias("b"), F.col("c").isNotNull().alias("moved")), "least")
+        flat = new.df.where("moved").isEmpty()
+        at.drop()
+        at, new.df = new, new.df.drop("moved")
+        if flat:
+            return at
+
+
+def _relabel(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """The edges between the roots, each once, (larger, smaller)."""
+    x, y = roots.select("a", F.col("b").alias("x")), roots.select(F.col("a").alias("b"), F.col("b").alias("y"))
+    ends = edges.join(x, "a").join(y, "b", "left").select("x", F.coalesce("y", "b").alias("y"))
+    return ends.where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
 def _forest(edges: DataFrame, most: int) -> DataFrame:
@@ -125,25 +136,25 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", small: in
     """(node, component): every node that edges name, with the smallest node that it is connected to.
 
     Tasks contract their own edges to forests and merge these (see contract()), `small` rows to a task at most; what that
-    leaves unfinished is solved by rounds of large-star and small-star joins (Kiveris et al., 2014), each written to the
-    shared folder. Null ends are ignored; an edge from a node to itself only names it.
+    leaves unfinished is solved by rounds of joins, each written to the shared folder: every node goes to the root that its smallest
+    neighbours lead to, and the next round has the edges between roots only. A root that stays either took up all its neighbours or has
+    a smaller one in the next round, so two rounds halve the nodes. Null ends are ignored; an edge from a node to itself only names it.
     """
     named = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
-    forest, whole = contract(named, max(small, 1)) if small else (Table(named.distinct(), "edges"), False)
+    forest, whole = contract(named, max(small, 1)) if small else (Table(named, "edges"), False)
     if whole:
         return forest.df.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    nodes = Table(forest.df.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-    current, seen = Table(forest.df.where("a <> b").select("a", "b").distinct(), "stars"), None
-    forest.drop()
-    while True:
-        nxt, large = _stars(current.df)
-        new = Table(nxt, "stars")
-        current.drop(), large.drop()
-        current = new
-        mark = current.df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            break
-        seen = mark
-    out = Table(nodes.df.join(current.df.select(F.col("a").alias("node"), "b"), "node", "left").select("node", F.coalesce("b", "node").alias("component")), "components")
-    nodes.drop(), current.drop()
+    found = forest.df.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node"))
+    current, edges, rounds = forest, forest.df.where("a <> b").select("a", "b"), []
+    while not edges.isEmpty():
+        rounds.append(_flat(edges))
+        new = Table(_relabel(edges, rounds[-1].df), "edges")
+        if current is not forest:
+            current.drop()
+        current, edges = new, new.df
+    for x in rounds:
+        found = found.join(x.df.select(F.col("a").alias("component"), "b"), "component", "left").select("node", F.coalesce("b", "component").alias("component"))
+    out = Table(found, "components")
+    for x in {id(t): t for t in (forest, current, *rounds)}.values():
+        x.drop()
     return out.df
