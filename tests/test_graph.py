@@ -226,3 +226,16 @@ def test_rounds_of_joins_on_paths_and_stars(spark):
     edges += [(3000 + i, 3100 + i) for i in range(50)] + [(3100 + i, 3001 + i) for i in range(49)] + [(5000, 5000)]
     found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), small=0).collect()}
     assert found == brute(edges)
+
+
+def test_only_large_lists_are_put_in_order(spark, monkeypatch):
+    """Lists that fit a row are gathered as they are: nothing of them is sorted by range; larger ones are cut as before."""
+    placed, real = [], C.positions
+    monkeypatch.setattr(C, "positions", lambda rows, *a, **k: placed.append(rows) or real(rows, *a, **k))
+    rows = [(g, w) for g in range(20) for w in range(g % 4 + 1)] + [(3, 0), (None, 5)]
+    df = spark.createDataFrame(rows, "component long, wallet long")
+    small = {(r.component, r.part): r.members for r in C.members(df, size=4).collect()}
+    assert small == {(g, 0): list(range(g % 4 + 1)) for g in range(20)} and not placed
+    cut = {(r.component, r.part): r.members for r in C.members(df, size=3).collect()}
+    assert cut == {(g, p): list(range(g % 4 + 1))[3 * p : 3 * p + 3] for g in range(20) for p in range(g % 4 // 3 + 1)}
+    assert {r.g for r in placed[0].select("g").collect()} == {3, 7, 11, 15, 19}

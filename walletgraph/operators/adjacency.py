@@ -11,7 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from walletgraph.operators.clusters import members
+from walletgraph.operators.clusters import cut
+from walletgraph.shared import Table
 from walletgraph.sources.keyed import Keyed
 
 #: Members of a row; keys that a look-up names in its filter, by which Spark leaves out row groups and pages of the buckets' sorted files.
@@ -65,8 +66,9 @@ class Adjacency:
 
 def build(pairs: DataFrame, path: str, buckets: int, tx: str = "tx", wallet: str = "wallet", size: int = SIZE) -> Adjacency:
     """Writes both sides' lists of the distinct pairs; null transactions and wallets are left out. keyed.buckets_for() tells how many buckets suit the rows."""
-    rows = pairs.select(F.col(tx).alias("tx"), F.col(wallet).alias("wallet")).where("tx is not null and wallet is not null")
+    rows = Table(pairs.select(F.col(tx).alias("tx"), F.col(wallet).alias("wallet")).where("tx is not null and wallet is not null").distinct(), "pairs", rebalance=False)
     out = Adjacency(path, buckets)
     for key, member in (("wallet", "tx"), ("tx", "wallet")):
-        out._side(key).create(members(rows, member, key, size), order=(key, "part"))
+        out._side(key).create(cut(rows.df, member, key, size), order=(key, "part"))
+    rows.drop()
     return out

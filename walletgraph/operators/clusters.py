@@ -42,8 +42,25 @@ def positions(found: DataFrame, wallet: str = "wallet", group: str = "component"
 
 def members(found: DataFrame, wallet: str = "wallet", group: str = "component", size: int = MEMBERS) -> DataFrame:
     """(group, part, members): each group's wallets in order, `size` of them a row."""
-    placed = positions(found, wallet, group).withColumn("part", F.expr(f"position DIV {size}"))
-    return placed.groupBy(group, "part").agg(F.sort_array(F.collect_list(wallet)).alias("members"))
+    rows = found.select(group, wallet).where(F.col(group).isNotNull()).distinct()
+    return cut(Table(rows, "members").df, wallet, group, size)
+
+
+def cut(rows: DataFrame, wallet: str, group: str, size: int = MEMBERS) -> DataFrame:
+    """The same from a written table of distinct rows without null groups.
+
+    Groups that fit a row are gathered as they are; only the rows of larger ones are put in order by position."""
+    rows = rows.select(F.col(group).alias("g"), F.col(wallet).alias("w"))
+    large = Table(rows.groupBy("g").count().where(F.col("count") > size).select("g"), "large").df
+    if large.isEmpty():
+        return _gathered(rows).withColumnRenamed("g", group)
+    placed = positions(rows.join(large, "g", "left_semi"), "w", "g").withColumn("part", F.expr(f"position DIV {size}"))
+    parts = placed.groupBy("g", "part").agg(F.sort_array(F.collect_list("w")).alias("members"))
+    return _gathered(rows.join(large, "g", "left_anti")).unionByName(parts).withColumnRenamed("g", group)
+
+
+def _gathered(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("g").agg(F.sort_array(F.collect_list("w")).alias("members")).select("g", F.lit(0).cast("long").alias("part"), "members")
 
 
 def sizes(found: DataFrame, group: str = "component") -> DataFrame:
