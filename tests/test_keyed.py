@@ -114,3 +114,24 @@ def test_lifetimes_join_spenders_once(spark):
     spends = spark.createDataFrame([("t", 0, 5, "w", "s"), ("t", 1, 6, "w", None), ("t", 2, 7, "w", "unknown")], "txid string, vout_n int, value_sats long, wallet string, spender string")
     times = spark.createDataFrame([("t", 10), ("s", 20)], "txid string, miner_time long")
     assert sorted((x.vout_n, x.made, x.ended) for x in B.lifetimes(spends, times).collect()) == [(0, 10, 20), (1, 10, None), (2, 10, None)]
+
+
+def test_holdings_of_a_group_are_summed_by_slot(spark):
+    """Lifetimes of a group hardly share their times: they are exchanged by slot and by group, not by their times before."""
+    rows = spark.range(3000).select((F.col("id") % 40).cast("string").alias("wallet"), "id", F.col("id").alias("made"), (F.col("id") + F.col("id") % 900).alias("ended")).withColumnRenamed("id", "value_sats")
+    times = spark.createDataFrame([(x,) for x in range(0, 4000, 500)], "at long")
+    plan = B.holdings(rows, times, "wallet")._jdf.queryExecution().executedPlan().toString()
+    by = [x.split("hashpartitioning(")[1].split(", REP")[0].split(", ENS")[0] for x in plan.split("\n") if "Exchange hashpartitioning(wallet" in x]
+    assert len(by) == 2 and not any("made" in x or "time" in x for x in by)
+
+
+def test_lifetimes_compare_transactions_as_they_are(spark):
+    """Spenders meet their times as numbers, and outputs without a spender are dealt out; a spender of another kind still finds its time."""
+    times = spark.createDataFrame([(1, 10), (2, 20)], "txid long, miner_time long")
+    spends = spark.createDataFrame([(1, 0, 5, "w", 2), (1, 1, 6, "w", None)], "txid long, vout_n int, value_sats long, wallet string, spender long")
+    found = B.lifetimes(spends, times)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "as string" not in plan and "__deal" in plan
+    for kind in ("long", "int", "string"):
+        got = B.lifetimes(spends.withColumn("spender", F.col("spender").cast(kind)), times)
+        assert sorted((x.vout_n, x.made, x.ended) for x in got.collect()) == [(0, 10, 20), (1, 10, None)]

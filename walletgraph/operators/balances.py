@@ -69,10 +69,10 @@ def lifetimes(spends: DataFrame, times: DataFrame) -> DataFrame:
 
     A spender without a time counts as none. Outputs that nobody spends may be most: their keys are dealt out and match nothing."""
     made = times.select("txid", F.col("miner_time").alias("made"))
-    ended = times.select(F.col("txid").cast("string").alias("__spender"), F.col("miner_time").alias("ended"))
-    none = F.concat(F.lit("\0"), F.xxhash64("txid", "vout_n").cast("string"))
-    own = spends.withColumn("__spender", F.coalesce(F.col("spender").cast("string"), none))
-    return own.join(made, "txid").join(ended, "__spender", "left").select("txid", "vout_n", "wallet", "value_sats", "made", "ended")
+    ended = times.select(F.col("txid").alias("__spender"), F.xxhash64("txid").alias("__deal"), F.col("miner_time").alias("ended"))
+    own = spends.withColumn("__spender", F.col("spender").cast(times.schema["txid"].dataType))
+    own = own.withColumn("__deal", F.when(F.col("__spender").isNull(), F.xxhash64("txid", "vout_n")).otherwise(F.xxhash64("__spender")))
+    return own.join(made, "txid").join(ended, ["__spender", "__deal"], "left").select("txid", "vout_n", "wallet", "value_sats", "made", "ended")
 
 
 def first_at(rows: DataFrame, at: DataFrame, time: str, slot: str = "slot") -> DataFrame:
@@ -91,7 +91,8 @@ def first_at(rows: DataFrame, at: DataFrame, time: str, slot: str = "slot") -> D
     filled = starts.select(F.explode(F.sequence("__stretch", F.coalesce(F.col("__next") - 1, "__stretch"))).alias("__stretch"), (F.col("__last") + 1).alias("__after"), F.col("__next").isNotNull().alias("__more"))
     stretches = filled.join(within, "__stretch", "left")
     own = rows.withColumn("__stretch", stretch(time)).join(stretches, "__stretch")
-    here = F.get(F.filter("__within", lambda x: x["at"] >= F.col(time)), F.lit(0))[slot]
+    first = F.get("__within", F.lit(0))  # most stretches have one time: only the rest are searched
+    here = F.when(first["at"] >= F.col(time), first[slot]).when(F.size("__within") > 1, F.get(F.filter("__within", lambda x: x["at"] >= F.col(time)), F.lit(0))[slot])
     return own.withColumn(slot, F.coalesce(here, F.when(F.col("__more"), F.col("__after")))).where(F.col(slot).isNotNull()).select(*rows.columns, slot)
 
 
@@ -100,14 +101,21 @@ def holdings(lifetimes: DataFrame, at: DataFrame, group: str | None = None) -> D
 
     An output is unspent from the transaction that makes it to the one that spends it, both as of their own times (made <= at < ended).
     It adds itself at the first time that it lives to see and takes itself away at the first that it doesn't, so work doesn't grow with the times
-    that it lives through. Lifetimes are summed by their two times before anything is ordered. A group has rows for the times
+    that it lives through. Without a group lifetimes are summed by their two times before anything is ordered; a group's hardly share any, so that
+    they are given their slots first and summed by these. A group has rows for the times
     at which it has unspent outputs; without a group there is one row for each time, zeros included. Repeated and null times count once or not at all."""
     keys = [group] if group else []
     times = Table(dictionary(at.select(F.col("at").cast("long").alias("at")), "at", "slot"), "times").df
-    sums = lifetimes.where("made is not null and (ended is null or ended > made)").groupBy(*keys, "made", "ended").agg(F.count("*").alias("n"), F.sum("value_sats").alias("sats"))
+    lives = lifetimes.where("made is not null and (ended is null or ended > made)")
+    if group:
+        sums = lives.select(group, "made", "ended", F.lit(1).cast("long").alias("n"), F.col("value_sats").cast("long").alias("sats"))
+    else:
+        sums = lives.groupBy("made", "ended").agg(F.count("*").alias("n"), F.sum("value_sats").alias("sats"))
     born = F.struct(F.col("made").cast("long").alias("time"), "n", "sats")
     gone = F.when(F.col("ended").isNotNull(), F.struct(F.col("ended").cast("long").alias("time"), (-F.col("n")).alias("n"), (-F.col("sats")).alias("sats")))
-    events = sums.select(*keys, F.explode(F.array_compact(F.array(born, gone))).alias("e")).select(*keys, "e.*").groupBy(*keys, "time").agg(F.sum("n").alias("n"), F.sum("sats").alias("sats"))
+    events = sums.select(*keys, F.explode(F.array_compact(F.array(born, gone))).alias("e")).select(*keys, "e.*")
+    if not group:
+        events = events.groupBy("time").agg(F.sum("n").alias("n"), F.sum("sats").alias("sats"))
     changes = first_at(events, times, "time").groupBy(*keys, "slot").agg(F.sum("n").alias("n"), F.sum("sats").alias("sats"))
     order = Window.partitionBy(*keys).orderBy("slot")  # of a group one row for each time at most
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
