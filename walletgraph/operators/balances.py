@@ -113,7 +113,7 @@ def holdings(lifetimes: DataFrame, at: DataFrame, group: str | None = None) -> D
         sums = lives.groupBy("made", "ended").agg(F.count("*").alias("n"), F.sum("value_sats").alias("sats"))
     born = F.struct(F.col("made").cast("long").alias("time"), "n", "sats")
     gone = F.when(F.col("ended").isNotNull(), F.struct(F.col("ended").cast("long").alias("time"), (-F.col("n")).alias("n"), (-F.col("sats")).alias("sats")))
-    events = sums.select(*keys, F.explode(F.array_compact(F.array(born, gone))).alias("e")).select(*keys, "e.*")
+    events = sums.select(*keys, F.explode(F.array(born, gone)).alias("e")).select(*keys, "e.*").where("time is not null")
     if not group:
         events = events.groupBy("time").agg(F.sum("n").alias("n"), F.sum("sats").alias("sats"))
     changes = first_at(events, times, "time").groupBy(*keys, "slot").agg(F.sum("n").alias("n"), F.sum("sats").alias("sats"))
