@@ -8,10 +8,12 @@ from tests.conftest import DATA
 from tests.test_graph import brute
 from walletgraph import testbed as T
 from walletgraph.functions import keys as K
+from walletgraph.functions import script as S
 from walletgraph.operators import clusters as C
 from walletgraph.operators import graph
 from walletgraph.operators import normalize as N
 from walletgraph.plans import pipeline
+from walletgraph.shared import Table
 from walletgraph.sources import blocks, tables
 
 
@@ -85,3 +87,35 @@ def test_ledger_moves_no_descriptors(spark):
     got = pipeline.run_tables({"transactions": txs, "outputs": outputs, "inputs": inputs})
     assert not any("/flows-" in f for f in got["balances"].inputFiles())
     assert {r.vout_n: r.descriptor for r in got["outputs"].collect()} == {0: None, 1: None, 2: "wpkh(xpubA1/0/*)", 3: None}
+
+
+def test_work_tables_leave_no_shuffle_files(spark):
+    """What a written table was exchanged through is gone from the disk, not left until the driver collects garbage."""
+    files = lambda: {f for f in str(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")).split("\n") if "shuffle_" in f}
+    before = files()
+    made = Table(spark.range(5000).repartition(4, "id").groupBy("id").count(), "made")
+    assert files() - before == set()
+    assert made.df.count() == 5000
+    made.drop()
+
+
+def test_packed_names(spark):
+    """Hex takes half the bytes, and every string comes back."""
+    texts = ["", "ab", "AB", "abc", "02" + "ab" * 32, "t:0", "bc1qz", "\0", "é", None]
+    rows = spark.createDataFrame([(x,) for x in texts], "t string").withColumn("p", S.packed("t")).select("t", "p", S.unpacked("p").alias("u")).collect()
+    assert [r.u for r in rows] == texts and len({bytes(r.p) for r in rows if r.p is not None}) == len(texts) - 1
+    assert len(rows[4].p) == 34
+
+
+def test_timed_ledger(spark):
+    """Times that come with the rows give what a join for them gives; wallets are numbers until the results, which have the smallest names."""
+    read = blocks.landed_once(T.blocks(spark, DATA))[0]
+    one, two = (pipeline.run_tables(blocks.shred(read, timed=x)) for x in (True, False))
+    for name in ("clusters", "balances", "net_flows", "nodes"):
+        assert sorted(map(str, one[name].collect())) == sorted(map(str, two[name].collect())), name
+    least = {}
+    for r in one["clusters"].collect():
+        least[r.cluster] = min(least.get(r.cluster, r.root_hash), r.root_hash)
+    assert all(k == v for k, v in least.items())
+    scanned = one["balances"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, (txid" not in scanned and "miner_time" in scanned

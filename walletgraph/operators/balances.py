@@ -42,6 +42,17 @@ def flows(spends: DataFrame, times: DataFrame, clusters: DataFrame) -> DataFrame
     return both.join(times, "txid").select("cluster", "txid", "miner_time", "delta")
 
 
+def timed_flows(spends: DataFrame, clusters: DataFrame, *keep: str) -> DataFrame:
+    """The same from spends with made and ended, the times of both transactions, without a join for them: (cluster, delta) and of txid and miner_time those to keep."""
+    names = {"txid": ("txid", "spender"), "miner_time": ("made", "ended")}
+    paid = F.struct(*(F.col(names[x][0]).alias(x) for x in keep), F.col("value_sats").alias("delta"))
+    drawn = F.struct(*(F.col(names[x][1]).alias(x) for x in keep), (-F.col("value_sats")).alias("delta"))
+    used = [c for x in keep for c in names[x]]
+    own = spends.select("wallet", "value_sats", *used, F.col("spender").isNotNull().alias("__spent")).join(clusters, "wallet", "left")
+    both = F.array_compact(F.array(paid, F.when(F.col("__spent"), drawn)))
+    return own.select(F.coalesce("cluster", "wallet").alias("cluster"), F.explode(both).alias("f")).select("cluster", "f.*")
+
+
 def by_time(flows: DataFrame) -> DataFrame:
     return flows.groupBy("cluster", "miner_time").agg(F.sum("delta").alias("delta"))
 

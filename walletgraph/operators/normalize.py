@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walletgraph.functions.keys import CHILDREN, derive_addresses
-from walletgraph.functions.script import first_desc_key, keys_or_address, node_id, revealed_key, root_hash_v1
+from walletgraph.functions.script import first_desc_key, keys_or_address, node_id, packed, revealed_key, root_hash_v1, unpacked
 from walletgraph.shared import Table
 from walletgraph.sources.tables import update_from
 
@@ -58,6 +58,38 @@ def apply_reveals(outputs: DataFrame, inputs: DataFrame) -> DataFrame:
     return update_from(outputs, revealed_keys(outputs, inputs), ["txid", "vout_n"], {"address": F.col("revealed_key"), "descriptor_type": F.lit("pubkey")})
 
 
+def met_outputs(outputs: DataFrame, inputs: DataFrame) -> DataFrame:
+    """(txid, vout_n, value_sats, key, bare, made, spender, ended) in one join of outpoints: of each output what apply_reveals() and parse_pubkey_descriptors()
+    leave as its address, whether it is to a bare key then, its time, and the transaction that spends it with its time. Both tables have miner_time.
+
+    key: the address as packed() has it, which it is in the exchanges too; where there is none, the outpoint after a byte 2."""
+    own = key_for_descriptor(outputs).select("txid", "vout_n", "value_sats", "descriptor_type", packed("descriptor").alias("descriptor"), packed(_blank("address")).alias("address"), F.col("miner_time").alias("made"))
+    shown = F.when(F.col("witness_data").isNotNull() | F.col("vin_asm").isNotNull(), packed(revealed_key("witness_data", "vin_asm")))
+    spent = inputs.where("vin_txid is not null").select(F.col("vin_txid").alias("txid"), F.col("vin_vout").alias("vout_n"), shown.alias("shown"), F.struct(F.col("txid").alias("spender"), F.col("miner_time").alias("ended")).alias("by"))
+    # Names are sorted to be grouped: exchanged first, they are sorted once.
+    spent = spent.repartition("txid", "vout_n").groupBy("txid", "vout_n").agg(F.min("by").alias("by"), F.min(unpacked("shown")).alias("shown"))
+    met = own.join(spent, ["txid", "vout_n"], "left").withColumn("shown", F.when(F.col("descriptor_type") == "pubkeyhash", F.col("shown")))
+    told = met.withColumns({"descriptor": unpacked("descriptor"), "address": F.coalesce("shown", unpacked("address")), "descriptor_type": F.when(F.col("shown").isNotNull(), "pubkey").otherwise(F.col("descriptor_type"))})
+    outpoint = F.concat(F.lit(b"\x02"), F.concat("txid", F.lit(":"), F.col("vout_n").cast("bigint").cast("string")).cast("binary"))
+    bare = F.coalesce(F.col("descriptor_type") == "pubkey", F.lit(False))
+    return parse_pubkey_descriptors(told).select("txid", "vout_n", "value_sats", F.coalesce(packed(_blank("address")), outpoint).alias("key"), bare.alias("bare"), "made", "by.spender", "by.ended")
+
+
+def bare_keys(met: DataFrame) -> DataFrame:
+    """(address) of met_outputs(): the keys that are to be derived."""
+    return met.where(F.col("bare") & (F.substring("key", 1, 1) != F.lit(b"\x02"))).select(unpacked("key").alias("address"))
+
+
+def wallet_numbers(met: DataFrame, normalized: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, wallet) of met_outputs(), and (wallet, name): wallets as numbers in no order. A wallet is the root of an address, else that address, else the output itself."""
+    roots = normalized.select(packed("hash").alias("key"), "root_hash").repartition("key").groupBy("key").agg(F.min("root_hash").alias("root_hash"))
+    named = Table(met.select("key").distinct().join(roots, "key", "left").select("key", F.coalesce("root_hash", unpacked("key")).alias("name")), "named", rebalance=False, compression="zstd")
+    names = Table(named.df.select("name").distinct().select(F.monotonically_increasing_id().alias("wallet"), "name"), "names", rebalance=False, compression="zstd").df
+    numbers = Table(named.df.join(names, "name").select("key", "wallet"), "numbers", rebalance=False, compression="zstd").df
+    named.drop()
+    return numbers, names
+
+
 def unmapped_keys(outputs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Distinct keys that no hash is mapped for yet."""
     keys = outputs.where(F.col("descriptor_type") == "pubkey").select(_blank("address").alias("address")).where("address is not null").distinct()
