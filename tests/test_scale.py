@@ -15,6 +15,7 @@ from walletgraph.operators import normalize as N
 from walletgraph.plans import pipeline
 from walletgraph.shared import Table
 from walletgraph.sources import blocks, tables
+from walletgraph.streaming import incremental
 
 
 def test_forests_of_long_names_are_bounded_by_bytes(spark, monkeypatch):
@@ -119,3 +120,14 @@ def test_timed_ledger(spark):
     assert all(k == v for k, v in least.items())
     scanned = one["balances"]._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Inner, (txid" not in scanned and "miner_time" in scanned
+
+
+def test_batches_are_exchanged_once(spark, tmp_path, monkeypatch):
+    """A batch's links are written once, and no work table of it is exchanged again only to be written."""
+    made = []
+    monkeypatch.setattr(incremental, "Table", lambda df, name, rebalance=True, **k: made.append((name, rebalance)) or Table(df, name, rebalance, **k))
+    outpoints, labels = incremental.Outpoints(spark, str(tmp_path / "o")), incremental.Labels(spark, str(tmp_path / "l"))
+    links = outpoints.add(0, spark.createDataFrame([("a:0", "x", None), ("b:0", "y", None), ("a:0", None, "s"), ("b:0", None, "s")], "outpoint string, wallet string, spender string"))
+    labels.add(0, links.df)
+    assert {tuple(r) for r in labels.wallets().collect()} == {("x", "x"), ("y", "x")}
+    assert made == [(x, False) for x in ("events", "met", "links", "pairs", "known")]
